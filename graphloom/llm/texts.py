@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; one longer row is a chunk of its own.
 CHUNK_BYTES = 2 << 20
+#: Rows worked on at once: their numbers fit 16 bits.
+CHUNK_ROWS = 1 << 15
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5
@@ -93,7 +95,7 @@ def chunks(batch: pa.RecordBatch, name: str, limit: int = 0) -> Iterator[tuple[i
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + (limit or CHUNK_BYTES), "right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), n, lo + CHUNK_ROWS)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 
