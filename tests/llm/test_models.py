@@ -94,7 +94,7 @@ def test_learning_beats_counts_on_held_out_texts(spark):
             at = (at + rng.choice((1, 1, 1, 2))) % 30
         rows.append((k, " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(2)
-    got = gru.score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    got = gru.score(docs, every=1, rounds=4).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > 0.9 * got[1]
 
 
