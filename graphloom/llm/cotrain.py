@@ -60,10 +60,11 @@ def content_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
 
 
 class Content:
-    """Logistic regression on the features that occur often enough."""
+    """Logistic regression on the features that occur in ``least`` documents and
+    whose share of bad ones is ``clear`` deviations off the mean."""
 
-    def __init__(self, least: int = 8, most: int = 20_000):
-        self.least, self.most = least, most
+    def __init__(self, least: int = 8, most: int = 20_000, clear: float = 4.0):
+        self.least, self.most, self.clear = least, most, clear
 
     def fit(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray) -> Content:
         flat = np.concatenate([d[0] for d in docs]) if docs else np.zeros(0, np.int32)
@@ -71,7 +72,7 @@ class Content:
         bad = np.bincount(np.concatenate([d[0] for d, good in zip(docs, y) if not good] or [flat[:0]]), minlength=BUCKETS)
         share = 1 - y.mean()
         score = np.abs(bad - df * share) / np.sqrt(df * share * (1 - share) + 1)
-        chosen = np.flatnonzero((df >= self.least) & (score > 2.5))
+        chosen = np.flatnonzero((df >= self.least) & (score > self.clear))
         self.chosen = np.sort(chosen[np.argsort(-score[chosen], kind="stable")[: self.most]])
         self.place = np.full(BUCKETS, -1, np.int32)
         self.place[self.chosen] = np.arange(len(self.chosen))
@@ -108,7 +109,7 @@ class Metadata:
         return np.array([self.w[r].sum() for r in rows]) + self.b if rows else np.zeros(0)
 
 
-def _logistic(rows: list[np.ndarray], dense: np.ndarray, n: int, y: np.ndarray, weight: np.ndarray, steps: int = 250, rate: float = 0.1, decay: float = 2e-4):
+def _logistic(rows: list[np.ndarray], dense: np.ndarray, n: int, y: np.ndarray, weight: np.ndarray, steps: int = 400, rate: float = 0.1, decay: float = 1e-5):
     """Full-batch Adam on sparse binary and dense features."""
     size = np.array([len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
@@ -165,10 +166,10 @@ class CoTrained:
         calibrated = []
         self.scales = []
         for k in (0, 1):
-            _, v, b = _logistic([np.zeros(0, np.int64)] * len(fold), z[:, k : k + 1], 0, y_fold, np.ones(len(fold)), 300)
+            _, v, b = _logistic([np.zeros(0, np.int64)] * len(fold), z[:, k : k + 1], 0, y_fold, np.ones(len(fold)))
             self.scales.append((float(v[0]), float(b)))
             calibrated.append(z[:, k] * v[0] + b)
-        _, self.mix, self.shift = _logistic([np.zeros(0, np.int64)] * len(fold), np.stack(calibrated, 1), 0, y_fold, np.ones(len(fold)), 300)
+        _, self.mix, self.shift = _logistic([np.zeros(0, np.int64)] * len(fold), np.stack(calibrated, 1), 0, y_fold, np.ones(len(fold)))
         return self
 
     def _views(self, docs) -> np.ndarray:
@@ -218,14 +219,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = _sample(named, "_id", most_labelled)
     base = _columns(docs, key, text)
     # a bounded number of ids, so the join can be a broadcast
-    taken = _featurised(base.join(F.broadcast(known), "_id").dropDuplicates(["_id"]), ["good"]).toPandas().sort_values("_id", kind="stable")
+    taken = _featurised(base.join(F.broadcast(known), "_id").dropDuplicates(["_id"]), ["good"]).toArrow().sort_by("_id")
     n = docs.count()
     rest = base.where(F.pmod(F.xxhash64(F.col("_id"), F.lit(1)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, most_unlabelled / max(n, 1))))
-    pool = _featurised(rest.join(F.broadcast(known.select("_id")), "_id", "left_anti"), []).toPandas().sort_values("_id", kind="stable")
-
-    def rows(frame):
-        meta = Metadata.rows(frame["_lang"].tolist(), frame["_source"].tolist(), frame["size"].to_numpy())
-        return [(np.asarray(f, np.int32), np.asarray(s, np.float32), m) for f, s, m in zip(frame["f"], frame["s"], meta)]
+    pool = _featurised(rest.join(F.broadcast(known.select("_id")), "_id", "left_anti"), []).toArrow().sort_by("_id")
+
+    def rows(found: pa.Table):
+        meta = Metadata.rows(found["_lang"].to_pylist(), found["_source"].to_pylist(), found["size"].to_numpy())
+        features, shapes = found["f"].combine_chunks(), found["s"].combine_chunks()
+        edge, flat = features.offsets.to_numpy(), features.values.to_numpy()
+        table = shapes.flatten().to_numpy().reshape(-1, SHAPES)
+        return [(flat[a:b], table[i], m) for i, (a, b, m) in enumerate(zip(edge[:-1], edge[1:], meta))]
 
     return CoTrained().fit(rows(taken), taken["good"].to_numpy(), rows(pool))
 
