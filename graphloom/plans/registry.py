@@ -1,11 +1,13 @@
-"""All registered queries of the graph and text operators."""
+"""All registered queries of the graph, map and text operators."""
 
 from __future__ import annotations
 
+from graphloom.plans import base, graph_queries, map_queries, text_queries  # noqa: F401  (they register)
+
 
 def queries() -> dict:
-    return {}
+    return dict(base.QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(base.SQL)
