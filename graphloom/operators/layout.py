@@ -55,7 +55,8 @@ def overlapped(blocks: DataFrame, tables: DataFrame, share: float = 0.6) -> Data
     w = F.least(F.col("x") + F.col("width"), F.col("_x") + F.col("_width")) - F.greatest("x", "_x")
     h = F.least(F.col("y") + F.col("height"), F.col("_y") + F.col("_height")) - F.greatest("y", "_y")
     area = F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0))
-    inside = blocks.join(t, ["doc", "page"]).where(area > share * F.greatest(F.col("width") * F.col("height"), F.lit(1e-9)))
+    boxed = blocks.where(valid_box(*(F.col(c) for c in BOX)))
+    inside = boxed.join(t, ["doc", "page"]).where(area > share * F.greatest(F.col("width") * F.col("height"), F.lit(1e-9)))
     return blocks.join(inside.select("id").distinct(), "id", "left_anti")
 
 

@@ -63,7 +63,8 @@ def agg_lesson_summary(v):
 @query(f"{_PACK}, s AS (SELECT source AS backend, length(packed.text) AS n FROM packed JOIN documents USING (doc_id)) SELECT backend, count(*) AS chunks, count(*) FILTER (n <= 24) AS short_chunks, round(avg(n), 1) AS avg_chars, min(n) AS min_chars, max(n) AS max_chars, '' AS error FROM s GROUP BY 1 UNION ALL SELECT 'broken', NULL, NULL, NULL, NULL, NULL, 'no such backend'")
 def src_compare_backends(v):
     ran = O.lesson_summary(_chunks(v).join(v.documents.select("doc_id", F.col("source").alias("backend")), "doc_id"), "backend").withColumn("error", F.lit(""))
-    failed = v.spark.createDataFrame([("broken", None, None, None, None, None, "no such backend")], ran.schema)
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in ran.schema.fields[1:-1]]
+    failed = v.spark.range(1).select(F.lit("broken").alias("backend"), *none, F.lit("no such backend").alias("error"))
     return ran.unionByName(failed)
 
 
@@ -176,9 +177,9 @@ def fn_concept_definition(v):
     return v.documents.select("doc_id", F.concat(F.coalesce(prefix, F.lit("教学提示：")), F.md5(F.col("text").cast("binary"))).alias("value"))
 
 
-@query("SELECT doc_id, marker FROM (SELECT doc_id, text, unnest(['TODO', 'TBD', 'FIXME', '待补充', '占位']) AS marker FROM documents) WHERE contains(text, marker)")
+@query("SELECT doc_id, marker FROM (SELECT doc_id, text, unnest(['TODO', 'Apache License', 'password', 'Lorem']) AS marker FROM documents) WHERE contains(text, marker)")
 def flt_placeholder(v):
-    return D.placeholders(v.documents, "doc_id", "text")
+    return D.placeholders(v.documents, "doc_id", "text", ("TODO", "Apache License", "password", "Lorem"))
 
 
 @query("SELECT review_state, lang, count(*) AS n FROM doc_review GROUP BY 1, 2")
@@ -396,9 +397,12 @@ def val_manifest(v):
     return D.manifest_rules(assets)
 
 
-@query("SELECT url AS path, 'extension' AS problem FROM pages WHERE contains(regexp_extract(lower(url), '[^/]*$'), '.') AND regexp_extract(regexp_extract(lower(url), '[^/]*$'), '\\.[^.]*$') NOT IN (" + ", ".join(f"'{e}'" for e in D.ALLOWED) + ")")
+_PATH = "concat(url, CASE page_id % 5 WHEN 0 THEN '.exe' WHEN 1 THEN '/.DS_Store' WHEN 2 THEN '/.git/x.exe' ELSE '.html' END)"
+
+
+@query(f"SELECT path, problem FROM (SELECT path, CASE WHEN regexp_extract(lower(path), '[^/]*$') = '.ds_store' THEN 'leftover' WHEN regexp_extract(regexp_extract(lower(path), '[^/]*$'), '\\.[^.]*$') NOT IN ('', " + ", ".join(f"'{e}'" for e in D.ALLOWED) + f") THEN 'extension' WHEN contains(lower(path), 'ref=x') THEN 'name' END AS problem FROM (SELECT {_PATH} AS path FROM pages) WHERE NOT contains(path, '/.git/')) WHERE problem IS NOT NULL")
 def flt_file_policy(v):
-    return D.file_policy(v.pages.select(F.col("url").alias("path")))
+    return D.file_policy(v.pages.select(F.expr(_PATH).alias("path")), ("ref=x",))
 
 
 @query("SELECT page_id, coalesce(nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), ''), '') AS title FROM pages")
