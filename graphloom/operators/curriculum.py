@@ -94,7 +94,7 @@ def relation_edges(relations: DataFrame, exported: DataFrame, dataset: str) -> D
     """Mapped relations between exported nodes; ``assessed_by`` is turned round."""
     turned = F.col("type") == "assessed_by"
     kind = F.when(turned, "assesses").otherwise(mapped(F.col("type"), RELATION_EDGES))
-    own = relations.select(text(F.col("id")).alias("id"), kind.alias("type"), F.when(turned, F.col("target_id")).otherwise(F.col("source_id")).alias("source"), F.when(turned, F.col("source_id")).otherwise(F.col("target_id")).alias("target"), first_text(F.col("rationale"), F.lit("Derived from UCS-KG typed relation.")).alias("evidence"), F.coalesce("confidence", F.lit(0.75)).alias("confidence"))
+    own = relations.select(text(F.col("id")).alias("id"), kind.alias("type"), F.when(turned, F.col("target_id")).otherwise(F.col("source_id")).alias("source"), F.when(turned, F.col("source_id")).otherwise(F.col("target_id")).alias("target"), first_text(F.col("rationale"), F.lit("Derived from a typed relation.")).alias("evidence"), F.coalesce("confidence", F.lit(0.75)).alias("confidence"))
     ids = exported.select("id").distinct()
     own = own.where("type is not null and source <> target").join(ids.toDF("source"), "source", "left_semi").join(ids.toDF("target"), "target", "left_semi")
     made = F.concat(F.lit("edge:"), F.col("type"), F.lit(":"), slug_base(F.col("source")), F.lit(":"), slug_base(F.col("target")))

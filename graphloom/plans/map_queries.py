@@ -113,7 +113,7 @@ def set_union_nodes(v):
 
 _MAP = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in C.RELATION_EDGES.items())
 _REL = f"""rel AS (SELECT {TXT('id')} AS id, CASE type {_MAP} WHEN 'assessed_by' THEN 'assesses' END AS type, CASE WHEN type = 'assessed_by' THEN target_id ELSE source_id END AS source, CASE WHEN type = 'assessed_by' THEN source_id ELSE target_id END AS target,
- coalesce({TXT('rationale')}, 'Derived from UCS-KG typed relation.') AS evidence, coalesce(confidence, 0.75e0) AS confidence FROM ucs_relations),
+ coalesce({TXT('rationale')}, 'Derived from a typed relation.') AS evidence, coalesce(confidence, 0.75e0) AS confidence FROM ucs_relations),
 redges AS (SELECT coalesce(id, concat('edge:', type, ':', {SLUGB('source')}, ':', {SLUGB('target')})) AS id, type, source, target, evidence, confidence FROM rel WHERE type IS NOT NULL AND source <> target AND source IN (SELECT id FROM nodes) AND target IN (SELECT id FROM nodes)),
 eedges AS (SELECT concat('edge:assesses:', {SLUGB('id')}, ':', {SLUGB('concept_id')}) AS id, 'assesses' AS type, id AS source, concept_id AS target, {FT('statement')} AS evidence, 0.8e0 AS confidence FROM ucs_evidence WHERE concept_id IN (SELECT id FROM nodes) AND id IN (SELECT id FROM nodes))"""
 
