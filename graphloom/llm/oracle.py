@@ -13,8 +13,8 @@ cuts AS (
     regexp_extract_all(t, '((?i)password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) AS val FROM docs
   UNION ALL SELECT r, 1, 'access', 18, regexp_split_to_array(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+') FROM docs
   UNION ALL SELECT r, 2, 'hex', 16, regexp_split_to_array(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+') FROM docs),
-each AS (SELECT r, k, kind, least, unnest(range(1, len(whole) + 1)) AS i, parts, whole, val FROM cuts),
-placed AS (SELECT r, k, kind, least, length(val[i]) AS n, length(whole[i]) AS own, sum(length(parts[i]) + length(whole[i])) OVER (PARTITION BY r, k ORDER BY i) AS e FROM each),
+each AS (SELECT r, k, kind, least, unnest(range(1, len(parts) + 1)) AS i, unnest(parts) AS p, unnest(whole) AS w, unnest(val) AS v FROM cuts),
+placed AS (SELECT r, k, kind, least, length(v) AS n, length(w) AS own, sum(length(p) + length(w)) OVER (PARTITION BY r, k ORDER BY i) AS e FROM each WHERE w IS NOT NULL),
 good AS (SELECT r, k, kind, (e - own)::BIGINT AS s, e::BIGINT AS e FROM placed WHERE n >= least),
 found AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans FROM good GROUP BY r)
