@@ -44,7 +44,7 @@ def test_a_valid_graph_has_no_findings(spark):
     "nodes,edges,rule",
     [
         ([*BASE_N, node("a", name="other")], BASE_E, "duplicate_id"),
-        ([*BASE_N, node("")], BASE_E, "missing_id"),
+        ([*BASE_N, node("", name="nameless")], BASE_E, "missing_id"),
         ([*BASE_N, node("d", type="thing")], BASE_E, "invalid_type"),
         ([*BASE_N, node("d", name=" ")], BASE_E, "missing_name"),
         ([*BASE_N, node("d", review_state="maybe")], BASE_E, "invalid_review_state"),
