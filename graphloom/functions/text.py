@@ -164,7 +164,7 @@ def parse_grade(c: Column, fallback: int = 0) -> Column:
     out = F.lit(fallback)
     for i, numeral in reversed(list(enumerate(NUMERALS, 1))):
         out = F.when(own.contains(numeral), F.lit(i)).otherwise(out)
-    return F.when(own.isNull(), F.lit(fallback)).when(digits != "", digits.try_cast("bigint")).otherwise(out).cast("bigint")
+    return F.when(own.isNull(), F.lit(fallback)).when(digits != "", F.translate(digits, "０１２３４５６７８９", "0123456789").try_cast("bigint")).otherwise(out).cast("bigint")
 
 
 def confidence(c: Column) -> Column:
