@@ -8,12 +8,12 @@ the earliest of each coordinate is its signature, a weighted minhash in time
 that does not depend on the product of elements and coordinates.
 
 Texts with equal sets are one class from the start.  Bands of coordinates bring
-classes together.  In each bucket the least class is compared with the others,
-exactly, on the sets; where some are not similar to it, the least of those is
-next, until all are similar to a class that was compared.  What is left of small
-buckets after the first rounds is finished in one task each.  Similar classes are
-linked and connected components are the groups.  So a group of copies costs its
-size, not its square, and no large bucket is ever gathered in one place.
+classes together: every pair of classes that share a band is judged, exactly, on
+the sets, in the first band that they share, unless the sizes of the sets rule it
+out.  Buckets of more than ``PART`` classes are cut into parts, and each pair of
+parts is a block of its own, so no large bucket is ever gathered in one place.
+A block gives back how many similar classes each of its classes has and a forest
+that joins them; connected components of the forests are the groups.
 
 Null texts count as empty.  Texts of one to four words are one run of them all.
 Texts without words have no set: only equal ones are together.  Repeated rows
@@ -25,7 +25,6 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -37,9 +36,10 @@ from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64,
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, BAND_ROWS = 40, 8
-#: After ``EARLY`` rounds, buckets with at most ``SMALL`` classes left are finished each in one
-#: task, and larger ones have up to ``LEADERS`` leaders in a round.
-EARLY, SMALL, LEADERS = 2, 128, 16
+#: Classes of a bucket that are compared in one block with each other, or with as many others.
+PART = 512
+#: Elements of a block that are counted at once.
+_COLUMNS = 4096
 #: Expected darts of an element of weight 1 in the first interval of ranks.
 _FIRST = 1 / 16
 _U = np.uint64
@@ -156,7 +156,7 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int
 
 
 def _texts(docs: DataFrame, text: str, wanted: DataFrame, folder: str) -> DataFrame:
-    """``_class, _z``: one packed text of each wanted class.  A sieve of fixed
+    """``_class, _z, _n``: one packed text of each wanted class and the size of its set.  A sieve of fixed
     size, 4 MB of bits, keeps most others from being sent."""
     place = F.pmod(F.xxhash64("_class"), F.lit(1 << 25))
     bits = wanted.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
@@ -169,144 +169,165 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame, folder: str) -> DataFr
                 elements, first = shingle_sets(data, offsets)
                 raw = data.tobytes()
                 named = set_ids(data, offsets, elements, first)
-                yield pa.RecordBatch.from_arrays([pa.array(named, pa.binary()), pa.array([packer.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary())], names=["_class", "_z"])
+                yield pa.RecordBatch.from_arrays([pa.array(named, pa.binary()), pa.array([packer.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary()), pa.array(np.diff(first), pa.int64())], names=["_class", "_z", "_n"])
 
     def pick(batches):
         for batch in batches:
-            places = batch.column(2).to_numpy(zero_copy_only=False)
+            places = batch.column(3).to_numpy(zero_copy_only=False)
             keep = np.zeros(len(places), bool)
             bucket, position = places // 32768 + 1, places % 32768
             for b in np.unique(bucket):
                 own = np.flatnonzero(bucket == b)
                 if b in sieve.value:
                     keep[own] = sieve.value[b][position[own] // 8] >> (position[own] % 8).astype(np.uint8) & 1
-            yield batch.filter(pa.array(keep)).select([0, 1])
+            yield batch.filter(pa.array(keep)).select([0, 1, 2])
 
-    packed = docs.select(text).mapInArrow(run, "_class binary, _z binary")
-    packed = packed.withColumn("p", place).mapInArrow(pick, "_class binary, _z binary")
-    one = packed.groupBy("_class").agg(F.first("_z").alias("_z"))
+    packed = docs.select(text).mapInArrow(run, "_class binary, _z binary, _n bigint")
+    packed = packed.withColumn("p", place).mapInArrow(pick, "_class binary, _z binary, _n bigint")
+    one = packed.groupBy("_class").agg(F.first("_z").alias("_z"), F.first("_n").alias("_n"))
     return cut(one.join(wanted, "_class", "left_semi"), "texts", folder)
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``a, b, good`` for each pair: whether the sets' Jaccard similarity is at least ``least``."""
-    both = pairs.join(texts.select(F.col("_class").alias("a"), F.col("_z").alias("_za")), "a").join(texts.select(F.col("_class").alias("b"), F.col("_z").alias("_zb")), "b")
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets have in common."""
+    m = len(sets)
+    out = np.zeros((m, m), np.int64)
+    row = np.repeat(np.arange(m), [len(x) for x in sets])
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    column = column.reshape(-1)
+    times = np.bincount(column, minlength=len(values))
+    place = np.cumsum(times > 1) - 1  # what is in one set only is in no intersection
+    keep = times[column] > 1
+    row, column = row[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    edge = np.searchsorted(column, np.arange(0, (int(place[-1]) if len(place) else -1) + 1 + _COLUMNS, _COLUMNS))
+    for k, (lo, hi) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())):
+        part = np.zeros((m, _COLUMNS), np.float32)
+        part[row[lo:hi], column[lo:hi] - k * _COLUMNS] = 1
+        out += (part @ part.T).astype(np.int64)
+    return out
 
-    def run(batches):
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                a, b, za, zb = (batch.column(i).slice(lo, 256).to_pylist() for i in range(4))
-                packed = {}
-                for name, z in zip(a + b, za + zb):
-                    packed.setdefault(name, z)
-                raw = [unpack(z) for z in packed.values()]
-                elements, first = [], {}
-                at = 0
-                while at < len(raw):  # in parts of bounded size
-                    end, size = at, 0
-                    while end < len(raw) and (end == at or size + len(raw[end]) <= 4 << 20):
-                        size += len(raw[end])
-                        end += 1
-                    flat, edge = shingle_sets(np.frombuffer(b"".join(raw[at:end]), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw[at:end]])]).astype(np.int64))
-                    elements += [flat[i:j] for i, j in zip(edge[:-1].tolist(), edge[1:].tolist())]
-                    at = end
-                first = dict(zip(packed, elements))
-                good = []
-                for x, y in zip(a, b):
-                    p, q = first[x], first[y]
-                    if min(len(p), len(q)) < least * max(len(p), len(q)):
-                        good.append(False)
-                        continue
-                    shared = len(np.intersect1d(p, q, assume_unique=True))
-                    good.append(shared >= least * (len(p) + len(q) - shared) - 1e-9)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(good)], names=["a", "b", "good"])
-
-    return both.select("a", "b", "_za", "_zb").mapInArrow(run, "a binary, b binary, good boolean")
-
-
-def _finish(buckets: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``a, b``: similar pairs of buckets of at most ``SMALL`` classes, each
-    bucket in one task: its least open class is compared with the others until
-    none is open."""
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        unpack = zstandard.ZstdDecompressor().decompress
-        rows = rows.sort_values("_class", kind="stable")
-        sets = []
-        for z in rows["_z"]:
-            raw = unpack(z)
-            sets.append(shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
-        names, is_open, out = rows["_class"].tolist(), rows["open"].tolist(), []
-        done = [False] * len(names)
-        for i in range(len(names)):
-            if not is_open[i]:
-                continue
-            done[i] = True
-            for j in range(len(names)):
-                if done[j]:
-                    continue
-                p, q = sets[i], sets[j]
-                if min(len(p), len(q)) < least * max(len(p), len(q)):
-                    continue
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                if shared >= least * (len(p) + len(q) - shared) - 1e-9:
-                    out.append((min(names[i], names[j]), max(names[i], names[j])))
-                    is_open[j] = False
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return buckets.join(texts, "_class").groupBy("_band").applyInPandas(one, "a binary, b binary")
-
-
-def links(docs: DataFrame, sketches: DataFrame, text: str, least: float, folder: str, small: int = SMALL, early: int = EARLY) -> DataFrame:
-    """``a, b``: pairs of classes that are similar."""
+
+def _forest(good: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a symmetric relation that join all that it joins."""
+    new, out = good.any(1), []
+    for root in np.flatnonzero(new).tolist():
+        if not new[root]:
+            continue
+        new[root], todo = False, [root]
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero(good[i] & new).tolist():
+                new[j] = False
+                out.append((i, j))
+                todo.append(j)
+    return out
+
+
+def _judge(band: int, cross: bool, own: np.ndarray, n: np.ndarray, bands: np.ndarray, packed: list[bytes], least: float) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A forest of the similar pairs of a block, and each class's number of them."""
+    m = len(n)
+    todo = np.triu(np.minimum(n[:, None], n[None]) >= least * np.maximum(n[:, None], n[None]), 1)
+    if cross:  # the parts have blocks of their own
+        todo &= own[:, None] != own[None]
+    for i in range(int(np.flatnonzero(bands[0] == band)[0])):
+        if not todo.any():
+            break
+        todo &= bands[:, i][:, None] != bands[:, i][None]  # judged where they first meet
+    degree = np.zeros(m, np.int64)
+    used = np.flatnonzero(todo.any(0) | todo.any(1))
+    if not len(used):
+        return [], degree
+    unpack, sets = zstandard.ZstdDecompressor().decompress, []
+    for i in used.tolist():
+        raw = unpack(packed[i])
+        sets.append(shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
+    todo, size = todo[np.ix_(used, used)], n[used]
+    x, y = np.nonzero(todo)
+    if len(x) <= 16:
+        shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x.tolist(), y.tolist())], np.int64)
+    else:
+        shared = _shared(sets)[x, y]
+    hit = shared >= least * (size[x] + size[y] - shared) - 1e-9
+    good = np.zeros(todo.shape, bool)
+    good[x[hit], y[hit]] = good[y[hit], x[hit]] = True
+    degree[used] = good.sum(1)
+    return [(int(used[i]), int(used[j])) for i, j in _forest(good)], degree
+
+
+def links(docs: DataFrame, sketches: DataFrame, text: str, least: float, folder: str, part: int = PART) -> DataFrame:
+    """``a, b, n``: rows that join similar classes (``n`` is null), and rows with
+    a part of the number of classes that ``a`` is similar to (``b`` is null)."""
     bands = sketches.where(F.size("_bands") > 0).groupBy("_class").agg(F.first("_bands").alias("_bands"))
+    bands = cut(bands, "bands", folder)
     each = bands.select("_class", F.explode("_bands").alias("_band"))
     # tables on both sides of the joins on bands, so that a hot bucket can be split
-    shared = cut(each.groupBy("_band").agg(F.count("*").alias("n")).where("n > 1").select("_band"), "shared", folder)
-    members = cut(each.join(shared, "_band").withColumn("open", F.lit(True)), "members0", folder)
+    shared = cut(each.groupBy("_band").agg(F.count("*").alias("n")).where("n > 1"), "shared", folder)
+    members = cut(each.join(shared, "_band"), "members", folder)
     texts = _texts(docs, text, members.select("_class").distinct(), folder)
-    tried, found, turn = None, [], 0
-    while True:
-        turn += 1
-        # the least open class leads its bucket; later, the least of each of some parts of it
-        part = F.lit(0) if turn <= early else F.pmod(F.xxhash64("_class", F.lit(turn)), F.lit(LEADERS))
-        lead = cut(members.where("open").groupBy("_band", part.alias("part")).agg(F.min("_class").alias("b")).select("_band", "b"), f"lead{turn}", folder)
-        met = cut(members.join(lead, "_band").where("_class <> b").select("_band", "_class", "open", "b"), f"met{turn}", folder)
-        pairs = met.select(F.least("_class", "b").alias("a"), F.greatest("_class", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        judged = cut(_similar(pairs, texts, least), f"judged{turn}", folder)
-        tried = judged if tried is None else cut(tried.unionByName(judged), f"tried{turn}", folder)
-        known = tried.withColumnRenamed("a", "x").withColumnRenamed("b", "y")
-        hit = met.join(known, (F.least("_class", "b") == F.col("x")) & (F.greatest("_class", "b") == F.col("y")))
-        hit = hit.groupBy("_band", "_class").agg((F.max("open") & ~F.max("good")).alias("open"))
-        # who led has met all others
-        after = cut(hit.join(lead.withColumnRenamed("b", "_class"), ["_band", "_class"], "left_anti"), f"after{turn}", folder)
-        left = cut(after.groupBy("_band").agg(F.count("*").alias("n"), F.max("open").alias("any")).where("n > 1 and any").select("_band", "n"), f"left{turn}", folder)
-        rest = after.join(left, "_band")
-        if turn >= early:  # small buckets are finished where they are
-            found.append(cut(_finish(rest.where(F.col("n") <= small).drop("n"), texts, least), f"finished{turn}", folder))
-            rest = rest.where(F.col("n") > small)
-        members = cut(rest.drop("n"), f"members{turn}", folder)
-        if not members.limit(1).count():
-            out = tried.where("good").select("a", "b")
-            for f in found:
-                out = out.unionByName(f)
-            return out
+    texts = cut(texts.join(bands, "_class"), "known", folder)
+    parts = F.ceil(F.col("n") / part).cast("int")
+    own = F.pmod(F.xxhash64("_class"), parts).cast("int")
+    dealt = members.select("_band", "_class", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    dealt = dealt.select("_band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "_class")
+    dealt = dealt.join(texts, "_class").repartition("_band", "p", "q").sortWithinPartitions("_band", "p", "q")
+
+    def run(batches):
+        held, block, out = [], None, ([], [], [])
+
+        def close():
+            names = [x for h in held for x in h[0]]
+            if len(names) > 1:
+                own, n, bands = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
+                pairs, degree = _judge(block[0], block[1] != block[2], own, n, bands, [x for h in held for x in h[4]], least)
+                some = np.flatnonzero(degree)
+                out[0].extend([names[i] for i, _ in pairs] + [names[i] for i in some.tolist()])
+                out[1].extend([names[j] for _, j in pairs] + [None] * len(some))
+                out[2].extend([None] * len(pairs) + degree[some].tolist())
+            held.clear()
+
+        def table():
+            ready = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.binary(), pa.binary(), pa.int64()))], names=["a", "b", "n"])
+            for x in out:
+                x.clear()
+            return ready
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], 1)
+            edge = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            own, names, packed, n = batch.column(3).to_numpy(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_numpy()
+            bands = batch.column(7).flatten().to_numpy().reshape(len(keys), -1)
+            for lo, hi in zip(edge[:-1], edge[1:]):
+                here = tuple(keys[lo].tolist())
+                if here != block:
+                    close()
+                    block = here
+                held.append((names[lo:hi], own[lo:hi], n[lo:hi], bands[lo:hi], packed[lo:hi]))
+            # what is held outlives its batch
+            held[:] = [(*h[:1], *(x.copy() for x in h[1:4]), h[4]) for h in held]
+            if len(out[0]) > 10_000:
+                yield table()
+        close()
+        yield table()
+
+    found = dealt.select("_band", "p", "q", "own", "_class", "_z", "_n", "_bands").mapInArrow(run, "a binary, b binary, n bigint")
+    return cut(found, "judged", folder)
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILAR) -> DataFrame:
     """One row per document: key, ``class_id`` (the least key of its group),
     ``copy_id`` (the least key with the same set of words) and ``n_links`` (the
-    links found from its class to different ones)."""
+    number of other classes that share a band with its class and are similar)."""
     spark = docs.sparkSession
     ship(spark)
     folder = shared_folder(spark)
     sketches = cut(sketch(docs, key, text), "sketches", folder)
-    found = cut(links(docs, sketches, text, least, folder).distinct(), "links", folder)
-    label = components(found)
-    degree = found.select(F.col("a").alias("_class")).unionByName(found.select(F.col("b").alias("_class"))).groupBy("_class").agg(F.count("*").alias("n_links"))
+    found = links(docs, sketches, text, least, folder)
+    label = components(found.where("b is not null").select("a", "b"))
+    degree = found.where("b is null").groupBy(F.col("a").alias("_class")).agg(F.sum("n").alias("n_links"))
     classes = sketches.groupBy("_class").agg(F.min(key).alias("copy_id"))
     classes = classes.join(label.withColumnRenamed("node", "_class"), "_class", "left").join(degree, "_class", "left").withColumn("label", F.coalesce("label", "_class"))
     classes = cut(classes, "classes", folder)

@@ -210,6 +210,29 @@ def test_a_star_of_near_copies_is_one_group(spark):
     assert {r.class_id for r in got} == {0}
 
 
+@pytest.mark.parametrize("part", [512, 8])
+def test_a_bridge_between_two_families(spark, part, monkeypatch):
+    """Every similar pair is judged: two families of near copies are joined by one pair of texts that each belongs to one of them."""
+    base = [f"w{i}" for i in range(1000)]
+
+    def changed(words, places, tag):
+        return [f"{tag}{i}" if i in places else w for i, w in enumerate(words)]
+
+    x = changed(base, range(10, 110, 10), "x")
+    y = changed(x, range(510, 610, 10), "y")
+    left = [changed(x, range(710 + k, 860 + k, 10), f"a{k}_") for k in range(6)]
+    right = [changed(y, range(210 + k, 360 + k, 10), f"b{k}_") for k in range(6)]
+    texts = [" ".join(t) for t in [*left, *right, x, y]]
+    groups, links = dartminhash.groups, dartminhash.links
+    monkeypatch.setattr(dartminhash, "links", lambda *a: links(*a, part=part))
+    got = {r.doc_id: r for r in groups(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    sets = [shingles(t) for t in texts]
+    alike = [[i != j and len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    assert alike[12][13] and not any(alike[i][j] for i in (*range(6), 12) for j in (*range(6, 12), 13) if (i, j) != (12, 13))
+    assert {r.class_id for r in got.values()} == {0}
+    assert [got[i].n_links for i in range(14)] == [sum(r) for r in alike]
+
+
 def test_spotsigs(docs, rows):
     got = spotsigs.compared(docs).collect()
     assert len(got) == len(rows)
