@@ -2,8 +2,8 @@
 
 Common words are anchors; the chain of the next content words after an anchor
 is a signature, and a text is the set of its signatures.  Its fingerprint lists
-the smallest hashes of that set (all, up to ``KEPT``) and of the set of its word
-pairs, which stand in for texts with too few anchors.  Sets are compared by the
+the hashes of that whole set and of the set of its word pairs, which stand in for
+texts with too few anchors.  Sets are compared by the
 Jaccard coefficient; sizes that cannot reach a wanted coefficient are left out
 before any comparison.
 
@@ -36,8 +36,6 @@ ANCHORS = (
     "al como con del desde el ella en entre era es esta este fue hay la las lo los más muy no nos o para pero por porque que se sin sobre son su sus también un una y ya"
 ).split()
 CHAIN = 2
-#: Hashes of each kind in a fingerprint; at most so many signatures are compared exactly.
-KEPT = 128
 #: With fewer signatures, word pairs are compared.
 FEW = 6
 
@@ -52,16 +50,18 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _ANCHOR_HASHES: list[np.ndarray] = []
 
 
-def _smallest(row: np.ndarray, h: np.ndarray, n_rows: int) -> list[np.ndarray]:
-    """The smallest distinct 32-bit hashes of each row."""
-    key = np.unique(row.astype(np.uint64) << np.uint64(32) | (h >> np.uint64(32)))
-    first = np.searchsorted(key >> np.uint64(32), np.arange(n_rows + 1))
-    low = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    return [low[a : min(b, a + KEPT)] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+def _distinct(row: np.ndarray, h: np.ndarray, n_rows: int) -> list[np.ndarray]:
+    """The distinct hashes of each row, in ascending order."""
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+    row, h = row[new], h[new]
+    return np.split(h, np.searchsorted(row, np.arange(1, n_rows))) if n_rows else []
 
 
 def signature_sets(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(smallest signatures, smallest word pairs) of each row."""
+    """(signatures, word pairs) of each row."""
     if not _ANCHOR_HASHES:
         _ANCHOR_HASHES.append(_hash_words(ANCHORS))
     anchors, n = _ANCHOR_HASHES[0], len(offsets) - 1
@@ -79,35 +79,31 @@ def signature_sets(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarr
     chain = h[at]
     for i in range(CHAIN):
         chain = mix64(chain + h[content[k + i]])
-    spots = _smallest(row[at], chain, n)
+    spots = _distinct(row[at], chain, n)
     pair_at, pair = windows(h, first, 2)
     single = np.flatnonzero(np.diff(first) == 1)
     bare = np.flatnonzero((np.diff(first) == 0) & (np.diff(offsets) > 0))
     whole = Hasher(data)(offsets[bare], offsets[bare + 1])
-    pairs = _smallest(np.concatenate([row[pair_at], single, bare]), np.concatenate([pair, h[first[single]], whole]), n)
+    pairs = _distinct(np.concatenate([row[pair_at], single, bare]), np.concatenate([pair, h[first[single]], whole]), n)
     return list(zip(spots, pairs))
 
 
 def fingerprint(sets: tuple[np.ndarray, np.ndarray]) -> str:
     """Hex of the signatures, a colon and hex of the word pairs."""
-    return ":".join(x.astype(">u4").tobytes().hex() for x in sets)
+    return ":".join(x.astype(">u8").tobytes().hex() for x in sets)
 
 
 def parse(text: str) -> tuple[np.ndarray, np.ndarray]:
     spots, _, pairs = text.partition(":")
-    return tuple(np.frombuffer(bytes.fromhex(x), ">u4").astype(np.uint32) for x in (spots, pairs))
+    return tuple(np.frombuffer(bytes.fromhex(x), ">u8").astype(np.uint64) for x in (spots, pairs))
 
 
 def _jaccard(a: np.ndarray, b: np.ndarray, floor: float = 0.0) -> float:
-    """Of the smallest hashes of both; exact while neither set was cut.  Below
-    ``floor`` by their sizes alone: 0."""
+    """Below ``floor`` by their sizes alone: 0."""
     if not len(a) and not len(b):
         return 1.0
-    if max(len(a), len(b)) < KEPT and min(len(a), len(b)) < floor * max(len(a), len(b)):
+    if min(len(a), len(b)) < floor * max(len(a), len(b)):
         return 0.0
-    if len(a) >= KEPT or len(b) >= KEPT:
-        both = np.union1d(a, b)[:KEPT]
-        return float(np.isin(both, a).__and__(np.isin(both, b)).sum() / len(both))
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared / (len(a) + len(b) - shared)
 

@@ -254,6 +254,15 @@ def test_spotsigs(docs, rows):
     assert all(len(v) == 1 for v in by_text.values())
 
 
+def test_all_signatures_of_long_texts_are_compared(spark):
+    own = [f"the alpha{i} beta{i}" for i in range(600)]
+    other = own[:300] + [f"the gamma{i} delta{i}" for i in range(300)]
+    texts = [" ".join(own), " ".join(other)]
+    got = spotsigs.compared(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert [r.near_next for r in got] == [pytest.approx(300 / 900)] * 2
+    assert all(len(spotsigs.parse(r.fingerprint)[0]) == 600 for r in got)
+
+
 def test_one_document_follows_itself(spark):
     got = spotsigs.compared(spark.createDataFrame([(7, "the cat sat on the mat")], "doc_id bigint, text string")).collect()
     assert len(got) == 1 and got[0].near_next == 1.0
