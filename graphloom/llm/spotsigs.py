@@ -4,8 +4,8 @@ Common words are anchors; the chain of the next content words after an anchor
 is a signature, and a text is the set of its signatures.  Its fingerprint lists
 the hashes of that whole set and of the set of its word pairs, which stand in for
 texts with too few anchors.  Sets are compared by the
-Jaccard coefficient; sizes that cannot reach a wanted coefficient are left out
-before any comparison.
+Jaccard coefficient.  Only the pairs that are asked for are compared: similar texts
+are not searched for, so sets are not dealt out by length.
 
 Documents follow each other in ascending order of the key, nulls first, equal
 keys by the hash of the text; rows equal in both are kept together.  After the
@@ -98,19 +98,16 @@ def parse(text: str) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.frombuffer(bytes.fromhex(x), ">u8").astype(np.uint64) for x in (spots, pairs))
 
 
-def _jaccard(a: np.ndarray, b: np.ndarray, floor: float = 0.0) -> float:
-    """Below ``floor`` by their sizes alone: 0."""
+def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) and not len(b):
         return 1.0
-    if min(len(a), len(b)) < floor * max(len(a), len(b)):
-        return 0.0
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared / (len(a) + len(b) - shared)
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], floor: float = 0.0) -> float:
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     kind = 0 if min(len(a[0]), len(b[0])) >= FEW else 1
-    return _jaccard(a[kind], b[kind], floor)
+    return _jaccard(a[kind], b[kind])
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
