@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -95,16 +96,44 @@ class DacReader:
         return int(self.slice(i, i + 1)[0])
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+class RowEncoder:
+    """Ids and row offsets of a chunk: by pieces, or by ``whole`` for rows with one of ``added``."""
 
+    def __init__(self, pieces: PieceEncoder, whole: Callable[[str], list[int]], added: list[bytes]):
+        self.pieces, self.whole, self.added = pieces, whole, added
 
-def library_encoder(path: str) -> PieceEncoder:
-    """The tokenizers library's model behind the memo of pieces."""
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, first = self.pieces(data, offsets)
+        raw, rows = data.tobytes(), set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(token) <= offsets[row + 1]:
+                    rows.add(row)
+                at = raw.find(token, at + 1)
+        if not rows:
+            return ids, first
+        size, parts, done = np.diff(first), [], 0
+        for row in sorted(rows):
+            own = self.whole(raw[offsets[row] : offsets[row + 1]].decode("utf-8"))
+            parts += [ids[done : first[row]], np.array(own, np.uint32)]
+            size[row], done = len(own), first[row + 1]
+        return np.concatenate([*parts, ids[done:]]), np.concatenate([[0], np.cumsum(size)])
+
+
+_ENCODERS: dict[str, RowEncoder] = {}
+
+
+def library_encoder(path: str) -> RowEncoder:
+    """The tokenizers library's model behind the memo of pieces; the library itself
+    encodes the rows that hold an added token of the file."""
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        model = Tokenizer.from_file(path).model
+        library = Tokenizer.from_file(path)
+        model = library.model
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(printable)]
         shown = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(hidden)}
@@ -117,7 +146,8 @@ def library_encoder(path: str) -> PieceEncoder:
             whole = id_of(text)
             return [whole] if whole is not None else [t.id for t in model.tokenize(text)]
 
-        _ENCODERS[path] = PieceEncoder(encode)
+        added = [t.content.encode("utf-8") for t in library.get_added_tokens_decoder().values()]
+        _ENCODERS[path] = RowEncoder(PieceEncoder(encode), lambda text: library.encode(text, add_special_tokens=False).ids, added)
     return _ENCODERS[path]
 
 

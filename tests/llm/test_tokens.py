@@ -103,6 +103,17 @@ def test_token_files(spark, docs, rows):
     assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
 
 
+def test_token_files_with_added_tokens(spark):
+    path = vocabulary("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["plain text", "a <|endoftext|> b", "<|endo", "ftext|> x", "<|endoftext|><|endoftext|>é", "", "é <|endoftext|", "last"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    got = [(r.n_tokens, r.ids_crc32) for r in sorted(dac.tokens(rows, path).collect(), key=lambda r: r.doc_id)]
+    want = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert 50256 in want[1]
+    assert got == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in want]
+
+
 def test_shards(docs, rows):
     placed = shards.number_slots(shards.assign(docs, 8)).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in placed) == Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
