@@ -7,9 +7,9 @@ probability within it comes from their counts, with one share for unseen ones.
 The output softmax is factored: the class, then the word within the class, both
 given the recurrent state.  The biases start at the unigram distribution.
 
-Training: each partition runs truncated backpropagation over its share of the
-training texts, from the same weights; the results are averaged by tokens, and
-that is repeated.  The share grows with the input: one in ``every`` texts.
+Training: each partition runs truncated backpropagation over all its training
+texts (with ``every`` above 1, one in so many), from the same weights; the results
+are averaged by tokens, and that is repeated.
 Scoring: the state goes on from window to window through the whole text, so the
 score is the log-likelihood of all of it.
 
@@ -40,7 +40,7 @@ WORDS = CLASSES * CLASS_SIZE
 #: Steps of a window of backpropagation; texts side by side in training; rounds of averaging.
 STEPS, ABREAST, ROUNDS = 16, 128, 2
 #: One in so many training texts updates the weights in each round.
-TRAIN_EVERY = 12
+TRAIN_EVERY = 1
 _GROUPS = 64
 
 

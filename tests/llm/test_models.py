@@ -98,6 +98,20 @@ def test_learning_beats_counts_on_held_out_texts(spark):
     assert got[0] > 0.9 * got[1]
 
 
+def test_every_training_text_teaches_by_default(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"a{k} b{k} c{k}") for k in range(200)], "doc_id int, text string")
+    seen, average = [], gru._average
+
+    def noted(rows):
+        out = average(rows)
+        seen.append(out[1])
+        return out
+
+    monkeypatch.setattr(gru, "_average", noted)
+    gru.learn(docs)
+    assert seen == [4 * docs.where(gru.training("doc_id")).count()] * gru.ROUNDS
+
+
 def test_empty_and_untrained(spark, empty):
     assert gru.score(empty).count() == 0
     only = spark.createDataFrame([(k, "some words") for k in range(40)], "doc_id int, text string").where(~gru.training("doc_id"))
