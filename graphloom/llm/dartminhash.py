@@ -8,16 +8,20 @@ the earliest of each coordinate is its signature, a weighted minhash in time
 that does not depend on the product of elements and coordinates.
 
 Texts with equal sets are one class from the start.  Bands of coordinates bring
-classes together: every pair of classes that share a band is judged, exactly, on
-the sets, in the first band that they share, unless the sizes of the sets rule it
-out.  Buckets of more than ``PART`` classes are cut into parts, and each pair of
-parts is a block of its own, so no large bucket is ever gathered in one place.
-A block gives back how many similar classes each of its classes has and a forest
-that joins them; connected components of the forests are the groups.
+classes together in buckets, and groups are contracted in two steps.  First every
+class is compared, exactly, with the leader of each of its buckets: the class that
+meets most others.  Then the classes that share a leader but are not yet in one
+component are compared with each other, whatever they share, unless the sizes of
+their sets or their distances from the leader rule it out: Jaccard distance is a
+metric.  So of two similar classes that share a band, either both are in one
+component already or their sets are compared, and no link is lost.  What a leader
+has is dealt out in blocks of bounded size, and classes within the largest
+component of a leader are never compared with each other.
 
 Null texts count as empty.  Texts of one to four words are one run of them all.
 Texts without words have no set: only equal ones are together.  Repeated rows
-are in one class.  An empty table gives an empty result.
+are in one class.  An empty table gives an empty result.  Columns of the input
+are renamed inside, so no name of theirs clashes.
 """
 
 from __future__ import annotations
@@ -26,18 +30,17 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.components import components
-from graphloom.llm.store import cut, shared_folder, ship
-from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, rows_of, spans, take_columns, windows
+from graphloom.llm.store import cut, schema_of, shared_folder, ship
+from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, rows_of, spans, windows
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, BAND_ROWS = 40, 8
-#: Classes of a bucket that are compared in one block with each other, or with as many others.
-PART = 512
+#: Classes that are compared in one block with as many others, and elements of their sets.
+PART, PART_ELEMENTS = 512, 1 << 19
 #: Elements of a block that are counted at once.
 _COLUMNS = 4096
 #: Expected darts of an element of weight 1 in the first interval of ranks.
@@ -134,212 +137,230 @@ def set_ids(data: np.ndarray, offsets: np.ndarray, elements: np.ndarray, first:
     return [raw[i : i + 16] for i in range(0, len(raw), 16)]
 
 
-def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text", bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
-    """``key, _class, _bands``: the set's name and the band values (none for texts without words)."""
-    kept = docs.select(key, text)
+def sketch(docs: DataFrame, text: str, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+    """``docs`` with ``_class`` (the set's name), ``_n`` (its size) and ``_bands``
+    (the band values; none for texts without words)."""
+    names = docs.columns
 
     def run(batches):
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch, text):
                 elements, first = shingle_sets(data, offsets)
-                names = set_ids(data, offsets, elements, first)
+                named = set_ids(data, offsets, elements, first)
                 s = signatures(elements, rows_of(first), hi - lo, bands * band_rows).reshape(hi - lo, bands, band_rows)
                 value = np.arange(bands, dtype=_U)[None] + np.zeros((hi - lo, 1), _U)
                 for i in range(band_rows):
                     value = mix64(value * _U(0x9E3779B97F4A7C15) + s[:, :, i])
-                some = np.diff(first) > 0
-                where = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(where), pa.array(value[some].ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*take_columns(batch, [key], lo, hi), pa.array(names, pa.binary()), lists], names=[key, "_class", "_bands"])
+                size = np.diff(first)
+                where = np.concatenate([[0], np.cumsum((size > 0) * bands)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(where), pa.array(value[size > 0].ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), pa.array(named, pa.binary()), pa.array(size, pa.int64()), lists], names=[*names, "_class", "_n", "_bands"])
+
+    return docs.mapInArrow(run, schema_of(docs) + ", _class binary, _n bigint, _bands array<bigint>")
 
-    return kept.mapInArrow(run, f"`{key}` {kept.schema[0].dataType.simpleString()}, _class binary, _bands array<bigint>")
+
+def _stars(sketches: DataFrame, folder: str) -> DataFrame:
+    """``_lead, _class``: each class with the leaders of its buckets, and each leader with itself."""
+    bands = sketches.where(F.size("_bands") > 0).groupBy("_class").agg(F.first("_bands").alias("_bands"))
+    each = bands.select("_class", F.explode("_bands").alias("_band"))
+    # tables on both sides of the joins on bands, so that a hot bucket can be split
+    shared = cut(each.groupBy("_band").agg(F.count("*").alias("n")).where("n > 1"), "shared", folder)
+    members = cut(each.join(shared, "_band"), "members", folder)
+    weight = members.groupBy("_class").agg(F.sum("n").alias("w"))
+    heads = members.join(weight, "_class").groupBy("_band").agg(F.max(F.struct("w", "_class")).getField("_class").alias("_lead"))
+    return cut(members.join(heads, "_band").select("_lead", "_class").distinct(), "stars", folder)
 
 
-def _texts(docs: DataFrame, text: str, wanted: DataFrame, folder: str) -> DataFrame:
-    """``_class, _z, _n``: one packed text of each wanted class and the size of its set.  A sieve of fixed
-    size, 4 MB of bits, keeps most others from being sent."""
+def _texts(sketches: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
+    """``_class, _n, _text`` of each wanted class.  A sieve of fixed size, 4 MB of
+    bits, keeps most others from being sent."""
     place = F.pmod(F.xxhash64("_class"), F.lit(1 << 25))
     bits = wanted.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
-    sieve = docs.sparkSession.sparkContext.broadcast({r.b: np.frombuffer(bytes(r.m), np.uint8) for r in bits.collect()})
-
-    def run(batches):
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            for _, _, data, offsets in chunks(batch, text):
-                elements, first = shingle_sets(data, offsets)
-                raw = data.tobytes()
-                named = set_ids(data, offsets, elements, first)
-                yield pa.RecordBatch.from_arrays([pa.array(named, pa.binary()), pa.array([packer.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.binary()), pa.array(np.diff(first), pa.int64())], names=["_class", "_z", "_n"])
+    table = np.zeros(1 << 22, np.uint8)
+    for r in bits.collect():
+        m = np.frombuffer(bytes(r.m), np.uint8)
+        table[(r.b - 1) * 4096 : (r.b - 1) * 4096 + len(m)] = m
+    sieve = sketches.sparkSession.sparkContext.broadcast(table)
 
     def pick(batches):
         for batch in batches:
-            places = batch.column(3).to_numpy(zero_copy_only=False)
-            keep = np.zeros(len(places), bool)
-            bucket, position = places // 32768 + 1, places % 32768
-            for b in np.unique(bucket):
-                own = np.flatnonzero(bucket == b)
-                if b in sieve.value:
-                    keep[own] = sieve.value[b][position[own] // 8] >> (position[own] % 8).astype(np.uint8) & 1
-            yield batch.filter(pa.array(keep)).select([0, 1, 2])
-
-    packed = docs.select(text).mapInArrow(run, "_class binary, _z binary, _n bigint")
-    packed = packed.withColumn("p", place).mapInArrow(pick, "_class binary, _z binary, _n bigint")
-    one = packed.groupBy("_class").agg(F.first("_z").alias("_z"), F.first("_n").alias("_n"))
+            p = batch.column(3).to_numpy()
+            keep = (sieve.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
+            if keep.any():
+                yield batch.filter(pa.array(keep)).select([0, 1, 2])
+
+    near = sketches.select("_class", "_n", "_text", place.alias("p")).mapInArrow(pick, "_class binary, _n bigint, _text string")
+    one = near.groupBy("_class").agg(F.first("_n").alias("_n"), F.first("_text").alias("_text"))
     return cut(one.join(wanted, "_class", "left_semi"), "texts", folder)
 
 
-def _shared(sets: list[np.ndarray]) -> np.ndarray:
-    """How many elements each two of the sets have in common."""
-    m = len(sets)
-    out = np.zeros((m, m), np.int64)
-    row = np.repeat(np.arange(m), [len(x) for x in sets])
-    values, column = np.unique(np.concatenate(sets), return_inverse=True)
-    column = column.reshape(-1)
-    times = np.bincount(column, minlength=len(values))
-    place = np.cumsum(times > 1) - 1  # what is in one set only is in no intersection
-    keep = times[column] > 1
-    row, column = row[keep], place[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    edge = np.searchsorted(column, np.arange(0, (int(place[-1]) if len(place) else -1) + 1 + _COLUMNS, _COLUMNS))
-    for k, (lo, hi) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())):
-        part = np.zeros((m, _COLUMNS), np.float32)
-        part[row[lo:hi], column[lo:hi] - k * _COLUMNS] = 1
-        out += (part @ part.T).astype(np.int64)
-    return out
+def _parts(n: str, size: str) -> Column:
+    """Parts that hold at most about ``PART`` classes and ``PART_ELEMENTS`` elements each."""
+    return F.greatest(F.ceil(F.col(n) / PART), F.ceil(F.col(size) / PART_ELEMENTS), F.lit(1)).cast("int")
 
 
-def _forest(good: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a symmetric relation that join all that it joins."""
-    new, out = good.any(1), []
-    for root in np.flatnonzero(new).tolist():
-        if not new[root]:
-            continue
-        new[root], todo = False, [root]
-        while todo:
-            i = todo.pop()
-            for j in np.flatnonzero(good[i] & new).tolist():
-                new[j] = False
-                out.append((i, j))
-                todo.append(j)
+def _star_links(stars: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+    """``_lead, _class, _n, like``: the similarity of each class and its leader."""
+    sized = stars.join(texts.select("_class", "_n"), "_class")
+    total = cut(sized.groupBy("_lead").agg(F.count("*").alias("n"), F.sum("_n").alias("size")).select("_lead", _parts("n", "size").alias("parts")), "led", folder)
+    own = F.pmod(F.xxhash64("_class"), F.col("parts")).cast("int")
+    head = F.col("_class") == F.col("_lead")
+    dealt = stars.join(total, "_lead").select("_lead", "_class", head.alias("head"), F.explode(F.when(head, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))).alias("part"))
+    ready = dealt.join(texts, "_class").repartition("_lead", "part").sortWithinPartitions("_lead", "part", F.desc("head"))
+
+    def run(batches):
+        lead = np.zeros(0, _U)
+        for batch in batches:
+            for lo, hi, data, offsets in chunks(batch, "_text"):
+                elements, first = shingle_sets(data, offsets)
+                part, heads = (batch.column(i).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for i in (2, 3))
+                like = np.ones(hi - lo)
+                edge = np.unique(np.concatenate([[0], np.flatnonzero(heads), [hi - lo]]))
+                for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                    if heads[a]:
+                        lead = elements[first[a] : first[a + 1]].copy()
+                    x, size = elements[first[a] : first[b]], np.diff(first[a : b + 1])
+                    inside = lead[np.minimum(np.searchsorted(lead, x), len(lead) - 1)] == x
+                    both = np.bincount(np.repeat(np.arange(b - a), size), inside, b - a)
+                    like[a:b] = both / (size + len(lead) - both)
+                ready = pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1, 4)), pa.array(like)], names=["_lead", "_class", "_n", "like"])
+                yield ready.filter(pa.array(~heads | (part == 0)))
+
+    found = ready.select("_lead", "_class", "part", "head", "_n", "_text").mapInArrow(run, "_lead binary, _class binary, _n bigint, like double")
+    return cut(found, "star_links", folder)
+
+
+def _shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``a`` has in common with each of ``b``."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    row = np.concatenate([np.repeat(np.arange(len(a)), [len(x) for x in a]), np.repeat(np.arange(len(b)), [len(x) for x in b]) + len(a)])
+    values = np.concatenate([*a, *b])
+    order = np.argsort(values, kind="stable")
+    row, values = row[order], values[order]
+    column = np.cumsum(np.concatenate([[0], values[1:] != values[:-1]]))
+    n = int(column[-1]) + 1
+    # what is on one side only is in no intersection
+    both = (np.bincount(column, row < len(a), n) > 0) & (np.bincount(column, row >= len(a), n) > 0)
+    keep = both[column]
+    row, column = row[keep], (np.cumsum(both) - 1)[column[keep]]
+    edge = np.searchsorted(column, np.arange(0, (int(column[-1]) if len(column) else -1) + 1 + _COLUMNS, _COLUMNS))
+    for k, (lo, hi) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())):
+        part = np.zeros((len(a) + len(b), _COLUMNS), np.float32)
+        part[row[lo:hi], column[lo:hi] - k * _COLUMNS] = 1
+        out += part[: len(a)] @ part[len(a) :].T
     return out
 
 
-def _judge(band: int, cross: bool, own: np.ndarray, n: np.ndarray, bands: np.ndarray, packed: list[bytes], least: float) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """A forest of the similar pairs of a block, and each class's number of them."""
-    m = len(n)
-    todo = np.triu(np.minimum(n[:, None], n[None]) >= least * np.maximum(n[:, None], n[None]), 1)
-    if cross:  # the parts have blocks of their own
-        todo &= own[:, None] != own[None]
-    for i in range(int(np.flatnonzero(bands[0] == band)[0])):
-        if not todo.any():
-            break
-        todo &= bands[:, i][:, None] != bands[:, i][None]  # judged where they first meet
-    degree = np.zeros(m, np.int64)
-    used = np.flatnonzero(todo.any(0) | todo.any(1))
-    if not len(used):
-        return [], degree
-    unpack, sets = zstandard.ZstdDecompressor().decompress, []
-    for i in used.tolist():
-        raw = unpack(packed[i])
-        sets.append(shingle_sets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
-    todo, size = todo[np.ix_(used, used)], n[used]
-    x, y = np.nonzero(todo)
-    if len(x) <= 16:
-        shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x.tolist(), y.tolist())], np.int64)
+def _judge(apart: bool, own: np.ndarray, kind: np.ndarray, n: np.ndarray, like: np.ndarray, texts: list[str], least: float) -> list[tuple[int, int]]:
+    """Similar pairs of a block among those of different components."""
+    left = np.flatnonzero(own == own.min()) if apart else np.arange(len(n))
+    right = np.flatnonzero(own != own.min()) if apart else left
+    if not len(left) or not len(right):
+        return []
+    x, y = left[:, None], right[None]
+    todo = (kind[x] != kind[y]) & (np.minimum(n[x], n[y]) >= least * np.maximum(n[x], n[y])) & (np.abs(like[x] - like[y]) <= 1 - least + 1e-9)
+    if not apart:
+        todo &= x < y
+    left, right, todo = left[todo.any(1)], right[todo.any(0)], todo[todo.any(1)][:, todo.any(0)]
+    if not todo.any():
+        return []
+    used = np.union1d(left, right)
+    raw = [texts[i].encode() for i in used.tolist()]
+    elements, first = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    sets = dict(zip(used.tolist(), np.split(elements, first[1:-1])))
+    i, j = np.nonzero(todo)
+    a, b = left[i], right[j]
+    if len(i) <= 64:
+        both = np.array([len(np.intersect1d(sets[p], sets[q], assume_unique=True)) for p, q in zip(a.tolist(), b.tolist())])
     else:
-        shared = _shared(sets)[x, y]
-    hit = shared >= least * (size[x] + size[y] - shared) - 1e-9
-    good = np.zeros(todo.shape, bool)
-    good[x[hit], y[hit]] = good[y[hit], x[hit]] = True
-    degree[used] = good.sum(1)
-    return [(int(used[i]), int(used[j])) for i, j in _forest(good)], degree
-
-
-def links(docs: DataFrame, sketches: DataFrame, text: str, least: float, folder: str, part: int = PART) -> DataFrame:
-    """``a, b, n``: rows that join similar classes (``n`` is null), and rows with
-    a part of the number of classes that ``a`` is similar to (``b`` is null)."""
-    bands = sketches.where(F.size("_bands") > 0).groupBy("_class").agg(F.first("_bands").alias("_bands"))
-    bands = cut(bands, "bands", folder)
-    each = bands.select("_class", F.explode("_bands").alias("_band"))
-    # tables on both sides of the joins on bands, so that a hot bucket can be split
-    shared = cut(each.groupBy("_band").agg(F.count("*").alias("n")).where("n > 1"), "shared", folder)
-    members = cut(each.join(shared, "_band"), "members", folder)
-    texts = _texts(docs, text, members.select("_class").distinct(), folder)
-    texts = cut(texts.join(bands, "_class"), "known", folder)
-    parts = F.ceil(F.col("n") / part).cast("int")
-    own = F.pmod(F.xxhash64("_class"), parts).cast("int")
-    dealt = members.select("_band", "_class", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-    dealt = dealt.select("_band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "_class")
-    dealt = dealt.join(texts, "_class").repartition("_band", "p", "q").sortWithinPartitions("_band", "p", "q")
+        both = _shared([sets[p] for p in left.tolist()], [sets[q] for q in right.tolist()])[i, j]
+    hit = both >= least * (n[a] + n[b] - both) - 1e-9
+    # one link for each two components is enough
+    pairs = np.stack([np.minimum(kind[a[hit]], kind[b[hit]]), np.maximum(kind[a[hit]], kind[b[hit]])], 1)
+    _, one = np.unique(pairs, axis=0, return_index=True)
+    return list(zip(a[hit][one].tolist(), b[hit][one].tolist()))
+
+
+def _open_links(starred: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
+    """``a, b``: labels of components joined by similar classes that share a
+    leader, for ``starred`` of ``_lead, _class, _n, like, label``."""
+    kinds = starred.groupBy("_lead", "label").agg(F.count("*").alias("n"), F.sum("_n").alias("size"))
+    led = kinds.groupBy("_lead").agg(F.max(F.struct("n", "label", "size")).alias("top"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+    rest = led.where(F.col("n") > F.col("top.n")).select("_lead", F.col("top.label").alias("main"), (F.col("n") - F.col("top.n")).alias("n"), (F.col("size") - F.col("top.size")).alias("size"), F.col("top.n").alias("mn"), F.col("top.size").alias("msize"))
+    rest = cut(rest.select("_lead", "main", _parts("n", "size").alias("f"), _parts("mn", "msize").alias("m")), "open", folder)
+    main, spread = F.col("label") == F.col("main"), F.xxhash64("_class")
+    own = F.when(main, F.col("f") + F.pmod(spread, F.col("m"))).otherwise(F.pmod(spread, F.col("f"))).cast("int")
+    last = F.when(main, F.col("f")).otherwise(F.col("f") + F.col("m")) - 1
+    dealt = starred.join(rest, "_lead").select("_lead", "_class", "label", "like", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    dealt = dealt.select("_lead", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "_class", "label", "like")
+    dealt = dealt.join(texts, "_class").repartition("_lead", "p", "q").sortWithinPartitions("_lead", "p", "q")
 
     def run(batches):
-        held, block, out = [], None, ([], [], [])
+        held, block = [], None
 
         def close():
-            names = [x for h in held for x in h[0]]
-            if len(names) > 1:
-                own, n, bands = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
-                pairs, degree = _judge(block[0], block[1] != block[2], own, n, bands, [x for h in held for x in h[4]], least)
-                some = np.flatnonzero(degree)
-                out[0].extend([names[i] for i, _ in pairs] + [names[i] for i in some.tolist()])
-                out[1].extend([names[j] for _, j in pairs] + [None] * len(some))
-                out[2].extend([None] * len(pairs) + degree[some].tolist())
+            own, n, like = (np.array([h[i] for h in held]) for i in (0, 3, 4))
+            names = [h[2] for h in held]
+            kind = np.unique(np.array(names, object), return_inverse=True)[1].reshape(-1)
+            pairs = _judge(block[1] != block[2], own, kind, n, like, [h[5] for h in held], least) if len(held) > 1 else []
             held.clear()
+            return [(names[i], names[j]) for i, j in pairs]
 
-        def table():
-            ready = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.binary(), pa.binary(), pa.int64()))], names=["a", "b", "n"])
-            for x in out:
-                x.clear()
-            return ready
+        def table(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], 1)
-            edge = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
-            own, names, packed, n = batch.column(3).to_numpy(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_numpy()
-            bands = batch.column(7).flatten().to_numpy().reshape(len(keys), -1)
-            for lo, hi in zip(edge[:-1], edge[1:]):
-                here = tuple(keys[lo].tolist())
-                if here != block:
-                    close()
-                    block = here
-                held.append((names[lo:hi], own[lo:hi], n[lo:hi], bands[lo:hi], packed[lo:hi]))
-            # what is held outlives its batch
-            held[:] = [(*h[:1], *(x.copy() for x in h[1:4]), h[4]) for h in held]
-            if len(out[0]) > 10_000:
-                yield table()
-        close()
-        yield table()
-
-    found = dealt.select("_band", "p", "q", "own", "_class", "_z", "_n", "_bands").mapInArrow(run, "a binary, b binary, n bigint")
-    return cut(found, "judged", folder)
+            for row in zip(*(batch.column(i).to_pylist() for i in range(9))):
+                if row[:3] != block:
+                    if held and (pairs := close()):
+                        yield table(pairs)
+                    block = row[:3]
+                held.append(row[3:])
+        if held and (pairs := close()):
+            yield table(pairs)
+
+    found = dealt.select("_lead", "p", "q", "own", "_class", "label", "_n", "like", "_text").mapInArrow(run, "a binary, b binary")
+    return cut(found.distinct(), "open_links", folder)
+
+
+def _labels(sketches: DataFrame, least: float, folder: str) -> DataFrame:
+    """``_class, label`` of the classes that share a band with others; a label is the least class of a group."""
+    stars = _stars(sketches, folder)
+    texts = _texts(sketches, stars.select("_class").distinct(), folder)
+    near = _star_links(stars, texts, folder)
+    first = components(near.where((F.col("like") >= least - 1e-9) & (F.col("_lead") != F.col("_class"))), "_lead", "_class")
+    first = near.select("_class").distinct().join(first.withColumnRenamed("node", "_class"), "_class", "left").select("_class", F.coalesce("label", "_class").alias("label"))
+    first = cut(first, "first", folder)
+    more = components(_open_links(near.join(first, "_class"), texts, least, folder))
+    return first.join(more.toDF("label", "to"), "label", "left").select("_class", F.coalesce("to", "label").alias("label"))
+
+
+def _grouped(sketches: DataFrame, least: float, folder: str) -> DataFrame:
+    """``_class, class_id, copy_id`` for ``sketches`` of ``_key, _text`` and what ``sketch`` adds."""
+    classes = sketches.groupBy("_class").agg(F.min("_key").alias("copy_id"))
+    classes = cut(classes.join(_labels(sketches, least, folder), "_class", "left"), "classes", folder)
+    least_key = classes.where("label is not null").groupBy("label").agg(F.min("copy_id").alias("class_id"))
+    single = classes.where("label is null").select("_class", F.col("copy_id").alias("class_id"), "copy_id")
+    return single.unionByName(classes.join(least_key, "label").select("_class", "class_id", "copy_id"))
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILAR) -> DataFrame:
-    """One row per document: key, ``class_id`` (the least key of its group),
-    ``copy_id`` (the least key with the same set of words) and ``n_links`` (the
-    number of other classes that share a band with its class and are similar)."""
-    spark = docs.sparkSession
-    ship(spark)
-    folder = shared_folder(spark)
-    sketches = cut(sketch(docs, key, text), "sketches", folder)
-    found = links(docs, sketches, text, least, folder)
-    label = components(found.where("b is not null").select("a", "b"))
-    degree = found.where("b is null").groupBy(F.col("a").alias("_class")).agg(F.sum("n").alias("n_links"))
-    classes = sketches.groupBy("_class").agg(F.min(key).alias("copy_id"))
-    classes = classes.join(label.withColumnRenamed("node", "_class"), "_class", "left").join(degree, "_class", "left").withColumn("label", F.coalesce("label", "_class"))
-    classes = cut(classes, "classes", folder)
-    least_key = classes.groupBy("label").agg(F.min("copy_id").alias("class_id"))
-    named = cut(classes.join(least_key, "label").select("_class", "class_id", "copy_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "named", folder)
-    return sketches.select(key, "_class").join(named, "_class").select(key, "class_id", "copy_id", "n_links")
+    """One row per document: key, ``class_id`` (the least key of its group) and
+    ``copy_id`` (the least key with the same set of words)."""
+    ship(docs.sparkSession)
+    folder = shared_folder(docs.sparkSession)
+    sketches = cut(sketch(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text"), "sketches", folder)
+    return sketches.select("_key", "_class").join(_grouped(sketches, least, folder), "_class").select(F.col("_key").alias(key), "class_id", "copy_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", least: float = SIMILAR) -> DataFrame:
-    """``docs`` with one document of each group: the first in the input.  Rows
-    are told apart by their place there, so repeated or null keys do no harm;
-    ``docs`` must be a table that reads alike each time."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    chosen = groups(numbered, "_row", text, least).where(F.col("_row") == F.col("class_id")).select("_row")
-    return numbered.join(chosen, "_row", "left_semi").select(*docs.columns)
+    """``docs`` with one document of each group.  Rows are told apart by a number
+    that is written with them once, so repeated or null keys do no harm."""
+    ship(docs.sparkSession)
+    folder = shared_folder(docs.sparkSession)
+    names = docs.columns
+    inner = [f"c{i}" for i in range(len(names))]
+    numbered = docs.toDF(*inner).withColumn("_key", F.monotonically_increasing_id()).withColumnRenamed(inner[names.index(text)], "_text")
+    sketches = cut(sketch(numbered, "_text"), "sketches", folder)
+    chosen = _grouped(sketches, least, folder).select(F.col("class_id").alias("_key")).distinct()
+    return sketches.join(chosen, "_key", "left_semi").select(*("_text" if n == text else c for c, n in zip(inner, names))).toDF(*names)

@@ -262,7 +262,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: st
         def run(batches, held=held):
             trainer = Trainer(held.value)
             for batch in batches:
-                for _, _, data, offsets in chunks(batch, text):
+                for _, _, data, offsets in chunks(batch, text, 4 << 20):
                     h, first = token_hashes(data, offsets)
                     trainer.learn(known.value.look(h)[0], first)
             if trainer.tokens:

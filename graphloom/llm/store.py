@@ -40,12 +40,22 @@ def cut(df: DataFrame, name: str, folder: str | None = None, **options: str) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def schema_of(df: DataFrame) -> str:
+    """The columns as DDL, as ``mapInArrow`` takes it."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 _SHIPPED: set[str] = set()
+#: Bytes of an Arrow batch that is sent to a Python worker, if the session has no limit of its own: rows of long texts are sent a few at a time.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
 
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package, wherever they run."""
     context = spark.sparkContext
+    name, default, ours = _BATCH
+    if spark.conf.get(name) == default:
+        spark.conf.set(name, ours)
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[2]

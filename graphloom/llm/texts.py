@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; one longer row is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 #: Rows worked on at once: their numbers fit 16 bits.
 CHUNK_ROWS = 1 << 15
 

@@ -210,7 +210,7 @@ def test_a_star_of_near_copies_is_one_group(spark):
     assert {r.class_id for r in got} == {0}
 
 
-@pytest.mark.parametrize("part", [512, 8])
+@pytest.mark.parametrize("part", [512, 2])
 def test_a_bridge_between_two_families(spark, part, monkeypatch):
     """Every similar pair is judged: two families of near copies are joined by one pair of texts that each belongs to one of them."""
     base = [f"w{i}" for i in range(1000)]
@@ -223,14 +223,42 @@ def test_a_bridge_between_two_families(spark, part, monkeypatch):
     left = [changed(x, range(710 + k, 860 + k, 10), f"a{k}_") for k in range(6)]
     right = [changed(y, range(210 + k, 360 + k, 10), f"b{k}_") for k in range(6)]
     texts = [" ".join(t) for t in [*left, *right, x, y]]
-    groups, links = dartminhash.groups, dartminhash.links
-    monkeypatch.setattr(dartminhash, "links", lambda *a: links(*a, part=part))
-    got = {r.doc_id: r for r in groups(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    monkeypatch.setattr(dartminhash, "PART", part)
+    got = {r.doc_id: r for r in dartminhash.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
     sets = [shingles(t) for t in texts]
     alike = [[i != j and len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
     assert alike[12][13] and not any(alike[i][j] for i in (*range(6), 12) for j in (*range(6, 12), 13) if (i, j) != (12, 13))
     assert {r.class_id for r in got.values()} == {0}
-    assert [got[i].n_links for i in range(14)] == [sum(r) for r in alike]
+
+
+@pytest.mark.parametrize("part", [512, 16])
+def test_many_near_copies_of_one_text(spark, part, monkeypatch):
+    """Copies with one in a hundred to one in eight words changed: some have no similar copy at all, yet groups are those of all pairs."""
+    monkeypatch.setattr(dartminhash, "PART", part)
+    rng = np.random.default_rng(17)
+    base, texts = [f"w{i}" for i in range(150)], []
+    for k in range(120):
+        own = base.copy()
+        for i in rng.choice(150, rng.integers(1, 19), replace=False):
+            own[i] = f"n{k}x{i}"
+        texts.append(" ".join(own))
+    sets = [shingles(t) for t in texts]
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert 10 < len(set(label)) < 110
+    got = {r.doc_id: r.class_id for r in dartminhash.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == label
+
+
+def test_names_of_the_input_do_not_clash(spark):
+    rows = [(1, "a b c d e f", "k", "c", "n", "t"), (2, "a b c d e f", "k", "c", "n", "t"), (3, None, "k3", "c", "n", "t")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, _key string, _class string, _n string, _text string")
+    assert [tuple(r) for r in dartminhash.keep_one(docs).orderBy("doc_id").collect()] == [rows[0], rows[2]]
+    assert {(r.doc_id, r.class_id, r.copy_id) for r in dartminhash.groups(docs).collect()} == {(1, 1, 1), (2, 1, 1), (3, 3, 3)}
 
 
 def test_spotsigs(docs, rows):
