@@ -30,6 +30,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,18 +162,21 @@ def sketch(docs: DataFrame, text: str, bands: int = BANDS, band_rows: int = BAND
 
 def _stars(sketches: DataFrame, folder: str) -> DataFrame:
     """``_lead, _class``: each class with the leaders of its buckets, and each leader with itself."""
-    bands = sketches.where(F.size("_bands") > 0).groupBy("_class").agg(F.first("_bands").alias("_bands"))
-    each = bands.select("_class", F.explode("_bands").alias("_band"))
+    each = sketches.select("_class", F.explode("_bands").alias("_band"))
+    # copies of a text are one class: a bucket counts if it has two of them
+    name = F.xxhash64("_class")
+    shared = each.groupBy("_band").agg(F.min(name).alias("x"), F.max(name).alias("y")).where("x != y").select("_band")
     # tables on both sides of the joins on bands, so that a hot bucket can be split
-    shared = cut(each.groupBy("_band").agg(F.count("*").alias("n")).where("n > 1"), "shared", folder)
-    members = cut(each.join(shared, "_band"), "members", folder)
+    members = cut(each.join(cut(shared, "shared", folder), "_band").distinct(), "members", folder)
+    sizes = members.groupBy("_band").agg(F.count("*").alias("n"))
+    members = cut(members.join(sizes, "_band"), "sized", folder)
     weight = members.groupBy("_class").agg(F.sum("n").alias("w"))
     heads = members.join(weight, "_class").groupBy("_band").agg(F.max(F.struct("w", "_class")).getField("_class").alias("_lead"))
     return cut(members.join(heads, "_band").select("_lead", "_class").distinct(), "stars", folder)
 
 
 def _texts(sketches: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
-    """``_class, _n, _text`` of each wanted class.  A sieve of fixed size, 4 MB of
+    """``_class, _n, _z``: the packed text of each wanted class.  A sieve of fixed size, 4 MB of
     bits, keeps most others from being sent."""
     place = F.pmod(F.xxhash64("_class"), F.lit(1 << 25))
     bits = wanted.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
@@ -183,14 +187,16 @@ def _texts(sketches: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
     sieve = sketches.sparkSession.sparkContext.broadcast(table)
 
     def pick(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             p = batch.column(3).to_numpy()
             keep = (sieve.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
             if keep.any():
-                yield batch.filter(pa.array(keep)).select([0, 1, 2])
+                names, n, texts, _ = batch.filter(pa.array(keep)).columns
+                yield pa.RecordBatch.from_arrays([names, n, pa.array([pack(t.as_buffer()) for t in texts.cast(pa.large_binary())], pa.binary())], names=["_class", "_n", "_z"])
 
-    near = sketches.select("_class", "_n", "_text", place.alias("p")).mapInArrow(pick, "_class binary, _n bigint, _text string")
-    one = near.groupBy("_class").agg(F.first("_n").alias("_n"), F.first("_text").alias("_text"))
+    near = sketches.select("_class", "_n", "_text", place.alias("p")).mapInArrow(pick, "_class binary, _n bigint, _z binary")
+    one = near.groupBy("_class").agg(F.first("_n").alias("_n"), F.first("_z").alias("_z"))
     return cut(one.join(wanted, "_class", "left_semi"), "texts", folder)
 
 
@@ -209,9 +215,10 @@ def _star_links(stars: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
     ready = dealt.join(texts, "_class").repartition("_lead", "part").sortWithinPartitions("_lead", "part", F.desc("head"))
 
     def run(batches):
-        lead = np.zeros(0, _U)
+        lead, unpack = np.zeros(0, _U), zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch, "_text"):
+            texts = pa.RecordBatch.from_arrays([pa.array([unpack(z.as_buffer()) for z in batch.column(5)], pa.large_binary())], names=["t"])
+            for lo, hi, data, offsets in chunks(texts, "t"):
                 elements, first = shingle_sets(data, offsets)
                 part, heads = (batch.column(i).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for i in (2, 3))
                 like = np.ones(hi - lo)
@@ -226,7 +233,7 @@ def _star_links(stars: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
                 ready = pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1, 4)), pa.array(like)], names=["_lead", "_class", "_n", "like"])
                 yield ready.filter(pa.array(~heads | (part == 0)))
 
-    found = ready.select("_lead", "_class", "part", "head", "_n", "_text").mapInArrow(run, "_lead binary, _class binary, _n bigint, like double")
+    found = ready.select("_lead", "_class", "part", "head", "_n", "_z").mapInArrow(run, "_lead binary, _class binary, _n bigint, like double")
     return cut(found, "star_links", folder)
 
 
@@ -251,7 +258,7 @@ def _shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _judge(apart: bool, own: np.ndarray, kind: np.ndarray, n: np.ndarray, like: np.ndarray, texts: list[str], least: float) -> list[tuple[int, int]]:
+def _judge(apart: bool, own: np.ndarray, kind: np.ndarray, n: np.ndarray, like: np.ndarray, texts: list[bytes], least: float) -> list[tuple[int, int]]:
     """Similar pairs of a block among those of different components."""
     left = np.flatnonzero(own == own.min()) if apart else np.arange(len(n))
     right = np.flatnonzero(own != own.min()) if apart else left
@@ -265,7 +272,8 @@ def _judge(apart: bool, own: np.ndarray, kind: np.ndarray, n: np.ndarray, like:
     if not todo.any():
         return []
     used = np.union1d(left, right)
-    raw = [texts[i].encode() for i in used.tolist()]
+    unpack = zstandard.ZstdDecompressor().decompress
+    raw = [unpack(texts[i]) for i in used.tolist()]
     elements, first = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
     sets = dict(zip(used.tolist(), np.split(elements, first[1:-1])))
     i, j = np.nonzero(todo)
@@ -284,14 +292,19 @@ def _judge(apart: bool, own: np.ndarray, kind: np.ndarray, n: np.ndarray, like:
 def _open_links(starred: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
     """``a, b``: labels of components joined by similar classes that share a
     leader, for ``starred`` of ``_lead, _class, _n, like, label``."""
-    kinds = starred.groupBy("_lead", "label").agg(F.count("*").alias("n"), F.sum("_n").alias("size"))
+    kinds = starred.groupBy("_lead", "label").agg(F.count("*").alias("n"), F.sum("_n").alias("size"), F.min("like").alias("low"), F.max("like").alias("high"))
+    kinds = cut(kinds, "kinds", folder)
     led = kinds.groupBy("_lead").agg(F.max(F.struct("n", "label", "size")).alias("top"), F.sum("n").alias("n"), F.sum("size").alias("size"))
     rest = led.where(F.col("n") > F.col("top.n")).select("_lead", F.col("top.label").alias("main"), (F.col("n") - F.col("top.n")).alias("n"), (F.col("size") - F.col("top.size")).alias("size"), F.col("top.n").alias("mn"), F.col("top.size").alias("msize"))
-    rest = cut(rest.select("_lead", "main", _parts("n", "size").alias("f"), _parts("mn", "msize").alias("m")), "open", folder)
+    rest = rest.select("_lead", "main", _parts("n", "size").alias("f"), _parts("mn", "msize").alias("m"))
+    # the main component's classes are only compared with others at a distance from the leader that allows it
+    span = kinds.join(rest, "_lead").where("label != main").groupBy("_lead", "main", "f", "m").agg((F.min("low") - (1 - least) - 1e-9).alias("low"), (F.max("high") + (1 - least) + 1e-9).alias("high"))
+    rest = cut(span, "open", folder)
     main, spread = F.col("label") == F.col("main"), F.xxhash64("_class")
     own = F.when(main, F.col("f") + F.pmod(spread, F.col("m"))).otherwise(F.pmod(spread, F.col("f"))).cast("int")
     last = F.when(main, F.col("f")).otherwise(F.col("f") + F.col("m")) - 1
-    dealt = starred.join(rest, "_lead").select("_lead", "_class", "label", "like", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    near = starred.join(rest, "_lead").where(~main | F.col("like").between(F.col("low"), F.col("high")))
+    dealt = near.select("_lead", "_class", "label", "like", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
     dealt = dealt.select("_lead", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "_class", "label", "like")
     dealt = dealt.join(texts, "_class").repartition("_lead", "p", "q").sortWithinPartitions("_lead", "p", "q")
 
@@ -319,7 +332,7 @@ def _open_links(starred: DataFrame, texts: DataFrame, least: float, folder: str)
         if held and (pairs := close()):
             yield table(pairs)
 
-    found = dealt.select("_lead", "p", "q", "own", "_class", "label", "_n", "like", "_text").mapInArrow(run, "a binary, b binary")
+    found = dealt.select("_lead", "p", "q", "own", "_class", "label", "_n", "like", "_z").mapInArrow(run, "a binary, b binary")
     return cut(found.distinct(), "open_links", folder)
 
 
