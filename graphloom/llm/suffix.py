@@ -1,24 +1,34 @@
-"""Repeated byte strings by a depth-limited radix sort of suffixes.
+"""Repeated strings by a depth-limited radix sort of suffixes.
 
-Suffixes are ordered through their first ``length`` bytes only, by passes from
+Suffixes are ordered through their first ``length`` symbols only, by passes from
 the most significant digit on, and a suffix whose group has no other member
-drops out.  The first digit of a suffix is the least hashed 32-byte string of
-its window (the same string wherever the window stands), together with those of
-its neighbours that have the same one: such a run of starts is one row.  Later
-digits are ever longer middles of the window around that string, for ever
-shorter runs, until the digit is the whole window.  A run that equals another
-one as a whole is settled at once; one of them stays to be compared.  Groups
-equal through the last digit are exactly the windows that occur twice.
+drops out.  A pass over the plain prefixes of all suffixes would send a row for
+every byte, many times the input, so digits are read around an anchor: the first
+digit of a suffix is the least hashed short string of its window (the same string
+wherever the window stands), together with those of its neighbours that have the
+same one: such a run of starts is one row.  Later digits are ever longer middles
+of the window around that string, for ever shorter runs, until the digit is the
+whole window.  A run that equals another one as a whole is settled at once; one
+of them stays to be compared.  Groups equal through the last digit are exactly
+the windows that occur twice.
+
+Two kinds of symbols go through the same passes: the bytes of the text, whose
+repeated windows are removed, and its words (lower case), whose windows that more
+than one document has are counted as passages.
 
 Runs meet by hashes of 64 bits for a digit and 64 for a whole run.  A null text
 counts as empty; texts shorter than a window have no window; equal texts, and
 repeated rows, repeat all windows of each other; an empty table gives an empty
-result.  Rows are told apart by their place in the input, not by their key.
+result.  Rows are told apart by a hash of their key and text, so they have the
+same name in every scan; rows equal in both are one document to passages.
+Columns of the input are renamed inside, so no name of theirs clashes.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +36,21 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.store import cut, shared_folder, ship
-from graphloom.llm.texts import Hasher, chunks, mix64, take_columns
+from graphloom.llm.store import cut, schema_of, shared_folder, ship
+from graphloom.llm.texts import CHUNK_BYTES, LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, spans, take_columns
 
-LENGTH, ANCHOR = 400, 32
 _U = np.uint64
+
+
+class Scale(NamedTuple):
+    """Symbols of a window, of its anchor, and of a run in the second pass."""
+
+    length: int
+    anchor: int
+    inner: int
+
+
+BYTES, WORDS = Scale(400, 32, 16), Scale(50, 4, 8)
 #: Bits of the sieve that keeps rows without need of it from being sent.
 _SIEVE = 1 << 25
 
@@ -50,7 +70,7 @@ def _anchors(data: np.ndarray, exact: Hasher, length: int, anchor: int) -> np.nd
     return (np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts]) & _U(0xFFFFFFFF)).astype(np.int64)
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, block: int, allowed: list[list[tuple[int, int]]] | None = None, length: int = LENGTH, anchor: int = ANCHOR):
+def runs(data: np.ndarray, offsets: np.ndarray, block: int, allowed: list[list[tuple[int, int]]] | None, length: int, anchor: int):
     """Runs of starts: (row, digit, whole, first start, one after the last start),
     starts from the row's own beginning.  ``allowed``: ranges of starts of each row."""
     empty = (np.zeros(0, np.int64),) * 5
@@ -118,27 +138,41 @@ def _packed(docs: DataFrame, sieve) -> DataFrame:
     return docs.mapInArrow(run, f"_row bigint, _key {docs.schema['_key'].dataType.simpleString()}, n_bytes bigint, _sha string, _z binary")
 
 
-_RUN = "_row bigint, digit bigint, whole bigint, a int, b int"
+_RUN = "_row bigint, unit int, digit bigint, whole bigint, a int, b int"
 
 
-def _batch(row_ids: np.ndarray, found) -> pa.RecordBatch:
-    row, digit, whole, a, b = found
-    return pa.RecordBatch.from_arrays([pa.array(row_ids[row], pa.int64()), pa.array(digit), pa.array(whole), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["_row", "digit", "whole", "a", "b"])
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, and the index of each row's first."""
+    starts, ends, first = spans(data, offsets, WORD_BYTES)
+    return Hasher(data, LOWER_BYTES)(starts, ends), first
 
 
-def _first_pass(docs: DataFrame, block: int, length: int, anchor: int) -> DataFrame:
+def _batch(row_ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, turn: int, scales: list[Scale], allowed: list | None = None) -> pa.RecordBatch:
+    """The runs of a pass in both kinds of symbols."""
+    parts = []
+    for unit, scale in enumerate(scales):
+        symbols, first = _words(data, offsets) if unit else (data, offsets)
+        block = (scale.length - scale.anchor + 1, scale.inner, 1)[turn]
+        own = None if allowed is None else [[(x["a"], x["b"]) for x in r if x["unit"] == unit] for r in allowed]
+        row, digit, whole, a, b = runs(symbols, first, block, own, scale.length, scale.anchor)
+        salt = _U(unit * 0x5851F42D4C957F2D)
+        parts.append((row_ids[row], np.full(len(row), unit, np.int32), digit ^ salt.astype(np.int64), whole ^ salt.astype(np.int64), a.astype(np.int32), b.astype(np.int32)))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["_row", "unit", "digit", "whole", "a", "b"])
+
+
+def _first_pass(docs: DataFrame, scales: list[Scale]) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in chunks(batch, "_text"):
-                yield _batch(ids[lo:hi], runs(data, offsets, block, None, length, anchor))
+                yield _batch(ids[lo:hi], data, offsets, 0, scales)
 
     return docs.select("_row", "_text").mapInArrow(run, _RUN)
 
 
-def _next_pass(docs: DataFrame, open_runs: DataFrame, block: int, length: int, anchor: int) -> DataFrame:
+def _next_pass(docs: DataFrame, open_runs: DataFrame, turn: int, scales: list[Scale]) -> DataFrame:
     """Runs of a shorter block within the runs that are open."""
-    wanted = open_runs.groupBy("_row").agg(F.collect_list(F.struct("a", "b")).alias("r"))
+    wanted = open_runs.groupBy("_row").agg(F.collect_list(F.struct("unit", "a", "b")).alias("r"))
     packed = _packed(docs, _sieve(open_runs, "_row")).where("_z is not null").select("_row", "_z")
     both = packed.join(wanted, "_row").select("_row", "_z", "r")
 
@@ -149,38 +183,38 @@ def _next_pass(docs: DataFrame, open_runs: DataFrame, block: int, length: int, a
             at = 0
             while at < batch.num_rows:
                 end, size, raw, allowed = at, 0, [], []
-                while end < batch.num_rows and size < 2 << 20:
+                while end < batch.num_rows and size < CHUNK_BYTES:
                     raw.append(unpack(batch.column(1)[end].as_py()))
-                    allowed.append([(x["a"], x["b"]) for x in batch.column(2)[end].as_py()])
+                    allowed.append(batch.column(2)[end].as_py())
                     size += len(raw[-1])
                     end += 1
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-                yield _batch(ids[at:end], runs(np.frombuffer(b"".join(raw), np.uint8), offsets, block, allowed, length, anchor))
+                yield _batch(ids[at:end], np.frombuffer(b"".join(raw), np.uint8), offsets, turn, scales, allowed)
                 at = end
 
     return both.mapInArrow(run, _RUN)
 
 
-def repeated(docs: DataFrame, folder: str, length: int = LENGTH, anchor: int = ANCHOR, inner: int = 16) -> DataFrame:
-    """``_row, a, b``: ranges of bytes covered by windows that occur again, for
-    ``docs`` of ``_row, _key, _text, _p``."""
+def repeated(docs: DataFrame, folder: str, scales: list[Scale]) -> DataFrame:
+    """``_row, unit, a, b``: ranges of symbols covered by windows that occur again
+    (words: in another document), for ``docs`` of ``_row, _key, _text, _p``."""
     settled, rows = [], None
-    for k, block in enumerate((length - anchor + 1, inner, 1)):
-        rows = _first_pass(docs, block, length, anchor) if not k else cut(_next_pass(docs, rows, block, length, anchor), f"runs{k}", folder)
-        digits = rows.groupBy("digit").agg(F.count("*").alias("n"), F.min("whole").alias("x"), F.max("whole").alias("y"))
-        digits = cut(digits.where("n > 1").select("digit", (F.col("x") != F.col("y")).alias("mixed")), f"digits{k}", folder)
-        met = cut(rows.join(digits, "digit"), f"met{k}", folder)
-        settled.append(met.where("not mixed").select("_row", "a", F.col("b") + length - 1))
+    reach = F.col("b") + F.element_at(F.array(*(F.lit(s.length - 1) for s in scales)), F.col("unit") + 1)
+    again = (F.col("n") > 1) & ((F.col("u") == 0) | (F.col("r") != F.col("q")))
+    counted = F.count("*").alias("n"), F.min("unit").alias("u"), F.min("_row").alias("r"), F.max("_row").alias("q")
+    for turn in range(3):
+        rows = cut(_next_pass(docs, rows, turn, scales) if turn else _first_pass(docs, scales), f"runs{turn}", folder)
+        digits = rows.groupBy("digit").agg(*counted, F.min("whole").alias("x"), F.max("whole").alias("y"))
+        digits = cut(digits.where(again).select("digit", (F.col("x") != F.col("y")).alias("mixed")), f"digits{turn}", folder)
+        met = cut(rows.join(digits, "digit"), f"met{turn}", folder)
+        settled.append(met.where("not mixed").select("_row", "unit", "a", reach.alias("b")))
         mixed = met.where("mixed")
-        same = mixed.groupBy("digit", "whole").agg(F.count("*").alias("n"), F.min("_row").alias("r"))
-        same = cut(same.where("n > 1").select("digit", "whole", "r"), f"same{k}", folder)
-        judged = cut(mixed.join(same, ["digit", "whole"], "left").select("_row", "a", "b", F.col("r").isNotNull().alias("again"), (F.col("r").isNull() | (F.col("_row") == F.col("r"))).alias("open")), f"judged{k}", folder)
-        settled.append(judged.where("again").select("_row", "a", F.col("b") + length - 1))
-        rows = judged.where("open").select("_row", "a", "b")
-    out = settled[0].toDF("_row", "a", "b")
-    for x in settled[1:]:
-        out = out.unionByName(x.toDF("_row", "a", "b"))
-    return out
+        same = cut(mixed.groupBy("digit", "whole").agg(*counted).where(again).select("digit", "whole", "r"), f"same{turn}", folder)
+        judged = mixed.join(same, ["digit", "whole"], "left").select("_row", "unit", "a", "b", F.col("r").isNotNull().alias("again"), (F.col("r").isNull() | (F.col("_row") == F.col("r"))).alias("open"))
+        judged = cut(judged, f"judged{turn}", folder)
+        settled.append(judged.where("again").select("_row", "unit", "a", reach.alias("b")))
+        rows = judged.where("open").select("_row", "unit", "a", "b").distinct()
+    return functools.reduce(DataFrame.unionByName, settled)
 
 
 def _covered(size: int, ranges: list) -> tuple[np.ndarray, int]:
@@ -193,51 +227,62 @@ def _covered(size: int, ranges: list) -> tuple[np.ndarray, int]:
     return on, int(on[:1].sum() + (on[1:] & ~on[:-1]).sum())
 
 
-def _marked(docs: DataFrame, key: str, text: str, length: int, anchor: int) -> tuple[DataFrame, DataFrame]:
-    """(``_row, _key, n_bytes, _sha, _z, r`` for each row, with the ranges to remove; numbered rows)."""
+def _marked(docs: DataFrame, key: str, text: str, scales: list[Scale]) -> tuple[DataFrame, DataFrame]:
+    """(``_row, _key, n_bytes, _sha, _z, r, w`` for each row, with the ranges to
+    remove and those of passages; the rows with their names, columns as ``c0, c1, ...``)."""
     ship(docs.sparkSession)
     folder = shared_folder(docs.sparkSession)
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    base = numbered.select("_row", F.col(key).alias("_key"), F.col(text).alias("_text"), _place("_row"))
-    ranges = cut(repeated(base, folder, length, anchor), "ranges", folder)
-    grouped = cut(ranges.groupBy("_row").agg(F.collect_list(F.struct("a", "b")).alias("r")), "grouped", folder)
-    return _packed(base, _sieve(grouped, "_row")).join(grouped, "_row", "left"), numbered
-
-
-def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """Per row: key, n_bytes, n_removed, n_spans, SHA-256 of the bytes that stay."""
-    marked, _ = _marked(docs, key, text, length, anchor)
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    own, whole = (inner[docs.columns.index(x)] for x in (key, text))
+    named = docs.toDF(*inner).withColumn("_row", F.xxhash64(own, whole))
+    base = named.select("_row", F.col(own).alias("_key"), F.col(whole).alias("_text"), _place("_row"))
+    ranges = cut(repeated(base, folder, scales), "ranges", folder)
+    lists = (F.collect_list(F.when(F.col("unit") == u, F.struct("a", "b"))).alias(x) for u, x in enumerate("rw"))
+    grouped = cut(ranges.distinct().groupBy("_row").agg(*lists), "grouped", folder)
+    return _packed(base, _sieve(ranges.where("unit = 0"), "_row")).join(grouped, "_row", "left"), named
+
+
+def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", window: Scale = BYTES, passage: Scale = WORDS) -> DataFrame:
+    """Per row: key, n_bytes, n_removed, n_spans, SHA-256 of the bytes that stay;
+    ``n_passage_words`` and ``n_passages``: words, and maximal runs of them, in
+    windows of ``passage`` words that another document has too."""
+    marked, _ = _marked(docs, key, text, [window, passage])
     kind = docs.select(key).schema[0].dataType.simpleString()
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            keys, sizes, sha, packed, ranges = (batch.column(i) for i in range(5))
-            removed, spans, kept = [], [], []
+            keys, sizes, sha, packed, ranges, words = (batch.column(i) for i in range(6))
+            removed, runs_, kept, passage_words, passages = [], [], [], [], []
             for i in range(batch.num_rows):
-                z, own = packed[i].as_py(), ranges[i].as_py() or []
+                z, own = packed[i].as_py(), words[i].as_py() or []
+                on, n = _covered(max((x["b"] for x in own), default=0), own)
+                passage_words.append(int(on.sum()))
+                passages.append(n)
                 if z is None:
                     removed.append(0)
-                    spans.append(0)
+                    runs_.append(0)
                     kept.append(sha[i].as_py())
                     continue
                 raw = np.frombuffer(unpack(z), np.uint8)
-                on, n = _covered(len(raw), own)
+                on, n = _covered(len(raw), ranges[i].as_py() or [])
                 removed.append(int(on.sum()))
-                spans.append(n)
+                runs_.append(n)
                 kept.append(hashlib.sha256(raw[~on].tobytes()).hexdigest())
-            yield pa.RecordBatch.from_arrays([keys, sizes, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string())], names=[key, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            counts = [pa.array(x, pa.int64()) for x in (removed, runs_, passage_words, passages)]
+            yield pa.RecordBatch.from_arrays([keys, sizes, *counts[:2], pa.array(kept, pa.string()), *counts[2:]], names=["_key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", "n_passages"])
 
-    return marked.select("_key", "n_bytes", "_sha", "_z", "r").mapInArrow(run, f"`{key}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    out = marked.select("_key", "n_bytes", "_sha", "_z", "r", "w").mapInArrow(run, f"_key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_passage_words bigint, n_passages bigint")
+    return out.withColumnRenamed("_key", key)
 
 
-def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", window: Scale = BYTES) -> DataFrame:
     """``docs`` without the covered bytes; a character that is cut is dropped."""
-    ship(docs.sparkSession)
-    marked, numbered = _marked(docs, key, text, length, anchor)
-    names = docs.columns
-    joined = numbered.join(marked.where("r is not null").select("_row", "r"), "_row", "left").select(*names, "r")
-    at = names.index(text)
+    marked, named = _marked(docs, key, text, [window])
+    names = [c for c in named.columns if c != "_row"]
+    ranges = marked.where("size(r) > 0").select("_row", "r").dropDuplicates(["_row"])
+    joined = named.join(ranges, "_row", "left").select(*names, "r")
+    at = docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
@@ -248,4 +293,4 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
                     texts[i] = raw[~_covered(len(raw), own)[0]].tobytes().decode("utf-8", "ignore")
             yield pa.RecordBatch.from_arrays([batch.column(i) if i != at else pa.array(texts, pa.string()) for i in range(len(names))], names=names)
 
-    return joined.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+    return joined.mapInArrow(run, schema_of(named.select(*names))).toDF(*docs.columns)

@@ -62,13 +62,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hasher:
-    """Hashes of any spans of one byte array from its prefix sums."""
+    """Hashes of any spans of one array of bytes, or of the 64-bit hashes of larger symbols, from its prefix sums."""
 
     def __init__(self, data: np.ndarray, values: np.ndarray = EXACT_BYTES):
         n = len(data)
         power, self.inverse = _powers(n + 1)
         self.sums = np.zeros(n + 1, U64)
-        np.cumsum(values[data] * power[:n], out=self.sums[1:])
+        np.cumsum((values[data] if data.dtype == np.uint8 else data) * power[:n], out=self.sums[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         h = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]

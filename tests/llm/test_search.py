@@ -129,16 +129,35 @@ def repeats(texts, length):
     return raw, on
 
 
-@pytest.mark.parametrize("length,anchor,inner", [(400, 32, 16), (60, 8, 4), (30, 30, 3)])
-def test_repeated_strings(docs, rows, length, anchor, inner):
-    got = Counter(map(tuple, suffix.digests(docs, length=length, anchor=anchor).collect()))
-    raw, on = repeats([r[1] for r in rows], length)
+@pytest.mark.parametrize("window", [(400, 32, 16), (60, 8, 4), (30, 30, 3)])
+@pytest.mark.parametrize("passage", [(50, 4, 8), (7, 2, 2)])
+def test_repeated_strings(docs, rows, window, passage):
+    raw, on = repeats([r[1] for r in rows], window[0])
+    names = [(r[0], r[1]) for r in rows]
+    at = defaultdict(set)
+    own = [words(t) for _, t in names]
+    for i, w in enumerate(own):
+        for s in range(len(w) - passage[0] + 1):
+            at[tuple(w[s : s + passage[0]])].add((names[i], i, s))
+    shared = [np.zeros(len(w), bool) for w in own]
+    for places in at.values():
+        if len({p[0] for p in places}) > 1:
+            for _, i, s in places:
+                shared[i][s : s + passage[0]] = True
     want = Counter()
-    for r, t, m in zip(rows, raw, on):
-        n = int(m[:1].sum() + (m[1:] & ~m[:-1]).sum())
-        want[r[0], len(t), int(m.sum()), n, hashlib.sha256(np.frombuffer(t, np.uint8)[~m].tobytes()).hexdigest()] += 1
+    for r, t, m, w in zip(rows, raw, on, shared):
+        n, k = (int(x[:1].sum() + (x[1:] & ~x[:-1]).sum()) for x in (m, w))
+        want[r[0], len(t), int(m.sum()), n, hashlib.sha256(np.frombuffer(t, np.uint8)[~m].tobytes()).hexdigest(), int(w.sum()), k] += 1
+    got = Counter(map(tuple, suffix.digests(docs, window=suffix.Scale(*window), passage=suffix.Scale(*passage)).collect()))
     assert got == want
-    assert suffix.remove(docs, length=length, anchor=anchor).columns == docs.columns
+
+
+def test_repeated_strings_are_cut_out(docs, rows):
+    cut_out = suffix.remove(docs, window=suffix.Scale(60, 8, 4))
+    assert cut_out.columns == docs.columns
+    raw, on = repeats([r[1] for r in rows], 60)
+    kept = [None if r[1] is None else np.frombuffer(t, np.uint8)[~m].tobytes().decode("utf-8", "ignore") for r, t, m in zip(rows, raw, on)]
+    assert Counter(map(tuple, cut_out.collect())) == Counter((r[0], k, *r[2:]) for r, k in zip(rows, kept))
 
 
 def shingles(text):
