@@ -2,17 +2,20 @@
 
 Two views of a document: its content (words, symbol runs and shape) and its
 metadata (language, source, length).  A classifier for each view is fitted on
-labelled documents; over some rounds each labels the unlabelled documents it is
-most certain of, in the shares of the classes, for the other.  Both are then
-calibrated on labelled documents that were held back, and a combination of the
-calibrated views scores every document.
-
-The classifiers are fitted on bounded samples (``MOST_LABELLED`` and
-``MOST_UNLABELLED`` documents, taken by the hash of the id); every document is
-scored, whole.  A document is good if its quality is 1 and it is not toxic.
+labelled documents.  In each round both score all unlabelled documents, where they
+are, and each labels those that it is most certain of, at most ``PICKS`` in the
+shares of the classes, for the other.  Both are then calibrated on labelled
+documents that were held back, and a combination of the calibrated views scores
+every document.
+
+The classifiers are fitted on at most about ``MOST_LABELLED`` labelled documents,
+taken by the hash of the id, and the documents that they gave each other; every
+unlabelled document takes part in every round, and every document is scored,
+whole.  A document is good if its quality is 1 and it is not toxic.
 Documents with contradicting labels take the worst.  Without labels of both
 kinds all documents score the share of good ones, 1.0 if there are no labels.  A
-null text has no words; null metadata are a value of their own.
+null text has no words; null metadata are a value of their own; rows without an
+id are scored but give no labels; equally certain documents go by the id.
 """
 
 from __future__ import annotations
@@ -22,13 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.store import ship
+from graphloom.llm.store import cut, schema_of, shared_folder, ship
 from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, rows_of, spans
 
-MOST_LABELLED, MOST_UNLABELLED = 16_000, 8_000
+MOST_LABELLED = 16_000
+#: Documents that a view labels for the other in a round.
+PICKS = 1_000
 #: Buckets of hashed content features, and how many of them a document may be sampled with.
 BUCKETS = 1 << 18
 ROUNDS, CERTAIN = 4, 0.98
+_LOGIT = float(np.log(CERTAIN / (1 - CERTAIN)))
 SHAPES = 8
 _SYMBOL_BYTES = np.zeros(256, bool)
 _SYMBOL_BYTES[[b for b in range(33, 127) if not WORD_BYTES[b]]] = True
@@ -131,7 +137,10 @@ class CoTrained:
     """Both views and their calibrated combination."""
 
     def fit(self, labelled, y: np.ndarray, unlabelled, rounds: int = ROUNDS) -> CoTrained:
-        """``labelled`` and ``unlabelled``: lists of (features, shape, metadata row)."""
+        """``labelled``: a list of (features, shape, metadata row).  ``unlabelled``: such a
+        list, or what ``Pool`` offers."""
+        if isinstance(unlabelled, list):
+            unlabelled = Pool(unlabelled)
         self.constant = float(y.mean()) if len(y) else 1.0
         self.usable = len(y) >= 10 and 0 < y.sum() < len(y)
         if not self.usable:
@@ -141,25 +150,28 @@ class CoTrained:
             held = np.zeros(len(y), bool)
         base = [d for d, h in zip(labelled, held) if not h]
         y_base = y[~held].astype(float)
-        given: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view is given by the other
+        given: list[dict] = [{}, {}]  # documents and labels that each view is given by the other
         for turn in range(rounds + 1):
             views = []
             for k in (0, 1):
-                more = sorted(given[k])
-                docs = base + [unlabelled[i] for i in more]
-                target = np.concatenate([y_base, [given[k][i] for i in more]])
+                more = [given[k][i] for i in sorted(given[k])]
+                docs = base + [d for d, _ in more]
+                target = np.concatenate([y_base, [label for _, label in more]])
                 weight = np.concatenate([np.ones(len(base)), np.full(len(more), 0.5)])
                 views.append(Content().fit([(d[0], d[1]) for d in docs], target, weight) if k == 0 else Metadata().fit([d[2] for d in docs], target, weight))
             self.content, self.metadata = views
-            if turn == rounds or not unlabelled:
+            if turn == rounds or not unlabelled.size:
                 break
-            z = self._views(unlabelled)
+            unlabelled.show(self)
+            picks, wanted = [], min(PICKS, unlabelled.size // (2 * rounds))
             for k in (0, 1):
-                p = 1 / (1 + np.exp(-np.clip(z[:, k], -30, 30)))
-                for good, sure in ((1.0, p), (0.0, 1 - p)):
-                    quota = int(len(unlabelled) / (2 * rounds) * (self.constant if good else 1 - self.constant))
-                    best = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] >= CERTAIN and i not in given[1 - k]][:quota]
-                    given[1 - k].update(dict.fromkeys(best, good))
+                for good in (1.0, 0.0):
+                    quota = int(wanted * (self.constant if good else 1 - self.constant))
+                    best = [i for i in unlabelled.surest(k, good, quota + len(given[1 - k])) if i not in given[1 - k]][:quota]
+                    picks += [(1 - k, i, good) for i in best]
+            known = unlabelled.documents({i for _, i, _ in picks})
+            for k, i, good in picks:
+                given[k][i] = known[i], good
         fold = [d for d, h in zip(labelled, held) if h] or labelled
         y_fold = y[held] if held.any() else y
         z = np.clip(self._views(fold), -20, 20)
@@ -183,6 +195,66 @@ class CoTrained:
         return 1 / (1 + np.exp(-np.clip(z @ self.mix + self.shift, -30, 30)))
 
 
+class Pool:
+    """Unlabelled documents in memory; ids are places in the list."""
+
+    def __init__(self, docs: list):
+        self.docs, self.size = docs, len(docs)
+
+    def show(self, model: CoTrained) -> None:
+        self.z = model._views(self.docs)
+
+    def surest(self, view: int, good: float, most: int) -> list:
+        """Ids of the documents that a view gives a label with certainty, the surest first."""
+        z = self.z[:, view] if good else -self.z[:, view]
+        return [i for i in np.argsort(-z, kind="stable").tolist() if z[i] >= _LOGIT][:most]
+
+    def documents(self, ids: set) -> dict:
+        return {i: self.docs[i] for i in ids}
+
+
+class Table:
+    """The unlabelled documents of a table, which stay where they are: of each
+    round only the surest ids and their features come to the driver."""
+
+    def __init__(self, base: DataFrame, named: DataFrame):
+        self.base, self.named = base.where("_id is not null"), named
+        self.folder, self.turn = shared_folder(base.sparkSession), 0
+        self.size = self.base.select("_id").join(named, "_id", "left_anti").count()
+
+    def show(self, model: CoTrained) -> None:
+        held = self.base.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches):
+            for batch in batches:
+                for lo, hi, data, offsets in chunks(batch, "_text"):
+                    lang, source = (batch.column(i).slice(lo, hi - lo).to_pylist() for i in (1, 2))
+                    z = held.value.content.logits(*content_features(data, offsets)), held.value.metadata.logits(Metadata.rows(lang, source, np.diff(offsets)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *map(pa.array, z)], names=["_id", "z0", "z1"])
+
+        scored = self.base.mapInArrow(run, "_id bigint, z0 double, z1 double")
+        self.z = cut(scored.join(self.named, "_id", "left_anti"), f"views{self.turn}", self.folder)
+        self.turn += 1
+
+    def surest(self, view: int, good: float, most: int) -> list:
+        z = F.col(f"z{view}") if good else -F.col(f"z{view}")
+        return [r[0] for r in self.z.where(z >= _LOGIT).groupBy("_id").agg(F.min(z).alias("z")).orderBy(F.desc("z"), "_id").limit(most).collect()]
+
+    def documents(self, ids: set) -> dict:
+        # at most 2 * PICKS ids
+        wanted = self.base.sparkSession.createDataFrame([(i,) for i in sorted(ids)], "_id bigint")
+        found = _featurised(self.base.join(F.broadcast(wanted), "_id"), []).toArrow().sort_by("_id")
+        return dict(zip(found["_id"].to_pylist(), _rows(found)))
+
+
+def _rows(found: pa.Table) -> list:
+    meta = Metadata.rows(found["_lang"].to_pylist(), found["_source"].to_pylist(), found["size"].to_numpy())
+    features, shapes = found["f"].combine_chunks(), found["s"].combine_chunks()
+    edge, flat = features.offsets.to_numpy(), features.values.to_numpy()
+    table = shapes.flatten().to_numpy().reshape(-1, SHAPES)
+    return [(flat[a:b], table[i], m) for i, (a, b, m) in enumerate(zip(edge[:-1], edge[1:], meta))]
+
+
 def _featurised(docs: DataFrame, extra: list[str]) -> DataFrame:
     """``_id, _lang, _source, _text`` to bounded rows of features: at most ``BUCKETS`` ids each."""
     kept = docs.select("_id", "_lang", "_source", *extra, "_text")
@@ -212,49 +284,40 @@ def _sample(table: DataFrame, ids: str, most: int) -> DataFrame:
     return table.where(F.pmod(F.xxhash64(ids), F.lit(1 << 30)) < int((1 << 30) * (most / n)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most_labelled: int = MOST_LABELLED, most_unlabelled: int = MOST_UNLABELLED) -> CoTrained:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most_labelled: int = MOST_LABELLED) -> CoTrained:
     ship(docs.sparkSession)
-    named = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(key).cast("bigint").alias("_id"))
-    named = named.agg(F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).cast("int").alias("good"))
+    toxic = F.coalesce("toxic", F.lit(0)) == 1
+    named = labels.where(F.col(key).isNotNull() & (F.col("quality").isNotNull() | toxic)).groupBy(F.col(key).cast("bigint").alias("_id"))
+    named = named.agg(F.min(F.when((F.col("quality") == 1) & ~toxic, 1).otherwise(0)).cast("int").alias("good"))
     known = _sample(named, "_id", most_labelled)
     base = _columns(docs, key, text)
     # a bounded number of ids, so the join can be a broadcast
     taken = _featurised(base.join(F.broadcast(known), "_id").dropDuplicates(["_id"]), ["good"]).toArrow().sort_by("_id")
-    n = docs.count()
-    rest = base.where(F.pmod(F.xxhash64(F.col("_id"), F.lit(1)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, most_unlabelled / max(n, 1))))
-    pool = _featurised(rest.join(F.broadcast(known.select("_id")), "_id", "left_anti"), []).toArrow().sort_by("_id")
-
-    def rows(found: pa.Table):
-        meta = Metadata.rows(found["_lang"].to_pylist(), found["_source"].to_pylist(), found["size"].to_numpy())
-        features, shapes = found["f"].combine_chunks(), found["s"].combine_chunks()
-        edge, flat = features.offsets.to_numpy(), features.values.to_numpy()
-        table = shapes.flatten().to_numpy().reshape(-1, SHAPES)
-        return [(flat[a:b], table[i], m) for i, (a, b, m) in enumerate(zip(edge[:-1], edge[1:], meta))]
-
-    return CoTrained().fit(rows(taken), taken["good"].to_numpy(), rows(pool))
+    return CoTrained().fit(_rows(taken), taken["good"].to_numpy(), Table(base, named.select("_id")))
 
 
 def score(docs: DataFrame, model: CoTrained, text: str = "text", out: str = "quality_score") -> DataFrame:
     """``docs`` with the probability that each is good."""
     ship(docs.sparkSession)
-    names = [c for c in docs.columns if c != out]
-    kept = docs.select(*names)
-    lang, source = names.index("lang"), names.index("source")
+    kept = docs.select(*(c for c in docs.columns if c != out))
+    lang, source, at = (kept.columns.index(c) for c in ("lang", "source", text))
+    inner = [f"c{i}" for i in range(len(kept.columns))]
+    plain = kept.toDF(*inner)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = held.value
         for batch in batches:
             parts = []
-            for lo, hi, data, offsets in chunks(batch, text):
+            for lo, hi, data, offsets in chunks(batch, f"c{at}"):
                 if not m.usable:
                     parts.append(np.full(hi - lo, m.constant))
                     continue
                 meta = Metadata.rows(batch.column(lang).slice(lo, hi - lo).to_pylist(), batch.column(source).slice(lo, hi - lo).to_pylist(), np.diff(offsets))
                 parts.append(m.combine(m.content.logits(*content_features(data, offsets)), m.metadata.logits(meta)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))], names=[*inner, "out"])
 
-    return kept.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + f", `{out}` double")
+    return plain.mapInArrow(run, schema_of(plain) + ", out double").toDF(*kept.columns, out)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
