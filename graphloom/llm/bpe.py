@@ -41,7 +41,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000):
         self.ranks, self.most_states = ranks, most_states
         self.words = {v: k for k, v in ranks.items()}
         self.pairs: dict[int, bool] = {}
@@ -95,7 +95,7 @@ class Transducer:
         Merges are undone from the latest: while the touching parts exist, a
         merge of them with an earlier rank would have come first.
         """
-        if len(self.pairs) > 1_000_000:
+        if len(self.pairs) > 400_000:
             self.pairs.clear()
         x, y, until, good = a, b, 1 << 60, True
         while a >= 0:  # a piece's first token has no left neighbour

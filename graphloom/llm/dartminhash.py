@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.components import components
-from graphloom.llm.store import cut, schema_of, shared_folder, ship
+from graphloom.llm.store import SIEVE, cut, parted, schema_of, shared_folder, ship
 from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, rows_of, spans, windows
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -178,7 +178,7 @@ def _stars(sketches: DataFrame, folder: str) -> DataFrame:
 def _texts(sketches: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
     """``_class, _n, _z``: the packed text of each wanted class.  A sieve of fixed size, 4 MB of
     bits, keeps most others from being sent."""
-    place = F.pmod(F.xxhash64("_class"), F.lit(1 << 25))
+    place = F.pmod(F.xxhash64("_class"), F.lit(SIEVE))
     bits = wanted.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
     table = np.zeros(1 << 22, np.uint8)
     for r in bits.collect():
@@ -375,5 +375,10 @@ def keep_one(docs: DataFrame, text: str = "text", least: float = SIMILAR) -> Dat
     inner = [f"c{i}" for i in range(len(names))]
     numbered = docs.toDF(*inner).withColumn("_key", F.monotonically_increasing_id()).withColumnRenamed(inner[names.index(text)], "_text")
     sketches = cut(sketch(numbered, "_text"), "sketches", folder)
-    chosen = _grouped(sketches, least, folder).select(F.col("class_id").alias("_key")).distinct()
-    return sketches.join(chosen, "_key", "left_semi").select(*("_text" if n == text else c for c, n in zip(inner, names))).toDF(*names)
+    found = _grouped(sketches, least, folder)
+    # the class of a group's first row stays, with its first row: texts are sent only where a row may have to go
+    several = sketches.groupBy("_class").agg(F.count("*").alias("n")).where("n > 1").select("_class")
+    moved = found.where("class_id != copy_id").select("_class")
+    going, staying = parted(sketches.drop("_bands", "_n"), "_class", cut(several.unionByName(moved).distinct(), "touched", folder))
+    kept = staying.unionByName(going.join(found.select(F.col("class_id").alias("_key")).distinct(), "_key", "left_semi").select(*staying.columns))
+    return kept.select(*("_text" if n == text else c for c, n in zip(inner, names))).toDF(*names)

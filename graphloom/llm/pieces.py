@@ -75,7 +75,7 @@ class PieceEncoder:
     while the bounded memo holds it.  The memo has two generations: pieces that
     are met again move to the younger, and the older is dropped as a whole."""
 
-    def __init__(self, encode: Callable[[bytes], list[int]], most: int = 400_000):
+    def __init__(self, encode: Callable[[bytes], list[int]], most: int = 200_000):
         self.encode, self.most, self.memo, self.old = encode, most, {}, {}
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.llm.store import cut, shared_folder
+from graphloom.llm.store import cut, parted, shared_folder
 
 
 @dataclass(frozen=True)
@@ -136,8 +136,13 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", rules: t
     folder = shared_folder(docs.sparkSession)
     update(docs, f"{folder}/ledger", text, rules, fresh=True)
     found = cut(spans_by_blob(docs.sparkSession, f"{folder}/ledger", rules), "found", folder)
-    joined = docs.withColumn("_blob", blob_id(text)).join(found, "_blob", "left")
-    whole = F.col(text)
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    own = inner[docs.columns.index(text)]
+    named = docs.toDF(*inner).withColumn("_blob", blob_id(own))
+    # only texts that may hold a secret are sent to the join
+    holding, others = parted(named, "_blob", found)
+    joined = holding.join(found, "_blob", "left")
+    whole = F.col(own)
 
     def step(acc: Column, s: Column) -> Column:
         part = F.concat(acc["out"], F.substr(whole, acc["at"] + 1, s["start"].cast("int") - acc["at"]), F.lit(mark))
@@ -145,4 +150,5 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", rules: t
 
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     clean = F.aggregate("_spans", begin, step, lambda acc: F.concat(acc["out"], F.substr(whole, acc["at"] + 1, F.length(whole))))
-    return joined.withColumn(text, F.when(F.col("_spans").isNull(), whole).otherwise(clean)).select(*docs.columns)
+    masked = joined.withColumn(own, F.when(F.col("_spans").isNull(), whole).otherwise(clean))
+    return masked.select(*inner).unionByName(others.select(*inner)).toDF(*docs.columns)

@@ -13,6 +13,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -40,6 +41,24 @@ def cut(df: DataFrame, name: str, folder: str | None = None, **options: str) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a sieve.
+SIEVE = 1 << 25
+
+
+def parted(rows: DataFrame, column: str, named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose ``column`` may be one of ``named``'s, and those
+    whose surely isn't, so that only the first have to be sent to a join.  What is
+    broadcast is a sieve of at most 1,024 rows of 4 KB, however many are named."""
+    place = F.pmod(F.xxhash64(column), F.lit(SIEVE)) + 1
+    bits = named.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
+    tried = rows.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place")).join(F.broadcast(bits), "_bucket", "left")
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce((F.floor(byte / F.pow(F.lit(2), at % 8)) % 2) == 1, F.lit(False))
+    tried = tried.withColumn("_hit", hit)
+    return tuple(tried.where(c).select(*rows.columns) for c in ("_hit", "not _hit"))
+
+
 def schema_of(df: DataFrame) -> str:
     """The columns as DDL, as ``mapInArrow`` takes it."""
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)

@@ -6,6 +6,7 @@ it, found and hashed with numpy for all rows of a chunk at once.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ CHUNK_BYTES = 1 << 19
 CHUNK_ROWS = 1 << 15
 
 U64 = np.uint64
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _BASE = 0x9E3779B97F4A7C15 | 5
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -98,6 +100,8 @@ def chunks(batch: pa.RecordBatch, name: str, limit: int = 0) -> Iterator[tuple[i
         hi = min(max(hi, lo + 1), n, lo + CHUNK_ROWS)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
+    if _TRIM is not None:  # free memory goes back: a worker is reused, with what it holds, by later stages
+        _TRIM(0)
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
