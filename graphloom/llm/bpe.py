@@ -32,6 +32,8 @@ from graphloom.llm.store import ship
 from graphloom.llm.texts import chunks, take_columns
 
 _ROOT = 0
+#: Bytes of a piece after which states are not kept: few pieces share more.
+DEPTH = 6
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -114,11 +116,11 @@ class Transducer:
         self.pairs[a << 24 | b] = good
         return good
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Build one transition: (next state, tokens now certain)."""
+    def _step(self, held: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """From the open readings of a piece: those after one more byte, and the tokens now certain."""
         child, token, pairs = self.child.get, self.token, self.pairs.get
         reached = []
-        for last, node, kept in self.states[state]:
+        for last, node, kept in held:
             node = child(node << 8 | byte)
             if node is None:
                 continue
@@ -133,7 +135,11 @@ class Transducer:
         while shared < len(shortest) and all([h[2][shared] == shortest[shared] for h in reached]):
             shared += 1
         emitted = shortest[:shared]
-        key = tuple([(last, node, kept[shared:]) for last, node, kept in reached] if shared else reached)
+        return tuple([(last, node, kept[shared:]) for last, node, kept in reached] if shared else reached), emitted
+
+    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """Build one transition: (next state, tokens now certain)."""
+        key, emitted = self._step(self.states[state], byte)
         to = self.state_of.get(key)
         if to is None:
             to = self.state_of[key] = len(self.states)
@@ -149,13 +155,19 @@ class Transducer:
             self._reset()
         out: list[int] = []
         state, moves = 0, self.moves
-        for byte in piece:
+        for byte in piece[:DEPTH]:
             move = moves.get(state << 8 | byte)
             if move is None:
                 move = self._move(state, byte)
             state = move[0]
             if move[1]:
                 out += move[1]
+        if len(piece) > DEPTH:
+            held = self.states[state]
+            for byte in piece[DEPTH:]:
+                held, emitted = self._step(held, byte)
+                out += emitted
+            return out + list(next((kept for _, node, kept in held if node == _ROOT), ()))
         rest = self.final.get(state)
         if rest is None:
             rest = self.final[state] = next((kept for _, node, kept in self.states[state] if node == _ROOT), ())
@@ -279,7 +291,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
     def run(batches):
         encoder, _ = codec(path)
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch, text):
+            for lo, hi, data, offsets in chunks(batch, text, 2 << 20):
                 flat, first = encoder(data, offsets)
                 yield pa.RecordBatch.from_arrays([*take_columns(batch, names, lo, hi), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(flat.astype(np.int32)))], names=[*names, ids])
 
@@ -310,7 +322,7 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     def run(batches):
         encoder, decoder = codec(path)
         for batch in batches:
-            for lo, hi, data, offsets in chunks(batch, text):
+            for lo, hi, data, offsets in chunks(batch, text, 2 << 20):
                 flat, first = encoder(data, offsets)
                 count, of_ids, of_text = [], [], []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
