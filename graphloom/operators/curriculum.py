@@ -131,3 +131,21 @@ def stage_succession(topics: DataFrame) -> DataFrame:
     a, b = topics.alias("a"), topics.alias("b")
     on = (F.col("a.domain") == F.col("b.domain")) & (F.col("a.theme") == F.col("b.theme")) & (F.col("a.stage_order") + 1 == F.col("b.stage_order"))
     return a.join(b, on).select(F.col("a.id").alias("source"), F.lit("progresses_to").alias("type"), F.col("b.id").alias("target"))
+
+
+#: What a keyword of a statement says about its processes and dimensions, and what its section adds.
+PROCESSES = (("认识", "recognize"), ("理解", "understand"), ("探索", "explore"), ("掌握", "master"), ("会", "apply"), ("解决", "solve"), ("解释", "explain"), ("描述", "describe"), ("比较", "compare"), ("估算", "estimate"), ("推理", "reason"))
+DIMENSIONS = (("意义", "conceptual"), ("算法", "procedural"), ("方法", "procedural"), ("解决", "application"), ("情境", "application"), ("活动", "practice"), ("数据", "data"), ("图形", "spatial"))
+SECTION_DIMENSIONS = {"academic_requirement": "evidence", "teaching_hint": "teaching"}
+
+
+def infer_dimensions(statement: Column, section: Column) -> tuple[Column, Column]:
+    """Distinct processes and dimensions, in the order of the keywords; one default each."""
+
+    def named(table, default: str, *more: Column) -> Column:
+        found = [F.when(statement.contains(word), F.lit(label)) for word, label in table]
+        own = F.array_distinct(F.filter(F.array(*found, *more), lambda x: x.isNotNull()))
+        return F.when(F.size(own) > 0, own).otherwise(F.array(F.lit(default)))
+
+    added = [F.when(section == name, F.lit(label)) for name, label in SECTION_DIMENSIONS.items()]
+    return named(PROCESSES, "understand"), named(DIMENSIONS, "conceptual", *added)

@@ -98,33 +98,49 @@ def problems(segmented: DataFrame, doc: str = "doc", pos: str = "pos") -> DataFr
 def chunks(blocks: DataFrame, doc: str, pos: str, text: str, most: int = 1800, page: str | None = None) -> DataFrame:
     """Greedy packing: ``doc, chunk, first, last, n_blocks, n_chars, text``.  A
     block that would pass ``most`` opens the next chunk; one that is longer is
-    alone.  A fold over each document's sorted blocks keeps only bounds and
-    lengths; the texts are joined once the bounds are known."""
-    own = blocks.withColumn(text, clean_text(F.col(text))).where(F.coalesce(text, F.lit("")) != "")
-    sizes = own.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.length(text).alias("n")))).alias("b"))
-    kind = "struct<done:array<bigint>,size:bigint,any:boolean>"
-    begin = F.struct(F.array().cast("array<bigint>").alias("done"), F.lit(0).cast("bigint").alias("size"), F.lit(False).alias("any")).cast(kind)
+    alone.  Blocks are cleaned once and gathered by document once; a fold over
+    them keeps only where chunks begin, and chunks are slices."""
+    own = blocks.select(doc, F.struct(F.col(pos).alias("p"), clean_text(F.col(text)).alias("t"), (F.lit(0) if page is None else F.col(page)).alias("g")).alias("x"))
+    some = F.array_sort(F.filter(F.collect_list("x"), lambda x: F.coalesce(x["t"], F.lit("")) != ""))
+    kind = "struct<done:array<int>,size:bigint,at:int>"
+    begin = F.struct(F.array().cast("array<int>").alias("done"), F.lit(0).alias("size"), F.lit(0).alias("at")).cast(kind)
 
     def step(acc: Column, x: Column) -> Column:
-        new = ~acc["any"] | (acc["size"] + x["n"] > most)
-        return F.struct(F.when(new, F.concat(acc["done"], F.array(x["p"].cast("bigint")))).otherwise(acc["done"]).alias("done"), F.when(new, x["n"].cast("bigint")).otherwise(acc["size"] + x["n"]).alias("size"), F.lit(True).alias("any"))
-
-    starts = sizes.select(doc, F.explode(F.aggregate("b", begin, step, lambda acc: acc["done"])).alias(pos), F.lit(1).alias("_open"))
-    marked = own.join(starts, [doc, pos], "left")
-    order = W.partitionBy(doc).orderBy(pos)
-    marked = marked.withColumn("chunk", F.sum(F.coalesce("_open", F.lit(0))).over(order).cast("bigint"))
-    parts = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(text).alias("t"))))
-    more = [] if page is None else [F.min(page).alias("first_page"), F.max(page).alias("last_page")]
-    return marked.groupBy(doc, "chunk").agg(
-        F.min(pos).cast("bigint").alias("first"),
-        F.max(pos).cast("bigint").alias("last"),
-        F.count("*").alias("n_blocks"),
-        F.sum(F.length(text)).cast("bigint").alias("n_chars"),
+        n, at = F.length(x["t"]).cast("bigint"), acc["at"] + 1
+        new = (acc["at"] == 0) | (acc["size"] + n > most)
+        return F.struct(F.when(new, F.concat(acc["done"], F.array(at))).otherwise(acc["done"]).alias("done"), F.when(new, n).otherwise(acc["size"] + n).alias("size"), at.alias("at")).cast(kind)
+
+    gathered = own.groupBy(doc).agg(some.alias("b"))
+    starts = gathered.select(doc, "b", F.aggregate("b", begin, step, lambda acc: acc["done"]).alias("s"))
+    slices = F.transform("s", lambda at, k: F.slice("b", at, F.coalesce(F.get("s", k + 1), F.size("b") + 1) - at))
+    each = starts.select(doc, F.posexplode(slices).alias("k", "part"))
+    parts = lambda f: F.transform("part", lambda x: x[f])
+    more = [] if page is None else [F.array_min(parts("g")).alias("first_page"), F.array_max(parts("g")).alias("last_page")]
+    return each.select(
+        doc,
+        (F.col("k") + 1).cast("bigint").alias("chunk"),
+        F.array_min(parts("p")).cast("bigint").alias("first"),
+        F.array_max(parts("p")).cast("bigint").alias("last"),
+        F.size("part").cast("bigint").alias("n_blocks"),
+        F.aggregate("part", F.lit(0).cast("bigint"), lambda n, x: n + F.length(x["t"])).alias("n_chars"),
         *more,
-        F.array_join(F.transform(parts, lambda x: x["t"]), "\n\n").alias("text"),
+        F.array_join(parts("t"), "\n\n").alias("text"),
     )
 
 
+def ranked(df: DataFrame, store, *order) -> DataFrame:
+    """``df`` with ``rank``, its place in the given order, without one task for all:
+    rows are sorted by ranges, written, and numbered from the sizes of the ranges
+    before theirs.  ``store(df, name)`` writes a table and reads it back."""
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    low = F.monotonically_increasing_id()
+    held = store(dealt.select("*", F.shiftright(low, 33).alias("_range"), F.bitwise_not(F.shiftleft(F.shiftright(low, 33), 33)).bitwiseAND(low).alias("_at")), "ranges")
+    sizes = held.groupBy("_range").agg(F.count("*").alias("_n"))
+    # one row for each range
+    before = sizes.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))
+    return held.join(F.broadcast(before), "_range").withColumn("rank", (F.col("_before") + F.col("_at") + 1).cast("bigint")).drop("_range", "_at", "_before")
+
+
 def items(lines: DataFrame, doc: str, pos: str, line: str, most: int = 180, least: int = 8) -> DataFrame:
     """Statements of a document: a marker opens an item; cleaned statements that
     are too short go; the rest are numbered.  Documents left without any are cut

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import text as T
 from graphloom.operators import graph as G
+from graphloom.operators import ordered as O
 from graphloom.operators import product as P
 from graphloom.operators import rules as R
 from graphloom.plans.base import COMPACT, EDGE_ID, FT, NSLUG, REFS, SLUG, STATE, TERMS, TRIM, TXT, query
@@ -172,15 +173,17 @@ def agg_product_stats(v):
     return P.product_stats(products, edges)
 
 
-@query(f"WITH {_PRODUCT}, {_EDGES} SELECT kind, a, b, rank FROM (SELECT 'node' AS kind, id AS a, internal_id AS b, row_number() OVER (ORDER BY id, pos) AS rank FROM products UNION ALL SELECT 'edge', source, target, row_number() OVER (ORDER BY source, target, pos) FROM pedges) WHERE rank <= 500")
+@query(f"WITH {_PRODUCT}, {_EDGES} SELECT kind, a, b, rank FROM (SELECT 'node' AS kind, id AS a, internal_id AS b, row_number() OVER (ORDER BY id, pos) AS rank FROM products UNION ALL SELECT 'edge', source, target, row_number() OVER (ORDER BY source, target, pos) FROM pedges)")
 def srt_product(v):
     products, edges = _product_graph(v)
 
-    def top(df, kind, a, b, *order):
-        first = df.orderBy(*order).limit(500)
-        return first.select(F.lit(kind).alias("kind"), F.col(a).alias("a"), F.col(b).alias("b"), F.row_number().over(W.orderBy(*order)).cast("bigint").alias("rank"))
+    folder = work_folder(v.spark)
+
+    def placed(df, kind, a, b, *order):
+        rows = df.select(F.lit(kind).alias("kind"), F.col(a).alias("a"), F.col(b).alias("b"), "pos")
+        return O.ranked(rows, lambda t, name: cut(t, f"{kind}_{name}", folder), *order).drop("pos")
 
-    return top(products, "node", "id", "internal_id", "id", "pos").unionByName(top(edges, "edge", "source", "target", "source", "target", "pos"))
+    return placed(products, "node", "id", "internal_id", "a", "pos").unionByName(placed(edges, "edge", "source", "target", "a", "b", "pos"))
 
 
 # -- aggregates and sets -----------------------------------------------------------

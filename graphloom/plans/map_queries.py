@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from graphloom.operators import curriculum as C
 from graphloom.operators import graph as G
 from graphloom.operators import groups as K
+from graphloom.operators import ordered as O
 from graphloom.operators import rules as R
 from graphloom.plans.base import FT, REFS, SLUGB, STATE, TXT, query
 from graphloom.plans.graph_queries import _RANGE, _common, _dup, _edge_rules, _ends, _later, _q, _row
+from graphloom.sources.tables import cut, work_folder
 
 _PARTS = ("ucs_concepts", "ucs_standards", "ucs_frameworks", "ucs_competencies", "ucs_evidence", "ucs_relations")
 _NAMES = ("concepts", "standard_items", "framework_nodes", "competencies", "learning_evidence", "relations")
@@ -168,14 +170,14 @@ def agg_standards_by_topic(v):
     return v.ucs_concepts.groupBy("stage", "domain", F.col("subject").alias("theme")).agg(F.min_by("id", "pos").alias("first_id"), F.count("*").alias("n"))
 
 
-@query("SELECT stage, domain, subject, id FROM ucs_concepts ORDER BY stage, domain, subject, id LIMIT 200")
+@query("SELECT stage, domain, subject, id FROM ucs_concepts ORDER BY stage, domain, subject, id")
 def srt_contexts(v):
-    return v.ucs_concepts.select("stage", "domain", "subject", "id").orderBy("stage", "domain", "subject", "id").limit(200)
+    return v.ucs_concepts.select("stage", "domain", "subject", "id").orderBy("stage", "domain", "subject", "id")
 
 
-@query("SELECT id, name FROM ucs_concepts ORDER BY id LIMIT 200")
+@query("SELECT id, name FROM ucs_concepts ORDER BY id")
 def srt_by_id(v):
-    return v.ucs_concepts.select("id", "name").orderBy("id").limit(200)
+    return v.ucs_concepts.select("id", "name").orderBy("id")
 
 
 @query(f"""WITH RECURSIVE base AS (SELECT id, {TXT('parent_id')} AS parent FROM ucs_frameworks),
@@ -227,13 +229,11 @@ def agg_group_stats(v):
     return counts.agg(n("n").alias("total_nodes"), n("p", "s").alias("total_edges"), n("s").alias("semantic_edges"))
 
 
-@query(f"WITH {_GN} SELECT id, type, domain, rank FROM (SELECT id, type, domain, row_number() OVER (ORDER BY CASE type WHEN 'domain' THEN 0 ELSE 1 END, domain, id) AS rank FROM gn) WHERE rank <= 300")
+@query(f"WITH {_GN} SELECT id, type, domain, rank FROM (SELECT id, type, domain, row_number() OVER (ORDER BY CASE type WHEN 'domain' THEN 0 ELSE 1 END, domain, id) AS rank FROM gn)")
 def srt_groups(v):
-    from pyspark.sql import Window as W
-
-    order = (F.when(F.col("type") == "domain", 0).otherwise(1), "domain", "id")
-    top = K.chosen_nodes(v.group_nodes).orderBy(*order).limit(300)
-    return top.select("id", "type", "domain", F.row_number().over(W.orderBy(*order)).cast("bigint").alias("rank"))
+    folder = work_folder(v.spark)
+    rows = K.chosen_nodes(v.group_nodes).select("id", "type", "domain", F.when(F.col("type") == "domain", 0).otherwise(1).alias("k"))
+    return O.ranked(rows, lambda t, name: cut(t, name, folder), "k", "domain", "id").drop("k")
 
 
 _TOUCH = "id NOT IN (SELECT source FROM group_edges WHERE type <> 'part_of' UNION SELECT target FROM group_edges WHERE type <> 'part_of')"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.functions import text as T
+from graphloom.operators import curriculum as C
 from graphloom.operators import grading as Q
 from graphloom.operators import layout as L
 from graphloom.operators import ordered as O
@@ -33,7 +34,7 @@ packed AS (SELECT b.doc_id, chunk, CAST(min(pos) AS BIGINT) AS first, CAST(max(p
 
 
 def _chunks(v):
-    return O.chunks(_blocks(v), "doc_id", "pos", "t")
+    return O.chunks(v.documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "t")), "doc_id", "pos", "t")
 
 
 @query(f"{_PACK} SELECT * FROM packed")
@@ -165,12 +166,31 @@ _WORDS = ("the", "and", "que", "la", "von", "ist", "idiot", "license", "password
 
 
 @query("SELECT doc_id, array_to_string(list_filter([" + ", ".join(f"'{w}'" for w in _WORDS) + "], w -> contains(lower(text), w)), ',') AS found FROM documents", "jn_containment")
-@query("SELECT doc_id, array_to_string(list_filter([" + ", ".join(f"'{w}'" for w in _WORDS) + "], w -> contains(lower(text), w)), ',') AS found FROM documents", "fn_infer_dims")
 def _contained(v):
     hay = F.lower("text")
     return v.documents.select("doc_id", F.array_join(F.filter(F.array(*map(F.lit, _WORDS)), lambda w: hay.contains(w)), ",").alias("found"))
 
 
+#: Statements of the test tables: a few of their words stand for the keywords.
+_STATEMENT = "replace(replace(replace(replace(replace(replace(text, ' the ', '认识'), ' und ', '解决'), 'tion', '算法'), ' que ', '图形'), ' est ', '数据'), 'www', '方法')"
+_SECTION = "CASE source WHEN 'src0' THEN 'academic_requirement' WHEN 'src1' THEN 'teaching_hint' ELSE 'content_requirement' END"
+
+
+def _any(words: str, label: str) -> str:
+    return f"CASE WHEN regexp_matches(st, '{words}') THEN '{label}' END"
+
+
+_PROCESS = ", ".join(_any(*x) for x in (("认识", "recognize"), ("理解", "understand"), ("探索", "explore"), ("掌握", "master"), ("会", "apply"), ("解决", "solve"), ("解释", "explain"), ("描述", "describe"), ("比较", "compare"), ("估算", "estimate"), ("推理", "reason")))
+_DIMENSION = ", ".join(_any(*x) for x in (("意义", "conceptual"), ("算法|方法", "procedural"), ("解决|情境", "application"), ("活动", "practice"), ("数据", "data"), ("图形", "spatial")))
+
+
+@query(f"SELECT doc_id, coalesce(nullif(concat_ws(',', {_PROCESS}), ''), 'understand') AS processes, coalesce(nullif(concat_ws(',', {_DIMENSION}, CASE section WHEN 'academic_requirement' THEN 'evidence' WHEN 'teaching_hint' THEN 'teaching' END), ''), 'conceptual') AS dimensions FROM (SELECT doc_id, coalesce({_STATEMENT}, '') AS st, {_SECTION} AS section FROM documents)")
+def fn_infer_dims(v):
+    rows = v.documents.select("doc_id", F.expr(_STATEMENT).alias("statement"), F.expr(_SECTION).alias("section"))
+    found = C.infer_dimensions(F.col("statement"), F.col("section"))
+    return rows.select("doc_id", *(F.array_join(x, ",").alias(n) for x, n in zip(found, ("processes", "dimensions"))))
+
+
 @query("SELECT doc_id, CASE source WHEN 'src0' THEN '课程内容要求：' WHEN 'src1' THEN '学业表现要求：' ELSE '教学提示：' END || md5(text) AS value FROM documents")
 def fn_concept_definition(v):
     prefix = T.mapped(F.col("source"), {"src0": "课程内容要求：", "src1": "学业表现要求："})
@@ -397,12 +417,15 @@ def val_manifest(v):
     return D.manifest_rules(assets)
 
 
-_PATH = "concat(url, CASE page_id % 5 WHEN 0 THEN '.exe' WHEN 1 THEN '/.DS_Store' WHEN 2 THEN '/.git/x.exe' ELSE '.html' END)"
+_PATH = "concat(url, CASE page_id % 7 WHEN 0 THEN '.PDF' WHEN 1 THEN '/.DS_Store' WHEN 2 THEN '/.git/x.png' WHEN 3 THEN '/Lesson-Scan.md' WHEN 4 THEN '/教材.txt' WHEN 5 THEN '/.png' ELSE '.html' END)"
+
+
+_NAME = "regexp_extract(lower(path), '[^/]*$')"
 
 
-@query(f"SELECT path, problem FROM (SELECT path, CASE WHEN regexp_extract(lower(path), '[^/]*$') = '.ds_store' THEN 'leftover' WHEN regexp_extract(regexp_extract(lower(path), '[^/]*$'), '\\.[^.]*$') NOT IN ('', " + ", ".join(f"'{e}'" for e in D.ALLOWED) + f") THEN 'extension' WHEN contains(lower(path), 'ref=x') THEN 'name' END AS problem FROM (SELECT {_PATH} AS path FROM pages) WHERE NOT contains(path, '/.git/')) WHERE problem IS NOT NULL")
+@query(f"SELECT path, problem FROM (SELECT path, CASE WHEN {_NAME} = '.ds_store' THEN 'leftover' WHEN regexp_extract({_NAME}, '.(\\.[^.]*)$', 1) IN ('.pdf', '.png', '.jpg', '.jpeg', '.gif', '.webp', '.bmp', '.tif', '.tiff', '.heic') THEN 'extension' WHEN regexp_matches({_NAME}, 'screenshot|screen-shot|screenshoot|textbook|publisher|scan|scanned|教材|课本|教科书|截图|扫描') THEN 'name' END AS problem FROM (SELECT {_PATH} AS path FROM pages) WHERE NOT contains(path, '/.git/')) WHERE problem IS NOT NULL")
 def flt_file_policy(v):
-    return D.file_policy(v.pages.select(F.expr(_PATH).alias("path")), ("ref=x",))
+    return D.file_policy(v.pages.select(F.expr(_PATH).alias("path")))
 
 
 @query("SELECT page_id, coalesce(nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), ''), '') AS title FROM pages")

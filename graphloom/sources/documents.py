@@ -7,19 +7,22 @@ become rows with their position, and entries that are no objects are passed over
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import compact_text, first_text, is_noise, ocr_fixups, paragraphs, slug_base, text
+from graphloom.functions.text import compact_text, first_text, is_noise, ocr_fixups, paragraphs, slug_base, slugify, text
 from graphloom.operators.graph import orphans, review_state
+from graphloom.operators.rules import NODE_TYPES
 
 #: Keys of well-known files in a manifest.
 ASSET_KEYS = {"ucs-kg.json": "ucs_kg", "cgo-kg-candidates.json": "kg_candidates", "cgo-kg.json": "kg", "knowledge-groups.json": "knowledge_groups", "knowledge-map-data.json": "map", "knowledge-group-map-data.json": "group_map"}
-#: File rules of a repository.
-ALLOWED = (".css", ".csv", ".gitignore", ".html", ".jpg", ".js", ".json", ".md", ".pdf", ".png", ".py", ".sh", ".svg", ".txt", ".yaml", ".yml")
-IGNORED_PARTS = (".git", "__pycache__", "node_modules", ".venv", ".pytest_cache")
+#: Endings and parts of names that a repository must not hold, and folders that are passed over.
+FORBIDDEN_ENDINGS = (".pdf", ".png", ".jpg", ".jpeg", ".gif", ".webp", ".bmp", ".tif", ".tiff", ".heic")
+FORBIDDEN_NAMES = ("screenshot", "screen-shot", "screenshoot", "textbook", "publisher", "scan", "scanned", "教材", "课本", "教科书", "截图", "扫描")
+IGNORED_PARTS = (".git", ".mypy_cache", ".pytest_cache", ".ruff_cache", ".venv", "__pycache__", "node_modules", "tmp")
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +44,8 @@ def field(item: str, path: str, kind: str = "string") -> Column:
 
 def list_field(item: str, path: str) -> Column:
     """A list, or one value as a list of it, or an empty list."""
-    return F.coalesce(field(item, path, "array<string>"), F.array(field(item, path)), F.array().cast("array<string>"))
+    one = field(item, path)
+    return F.coalesce(field(item, path, "array<string>"), F.when(one.isNotNull(), F.array(one)), F.array().cast("array<string>"))
 
 
 def graph_nodes(docs: DataFrame) -> DataFrame:
@@ -77,11 +81,30 @@ def graph_sources(docs: DataFrame) -> DataFrame:
     return rows.select("source_id", field("c", "id").alias("chunk_id"))
 
 
-def imported(docs: DataFrame) -> DataFrame:
-    """Foreign node rows in the shape of candidates: defaults for what is missing."""
-    rows = objects(docs, "nodes")
-    name = first_text(field("item", "name"), field("item", "title"), field("item", "label"), field("item", "id"))
-    return rows.select("path", "pos", first_text(field("item", "id"), F.concat(F.lit("node:"), slug_base(name))).alias("id"), F.coalesce(text(field("item", "type")), F.lit("concept")).alias("type"), name.alias("name"), F.coalesce(field("item", "confidence", "double"), F.lit(0.7)).alias("confidence"), F.lit("needs_review").alias("review_state"), field("item", "properties").alias("properties"), F.col("item").alias("raw"))
+def imported(docs: DataFrame, source: str = "") -> DataFrame:
+    """Foreign node rows in the shape of candidates: defaults for what is missing,
+    ``concept`` for unknown types, ``source`` for rows without a reference."""
+
+    def own(*names: str) -> Column:
+        return F.coalesce(*(F.nullif(field("item", n), F.lit("")) for n in names))
+
+    kind, number = field("item", "type"), field("item", "confidence", "double")
+    id_ = F.coalesce(own("id"), slugify(F.coalesce(own("name", "name_en"), F.lit("node"))))
+    given = list_field("item", "source_refs")
+    return objects(docs, "nodes").select(
+        "path",
+        "pos",
+        id_.alias("id"),
+        F.when(kind.isin(*NODE_TYPES), kind).otherwise("concept").alias("type"),
+        F.coalesce(own("name", "display_name", "name_en"), id_).alias("name"),
+        F.array_compact(F.array(own("display_name"), own("name_en"))).alias("aliases"),
+        *(F.coalesce(own(c), F.lit("")).alias(c) for c in ("definition", "subject", "stage", "curriculum")),
+        F.array_compact(F.array(own("domain"))).alias("tags"),
+        F.when(F.size(given) > 0, given).otherwise(F.array(F.lit(source))).alias("source_refs"),
+        F.when(F.coalesce(number, F.lit(0.0)) != 0, number).otherwise(0.75).alias("confidence"),
+        F.when(F.schema_of_variant(F.try_variant_get("item", "$.review", "variant")).like("OBJECT%"), F.coalesce(field("item", "review.state"), F.lit(""))).otherwise("needs_review").alias("review_state"),
+        F.col("item").alias("raw"),
+    )
 
 
 def ingested(texts: DataFrame, id_: str, value: str, most: int = 1200) -> DataFrame:
@@ -145,18 +168,32 @@ def front_matter_field(c: Column, name: str) -> Column:
 
 
 def tree(spark: SparkSession, path: str) -> DataFrame:
-    """``path, bytes, sha256`` of all files below a folder."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-
-
-def file_policy(files: DataFrame, disallowed: tuple[str, ...] = ()) -> DataFrame:
-    """``path, problem``: system leftovers, types that are not allowed, names that are not."""
-    own = files.where(~F.arrays_overlap(F.split("path", "/"), F.array(*map(F.lit, IGNORED_PARTS)))).select("path", F.lower(F.element_at(F.split("path", "/"), -1)).alias("name"))
-    kind = F.when(F.col("name").contains("."), F.concat(F.lit("."), F.element_at(F.split("name", r"\."), -1))).otherwise("")
-    banned = F.lit(False)
-    for word in disallowed:
-        banned = banned | F.lower("path").contains(word)
-    problem = F.when(F.col("name") == ".ds_store", "leftover").when((kind != "") & ~kind.isin(*ALLOWED), "extension").when(banned, "name")
+    """``path, bytes, sha256`` of all files below a folder.  Spark's readers pass
+    over names that begin with a dot or an underscore; such files come from a
+    listing of the file system, without a digest."""
+    seen = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    top, found, hidden = system.makeQualified(folder).toString(), system.listFiles(folder, True), []
+    while found.hasNext():
+        file = found.next()
+        name = file.getPath().toString()
+        if any(part[:1] in "._" for part in name.removeprefix(top).split("/") if part):
+            hidden.append((name, file.getLen(), None))
+    hidden = spark.createDataFrame(hidden, seen.schema)
+    return seen.join(hidden, "path", "left_anti").select(*seen.columns).unionByName(hidden)
+
+
+def file_policy(files: DataFrame, root: str = "", endings: tuple[str, ...] = FORBIDDEN_ENDINGS, names: tuple[str, ...] = FORBIDDEN_NAMES) -> DataFrame:
+    """``path, problem``: system leftovers, forbidden endings, forbidden parts of the name.
+    Folders are judged below ``root``, as it stands in ``path``."""
+    parts = F.split(F.regexp_replace("path", F.lit("^" + re.escape(root)), F.lit("")), "/")
+    name = F.lower(F.element_at(parts, -1))
+    own = files.where(~F.arrays_overlap(parts, F.array(*map(F.lit, IGNORED_PARTS)))).select("path", name.alias("name"))
+    ending = F.regexp_extract("name", r".(\.[^.]*)$", 1)
+    banned = F.exists(F.array(*map(F.lit, names)), lambda x: F.col("name").contains(x))
+    problem = F.when(F.col("name") == ".ds_store", "leftover").when(ending.isin(*endings), "extension").when(banned, "name")
     return own.select("path", problem.alias("problem")).where("problem is not null")
 
 

@@ -159,7 +159,7 @@ def test_json_graph_files(spark, tmp_path):
     assert nodes["m"].pos == 2 and nodes["m"].properties == '{"x":1}' and nodes["m"].source_refs == []
     assert [(r.source, r.target) for r in D.graph_edges(docs).collect()] == [("n", "m")]
     assert {(r.source_id, r.chunk_id) for r in D.graph_sources(docs).collect()} == {("src:a", "c1"), ("src:b", None)}
-    assert {r.id: r.confidence for r in D.imported(docs).collect()} == {"n": 0.5, "m": 0.7}
+    assert {r.id: r.confidence for r in D.imported(docs).collect()} == {"n": 0.5, "m": 0.75}
 
 
 def test_text_files_and_front_matter(spark, tmp_path):
@@ -189,13 +189,18 @@ def test_layout_files_in_argument_order(spark, tmp_path):
 def test_manifest_and_file_rules(spark, tmp_path):
     (tmp_path / "knowledge-group-map-data.json").write_text("{}")
     (tmp_path / "My File.txt").write_text("x")
+    (tmp_path / "Page.PDF").write_text("x")
+    (tmp_path / "Scanned page.md").write_text("x")
+    (tmp_path / ".PNG").write_text("x")
     (tmp_path / "tool.exe").write_text("x")
+    (tmp_path / "tmp").mkdir()
+    (tmp_path / "tmp" / "x.jpg").write_text("x")
     (tmp_path / ".DS_Store").write_text("x")
     files = D.tree(spark, str(tmp_path))
     assets = {r.asset: r for r in D.manifest(files).collect()}
     assert assets["group_map"].bytes == 2 and len(assets["group_map"].sha256) == 64 and "my_file" in assets
-    assert sorted(r.problem for r in D.file_policy(files).collect()) == ["extension", "leftover"]
-    assert D.manifest_rules(D.manifest(files)).count() == 0
+    assert sorted(r.problem for r in D.file_policy(files, f"file:{tmp_path}").collect()) == ["extension", "leftover", "name"]
+    assert D.manifest_rules(D.manifest(files.where("sha256 is not null"))).count() == 0
     bad = spark.createDataFrame([("a", " ", -1, "zz")], "asset string, path string, bytes bigint, sha256 string")
     assert sorted(r.problem for r in D.manifest_rules(bad).collect()) == ["bytes", "path", "sha256"]
 
