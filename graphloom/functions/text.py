@@ -78,10 +78,12 @@ def term_count(hay: Column, term: str) -> Column:
 def search_score(hay: Column, query: str) -> Column:
     """Sum over the distinct places of each word of the query."""
     terms = [t.lower() for t in query.split()]
-    out = F.lit(0).cast("bigint")
-    for t in terms:
-        out = out + term_count(hay, t)
-    return out
+
+    def total(h: Column) -> Column:
+        return sum((term_count(h, t) for t in terms), F.lit(0).cast("bigint"))
+
+    # bound as the element of an array, the text is built once for all words
+    return F.element_at(F.transform(F.array(hay), total), 1)
 
 
 def compact(c: Column) -> Column:
