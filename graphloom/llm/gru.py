@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.store import cut, shared_folder, ship
-from graphloom.llm.texts import LOWER_BYTES, SOLID_BYTES, Hasher, chunks, spans, take_columns
+from graphloom.llm.texts import LOWER_BYTES, SOLID_BYTES, Hasher, chunks, spans
 
 #: The end token's hash; a word with it would be one in 2**64.
 END = 0x5851F42D4C957F2D
@@ -38,7 +38,9 @@ HELD = 1 << 17
 CLASSES, CLASS_SIZE, WIDTH = 32, 32, 16
 WORDS = CLASSES * CLASS_SIZE
 #: Steps of a window of backpropagation; texts side by side in training; rounds of averaging.
-STEPS, ABREAST, ROUNDS = 16, 128, 2
+STEPS, ABREAST, ROUNDS = 16, 512, 1
+#: Tokens of a task that wait to be worked on together, so that long texts run side by side.
+TOGETHER = 4 << 20
 #: One in so many training texts updates the weights in each round.
 TRAIN_EVERY = 1
 _GROUPS = 64
@@ -245,6 +247,12 @@ class Trainer:
                     self.w[key] -= np.float32(self.rate / (1 - 0.9**self.t)) * self.m[key] / (np.sqrt(self.v[key] / (1 - 0.99**self.t)) + 1e-4)
 
 
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, and each row's first."""
+    ids, size = (np.concatenate(x) for x in zip(*parts))
+    return ids, np.concatenate([[0], np.cumsum(size)])
+
+
 def _average(rows: pd.DataFrame) -> tuple[np.ndarray, int]:
     total = max(int(rows["tokens"].sum()), 1)
     flat = sum(np.frombuffer(b, np.float32).astype(np.float64) * (t / total) for b, t in zip(rows["weights"], rows["tokens"]))
@@ -260,11 +268,17 @@ def train(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: st
         share = docs.where(training(key) & (F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(turn)), F.lit(every)) == 0)).select(text)
 
         def run(batches, held=held):
-            trainer = Trainer(held.value)
+            trainer, waiting, n = Trainer(held.value), [], 0
             for batch in batches:
                 for _, _, data, offsets in chunks(batch, text, 4 << 20):
                     h, first = token_hashes(data, offsets)
-                    trainer.learn(known.value.look(h)[0], first)
+                    waiting.append((known.value.look(h)[0], np.diff(first)))
+                    n += len(h)
+                    if n > TOGETHER:
+                        trainer.learn(*_joined(waiting))
+                        waiting, n = [], 0
+            if n:
+                trainer.learn(*_joined(waiting))
             if trainer.tokens:
                 row = [[TaskContext.get().partitionId() % _GROUPS], [trainer.tokens], [pack(trainer.w).tobytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.binary()))], names=["g", "tokens", "weights"])
@@ -336,8 +350,22 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held: int =
 
     def run(batches):
         v = known.value
+        held, parts, n = [], [], 0
+
+        def table():
+            ids, size, have, rest, base, base_rest, rare, times, n_rare = (np.concatenate(x) for x in zip(*parts))
+            first = np.concatenate([[0], np.cumsum(size)])
+            own = score_rows(model.value, ids, first) / np.log(10) + base_rest
+            where = np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)
+            columns = [pa.array(size), pa.array(have.astype(np.int64)), pa.array(rest.astype(np.int64)), pa.array(base), pa.array(own)]
+            columns += [pa.ListArray.from_arrays(pa.array(where), pa.array(x)) for x in (rare.view(np.int64), times.astype(np.int64))]
+            keys = [pa.concat_arrays(x) for x in zip(*held)]
+            held.clear(), parts.clear()
+            return pa.RecordBatch.from_arrays([*keys, *columns], names=[key, *named])
+
         for batch in batches:
-            parts = []
+            if batch.num_rows:
+                held.append(batch.columns[:2])
             for _, _, data, offsets in chunks(batch, text):
                 h, first = token_hashes(data, offsets)
                 ids, count = v.look(h)
@@ -355,13 +383,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held: int =
                 width = len(first) - 1
                 rest = ids == WORDS
                 parts.append((ids, np.diff(first), np.bincount(row, have, width), np.bincount(row, rest, width), np.bincount(row, logs, width), np.bincount(row, logs * rest, width), t[at], times, np.bincount(r[at], minlength=width)))
-            ids, size, have, rest, base, base_rest, rare, times, n_rare = (np.concatenate(x) for x in zip(*parts))
-            first = np.concatenate([[0], np.cumsum(size)])
-            own = score_rows(model.value, ids, first) / np.log(10) + base_rest
-            where = np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)
-            columns = [pa.array(size), pa.array(have.astype(np.int64)), pa.array(rest.astype(np.int64)), pa.array(base), pa.array(own)]
-            columns += [pa.ListArray.from_arrays(pa.array(where), pa.array(x)) for x in (rare.view(np.int64), times.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([*take_columns(batch, [key, "held_out"], 0, batch.num_rows), *columns], names=[key, *named])
+                n += len(h)
+            if n > TOGETHER:
+                yield table()
+                n = 0
+        if held:
+            yield table()
 
     kind = kept.schema[0].dataType.simpleString()
     rows = cut(kept.mapInArrow(run, f"`{key}` {kind}, held_out boolean, n_tokens bigint, known bigint, n_rest bigint, base double, model double, rare array<bigint>, rare_n array<bigint>"), "scored", folder)
