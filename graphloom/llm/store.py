@@ -41,6 +41,14 @@ def cut(df: DataFrame, name: str, folder: str | None = None, **options: str) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete working tables that nothing will read again."""
+    context = spark.sparkContext
+    for name in names:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Bits of a sieve.
 SIEVE = 1 << 25
 

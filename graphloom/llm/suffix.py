@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.store import cut, schema_of, shared_folder, ship
+from graphloom.llm.store import cut, forget, schema_of, shared_folder, ship
 from graphloom.llm.texts import CHUNK_BYTES, LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, spans, take_columns
 
 _U = np.uint64
@@ -212,6 +212,8 @@ def repeated(docs: DataFrame, folder: str, scales: list[Scale]) -> DataFrame:
         same = cut(mixed.groupBy("digit", "whole").agg(*counted).where(again).select("digit", "whole", "r"), f"same{turn}", folder)
         judged = mixed.join(same, ["digit", "whole"], "left").select("_row", "unit", "a", "b", F.col("r").isNotNull().alias("again"), (F.col("r").isNull() | (F.col("_row") == F.col("r"))).alias("open"))
         judged = cut(judged, f"judged{turn}", folder)
+        # what is judged depends on its own table only
+        forget(docs.sparkSession, folder, f"runs{turn}", f"digits{turn}", f"same{turn}")
         settled.append(judged.where("again").select("_row", "unit", "a", reach.alias("b")))
         rows = judged.where("open").select("_row", "unit", "a", "b").distinct()
     return functools.reduce(DataFrame.unionByName, settled)
@@ -236,9 +238,10 @@ def _marked(docs: DataFrame, key: str, text: str, scales: list[Scale]) -> tuple[
     own, whole = (inner[docs.columns.index(x)] for x in (key, text))
     named = docs.toDF(*inner).withColumn("_row", F.xxhash64(own, whole))
     base = named.select("_row", F.col(own).alias("_key"), F.col(whole).alias("_text"), _place("_row"))
-    ranges = cut(repeated(base, folder, scales), "ranges", folder)
+    ranges = cut(repeated(base, folder, scales).distinct(), "ranges", folder)
+    forget(docs.sparkSession, folder, *(f"{name}{turn}" for name in ("met", "judged") for turn in range(3)))
     lists = (F.collect_list(F.when(F.col("unit") == u, F.struct("a", "b"))).alias(x) for u, x in enumerate("rw"))
-    grouped = cut(ranges.distinct().groupBy("_row").agg(*lists), "grouped", folder)
+    grouped = cut(ranges.groupBy("_row").agg(*lists), "grouped", folder)
     return _packed(base, _sieve(ranges.where("unit = 0"), "_row")).join(grouped, "_row", "left"), named
 
 
