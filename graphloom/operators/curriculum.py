@@ -45,9 +45,9 @@ def without_evidence(concepts: DataFrame, evidence: DataFrame) -> DataFrame:
     return concepts.join(evidence.select(F.col("concept_id").alias("id")).distinct(), "id", "left_anti")
 
 
-def validate(concepts: DataFrame, standards: DataFrame, frameworks: DataFrame, competencies: DataFrame, evidence: DataFrame, relations: DataFrame) -> DataFrame:
+def validate(concepts: DataFrame, standards: DataFrame, frameworks: DataFrame, competencies: DataFrame, evidence: DataFrame, relations: DataFrame, curricula: DataFrame) -> DataFrame:
+    """All rules of a curriculum dataset; every id that is named must be in its table."""
     everything = objects({"concepts": concepts, "standard_items": standards, "framework_nodes": frameworks, "competencies": competencies, "learning_evidence": evidence, "relations": relations})
-    curricula = frameworks.select(F.lit("cur:main").alias("id")).distinct()
     conf = F.col("confidence")
     ranged = [df.where((conf < 0) | (conf > 1) | F.isnan(conf)).select("id", conf) for df in (concepts, competencies, evidence, relations)]
     unsaid = text(F.col("rationale")).isNull() & (F.coalesce(conf, F.lit(0.0)) < 0.9)

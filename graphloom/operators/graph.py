@@ -11,6 +11,12 @@ from graphloom.operators.rules import refs
 from graphloom.sources.tables import cut, work_folder
 
 
+def _stored(df: DataFrame):
+    """Working tables in a fresh shared folder."""
+    folder = work_folder(df.sparkSession)
+    return lambda table, name: cut(table, name, folder)
+
+
 def review_state(c: str = "review_state") -> Column:
     return F.coalesce(trim_u(F.col(c)), F.lit(""))
 
@@ -84,9 +90,7 @@ def neighbourhood(nodes: DataFrame, edges: DataFrame, center: str, depth: int =
     reached, so work is bounded by the edges and not by the number of walks.
     Steps and frontiers are working tables (``store(df, name)``; Parquet in the
     shared folder unless given), so no step is planned or run twice."""
-    if store is None:
-        folder = work_folder(nodes.sparkSession)
-        store = lambda df, name: cut(df, name, folder)
+    store = store or _stored(nodes)
     own = edges if edge_type is None else edges.where(F.col("type") == edge_type)
     own = own.where((F.coalesce("source", F.lit("")) != "") & (F.coalesce("target", F.lit("")) != ""))
     ids = store(nodes.select("id").distinct(), "ids")
@@ -131,29 +135,41 @@ def simple_cycles(edges: DataFrame, longest: int = 6) -> DataFrame:
     return out.select(F.concat(F.array_join("path", " -> "), F.lit(" -> "), F.element_at("path", 1)).alias("cycle"), F.size("path").cast("bigint").alias("length"))
 
 
-def cyclic_core(edges: DataFrame, store, most_rounds: int = 100) -> DataFrame:
+def cyclic_core(edges: DataFrame, store=None) -> DataFrame:
     """Edges left when nodes that nothing enters or leaves are taken away until
-    none is: not empty exactly if there is a cycle.  ``store(df, name)`` writes a
-    table and reads it back after each round."""
+    none is: not empty exactly if there is a cycle.  Two layers go in each round;
+    ``store(df, name)`` writes a table and reads it back after it."""
+    store = store or _stored(edges)
     e = store(edges.select("source", "target").distinct(), "core0")
-    n = e.count()
-    for k in range(1, most_rounds + 1):
-        left = e.join(e.select(F.col("target").alias("source")).distinct(), "source", "left_semi")
-        left = left.join(left.select(F.col("source").alias("target")).distinct(), "target", "left_semi")
+    before, n, k = -1, e.count(), 0
+    while 0 < n != before:
+        left, k = e, k + 1
+        for _ in range(2):
+            left = left.join(left.select(F.col("target").alias("source")).distinct(), "source", "left_semi")
+            left = left.join(left.select(F.col("source").alias("target")).distinct(), "target", "left_semi")
         e = store(left.select("source", "target"), f"core{k}")
         before, n = n, e.count()
-        if n == before:
-            return e
-    raise RuntimeError("the core did not settle; raise most_rounds")
-
-
-def ancestors(df: DataFrame, id_: str = "id", parent: str = "parent_id", deepest: int = 8) -> DataFrame:
-    """``id, root, depth, path`` along parents, up to ``deepest`` steps."""
-    base = df.select(F.col(id_).alias("id"), text(F.col(parent)).alias("parent"))
-    links = base.select(F.col("id").alias("parent"), F.col("parent").alias("grand"))
-    walk = base.select("id", F.col("id").alias("root"), "parent", F.lit(0).cast("bigint").alias("depth"), F.col("id").alias("path"))
-    done = walk.join(links.select("parent"), "parent", "left_anti")
-    for _ in range(deepest):
-        walk = walk.join(links, "parent").where(F.col("parent") != F.col("id")).select("id", F.col("parent").alias("root"), F.col("grand").alias("parent"), (F.col("depth") + 1).alias("depth"), F.concat_ws("/", "parent", "path").alias("path"))
-        done = done.unionByName(walk.join(links.select("parent"), "parent", "left_anti").select(*done.columns))
-    return done.select("id", "root", "depth", "path")
+    return e
+
+
+def requires_cycle(edges: DataFrame, store=None) -> DataFrame:
+    """A row if the ``requires`` edges have a cycle, of whatever length."""
+    return cyclic_core(edges.where("type = 'requires'"), store).limit(1)
+
+
+def ancestors(df: DataFrame, id_: str = "id", parent: str = "parent_id", store=None) -> DataFrame:
+    """``id, root, depth, path`` from each root down, one level a round, until a
+    level is empty.  A root has no parent in the table; rows that only hang on a
+    cycle have no root and are left out."""
+    store = store or _stored(df)
+    base = store(df.select(F.col(id_).alias("id"), text(F.col(parent)).alias("parent")), "links")
+    known = base.select(F.col("id").alias("parent")).distinct()
+    level = base.join(known, "parent", "left_anti").select("id", F.col("id").alias("root"), F.lit(0).cast("bigint").alias("depth"), F.array("id").alias("way"))
+    links = base.where("parent <> id").withColumnRenamed("id", "child")
+    out, k = None, 0
+    while out is None or not level.isEmpty():
+        level, k = store(level, f"level{k}"), k + 1
+        out = level if out is None else out.unionByName(level)
+        down = level.join(links, level["id"] == links["parent"]).where(~F.array_contains("way", F.col("child")))
+        level = down.select(F.col("child").alias("id"), "root", (F.col("depth") + 1).alias("depth"), F.concat("way", F.array("child")).alias("way"))
+    return out.select("id", "root", "depth", F.array_join("way", "/").alias("path"))

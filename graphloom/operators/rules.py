@@ -203,7 +203,8 @@ def untouched_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.where((F.col("type") == "knowledge_group") & text(F.col("note")).isNull()).join(touched, "id", "left_anti")
 
 
-def validate_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def validate_groups(nodes: DataFrame, edges: DataFrame, cycle: DataFrame | None = None) -> DataFrame:
+    """All rules of a group map; ``cycle`` is a frame with a row if its ``requires`` edges have one."""
     group = F.col("type") == "knowledge_group"
     checks = [
         ("invalid_type", "E", ~F.col("type").isin("domain", "knowledge_group"), F.col("type")),
@@ -215,7 +216,9 @@ def validate_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         *state_checks(state(), F.col("confidence")),
     ]
     edges = edges.withColumn("reason", F.lit(None).cast("string"))
+    looped = [] if cycle is None else [violations(cycle, "requires_cycle", "E", "graph", F.lit(""))]
     return union(
+        *looped,
         row_rules(nodes, "node", F.col("id"), checks),
         violations(later_occurrences(nodes.withColumn("pos", F.col("ord"))), "duplicate_id", "E", "node", F.col("id")),
         row_rules(edges, "edge", F.col("id"), edge_checks(GROUP_EDGE_TYPES)),

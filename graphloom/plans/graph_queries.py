@@ -332,10 +332,16 @@ def gr_cycle(v):
     return G.simple_cycles(v.kg_requires, 6)
 
 
-@query("SELECT DISTINCT source, target FROM kg_requires")
+def WALKS(edges, more=""):
+    """All pairs with a way from the first to the second over ``requires`` edges."""
+    return f"""WITH RECURSIVE req AS (SELECT DISTINCT source, target FROM {edges} WHERE type = 'requires'{more}),
+way(a, b) AS (SELECT source, target FROM req UNION SELECT w.a, e.target FROM way w JOIN req e ON e.source = w.b)"""
+
+
+#: The 4-cycle of the view and the trees that hang on it are all there is: only the former stays.
+@query(f"{WALKS('kg_edges')}, loop AS (SELECT a AS id FROM way WHERE a = b), after AS (SELECT id FROM loop UNION SELECT b FROM way WHERE a IN (SELECT id FROM loop)), before AS (SELECT id FROM loop UNION SELECT a FROM way WHERE b IN (SELECT id FROM loop)) SELECT source, target FROM req WHERE source IN (SELECT id FROM after) AND target IN (SELECT id FROM before)")
 def gr_cycle_core(v):
-    folder = work_folder(v.spark)
-    return G.cyclic_core(v.kg_requires, lambda df, name: cut(df, name, folder))
+    return G.cyclic_core(v.kg_edges.where("type = 'requires'"))
 
 
 # -- rules ---------------------------------------------------------------------------
@@ -402,13 +408,12 @@ _VAL_KG = " UNION ALL ".join([
     _row("accepted_related_to", "W", "edge", f"type = 'related_to' AND {STATE} = 'accepted'", "kg_edges"),
     _dup("node", "kg_nodes"), _dup("edge", "kg_edges"), *_ends("kg_edges", "kg_nodes"), _unknown("node", "kg_nodes"), _unknown("edge", "kg_edges"),
     f"SELECT 'duplicate_name', 'W', 'node', {_KEY}, string_agg(id, ', ' ORDER BY pos, id) FROM kg_nodes GROUP BY {_KEY} HAVING count(*) > 1",
-    f"SELECT 'requires_cycle', 'E', 'graph', '', '' FROM (SELECT 1 FROM kg_requires LIMIT 1)",
+    f"SELECT 'requires_cycle', 'E', 'graph', '', '' FROM ({WALKS('kg_edges')} SELECT 1 FROM way WHERE a = b LIMIT 1)",
 ])
 
 
 def _val_kg(v):
-    cycle = G.simple_cycles(v.kg_requires, 2).limit(1)
-    return R.validate_graph(v.kg_nodes, v.kg_edges, v.kg_sources, cycle)
+    return R.validate_graph(v.kg_nodes, v.kg_edges, v.kg_sources, G.requires_cycle(v.kg_edges))
 
 
 @query(_VAL_KG)

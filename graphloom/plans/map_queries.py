@@ -10,7 +10,7 @@ from graphloom.operators import groups as K
 from graphloom.operators import ordered as O
 from graphloom.operators import rules as R
 from graphloom.plans.base import FT, REFS, SLUGB, STATE, TXT, query
-from graphloom.plans.graph_queries import _RANGE, _common, _dup, _edge_rules, _ends, _later, _q, _row
+from graphloom.plans.graph_queries import _RANGE, WALKS, _common, _dup, _edge_rules, _ends, _later, _q, _row
 from graphloom.sources.tables import cut, work_folder
 
 _PARTS = ("ucs_concepts", "ucs_standards", "ucs_frameworks", "ucs_competencies", "ucs_evidence", "ucs_relations")
@@ -76,7 +76,7 @@ def agg_evidence_per_concept(v):
     f"SELECT 'no_rationale', 'W', 'relation', id, '' FROM ucs_relations WHERE {TXT('rationale')} IS NULL AND coalesce(confidence, 0) < 0.9",
 ]))
 def val_ucs(v):
-    return C.validate(*_parts(v))
+    return C.validate(*_parts(v), v.ucs_curricula)
 
 
 # -- export ------------------------------------------------------------------------
@@ -181,7 +181,7 @@ def srt_by_id(v):
 
 
 @query(f"""WITH RECURSIVE base AS (SELECT id, {TXT('parent_id')} AS parent FROM ucs_frameworks),
-walk(id, root, parent, depth, path) AS (SELECT id, id, parent, 0, id FROM base UNION ALL SELECT w.id, b.id, b.parent, w.depth + 1, concat(b.id, '/', w.path) FROM walk w JOIN base b ON b.id = w.parent WHERE w.depth < 8 AND w.parent <> w.id)
+walk(id, root, parent, depth, path) AS (SELECT id, id, parent, 0, id FROM base UNION ALL SELECT w.id, b.id, b.parent, w.depth + 1, concat(b.id, '/', w.path) FROM walk w JOIN base b ON b.id = w.parent WHERE w.depth < 60 AND w.parent <> w.id)
 SELECT id, root, CAST(depth AS BIGINT) AS depth, path FROM walk WHERE parent IS NULL OR parent NOT IN (SELECT id FROM base)""")
 def gr_hierarchy(v):
     return G.ancestors(v.ucs_frameworks)
@@ -256,12 +256,17 @@ _VAL_GROUPS = " UNION ALL ".join([
     *_edge_rules("group_edges", R.GROUP_EDGE_TYPES, reason=False),
     *_ends("group_edges", "group_nodes"),
     f"SELECT 'no_semantic_edge', 'E', 'node', id, '' FROM group_nodes WHERE type = 'knowledge_group' AND {TXT('note')} IS NULL AND {_TOUCH}",
+    f"SELECT 'requires_cycle', 'E', 'graph', '', '' FROM ({WALKS('group_edges')} SELECT 1 FROM way WHERE a = b LIMIT 1)",
 ])
 
 
+def _val_groups(v):
+    return R.validate_groups(v.group_nodes, v.group_edges, G.requires_cycle(v.group_edges))
+
+
 @query(_VAL_GROUPS)
 def val_groups(v):
-    return R.validate_groups(v.group_nodes, v.group_edges)
+    return _val_groups(v)
 
 
 @query(f"""WITH sem AS (SELECT source AS id FROM group_edges WHERE type <> 'part_of' UNION SELECT target FROM group_edges WHERE type <> 'part_of'),
@@ -276,4 +281,4 @@ z AS (SELECT *, CASE WHEN error_count > 0 THEN greatest(0, raw - least(30, error
 SELECT domains, groups, edges, semantic, proven, blocked_groups, error_count, round(semantic / groups, 3) AS density, round(a1, 2) AS part_source_refs, round(a2, 2) AS part_points, round(a3, 2) AS part_summary, round(a4, 2) AS part_progression, round(a5, 2) AS part_teaching, round(a6, 2) AS part_relations, round(a7, 2) AS part_evidence, round(a8, 2) AS part_review,
  score, error_count = 0 AND blocked_groups = 0 AND na + ea = nodes + edges AND proven = semantic AS release_ready, CASE WHEN score >= 90 THEN 'A' WHEN score >= 80 THEN 'B' WHEN score >= 70 THEN 'C' WHEN score >= 60 THEN 'D' ELSE 'F' END AS grade FROM z""")
 def agg_quality(v):
-    return K.quality(v.group_nodes, v.group_edges, R.summary(R.validate_groups(v.group_nodes, v.group_edges)))
+    return K.quality(v.group_nodes, v.group_edges, R.summary(_val_groups(v)))

@@ -39,7 +39,8 @@ UNION ALL SELECT 'part_of', concat('supplier:', s_suppkey), CASE WHEN s_suppkey
 UNION ALL SELECT 'extends', concat('supplier:', s_suppkey), concat('nation:', s_nationkey), s_suppkey, CAST(2 AS BIGINT) FROM @supplier
 UNION ALL SELECT 'part_of', concat(CASE WHEN c_custkey % 19 = 0 THEN 'client:' ELSE 'customer:' END, c_custkey), concat('nation:', c_nationkey), c_custkey, CAST(3 AS BIGINT) FROM @customer
 UNION ALL SELECT 'related_to', concat('part:', l_partkey), concat('supplier:', l_suppkey), l_partkey * 7 + l_suppkey, CAST(4 AS BIGINT) FROM @lineitem
-UNION ALL SELECT CASE WHEN o_orderkey % 31 = 0 THEN 'solves' ELSE 'assesses' END, CASE WHEN o_orderkey % 3 = 0 THEN concat('customer:', o_custkey) ELSE concat('order:', o_orderkey) END, concat('customer:', o_custkey), o_orderkey, CAST(5 AS BIGINT) FROM @orders""",
+UNION ALL SELECT CASE WHEN o_orderkey % 31 = 0 THEN 'solves' ELSE 'assesses' END, CASE WHEN o_orderkey % 3 = 0 THEN concat('customer:', o_custkey) ELSE concat('order:', o_orderkey) END, concat('customer:', o_custkey), o_orderkey, CAST(5 AS BIGINT) FROM @orders
+UNION ALL SELECT 'requires', concat('part:', p_partkey), concat('part:', CASE WHEN p_partkey = 1 THEN 8 ELSE CAST(floor(p_partkey / 2) AS BIGINT) END), p_partkey, CAST(6 AS BIGINT) FROM @part""",
     "kg_edges": f"""
 SELECT concat('e', grp, '-', k) AS id, type, source, target, CASE WHEN k % 11 = 0 THEN ' ' ELSE concat('seen in ', grp) END AS evidence, CASE WHEN k % 22 = 0 THEN 'by rule' ELSE NULL END AS reason,
   {_REFS} AS source_refs, {_CONF} AS confidence, {_STATE} AS review_state, grp * 1000000000000 + k AS pos, k FROM kg_links""",
@@ -59,6 +60,7 @@ SELECT concat('concept:', p_partkey) AS id, p_name AS name, p_brand AS subject,
 SELECT DISTINCT concat('std:', p_size) AS id, concat('fw:', p_size % 12) AS framework_id, CASE WHEN p_size % 10 = 0 THEN 'cur:none' ELSE 'cur:main' END AS curriculum_id, CASE WHEN p_size % 8 = 0 THEN NULL ELSE 'book' END AS source, concat('Statement ', p_size) AS statement, CAST(p_size AS BIGINT) AS pos FROM @part""",
     "ucs_frameworks": """
 SELECT concat('fw:', n_nationkey) AS id, CASE WHEN n_nationkey % 5 = 0 THEN '' WHEN n_nationkey % 7 = 0 THEN 'fw:none' ELSE concat('fw:', CAST(floor(n_nationkey / 2) AS BIGINT)) END AS parent_id, 'cur:main' AS curriculum_id, n_name AS name, CAST(n_nationkey AS BIGINT) AS pos FROM @nation""",
+    "ucs_curricula": "SELECT 'cur:main' AS id, 'Main' AS name FROM @region WHERE r_regionkey = 0",
     "ucs_competencies": "SELECT concat('comp:', r_regionkey) AS id, r_name AS name, 'general' AS subject, concat('Ability ', r_name) AS description, CAST(NULL AS DOUBLE) AS confidence, CAST(r_regionkey AS BIGINT) AS pos FROM @region",
     "ucs_evidence": """
 SELECT concat('ev:', c_custkey) AS id, CASE WHEN c_custkey % 23 = 0 THEN '' WHEN c_custkey % 29 = 0 THEN 'concept:none' ELSE concat('concept:', c_custkey) END AS concept_id, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END AS subject,

@@ -184,3 +184,19 @@ def test_pairs_are_exported_once(spark):
     n, e = groups(spark, links=[*LINKS, edge("again", "g1", "g2", 9, type="extends")])
     kept, others = K.export_edges(e, K.chosen_nodes(n), R.GROUP_EDGE_TYPES)
     assert kept.count() == 5 and [r.id for r in others.collect()] == ["again"]
+
+
+def test_long_chains_and_cycles_of_any_length(spark):
+    chain = [(i, i + 1) for i in range(40)]
+    ring = [(100 + i, 100 + (i + 1) % 9) for i in range(9)]
+    edges = spark.createDataFrame([(str(a), str(b), "requires") for a, b in chain + ring], "source string, target string, type string")
+    assert G.requires_cycle(edges).count() == 1
+    assert G.requires_cycle(edges.where("int(source) < 100")).count() == 0
+    assert G.requires_cycle(edges.withColumn("type", F.lit("extends"))).count() == 0
+    assert found(spark, edges=[edge("e1", "a", "b"), edge("e2", "b", "c"), edge("e3", "c", "a")], cycle=G.requires_cycle(frames(spark, BASE_N, [edge("e1", "a", "b"), edge("e2", "b", "c"), edge("e3", "c", "a")])[1])) == {"requires_cycle": 1}
+
+
+def test_deep_hierarchies_and_rows_on_a_cycle(spark):
+    rows = [(f"n{i}", f"n{i - 1}" if i else "") for i in range(14)] + [("x", "y"), ("y", "x"), ("z", "x")]
+    got = {r.id: (r.root, r.depth) for r in G.ancestors(spark.createDataFrame(rows, "id string, parent_id string")).collect()}
+    assert got == {f"n{i}": ("n0", i) for i in range(14)}

@@ -109,14 +109,15 @@ def curriculum(spark, **change):
         "evidence": ([("v1", "c1", "", "shows", None, 0), ("v2", "c2", "", "shows", 0.5, 1)], "id string, concept_id string, subject string, statement string, confidence double, pos bigint"),
         "relations": ([("r", "prerequisite_for", "c1", "c2", "why", 0.9, None, 0)], "id string, type string, source_id string, target_id string, rationale string, confidence double, hint string, pos bigint"),
     }
+    parts["curricula"] = ([("cur:main", "Main")], "id string, name string")
     for k, rows in change.items():
         parts[k] = (rows, parts[k][1])
     return [spark.createDataFrame(*p) for p in parts.values()]
 
 
 def test_curriculum_export(spark):
-    c, s, f, k, v, r = curriculum(spark)
-    assert C.validate(c, s, f, k, v, r).count() == 0
+    c, s, f, k, v, r, u = curriculum(spark)
+    assert C.validate(c, s, f, k, v, r, u).count() == 0
     nodes = C.concept_nodes(c, "ds").unionByName(C.competency_nodes(k, "ds")).unionByName(C.evidence_nodes(v, c, "ds"))
     assert sorted(x.type for x in nodes.collect()) == ["assessment", "assessment", "concept", "concept", "skill"]
     assert {x.id: x.confidence for x in nodes.collect()} == {"c1": 0.9, "c2": 0.82, "k": 0.8, "v1": 0.75, "v2": 0.5}
@@ -132,6 +133,7 @@ def test_curriculum_export(spark):
         ({"relations": [("r", "requires", "c1", "c2", "", 0.5, None, 0)]}, "no_rationale"),
         ({"standards": [("s", "f", "cur:main", None, "State", 0)]}, "no_source"),
         ({"standards": [("s", "f", "cur:x", "book", "State", 0)]}, "curriculum_id"),
+        ({"curricula": [("cur:y", "Other")]}, "curriculum_id"),
         ({"frameworks": [("f", "up", "cur:main", "F", 0)]}, "parent_id"),
         ({"competencies": [("c1", "Skill", "math", "able", None, 0)]}, "duplicate_id"),
         ({"competencies": [("k", "Skill", "math", "able", 1.5, 0)]}, "confidence_range"),
