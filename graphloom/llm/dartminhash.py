@@ -31,6 +31,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -160,14 +161,43 @@ def sketch(docs: DataFrame, text: str, bands: int = BANDS, band_rows: int = BAND
     return docs.mapInArrow(run, schema_of(docs) + ", _class binary, _n bigint, _bands array<bigint>")
 
 
+def _sieve(places: DataFrame) -> Broadcast:
+    """The column ``p`` of ``places``, numbers below ``SIEVE``, as bits: 4 MB, however many there are."""
+    at = F.col("p") + 1
+    bits = places.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m"))
+    table = np.zeros(SIEVE >> 3, np.uint8)
+    for r in bits.collect():
+        m = np.frombuffer(bytes(r.m), np.uint8)
+        table[(r.b - 1) * 4096 : (r.b - 1) * 4096 + len(m)] = m
+    return places.sparkSession.sparkContext.broadcast(table)
+
+
+def _passes(sieve: Broadcast, p: np.ndarray) -> np.ndarray:
+    return (sieve.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def _stars(sketches: DataFrame, folder: str) -> DataFrame:
     """``_lead, _class``: each class with the leaders of its buckets, and each leader with itself."""
     each = sketches.select("_class", F.explode("_bands").alias("_band"))
     # copies of a text are one class: a bucket counts if it has two of them
     name = F.xxhash64("_class")
     shared = each.groupBy("_band").agg(F.min(name).alias("x"), F.max(name).alias("y")).where("x != y").select("_band")
+    shared = cut(shared, "shared", folder)
+    sieve = _sieve(shared.select(F.pmod("_band", F.lit(SIEVE)).alias("p")))
+
+    def sifted(batches):
+        for batch in batches:
+            names, lists = batch.columns
+            band = lists.flatten().to_numpy()
+            keep = _passes(sieve, band & (SIEVE - 1))
+            if keep.any():
+                row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(row[keep])), pa.array(band[keep])], names=["_class", "_band"])
+
+    # most bands are of one class and need not be sent again
+    near = sketches.select("_class", "_bands").mapInArrow(sifted, "_class binary, _band bigint")
     # tables on both sides of the joins on bands, so that a hot bucket can be split
-    members = cut(each.join(cut(shared, "shared", folder), "_band").distinct(), "members", folder)
+    members = cut(near.join(shared, "_band").distinct(), "members", folder)
     sizes = members.groupBy("_band").agg(F.count("*").alias("n"))
     members = cut(members.join(sizes, "_band"), "sized", folder)
     weight = members.groupBy("_class").agg(F.sum("n").alias("w"))
@@ -179,18 +209,12 @@ def _texts(sketches: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
     """``_class, _n, _z``: the packed text of each wanted class.  A sieve of fixed size, 4 MB of
     bits, keeps most others from being sent."""
     place = F.pmod(F.xxhash64("_class"), F.lit(SIEVE))
-    bits = wanted.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
-    table = np.zeros(1 << 22, np.uint8)
-    for r in bits.collect():
-        m = np.frombuffer(bytes(r.m), np.uint8)
-        table[(r.b - 1) * 4096 : (r.b - 1) * 4096 + len(m)] = m
-    sieve = sketches.sparkSession.sparkContext.broadcast(table)
+    sieve = _sieve(wanted.select(place.alias("p")))
 
     def pick(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            p = batch.column(3).to_numpy()
-            keep = (sieve.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
+            keep = _passes(sieve, batch.column(3).to_numpy())
             if keep.any():
                 names, n, texts, _ = batch.filter(pa.array(keep)).columns
                 yield pa.RecordBatch.from_arrays([names, n, pa.array([pack(t.as_buffer()) for t in texts.cast(pa.large_binary())], pa.binary())], names=["_class", "_n", "_z"])
