@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import first_text, quality_grade, ratio, text
+from graphloom.functions.text import first_text, quality_grade, ratio, slug_base, text
 from graphloom.operators.graph import degrees, first_of, repeats, review_state, with_both_ends
 from graphloom.operators.rules import refs, state
 
@@ -101,3 +101,30 @@ def product_nodes(nodes: DataFrame, placed: DataFrame) -> DataFrame:
     points = F.transform(refs("points"), lambda p: first_text(p))
     own = nodes.select("id", first_text(F.col("name"), F.col("id")).alias("name"), "type", "domain", definition().alias("definition"), F.array_join(F.slice(points, 1, 8), ",").alias("skills"))
     return own.join(placed.select("id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y")), "id")
+
+
+def group_id(domain: Column, theme: Column, name: Column) -> Column:
+    """The id of a group that is seeded by domain, theme and name."""
+    return F.concat(F.lit("kg:"), domain, F.lit(":"), slug_base(theme), F.lit(":"), slug_base(name))
+
+
+def _names(nodes: DataFrame) -> DataFrame:
+    return nodes.where("type = 'knowledge_group'").groupBy("name").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+
+
+def repeated_names(nodes: DataFrame) -> DataFrame:
+    """``name, n`` of names that several groups have: none of them can stand for a group."""
+    return _names(nodes).where("n > 1").select("name", "n")
+
+
+def named_edges(relations: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, relations left over) of relations between names: ``source_name,
+    target_name, type`` and what else they have.  A relation is left over if one
+    of its names is of no group or of several."""
+    known = _names(nodes).where("n = 1").select("name", "id")
+    ends = relations
+    for end in ("source", "target"):
+        ends = ends.join(known.select(F.col("name").alias(f"{end}_name"), F.col("id").alias(end)), f"{end}_name", "left")
+    made = F.concat(F.lit("kgrel:"), "type", F.lit(":"), slug_base(F.col("source_name")), F.lit(":"), slug_base(F.col("target_name")))
+    both = F.col("source").isNotNull() & F.col("target").isNotNull()
+    return ends.where(both).withColumn("id", made).drop("source_name", "target_name"), ends.where(~both).select(*relations.columns)

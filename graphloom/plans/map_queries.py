@@ -282,3 +282,27 @@ SELECT domains, groups, edges, semantic, proven, blocked_groups, error_count, ro
  score, error_count = 0 AND blocked_groups = 0 AND na + ea = nodes + edges AND proven = semantic AS release_ready, CASE WHEN score >= 90 THEN 'A' WHEN score >= 80 THEN 'B' WHEN score >= 70 THEN 'C' WHEN score >= 60 THEN 'D' ELSE 'F' END AS grade FROM z""")
 def agg_quality(v):
     return K.quality(v.group_nodes, v.group_edges, R.summary(_val_groups(v)))
+
+
+@query(f"SELECT id, concat('kg:', domain, ':', {SLUGB('summary')}, ':', {SLUGB('name')}) AS group_id FROM group_nodes WHERE type = 'knowledge_group'")
+def fn_group_id(v):
+    return v.group_nodes.where("type = 'knowledge_group'").select("id", K.group_id(F.col("domain"), F.col("summary"), F.col("name")).alias("group_id"))
+
+
+@query("SELECT name, count(*) AS n FROM group_nodes WHERE type = 'knowledge_group' GROUP BY 1 HAVING count(*) > 1")
+def gr_seed_unique(v):
+    return K.repeated_names(v.group_nodes)
+
+
+@query(f"""WITH named AS (SELECT name, min(id) AS id FROM group_nodes WHERE type = 'knowledge_group' GROUP BY 1 HAVING count(*) = 1),
+rel AS (SELECT l_orderkey AS k, l_linenumber AS line, CASE l_linenumber % 2 WHEN 0 THEN 'requires' ELSE 'extends' END AS type, a.p_name AS source_name, CASE WHEN l_orderkey % 9 = 0 THEN 'no such group' ELSE b.p_name END AS target_name FROM lineitem JOIN part a ON l_partkey = a.p_partkey JOIN part b ON l_suppkey = b.p_partkey)
+SELECT k, line, type, s.id AS source, t.id AS target, CASE WHEN s.id IS NOT NULL AND t.id IS NOT NULL THEN concat('kgrel:', type, ':', {SLUGB('source_name')}, ':', {SLUGB('target_name')}) END AS id FROM rel JOIN named s ON s.name = source_name JOIN named t ON t.name = target_name
+UNION ALL SELECT k, line, type, NULL, NULL, NULL FROM rel WHERE source_name NOT IN (SELECT name FROM named) OR target_name NOT IN (SELECT name FROM named)""")
+def jn_name_to_id(v):
+    name = v.part.select("p_partkey", "p_name")
+    rel = v.lineitem.join(name.toDF("l_partkey", "source_name"), "l_partkey").join(name.toDF("l_suppkey", "there"), "l_suppkey")
+    target = F.when(F.col("l_orderkey") % 9 == 0, F.lit("no such group")).otherwise(F.col("there"))
+    kind = F.when(F.col("l_linenumber") % 2 == 0, F.lit("requires")).otherwise(F.lit("extends"))
+    edges, rest = K.named_edges(rel.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), kind.alias("type"), "source_name", target.alias("target_name")), v.group_nodes)
+    none = F.lit(None).cast("string")
+    return edges.select("k", "line", "type", "source", "target", "id").unionByName(rest.select("k", "line", "type", none.alias("source"), none.alias("target"), none.alias("id")))

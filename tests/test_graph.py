@@ -200,3 +200,14 @@ def test_deep_hierarchies_and_rows_on_a_cycle(spark):
     rows = [(f"n{i}", f"n{i - 1}" if i else "") for i in range(14)] + [("x", "y"), ("y", "x"), ("z", "x")]
     got = {r.id: (r.root, r.depth) for r in G.ancestors(spark.createDataFrame(rows, "id string, parent_id string")).collect()}
     assert got == {f"n{i}": ("n0", i) for i in range(14)}
+
+
+def test_relations_between_names(spark):
+    nodes = spark.createDataFrame([("g1", "knowledge_group", "Whole Numbers"), ("g2", "knowledge_group", "分数"), ("g3", "knowledge_group", "twice"), ("g4", "knowledge_group", "twice"), ("d", "domain", "Area")], "id string, type string, name string")
+    relations = spark.createDataFrame([("Whole Numbers", "分数", "requires"), ("twice", "分数", "extends"), ("分数", "Area", "extends"), ("分数", None, "extends")], "source_name string, target_name string, type string")
+    edges, rest = K.named_edges(relations, nodes)
+    assert [(r.id, r.source, r.target) for r in edges.collect()] == [("kgrel:requires:whole-numbers:分数", "g1", "g2")]
+    assert {(r.source_name, r.target_name) for r in rest.collect()} == {("twice", "分数"), ("分数", "Area"), ("分数", None)}
+    assert [tuple(r) for r in K.repeated_names(nodes).collect()] == [("twice", 2)]
+    own = nodes.where("id = 'g1'").select(K.group_id(F.lit("number"), F.lit(" 数与 运算 "), F.col("name")).alias("x"))
+    assert own.first().x == "kg:number:数与-运算:whole-numbers"
