@@ -294,15 +294,22 @@ def gr_seed_unique(v):
     return K.repeated_names(v.group_nodes)
 
 
-@query(f"""WITH named AS (SELECT name, min(id) AS id FROM group_nodes WHERE type = 'knowledge_group' GROUP BY 1 HAVING count(*) = 1),
-rel AS (SELECT l_orderkey AS k, l_linenumber AS line, CASE l_linenumber % 2 WHEN 0 THEN 'requires' ELSE 'extends' END AS type, a.p_name AS source_name, CASE WHEN l_orderkey % 9 = 0 THEN 'no such group' ELSE b.p_name END AS target_name FROM lineitem JOIN part a ON l_partkey = a.p_partkey JOIN part b ON l_suppkey = b.p_partkey)
-SELECT k, line, type, s.id AS source, t.id AS target, CASE WHEN s.id IS NOT NULL AND t.id IS NOT NULL THEN concat('kgrel:', type, ':', {SLUGB('source_name')}, ':', {SLUGB('target_name')}) END AS id FROM rel JOIN named s ON s.name = source_name JOIN named t ON t.name = target_name
+_TITLE = "CASE WHEN @.p_size % 4 = 0 THEN @.p_name ELSE concat(@.p_name, ' ', @.p_partkey) END"
+
+
+@query(f"""WITH titled AS (SELECT concat('group:', p_partkey) AS id, {_TITLE.replace('@', 'part')} AS name FROM part),
+named AS (SELECT name, min(id) AS id FROM titled GROUP BY 1 HAVING count(*) = 1),
+rel AS (SELECT l_orderkey AS k, l_linenumber AS line, CASE l_linenumber % 2 WHEN 0 THEN 'requires' ELSE 'extends' END AS type, {_TITLE.replace('@', 'a')} AS source_name, CASE WHEN l_orderkey % 9 = 0 THEN 'no such group' ELSE {_TITLE.replace('@', 'b')} END AS target_name FROM lineitem JOIN part a ON l_partkey = a.p_partkey JOIN part b ON l_suppkey = b.p_partkey)
+SELECT k, line, type, s.id AS source, t.id AS target, concat('kgrel:', type, ':', {SLUGB('source_name')}, ':', {SLUGB('target_name')}) AS id FROM rel JOIN named s ON s.name = source_name JOIN named t ON t.name = target_name
 UNION ALL SELECT k, line, type, NULL, NULL, NULL FROM rel WHERE source_name NOT IN (SELECT name FROM named) OR target_name NOT IN (SELECT name FROM named)""")
 def jn_name_to_id(v):
-    name = v.part.select("p_partkey", "p_name")
-    rel = v.lineitem.join(name.toDF("l_partkey", "source_name"), "l_partkey").join(name.toDF("l_suppkey", "there"), "l_suppkey")
+    # three in four groups have a name of their own
+    title = lambda size, name, key: F.when(size % 4 == 0, name).otherwise(F.concat_ws(" ", name, key))
+    nodes = v.group_nodes.where("type = 'knowledge_group'").withColumn("name", title(F.col("ord"), F.col("name"), F.substring("id", 7, 99)))
+    parts = v.part.select("p_partkey", title(F.col("p_size"), F.col("p_name"), F.col("p_partkey")).alias("title"))
+    rel = v.lineitem.join(parts.toDF("l_partkey", "source_name"), "l_partkey").join(parts.toDF("l_suppkey", "there"), "l_suppkey")
     target = F.when(F.col("l_orderkey") % 9 == 0, F.lit("no such group")).otherwise(F.col("there"))
     kind = F.when(F.col("l_linenumber") % 2 == 0, F.lit("requires")).otherwise(F.lit("extends"))
-    edges, rest = K.named_edges(rel.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), kind.alias("type"), "source_name", target.alias("target_name")), v.group_nodes)
+    edges, rest = K.named_edges(rel.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), kind.alias("type"), "source_name", target.alias("target_name")), nodes)
     none = F.lit(None).cast("string")
     return edges.select("k", "line", "type", "source", "target", "id").unionByName(rest.select("k", "line", "type", none.alias("source"), none.alias("target"), none.alias("id")))
