@@ -475,3 +475,18 @@ def qij_delivery(v):
 @query("SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY 1, 2")
 def qij_items(v):
     return v.conversations.groupBy("conv_id", "role").agg(F.count("*").alias("n"))
+
+
+_PACK = """concat('{"schema": "', CASE WHEN p_partkey % 5 = 0 THEN 'other' ELSE 'pack.v1' END, '", "kind": ', CASE WHEN p_partkey % 7 = 0 THEN '7' ELSE '"learning_pack"' END, ', "id": ', CASE WHEN p_partkey % 3 = 0 THEN '12' ELSE '"p"' END, ', "title": "', CASE WHEN p_partkey % 4 = 0 THEN ' ' ELSE p_name END, '"', CASE WHEN p_partkey % 6 = 0 THEN '' ELSE ', "version": "1"' END, ', "kg_refs": ', CASE p_partkey % 8 WHEN 0 THEN '[]' WHEN 1 THEN '"a"' ELSE '["a", 1]' END, ', "objectives": ["o"], "tasks": ', CASE WHEN p_partkey % 9 = 0 THEN 'null' ELSE '[{"t": 1}]' END, ', "misconceptions": ', CASE p_partkey % 10 WHEN 0 THEN 'null' WHEN 1 THEN '{}' ELSE '[]' END, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE '}' END)"""
+_HOLDS = {
+    "schema": "schema <> 'pack.v1'",
+    "kind": "json_extract_string(raw, '$.kind') <> 'learning_pack'",
+    **{f: f"coalesce(json_type(raw, '$.{f}'), '') <> 'VARCHAR' OR trim(json_extract_string(raw, '$.{f}')) = ''" for f in D.PACK_TEXTS},
+    **{f: f"coalesce(json_type(raw, '$.{f}'), '') <> 'ARRAY' OR json_array_length(raw, '$.{f}') = 0" for f in D.PACK_LISTS},
+    **{f: f"json_type(raw, '$.{f}') NOT IN ('NULL', 'ARRAY')" for f in D.PACK_OPTIONAL},
+}
+
+
+@query(f"WITH raws AS (SELECT p_partkey AS pack, {_PACK} AS raw FROM part), packs AS (SELECT pack, raw, json_extract_string(raw, '$.schema') AS schema FROM raws WHERE json_valid(raw)) SELECT pack, 'object' AS problem FROM raws WHERE NOT json_valid(raw) UNION ALL " + " UNION ALL ".join(f"SELECT pack, '{f}' FROM packs WHERE {c}" for f, c in _HOLDS.items()))
+def val_pack(v):
+    return D.pack_rules(v.part.select(F.col("p_partkey").alias("pack"), F.try_parse_json(F.expr(_PACK)).alias("v")), "pack.v1")

@@ -270,3 +270,22 @@ def report(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+#: Fields of a learning pack that hold text, lists with something in them, and lists that may be left out.
+PACK_TEXTS = ("id", "title", "version")
+PACK_LISTS = ("kg_refs", "objectives", "tasks")
+PACK_OPTIONAL = ("misconceptions", "remediations")
+
+
+def pack_rules(packs: DataFrame, schema: str, kind: str = "learning_pack") -> DataFrame:
+    """``pack, problem`` for packs of ``pack, v``: the names of the fields that
+    break a rule, or ``object`` where ``v`` holds no object."""
+    known = lambda f: F.schema_of_variant(field("v", f, "variant"))
+    holds = {f: field("v", f) == value for f, value in (("schema", schema), ("kind", kind))}
+    holds |= {f: (known(f) == "STRING") & text(field("v", f)).isNotNull() for f in PACK_TEXTS}
+    holds |= {f: known(f).like("ARRAY%") & (F.size(field("v", f, "array<variant>")) > 0) for f in PACK_LISTS}
+    holds |= {f: F.coalesce(known(f), F.lit("VOID")).rlike("^(VOID$|ARRAY)") for f in PACK_OPTIONAL}
+    broken = F.array_compact(F.array(*(F.when(~F.coalesce(c, F.lit(False)), F.lit(f)) for f, c in holds.items())))
+    is_object = F.coalesce(F.schema_of_variant("v").like("OBJECT%"), F.lit(False))
+    return packs.select("pack", F.explode(F.when(is_object, broken).otherwise(F.array(F.lit("object")))).alias("problem"))

@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,3 +231,12 @@ def test_grading(spark):
     ).first()
     assert tuple(r) == (False, True, 1.0, 0.0, True, False, True, None, 5.0)
     assert Q.delivered(["id", "answer_key"]) == ["id"]
+
+
+def test_pack_rules(spark):
+    good = '{"schema": "s", "kind": "learning_pack", "id": "a", "title": "t", "version": "1", "kg_refs": [1], "objectives": ["o"], "tasks": [{}], "remediations": null}'
+    bad = '{"schema": 1, "id": " ", "title": 3, "kg_refs": [], "objectives": "o", "tasks": null, "misconceptions": "m", "remediations": []}'
+    rows = [("good", good), ("bad", bad), ("list", "[1]"), ("broken", "{"), ("none", None)]
+    packs = spark.createDataFrame(rows, "pack string, raw string").select("pack", F.try_parse_json("raw").alias("v"))
+    got = Counter(r.pack for r in D.pack_rules(packs, "s").collect())
+    assert got == {"bad": 9, "list": 1, "broken": 1, "none": 1}
