@@ -40,4 +40,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-SQL = {"op2_secret_ledger": _SECRETS, "op6_decontamination": _DECONTAMINATION}
+#: CRC-32 byte by byte over the distinct words, by a table made from the polynomial.
+_IMPORTANCE = f"""
+WITH tab AS MATERIALIZED (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x::BIGINT, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS tab),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM (SELECT doc_id, {_LOWER} AS lower_ascii FROM documents)),
+b AS MATERIALIZED (SELECT unnest({_WORDS}) AS w FROM (SELECT {_LOWER} AS lower_ascii FROM benchmark)),
+dw AS MATERIALIZED (SELECT r, unnest(w) AS w FROM d),
+known AS MATERIALIZED (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM b)),
+spelt AS (SELECT w, hex(w) AS h FROM known),
+crc AS MATERIALIZED (SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || h[2 * i - 1:2 * i])::BIGINT)), lambda c, x: xor(tab[(xor(c, x) & 255) + 1], c >> 8)), 4294967295::BIGINT) % 10000 AS k FROM spelt, tab),
+s AS (SELECT k, count(*) AS s FROM dw JOIN crc USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN crc USING (w) GROUP BY k),
+g AS (SELECT k, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (k)),
+m AS (SELECT r, floor(sum(gain) / count(*))::BIGINT AS weight FROM dw JOIN crc USING (w) JOIN g USING (k) GROUP BY r),
+scored AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN m USING (r)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank FROM placed
+"""
+
+SQL = {"op2_secret_ledger": _SECRETS, "op6_decontamination": _DECONTAMINATION, "op11_importance_resampling": _IMPORTANCE}

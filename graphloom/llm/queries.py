@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over whole tables."""
+"""The operators as registered queries over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import bpe, cotrain, dac, dartminhash, decontaminate, gru, secrets, shards, spotsigs, suffix
+from graphloom.llm import bpe, cotrain, dac, dartminhash, decontaminate, gru, importance, secrets, shards, spotsigs, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,8 +62,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_dart_minhash, op2_secret_ledger, op3_byte_bpe, op4_cotrained_quality, op5_suffix_radix, op6_decontamination, op7_gru_score, op8_jump_shards, op9_spotsigs, op10_token_files)
+    own = (op1_dart_minhash, op2_secret_ledger, op3_byte_bpe, op4_cotrained_quality, op5_suffix_radix, op6_decontamination, op7_gru_score, op8_jump_shards, op9_spotsigs, op10_token_files, op11_importance_resampling)
     return {f.__name__: f for f in own}
 
 
