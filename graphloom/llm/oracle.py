@@ -59,4 +59,15 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY s
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank FROM placed
 """
 
-SQL = {"op2_secret_ledger": _SECRETS, "op6_decontamination": _DECONTAMINATION, "op11_importance_resampling": _IMPORTANCE}
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LINES = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS MATERIALIZED (SELECT r, doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM d),
+k AS MATERIALIZED (SELECT *, translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+common AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT r) >= 5),
+marked AS (SELECT r, i, line, keeper IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM k LEFT JOIN common USING (key)),
+kept AS (SELECT r, count(*) FILTER (gone) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS text FROM marked GROUP BY r)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256 FROM d JOIN kept USING (r)
+"""
+
+SQL = {"op2_secret_ledger": _SECRETS, "op6_decontamination": _DECONTAMINATION, "op11_importance_resampling": _IMPORTANCE, "op12_line_dedup": _LINES}

@@ -4,12 +4,12 @@ import hashlib
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from graphloom.llm import importance
+from graphloom.llm import importance, lines
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -74,3 +74,84 @@ def test_run_lengths():
     value, n = importance.run_lengths(np.array([5, 1, 5, 5, 0], np.uint16))
     assert value.tolist() == [0, 1, 5] and n.tolist() == [1, 1, 3]
     assert importance.run_lengths(np.zeros(0, np.uint16))[0].tolist() == []
+
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def stripped(rows, least_chars, least_docs):
+    """Rows as (id, lines, dropped, text) after the removal, in plain Python."""
+    split = [(i, (t or "").split("\n")) for i, t in rows]
+    holders = defaultdict(list)
+    for r, (i, own) in enumerate(split):
+        for k in {lower(x.strip(WHITE)) for x in own}:
+            if len(k) >= least_chars:
+                holders[k].append(r)
+    out = []
+    for i, own in split:
+        kept = []
+        for x in own:
+            have = holders.get(lower(x.strip(WHITE)), [])
+            ids = [split[r][0] for r in have if split[r][0] is not None]
+            if len(have) < least_docs or i == (max(ids) if ids else None):
+                kept.append(x)
+        out.append((i, len(own), len(own) - len(kept), "\n".join(kept)))
+    return out
+
+
+def with_lines(rows):
+    shared = ["A line that many documents have, with É and 漢字, and a number 12345", "another shared line of the corpus that is long enough to count", "short"]
+    out = []
+    for k, r in enumerate(rows):
+        t = r[1]
+        if t and k % 2:
+            t = f"{t}\n \t{shared[0].upper() if k % 4 == 1 else shared[0]}\r\nown {k}\n{shared[0]}\n{shared[2]}"
+        if t and k % 3 == 0:
+            t = f"{shared[1]}\n{t}\n{shared[1]}\n"
+        out.append((*r[:1], t, *r[2:]))
+    return out
+
+
+@pytest.fixture(scope="module")
+def lined(spark, docs, rows):
+    own = with_lines(rows)
+    return spark.createDataFrame(own, docs.schema).repartition(3), own
+
+
+@pytest.mark.parametrize(("least_chars", "least_docs"), [(40, 5), (1, 2), (40, 1000)])
+def test_line_removal(lined, least_chars, least_docs):
+    table, own = lined
+    want = stripped([r[:2] for r in own], least_chars, least_docs)
+    got = lines.digests(table, least_chars=least_chars, least_docs=least_docs)
+    assert Counter(map(tuple, got.collect())) == Counter((i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in want)
+    whole = lines.remove_lines(table, least_chars=least_chars, least_docs=least_docs)
+    assert whole.columns == table.columns
+    texts = Counter((w[0], None if r[1] is None else w[3], r[5]) for w, r in zip(want, own))
+    assert Counter((r.doc_id, r.text, r["_row"]) for r in whole.collect()) == texts
+
+
+def test_line_removal_in_small_shards(lined, monkeypatch):
+    table, own = lined
+    monkeypatch.setattr(lines, "SHARD_KEYS", 3)
+    monkeypatch.setattr(lines, "COPY_PROBES", 4)
+    want = stripped([r[:2] for r in own], 1, 2)
+    got = lines.digests(table, least_chars=1, least_docs=2)
+    assert Counter(tuple(r)[:3] for r in got.collect()) == Counter(w[:3] for w in want)
+
+
+def test_line_removal_of_nothing(empty):
+    assert lines.digests(empty).count() == 0
+    assert lines.remove_lines(empty).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 20_000])
+def test_perfect_hash(n):
+    rng = np.random.default_rng(n)
+    a, b = (rng.integers(0, 1 << 63, 2 * n).astype(np.uint64) for _ in range(2))
+    a[: n // 2] = a[0] if n else 0  # equal in one word only
+    index = lines.PerfectHash.of(a[:n], b[:n])
+    assert sorted(index(a[:n], b[:n])) == list(range(n))
+    arrays = lines.LineArrays.unpacked(lines.LineArrays.of(a[:n], b[:n], np.arange(1, n + 1), -np.arange(n)).packed())
+    counts, keepers = arrays.probe(a, b)
+    assert counts[:n].tolist() == list(range(1, n + 1)) and keepers[:n].tolist() == (-np.arange(n)).tolist()
+    assert not counts[n:].any()
