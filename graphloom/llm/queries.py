@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import bpe, cotrain, dac, dartminhash, decontaminate, gru, importance, lines, secrets, shards, spotsigs, suffix
+from graphloom.llm import bpe, conversations, cotrain, dac, dartminhash, decontaminate, gru, importance, lines, secrets, shards, spotsigs, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,8 +70,12 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digests(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_dart_minhash, op2_secret_ledger, op3_byte_bpe, op4_cotrained_quality, op5_suffix_radix, op6_decontamination, op7_gru_score, op8_jump_shards, op9_spotsigs, op10_token_files, op11_importance_resampling, op12_line_dedup)
+    own = (op1_dart_minhash, op2_secret_ledger, op3_byte_bpe, op4_cotrained_quality, op5_suffix_radix, op6_decontamination, op7_gru_score, op8_jump_shards, op9_spotsigs, op10_token_files, op11_importance_resampling, op12_line_dedup, op13_conversation_repair)
     return {f.__name__: f for f in own}
 
 

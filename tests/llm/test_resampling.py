@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from graphloom.llm import importance, lines
+from graphloom.llm import conversations, importance, lines
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -155,3 +156,127 @@ def test_perfect_hash(n):
     counts, keepers = arrays.probe(a, b)
     assert counts[:n].tolist() == list(range(1, n + 1)) and keepers[:n].tolist() == (-np.arange(n)).tolist()
     assert not counts[n:].any()
+
+
+INITIALS = re.compile("(s?(ua)+)?", re.A)
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        out += [(conv, turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def cheapest(rows):
+    """Least (cost, audit, lines) over all edits of a short conversation, without any states: all strings of edits are tried."""
+    most = 2 * len(rows) + 2
+    found = []
+
+    def go(i, inserted, cost, audit, lines):
+        if found and cost > min(found)[0]:
+            return
+        if i == len(rows):
+            if INITIALS.fullmatch("".join(r[:1] if r else "?" for r, _ in lines)):
+                found.append((cost, audit, tuple(lines)))
+        else:
+            role, text, must, off = rows[i]
+            go(i + 1, 0, cost + 3, audit + "D", lines)
+            if not must:
+                go(i + 1, 0, cost + off, audit + "K", [*lines, (role, text)])
+                for r in ("user", "assistant"):
+                    go(i + 1, 0, cost + 2 + off, audit + "R", [*lines, (r, text)])
+        if inserted < 2 and len(lines) < most:
+            for r in ("user", "assistant"):
+                go(i, inserted + 1, cost + 2, audit + "I", [*lines, (r, "")])
+
+    go(0, 0, 0, "", [])
+    return min(found)
+
+
+def repaired(rows, damaging=True):
+    after = defaultdict(list)
+    for r in damage(rows) if damaging else rows:
+        after[r[0]].append(r)
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted(after[conv], key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), hashlib.sha256(r[3].encode()).hexdigest()))
+        turns = [r[1] for r in own if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        seen, judged, faults = set(), [], Counter()
+        for _, _, role, text in own:
+            visible = text.strip(WHITE)
+            fault = "blank" if not visible else "duplicate" if (role, text) in seen else "truncated" if visible[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faults[fault] += 1
+            judged.append((role, text, fault in ("blank", "duplicate"), fault == "truncated"))
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        cost, audit, lines_ = cheapest(judged)
+        body = "\n".join(f"{r}:{t}" for r, t in lines_)
+        out[conv] = (gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, hashlib.sha256(body.encode()).hexdigest())
+    return out
+
+
+TALK = "conv_id bigint, turn bigint, role string, text string, c string, n string, rank string, cost string, _kind string"
+
+
+def talks():
+    rng = random.Random(11)
+    texts = ["Hello there.", "What now?", "no end", "", " \t\n", None, "It is so!", "Fine. ", " ", "é漢字。"]
+    out = []
+    for conv in [*range(70), None]:
+        for turn in range(rng.randint(0, 4)):
+            role = rng.choice(["system", "user", "assistant", "user", "assistant", "tool", "", None])
+            out.append((conv, rng.choice([turn, turn, turn, turn * 3, None, 1]), role, rng.choice(texts)))
+    return [(*r, "x", "y", "z", "w", "v") for r in [*out, out[5], out[5]]]
+
+
+@pytest.mark.parametrize("damaging", [True, False])
+def test_conversation_repair(spark, damaging):
+    rows = talks()
+    table = spark.createDataFrame(rows, TALK).repartition(3)
+    plain = [r[:4] for r in rows]
+    want = repaired(plain if damaging else [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in plain], damaging)
+    got = {r[0]: tuple(r)[1:] for r in conversations.digests(table, damage=damaging).collect()}
+    assert got == want
+
+
+def state_walk(rows):
+    """Least cost and audit by a plain walk over the states, for long conversations."""
+    best = {0: (0, "")}
+    for _, _, x, must, off in rows:
+        new = {}
+        for p, (cost, audit) in best.items():
+            for (x2, m2, o2, p2, q), (c, a) in conversations.steps().items():
+                if (x2, m2, o2, p2) == (x, must, off, p):
+                    new[q] = min(new.get(q, (1 << 60, "")), (cost + c, audit + a))
+        best = new
+    return min((c + 2 * len(conversations.CLOSING[q]), a + conversations.CLOSING[q]) for q, (c, a) in best.items())
+
+
+def test_long_conversations_in_segments(spark):
+    rng = random.Random(2)
+    rows = [(conv, turn, rng.choice(["user", "assistant"]), f"{rng.random()}{rng.choice(['.', ''])}") for conv, n in ((1, 700), (2, 64), (3, 65), (4, 1), (5, 4097)) for turn in range(n)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.conv_id: r for r in conversations.digests(table, damage=False).collect()}
+    texts = defaultdict(list)
+    for r in conversations.repair(table).collect():
+        texts[r.conv_id].append((r.pos, r.k, r.role, r.text))
+    for conv in got:
+        own = [r for r in rows if r[0] == conv]
+        cost, audit = state_walk([(0, 0, r[2][0], False, not r[3].endswith(".")) for r in own])
+        assert (got[conv].cost, got[conv].audit) == (cost, audit)
+        lines_ = [(r, t) for _, _, r, t in sorted(texts[conv])]
+        assert INITIALS.fullmatch("".join(r[0] for r, _ in lines_))
+        assert len(lines_) == len(audit) - audit.count("D")
+        assert got[conv].repaired_sha256 == hashlib.sha256("\n".join(f"{r}:{t}" for r, t in lines_).encode()).hexdigest()
+
+
+def test_conversations_of_nothing(spark):
+    none = spark.createDataFrame([], TALK)
+    assert conversations.digests(none).count() == 0
+    assert conversations.repair(none).count() == 0
