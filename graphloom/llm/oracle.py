@@ -70,4 +70,29 @@ kept AS (SELECT r, count(*) FILTER (gone) AS n_dropped, string_agg(line, chr(10)
 SELECT doc_id, len(lines)::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256 FROM d JOIN kept USING (r)
 """
 
-SQL = {"op2_secret_ledger": _SECRETS, "op6_decontamination": _DECONTAMINATION, "op11_importance_resampling": _IMPORTANCE, "op12_line_dedup": _LINES}
+#: A plain walk over the rows of whole conversations, texts carried along.
+_CONVERSATIONS = r"""
+WITH RECURSIVE tab AS MATERIALIZED (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x::BIGINT, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS tab),
+numbered AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, hex(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS h FROM conversations),
+hashed AS (SELECT c, conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || h[2 * i - 1:2 * i])::BIGINT)), lambda a, x: xor(tab[(xor(a, x) & 255) + 1], a >> 8)), 4294967295::BIGINT) % 20 AS kind FROM numbered, tab),
+hurt AS (SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM hashed WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM hurt),
+seen AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS open, lag(role[1:1]) OVER (PARTITION BY c ORDER BY i) || role[1:1] AS pair FROM placed),
+judged AS MATERIALIZED (SELECT *, blank OR again AS must, (NOT blank AND NOT again AND open)::INT AS cut_off, role[1:1] AS x FROM seen),
+counts AS (SELECT c, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate, sum(cut_off) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY c),
+put(p, m, cost, audit, lines) AS (VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []), (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (3, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']), (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:'])),
+edit(m, x, q, cost, audit) AS (VALUES (0, NULL, 0, 3, 'D'), (1, NULL, 1, 3, 'D'), (2, NULL, 2, 3, 'D'), (3, NULL, 3, 3, 'D'), (0, 's', 1, 0, 'K'), (0, 'u', 2, 0, 'K'), (1, 'u', 2, 0, 'K'), (2, 'a', 3, 0, 'K'), (3, 'u', 2, 0, 'K'), (0, NULL, 2, 2, 'R'), (1, NULL, 2, 2, 'R'), (3, NULL, 2, 2, 'R'), (2, NULL, 3, 2, 'R')),
+walk(c, i, q, cost, audit, lines) AS (
+  SELECT c, 0::BIGINT, 0, 0::BIGINT, '', []::VARCHAR[] FROM counts
+  UNION ALL
+  SELECT c, i, q, best.cost, best.audit, best.lines FROM (
+    SELECT w.c, r.i, e.q, min({'cost': w.cost + put.cost + e.cost + CASE WHEN e.audit = 'D' THEN 0 ELSE r.cut_off END, 'audit': w.audit || put.audit || e.audit,
+      'lines': w.lines || put.lines || CASE e.audit WHEN 'K' THEN [r.role || ':' || r.text] WHEN 'R' THEN [CASE e.q WHEN 2 THEN 'user:' ELSE 'assistant:' END || r.text] ELSE [] END}) AS best
+    FROM walk w JOIN judged r ON r.c = w.c AND r.i = w.i + 1 JOIN put ON put.p = w.q JOIN edit e ON e.m = put.m AND (e.audit = 'D' OR NOT r.must) AND (e.x IS NULL OR e.x = r.x) GROUP BY ALL)),
+done AS (SELECT c, min({'cost': cost + CASE q WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END, 'audit': audit || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END, 'lines': lines || CASE q WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE [] END}) AS best FROM walk JOIN counts USING (c) WHERE i = n GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM numbered) LEFT JOIN counts USING (c) LEFT JOIN done USING (c)
+"""
+
+SQL = {"op2_secret_ledger": _SECRETS, "op6_decontamination": _DECONTAMINATION, "op11_importance_resampling": _IMPORTANCE, "op12_line_dedup": _LINES, "op13_conversation_repair": _CONVERSATIONS}
