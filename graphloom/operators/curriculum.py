@@ -16,7 +16,8 @@ MOST_CHUNKS = 5000
 
 def objects(collections: dict[str, DataFrame]) -> DataFrame:
     """``collection, pos, id`` of all objects."""
-    frames = [df.select(F.lit(name).alias("collection"), "pos", "id") for name, df in collections.items()]
+    place = lambda df: F.col("pos") if "pos" in df.columns else F.lit(None).cast("bigint").alias("pos")
+    frames = [df.select(F.lit(name).alias("collection"), place(df), "id") for name, df in collections.items()]
     return union(*frames)
 
 
@@ -45,9 +46,21 @@ def without_evidence(concepts: DataFrame, evidence: DataFrame) -> DataFrame:
     return concepts.join(evidence.select(F.col("concept_id").alias("id")).distinct(), "id", "left_anti")
 
 
-def validate(concepts: DataFrame, standards: DataFrame, frameworks: DataFrame, competencies: DataFrame, evidence: DataFrame, relations: DataFrame, curricula: DataFrame) -> DataFrame:
-    """All rules of a curriculum dataset; every id that is named must be in its table."""
-    everything = objects({"concepts": concepts, "standard_items": standards, "framework_nodes": frameworks, "competencies": competencies, "learning_evidence": evidence, "relations": relations})
+def validate(concepts: DataFrame, standards: DataFrame, frameworks: DataFrame, competencies: DataFrame, evidence: DataFrame, relations: DataFrame, curricula: DataFrame, tasks: DataFrame | None = None, alignments: DataFrame | None = None) -> DataFrame:
+    """All rules of a curriculum dataset; every id that is named must be in its
+    table.  ``tasks``: activities and assessments, with ``concept_ids`` and
+    ``competency_ids``; ``alignments`` are relations to other frameworks."""
+    more = {name: df for name, df in (("tasks", tasks), ("alignments", alignments)) if df is not None}
+    everything = objects({"concepts": concepts, "standard_items": standards, "framework_nodes": frameworks, "competencies": competencies, "learning_evidence": evidence, "relations": relations} | more)
+    further = [violations(scalar_missing(frameworks, "curriculum_id", curricula), "curriculum_id", "E", "framework", F.col("id"), F.col("curriculum_id"))]
+    if "framework_node_ids" in standards.columns:
+        further.append(violations(array_missing(standards, "framework_node_ids", frameworks), "framework_node_id", "E", "standard", F.col("id"), F.col("ref")))
+    if tasks is not None:
+        for column, known in (("concept_ids", concepts), ("competency_ids", competencies)):
+            further.append(violations(array_missing(tasks, column, known), column[:-1], "E", "task", F.col("id"), F.col("ref")))
+    if alignments is not None:
+        further.append(violations(relation_missing(alignments, everything), "relation_end", "E", "alignment", F.col("id"), F.concat_ws(":", "side", "ref")))
+        further.append(violations(alignments.where(text(F.col("rationale")).isNull()), "no_rationale", "W", "alignment", F.col("id")))
     conf = F.col("confidence")
     ranged = [df.where((conf < 0) | (conf > 1) | F.isnan(conf)).select("id", conf) for df in (concepts, competencies, evidence, relations)]
     unsaid = text(F.col("rationale")).isNull() & (F.coalesce(conf, F.lit(0.0)) < 0.9)
@@ -66,9 +79,16 @@ def validate(concepts: DataFrame, standards: DataFrame, frameworks: DataFrame, c
         violations(without_evidence(concepts, evidence), "no_evidence", "W", "concept", F.col("id")),
         violations(relation_missing(relations, everything), "relation_end", "E", "relation", F.col("id"), F.concat_ws(":", "side", "ref")),
         violations(relations.where(unsaid), "no_rationale", "W", "relation", F.col("id")),
+        *further,
     )
 
 
+def validate_built(made: dict[str, DataFrame]) -> DataFrame:
+    """The rules over the frames of a build."""
+    relations = made["relations"].withColumn("hint", F.lit(None).cast("string"))
+    return validate(*(made[x] for x in ("concepts", "standard_items", "framework_nodes", "competencies", "learning_evidence")), relations, made["curricula"])
+
+
 def standard_refs(dataset: str, ids: Column) -> Column:
     """References to standards, or to the dataset if there are none."""
     return F.coalesce(F.array_join(F.transform(ids, lambda x: F.concat(F.lit(f"src:{dataset}#"), x)), ","), F.lit(f"src:{dataset}"))

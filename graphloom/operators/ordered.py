@@ -4,6 +4,8 @@ Order is always within a document, so work is spread by document."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,11 +38,12 @@ def problem_type(section: Column) -> Column:
     return F.when(s.contains("选择"), "choice").when(s.contains("填空"), "fill").when(solve, "solve").otherwise("unknown")
 
 
-def context_state(lines: DataFrame, doc: str, pos: str, marks: dict[str, Column], practice: tuple[str, str] | None = None) -> DataFrame:
+def context_state(lines: DataFrame, doc: str, pos: str, marks: dict[str, Column | Callable[[Column], Column]], practice: tuple[str, str] | None = None) -> DataFrame:
     """Carry stage, domain, theme and section through the lines of a document.
 
     ``marks``: for each of ``domain, stage, section, theme`` the marker a line
-    bears, or null; the first in that order counts.  A domain or stage resets
+    bears, or null; the first in that order counts (that of a theme may be a
+    function of the domain that holds at the line).  A domain or stage resets
     theme and section, not each other.  Marker lines are not kept; others are if
     all four are set.  ``practice``: a domain and the theme it has by default."""
     order = W.partitionBy(doc).orderBy(pos)
@@ -50,7 +53,6 @@ def context_state(lines: DataFrame, doc: str, pos: str, marks: dict[str, Column]
             "_d": d,
             "_st": F.when(d.isNull(), st),
             "_se": F.when(d.isNull() & st.isNull(), se),
-            "_th": F.when(d.isNull() & st.isNull() & se.isNull(), th),
         }
     )
     run = own.withColumns(
@@ -60,6 +62,7 @@ def context_state(lines: DataFrame, doc: str, pos: str, marks: dict[str, Column]
             "_reset": F.sum(F.when(F.col("_d").isNotNull() | F.col("_st").isNotNull(), 1).otherwise(0)).over(order),
         }
     )
+    run = run.withColumn("_th", F.when(F.coalesce("_d", "_st", "_se").isNull(), th(F.col("domain")) if callable(th) else th))
     inner = W.partitionBy(doc, "_reset").orderBy(pos)
     out = run.withColumns({"section": F.last("_se", True).over(inner), "theme": F.last("_th", True).over(inner)})
     if practice:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graphloom.plans import base, graph_queries, map_queries, text_queries  # noqa: F401  (they register)
+from graphloom.plans import base, build_queries, graph_queries, map_queries, text_queries  # noqa: F401  (they register)
 
 
 def queries() -> dict:

@@ -120,7 +120,7 @@ def _noise(v):
     return _doc_lines(v).select("doc_id", "pos", F.md5(F.col("line").cast("binary")).alias("line_md5"))
 
 
-def _STATEMENT(x, most):
+def _CLEANED(x, most):
     a = _SPACES.replace("translate(text,", f"translate({x},")
     a = rf"regexp_replace({a}, '^\(?[\s\p{{Z}}]*[0-9]{{1,2}}[\s\p{{Z}}]*\)[\s\p{{Z}}]*', '')"
     a = rf"regexp_replace(regexp_replace({a}, '例[\s\p{{Z}}]*\p{{Nd}}+', '', 'g'), '[\s\p{{Z}}]+', '', 'g')"
@@ -135,9 +135,9 @@ def _CUT(s, most):
 
 
 _ITEMS = f"""WITH {_BLOCKS}, m AS (SELECT doc_id, pos, t, sum(CASE WHEN regexp_matches(t, '^\\(?[\\s\\p{{Z}}]*([0-9]{{1,2}})[\\s\\p{{Z}}]*\\)') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS item FROM blocks),
-j AS (SELECT doc_id, item, string_agg(t, chr(10) ORDER BY pos) AS t FROM m GROUP BY 1, 2), s AS (SELECT doc_id, item, {_STATEMENT('t', 180)} AS s FROM j),
+j AS (SELECT doc_id, item, string_agg(t, chr(10) ORDER BY pos) AS t FROM m GROUP BY 1, 2), s AS (SELECT doc_id, item, {_CLEANED('t', 180)} AS s FROM j),
 e AS (SELECT doc_id, item, {_CUT('s', 180)} AS statement FROM s), good AS (SELECT * FROM e WHERE length(statement) >= 8),
-w AS (SELECT doc_id, {_STATEMENT('t', 220)} AS s FROM (SELECT doc_id, string_agg(t, chr(10) ORDER BY pos) AS t FROM blocks WHERE doc_id NOT IN (SELECT doc_id FROM good) GROUP BY 1)),
+w AS (SELECT doc_id, {_CLEANED('t', 220)} AS s FROM (SELECT doc_id, string_agg(t, chr(10) ORDER BY pos) AS t FROM blocks WHERE doc_id NOT IN (SELECT doc_id FROM good) GROUP BY 1)),
 wc AS (SELECT doc_id, {_CUT('s', 220)} AS t FROM w), sl AS (SELECT doc_id, i AS item, substr(t, i * 180 + 1, 180) AS s FROM (SELECT doc_id, t, unnest(range(0, CAST(floor((length(t) - 1) / 180) AS BIGINT) + 1)) AS i FROM wc WHERE length(t) > 0)),
 al AS (SELECT doc_id, item, statement FROM good UNION ALL SELECT doc_id, item, concat(regexp_replace(s, '[，,、]+$', ''), CASE WHEN ends_with(s, '。') THEN '' ELSE '。' END) FROM sl WHERE length(s) >= 8)"""
 
@@ -147,8 +147,8 @@ def win_item_split(v):
     return O.items(_blocks(v), "doc_id", "pos", "t").select("doc_id", "n", F.md5(F.col("statement").cast("binary")).alias("value"))
 
 
-@query(f"WITH {_BLOCKS}, s AS (SELECT doc_id, pos, {_STATEMENT('t', 180)} AS s FROM blocks), c AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, {_CUT('s', 180)} AS st FROM s) SELECT doc_id, pos, md5(st) AS value FROM c WHERE length(st) >= 8", "fn_clean_statement")
-@query(f"WITH {_BLOCKS}, s AS (SELECT doc_id, pos, {_STATEMENT('t', 180)} AS s FROM blocks), c AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, {_CUT('s', 180)} AS st FROM s) SELECT doc_id, pos, md5(st) AS value FROM c WHERE length(st) >= 8", "flt_min_len")
+@query(f"WITH {_BLOCKS}, s AS (SELECT doc_id, pos, {_CLEANED('t', 180)} AS s FROM blocks), c AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, {_CUT('s', 180)} AS st FROM s) SELECT doc_id, pos, md5(st) AS value FROM c WHERE length(st) >= 8", "fn_clean_statement")
+@query(f"WITH {_BLOCKS}, s AS (SELECT doc_id, pos, {_CLEANED('t', 180)} AS s FROM blocks), c AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, {_CUT('s', 180)} AS st FROM s) SELECT doc_id, pos, md5(st) AS value FROM c WHERE length(st) >= 8", "flt_min_len")
 def _statements(v):
     own = _blocks(v).select("doc_id", F.col("pos").cast("bigint").alias("pos"), T.clean_statement(F.col("t")).alias("s"))
     return own.where(F.length("s") >= 8).select("doc_id", "pos", F.md5(F.col("s").cast("binary")).alias("value"))

@@ -82,6 +82,17 @@ UNION ALL SELECT concat('gs-', l_orderkey, '-', l_linenumber), CASE l_linenumber
 SELECT d.doc_id, d.lang, d.source, d.n_chars, CASE WHEN l.doc_id IS NULL THEN '' WHEN l.toxic = 1 THEN 'rejected' WHEN l.quality = 1 THEN 'accepted' ELSE 'needs_review' END AS review_state FROM @documents d LEFT JOIN @labels l ON d.doc_id = l.doc_id""",
     "line_stream": """
 SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_type, event_id, CASE event_type WHEN 'signup' THEN concat('domain', event_id % 3) WHEN 'purchase' THEN concat('stage', event_id % 4) WHEN 'error' THEN concat('section', event_id % 3) WHEN 'click' THEN concat('theme', event_id % 5) ELSE '' END AS marker, props AS line FROM @events""",
+    "curriculum_lines": """
+SELECT concat('cur-', u) AS doc, CAST(floor(pos / 25) AS BIGINT) + 20 AS page, pos, CASE r
+  WHEN 0 THEN concat('一、', CASE k % 5 WHEN 0 THEN '数与代数' WHEN 1 THEN '图形与几何' WHEN 2 THEN '统计与概率' WHEN 3 THEN '综合与实践' ELSE '数与代数 是一个很长的标题，长过十八个字' END)
+  WHEN 1 THEN concat(CASE k % 4 WHEN 0 THEN '第一学段' WHEN 1 THEN '第二学段' WHEN 2 THEN '第三学段' ELSE '第四学段' END, '（', k % 4 * 2 + 1, '-', k % 4 * 2 + 2, 'FR）')
+  WHEN 2 THEN '【内容要求】' WHEN 3 THEN ' 内容要求 ' WHEN 4 THEN '【学业要求】' WHEN 5 THEN '【教学提示了'
+  WHEN 6 THEN concat(k % 9 + 1, '. 数 与 运 算') WHEN 7 THEN '二、图形的性质' WHEN 8 THEN CASE k % 3 WHEN 0 THEN '数量关系' ELSE '以项目学习为主' END WHEN 9 THEN '数据分类'
+  WHEN 10 THEN '续表' WHEN 11 THEN CAST(k % 1000 AS STRING) WHEN 12 THEN '短'
+  ELSE concat(CASE WHEN r < 22 THEN concat('（', r - 12, '）') ELSE '' END,
+    CASE k % 6 WHEN 0 THEN '认识数的意义，发展数感' WHEN 1 THEN '探索图形的方法；形成空间观念' WHEN 2 THEN '会解决情境问题。例 12' WHEN 3 THEN '描述数据，经历活动，' WHEN 4 THEN '能比较和估算，体会算法与符号意识、模型意识' ELSE '了解' END,
+    CASE WHEN k % 7 = 0 THEN concat('，并能在生活中说明理由', props, '，并能在生活中说明理由', props, '；并能在生活中说明理由', props, '，并能在生活中说明理由', props, '，并能在生活中说明理由', props, '，并能在生活中说明理由', props, '。并能在生活中说明理由', props) ELSE '' END, CASE WHEN k % 2 = 0 THEN '。' ELSE ' ' END) END AS line
+FROM (SELECT CAST(floor(user_id / 10) AS BIGINT) AS u, row_number() OVER (PARTITION BY CAST(floor(user_id / 10) AS BIGINT) ORDER BY ts, event_id) AS pos, event_id % 30 AS r, CAST(floor(event_id / 30) AS BIGINT) AS k, props FROM @events) e""",
     "layout_elements": """
 SELECT user_id AS doc, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_id AS id, CASE WHEN event_type = 'purchase' THEN 'image' ELSE 'text' END AS type,
   CASE event_type WHEN 'signup' THEN concat('一、', CASE event_id % 3 WHEN 0 THEN '选择题' WHEN 1 THEN '填空题' ELSE '解答题' END) WHEN 'click' THEN concat(event_id % 40 + 1, '. Question') WHEN 'error' THEN concat('(', event_id % 4, ') part') WHEN 'view' THEN CASE WHEN event_id % 5 = 0 THEN ' ' ELSE concat('Text ', event_id) END ELSE '' END AS content,
