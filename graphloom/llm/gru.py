@@ -7,9 +7,12 @@ probability within it comes from their counts, with one share for unseen ones.
 The output softmax is factored: the class, then the word within the class, both
 given the recurrent state.  The biases start at the unigram distribution.
 
-Training: each partition runs truncated backpropagation over all its training
-texts (with ``every`` above 1, one in so many), from the same weights; the results
-are averaged by tokens, and that is repeated.
+Training: the training texts, as word ids, are dealt by hash to shards of about
+a million tokens, and the shards to rounds.  In a round every shard of it runs
+truncated backpropagation from the same weights over all its texts, laid side by
+side in lanes; the results are averaged by tokens and are the start of the next
+round.  So every training text is learnt from once (in a small corpus several
+times), and neither shards nor rounds depend on how the table is stored.
 Scoring: the state goes on from window to window through the whole text, so the
 score is the log-likelihood of all of it.
 
@@ -22,7 +25,6 @@ unseen.  A null id is trained on like the id of an empty string.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -33,17 +35,17 @@ from graphloom.llm.texts import LOWER_BYTES, SOLID_BYTES, Hasher, chunks, spans
 
 #: The end token's hash; a word with it would be one in 2**64.
 END = 0x5851F42D4C957F2D
-#: Tokens whose counts every task holds, words of the model, words in a class, width of the state.
+#: Tokens whose counts every task holds.
 HELD = 1 << 17
-CLASSES, CLASS_SIZE, WIDTH = 32, 32, 16
-WORDS = CLASSES * CLASS_SIZE
-#: Steps of a window of backpropagation; texts side by side in training; rounds of averaging.
-STEPS, ABREAST, ROUNDS = 16, 512, 1
-#: Tokens of a task that wait to be worked on together, so that long texts run side by side.
+#: Least and most classes, words in a class and twice the width of the state; between them they follow the number of distinct tokens.
+LEAST_SIDE, MOST_SIDE = 16, 48
+#: Steps of a window of backpropagation; lanes side by side; step size.
+STEPS, ABREAST, RATE = 16, 512, 0.02
+#: Tokens of a shard; rounds; tokens that are learnt from at least, by several passes over each shard, and most passes.
+SHARD_TOKENS, ROUNDS, LEAST_TOKENS, MOST_PASSES = 1 << 20, 4, 1 << 21, 8
+#: Tokens of a task that wait to be scored together, so that long texts run side by side.
 TOGETHER = 4 << 20
-#: One in so many training texts updates the weights in each round.
-TRAIN_EVERY = 1
-_GROUPS = 64
+_GROUPS = 8
 
 
 def training(key: str) -> Column:
@@ -73,44 +75,47 @@ def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 class Vocabulary:
     """The held counts, and ids of the model's words: the rank by count, or
-    ``WORDS`` for all other tokens."""
+    ``words`` for all other tokens.  ``side`` classes of as many words."""
 
     def __init__(self, top: list[tuple[int, int]], total: int, types: int):
+        self.side = min(max(round(types**0.5 / 8), LEAST_SIDE), MOST_SIDE)
+        self.words = self.side**2
         h = np.array([t for t, _ in top], np.int64).view(np.uint64)
         n = np.array([c for _, c in top], np.int64)
         order = np.argsort(h)
         self.keys, self.counts, self.total, self.types = h[order], n[order], total, types
-        rank = np.minimum(np.arange(len(h)), WORDS)
+        rank = np.minimum(np.arange(len(h)), self.words)
         self.rank = rank[order].astype(np.int32)
-        first = np.zeros(WORDS, np.float64)
-        first[: min(WORDS, len(n))] = n[:WORDS]
+        first = np.zeros(self.words, np.float64)
+        first[: min(self.words, len(n))] = n[:self.words]
         self.first = first
         self.rest = total - int(first.sum())
-        self.rest_types = types - min(types, WORDS)
+        self.rest_types = types - min(types, self.words)
 
     def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word id, count, or -1 where it is not held)."""
         if not len(self.keys):
-            return np.full(len(h), WORDS, np.int32), np.full(len(h), -1, np.int64)
+            return np.full(len(h), self.words, np.int32), np.full(len(h), -1, np.int64)
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         held = self.keys[at] == h
-        return np.where(held, self.rank[at], WORDS).astype(np.int32), np.where(held, self.counts[at], -1)
+        return np.where(held, self.rank[at], self.words).astype(np.int32), np.where(held, self.counts[at], -1)
 
 
 def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """Small random weights; biases at the logarithms of the unigram shares."""
     rng = np.random.default_rng(7)
-    words = (vocabulary.first + 0.5).reshape(CLASSES, CLASS_SIZE)
+    side, width = vocabulary.side, vocabulary.side // 2
+    words = (vocabulary.first + 0.5).reshape(side, side)
     classes = np.append(words.sum(1), vocabulary.rest + vocabulary.rest_types + 1.0)
     w = {
-        "embed": rng.normal(0, 0.1, (WORDS + 2, WIDTH)),
-        "in": rng.normal(0, 0.25, (WIDTH, 3 * WIDTH)),
-        "gates": rng.normal(0, 0.25, (WIDTH, 2 * WIDTH)),
-        "state": rng.normal(0, 0.25, (WIDTH, WIDTH)),
-        "bias": np.zeros(3 * WIDTH),
-        "class": rng.normal(0, 0.05, (WIDTH, CLASSES + 1)),
+        "embed": rng.normal(0, 0.1, (side**2 + 2, width)),
+        "in": rng.normal(0, 0.25, (width, 3 * width)),
+        "gates": rng.normal(0, 0.25, (width, 2 * width)),
+        "state": rng.normal(0, 0.25, (width, width)),
+        "bias": np.zeros(3 * width),
+        "class": rng.normal(0, 0.05, (width, side + 1)),
         "class_bias": np.log(classes / classes.sum()),
-        "word": rng.normal(0, 0.05, (CLASSES, WIDTH, CLASS_SIZE)),
+        "word": rng.normal(0, 0.05, (side, width, side)),
         "word_bias": np.log(words / words.sum(1, keepdims=True)),
     }
     return {k: v.astype(np.float32) for k, v in w.items()}
@@ -134,9 +139,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _step(w: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
     """One step of the recurrence; ``x`` is the input already multiplied."""
-    gates = _sigmoid(x[:, : 2 * WIDTH] + h @ w["gates"])
-    z, r = gates[:, :WIDTH], gates[:, WIDTH:]
-    c = np.tanh(x[:, 2 * WIDTH :] + (r * h) @ w["state"])
+    n = h.shape[1]
+    gates = _sigmoid(x[:, : 2 * n] + h @ w["gates"])
+    z, r = gates[:, :n], gates[:, n:]
+    c = np.tanh(x[:, 2 * n :] + (r * h) @ w["state"])
     return h + z * (c - h), z, r, c
 
 
@@ -147,150 +153,189 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 def log_output(w: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log-probability of each id (of the class alone for the rest)."""
-    kind = ids // CLASS_SIZE
+    classes, _, size = w["word"].shape
+    kind = ids // size
     out = _log_softmax(h @ w["class"] + w["class_bias"])[np.arange(len(ids)), kind]
     order = np.argsort(kind, kind="stable")
-    edge = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
+    edge = np.searchsorted(kind[order], np.arange(classes + 1))
+    for c in range(classes):
         own = order[edge[c] : edge[c + 1]]
         if len(own):
             inner = _log_softmax(h[own] @ w["word"][c] + w["word_bias"][c])
-            out[own] += inner[np.arange(len(own)), ids[own] - c * CLASS_SIZE]
+            out[own] += inner[np.arange(len(own)), ids[own] - c * size]
     return out
 
 
-def _gradients(w, h0, inputs, targets, live):
-    """Loss, gradients and last state of one window; ``live`` masks texts that have ended."""
+def _gradients(w, h0, inputs, targets, live, opens):
+    """Loss, gradients and last state of one window; ``live`` masks what is past
+    the end, ``opens`` the first tokens of texts, before which the state is zero."""
     steps, n = targets.shape
+    classes, width, size = w["word"].shape
     g = {k: np.zeros_like(v) for k, v in w.items()}
     x = w["embed"][inputs]
     xw = x @ w["in"] + w["bias"]
     states, kept, h = [], [], h0
     for t in range(steps):
-        before = h
-        after, z, r, c = _step(w, xw[t], before)
-        h = np.where(live[t][:, None], after, before)
+        before = np.where(opens[t][:, None], np.float32(0), h)
+        h, z, r, c = _step(w, xw[t], before)
         states.append(h)
         kept.append((before, z, r, c))
     flat = np.concatenate(states)
     ids, on = targets.ravel(), live.ravel()
-    kind = ids // CLASS_SIZE
+    kind = ids // size
     p = np.exp(_log_softmax(flat @ w["class"] + w["class_bias"]))
     loss = -np.log(p[np.arange(len(ids)), kind] + 1e-30)[on].sum()
     p[np.arange(len(ids)), kind] -= 1
     p *= on[:, None]
     g["class"], g["class_bias"] = flat.T @ p, p.sum(0)
     dh = p @ w["class"].T
-    order = np.argsort(kind, kind="stable")
-    edge = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        own = order[edge[c] : edge[c + 1]]
-        own = own[on[own]]
+    known = np.flatnonzero(on & (kind < classes))
+    known = known[np.argsort(kind[known], kind="stable")]
+    edge = np.searchsorted(kind[known], np.arange(classes + 1))
+    for c in range(classes):
+        own = known[edge[c] : edge[c + 1]]
         if len(own):
             q = np.exp(_log_softmax(flat[own] @ w["word"][c] + w["word_bias"][c]))
-            at = ids[own] - c * CLASS_SIZE
-            loss -= np.log(q[np.arange(len(own)), at] + 1e-30).sum()
-            q[np.arange(len(own)), at] -= 1
+            at = np.arange(len(own)), ids[own] - c * size
+            loss -= np.log(q[at] + 1e-30).sum()
+            q[at] -= 1
             g["word"][c], g["word_bias"][c] = flat[own].T @ q, q.sum(0)
             dh[own] += q @ w["word"][c].T
-    dh = dh.reshape(steps, n, WIDTH)
-    carry, dxw = np.zeros((n, WIDTH), np.float32), np.zeros_like(xw)
+    dh = dh.reshape(steps, n, width)
+    carry, dxw = np.zeros((n, width), np.float32), np.zeros_like(xw)
     for t in range(steps - 1, -1, -1):
         before, z, r, c = kept[t]
-        on_t = live[t][:, None]
-        d = (dh[t] + carry) * on_t
+        d = dh[t] + carry
         dz, dc = d * (c - before) * z * (1 - z), d * z * (1 - c * c)
         back = dc @ w["state"].T
         dr = back * before * r * (1 - r)
         g["state"] += (r * before).T @ dc
         gates = np.concatenate([dz, dr], 1)
         g["gates"] += before.T @ gates
-        carry = np.where(on_t, d * (1 - z) + back * r + gates @ w["gates"].T, carry)
+        carry = np.where(opens[t][:, None], np.float32(0), d * (1 - z) + back * r + gates @ w["gates"].T)
         dxw[t] = np.concatenate([gates, dc], 1)
-    both = dxw.reshape(-1, 3 * WIDTH)
-    g["in"], g["bias"] = x.reshape(-1, WIDTH).T @ both, both.sum(0)
-    np.add.at(g["embed"], inputs.ravel(), both @ w["in"].T)
+    both = dxw.reshape(-1, 3 * width)
+    g["in"], g["bias"] = x.reshape(-1, width).T @ both, both.sum(0)
+    back = both @ w["in"].T
+    order = np.argsort(inputs.ravel(), kind="stable")
+    sorted_ = inputs.ravel()[order]
+    head = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    g["embed"][sorted_[head]] = np.add.reduceat(back[order], head)
     return loss, g, h
 
 
 class Trainer:
-    """Adam over windows of texts side by side."""
+    """Adam over windows of lanes side by side."""
 
-    def __init__(self, w: dict[str, np.ndarray], rate: float = 0.01):
+    def __init__(self, w: dict[str, np.ndarray], rate: float = RATE):
         self.w = {k: v.copy() for k, v in w.items()}
         self.m = {k: np.zeros_like(v) for k, v in w.items()}
         self.v = {k: np.zeros_like(v) for k, v in w.items()}
         self.rate, self.t, self.tokens, self.loss = rate, 0, 0, 0.0
 
     def learn(self, ids: np.ndarray, first: np.ndarray) -> None:
-        size = np.diff(first)
-        order = np.argsort(-size, kind="stable")
-        for k in range(0, len(order), ABREAST):
-            own = order[k : k + ABREAST]
-            longest = int(size[own[0]])
-            h = np.zeros((len(own), WIDTH), np.float32)
-            for lo in range(0, longest, STEPS):
-                here = int((size[own] > lo).sum())  # the longest come first
-                h = h[:here]
-                at = np.arange(lo, min(lo + STEPS, longest))[:, None]
-                live = at < size[own[:here]][None]
-                where = np.minimum(first[own[:here]][None] + at, len(ids) - 1)
-                targets = np.where(live, ids[where], 0)
-                inputs = np.where(at > 0, ids[np.maximum(where - 1, 0)], WORDS + 1)
-                loss, g, h = _gradients(self.w, h, np.where(live, inputs, WORDS + 1), targets, live)
-                n = int(live.sum())
-                self.tokens, self.loss, self.t = self.tokens + n, self.loss + float(loss), self.t + 1
-                for key, d in g.items():
-                    d = np.clip(d / np.float32(n), -1, 1)
-                    self.m[key] = 0.9 * self.m[key] + 0.1 * d
-                    self.v[key] = 0.99 * self.v[key] + 0.01 * d * d
-                    self.w[key] -= np.float32(self.rate / (1 - 0.9**self.t)) * self.m[key] / (np.sqrt(self.v[key] / (1 - 0.99**self.t)) + 1e-4)
-
-
-def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """All ids, and each row's first."""
-    ids, size = (np.concatenate(x) for x in zip(*parts))
-    return ids, np.concatenate([[0], np.cumsum(size)])
-
-
-def _average(rows: pd.DataFrame) -> tuple[np.ndarray, int]:
-    total = max(int(rows["tokens"].sum()), 1)
-    flat = sum(np.frombuffer(b, np.float32).astype(np.float64) * (t / total) for b, t in zip(rows["weights"], rows["tokens"]))
-    return flat.astype(np.float32), total
-
-
-def train(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", every: int = TRAIN_EVERY, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+        """One pass over whole texts, put one after the other and cut into
+        ``ABREAST`` lanes of one length; a lane's state goes on from window to window."""
+        n, start = len(ids), len(self.w["embed"]) - 1
+        if not n:
+            return
+        lanes = min(ABREAST, n)
+        length = -(-n // lanes)
+        opens = np.zeros(n, bool)
+        opens[first[:-1][np.diff(first) > 0]] = True
+        inputs = np.where(opens, start, np.concatenate([[0], ids[:-1]]))
+        at = np.minimum(np.arange(length)[:, None] + np.arange(lanes)[None] * length, n)
+        pad = lambda a, x: np.append(a, np.array(x, a.dtype))
+        inputs, targets, opens = pad(inputs, start), pad(ids, 0), pad(opens, True)
+        h = np.zeros((lanes, self.w["state"].shape[0]), np.float32)
+        for lo in range(0, length, STEPS):
+            own = at[lo : lo + STEPS]
+            live = own < n
+            loss, g, h = _gradients(self.w, h, inputs[own], targets[own], live, opens[own])
+            k = int(live.sum())
+            self.tokens, self.loss, self.t = self.tokens + k, self.loss + float(loss), self.t + 1
+            for key, d in g.items():
+                d = np.clip(d / np.float32(k), -1, 1)
+                self.m[key] = 0.9 * self.m[key] + 0.1 * d
+                self.v[key] = 0.99 * self.v[key] + 0.01 * d * d
+                self.w[key] -= np.float32(self.rate / (1 - 0.9**self.t)) * self.m[key] / (np.sqrt(self.v[key] / (1 - 0.99**self.t)) + 1e-4)
+
+
+def encoded(docs: DataFrame, vocabulary: Vocabulary, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``shard, at, ids``: the word ids of each training text, packed in 16 bits;
+    shard and place follow from id and text."""
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    place = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
+    kept = docs.where(training(key)).select(place.alias("at"), F.col(text).alias("_text"))
+
+    def run(batches):
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            for lo, hi, data, offsets in chunks(batch, "_text", 4 << 20):
+                h, first = token_hashes(data, offsets)
+                raw = known.value.look(h)[0].astype("<u2").tobytes()
+                own = at[lo:hi]
+                texts = [raw[2 * a : 2 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(((own >> 8) % shards).astype(np.int64)), pa.array(own), pa.array(texts, pa.binary())], names=["shard", "at", "ids"])
+
+    return kept.mapInArrow(run, "shard bigint, at bigint, ids binary")
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, folder: str | None = None) -> dict[str, np.ndarray]:
+    """Weights after all rounds."""
     w = initial(vocabulary)
     context = docs.sparkSession.sparkContext
-    known = context.broadcast(vocabulary)
+    shards = max(rounds, -(-vocabulary.total // SHARD_TOKENS))
+    passes = min(MOST_PASSES, max(1, -(-LEAST_TOKENS // max(vocabulary.total, 1))))
+    rows = cut(encoded(docs, vocabulary, shards, key, text), "encoded", folder)
     for turn in range(rounds):
         held = context.broadcast(w)
-        share = docs.where(training(key) & (F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(turn)), F.lit(every)) == 0)).select(text)
 
         def run(batches, held=held):
-            trainer, waiting, n = Trainer(held.value), [], 0
+            total, tokens, trainer, shard, waiting, n = 0.0, 0, None, None, [], 0
+
+            def learnt():
+                nonlocal waiting, n
+                if n:
+                    size = np.array([len(x) for x in waiting])
+                    ids = np.concatenate(waiting).astype(np.int64)
+                    for _ in range(passes):
+                        trainer.learn(ids, np.concatenate([[0], np.cumsum(size)]))
+                waiting, n = [], 0
+
+            def closed():
+                nonlocal total, tokens
+                if trainer is not None:
+                    learnt()
+                    total, tokens = total + pack(trainer.w).astype(np.float64) * trainer.tokens, tokens + trainer.tokens
+
+            for batch in batches:
+                for own, ids in zip(batch.column(0).to_pylist(), batch.column(2)):
+                    if own != shard:
+                        closed()
+                        trainer, shard = Trainer(held.value), own
+                    waiting.append(np.frombuffer(ids.as_buffer(), "<u2"))
+                    n += len(waiting[-1])
+                    if n >= 2 * SHARD_TOKENS:  # very long texts
+                        learnt()
+            closed()
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % _GROUPS], pa.int32()), pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["g", "tokens", "weights"])
+
+        def added(batches):
+            total, tokens = 0.0, 0
             for batch in batches:
-                for _, _, data, offsets in chunks(batch, text, 4 << 20):
-                    h, first = token_hashes(data, offsets)
-                    waiting.append((known.value.look(h)[0], np.diff(first)))
-                    n += len(h)
-                    if n > TOGETHER:
-                        trainer.learn(*_joined(waiting))
-                        waiting, n = [], 0
-            if n:
-                trainer.learn(*_joined(waiting))
-            if trainer.tokens:
-                row = [[TaskContext.get().partitionId() % _GROUPS], [trainer.tokens], [pack(trainer.w).tobytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.binary()))], names=["g", "tokens", "weights"])
-
-        def merge(rows: pd.DataFrame) -> pd.DataFrame:
-            flat, total = _average(rows)
-            return pd.DataFrame({"tokens": [total], "weights": [flat.tobytes()]})
+                for t, b in zip(batch.column(1).to_pylist(), batch.column(2)):
+                    total, tokens = total + np.frombuffer(b.as_buffer(), np.float64), tokens + t
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["g", "tokens", "weights"])
 
+        own = rows.where(F.pmod("shard", F.lit(rounds)) == turn).repartition("shard").sortWithinPartitions("shard", "at", "ids")
+        schema = "g int, tokens bigint, weights binary"
         # at most _GROUPS rows of one model each come back
-        parts = share.mapInArrow(run, "g int, tokens bigint, weights binary").groupBy("g").applyInPandas(merge, "tokens bigint, weights binary").toPandas()
-        if len(parts):
-            w = unpack(_average(parts)[0], w)
+        parts = own.mapInArrow(run, schema).repartition(_GROUPS, "g").mapInArrow(added, schema).collect()
+        if parts:
+            w = unpack(sum(np.frombuffer(r.weights, np.float64) for r in parts) / sum(r.tokens for r in parts), w)
     return w
 
 
@@ -301,7 +346,7 @@ def score_rows(w: dict[str, np.ndarray], ids: np.ndarray, first: np.ndarray, blo
     order = np.argsort(-size, kind="stable")
     longest_first = size[order]
     table = w["embed"] @ w["in"] + w["bias"]
-    h = np.zeros((len(size), WIDTH), np.float32)
+    h = np.zeros((len(size), w["state"].shape[0]), np.float32)
     states, targets, rows, waiting = [], [], [], 0
     last = int(longest_first[0]) if len(size) else 0
     # how many rows are still running at each step
@@ -315,7 +360,7 @@ def score_rows(w: dict[str, np.ndarray], ids: np.ndarray, first: np.ndarray, blo
         n = int(running[t])
         own = order[:n]
         at = first[own] + t
-        before = ids[at - 1] if t else np.full(n, WORDS + 1)
+        before = ids[at - 1] if t else np.full(n, len(w["embed"]) - 1)
         h, _, _, _ = _step(w, table[before], h[:n])
         states.append(h)
         targets.append(ids[at])
@@ -329,21 +374,21 @@ def score_rows(w: dict[str, np.ndarray], ids: np.ndarray, first: np.ndarray, blo
     return total
 
 
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", held: int = HELD, every: int = TRAIN_EVERY, rounds: int = ROUNDS, folder: str | None = None):
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", held: int = HELD, rounds: int = ROUNDS, folder: str | None = None):
     """(counts table, vocabulary, weights)."""
     ship(docs.sparkSession)
     counts = cut(token_counts(docs, key, text), "counts", folder)
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = [tuple(r) for r in counts.orderBy(F.desc("n"), "token").limit(held).collect()]
     vocabulary = Vocabulary(top, int(total), int(types))
-    return counts, vocabulary, train(docs, vocabulary, key, text, every, rounds)
+    return counts, vocabulary, train(docs, vocabulary, key, text, rounds, folder)
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held: int = HELD, every: int = TRAIN_EVERY, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held: int = HELD, rounds: int = ROUNDS) -> DataFrame:
     """Learn from the training rows and score all rows."""
     spark = docs.sparkSession
     folder = shared_folder(spark)
-    counts, vocabulary, weights = learn(docs, key, text, held, every, rounds, folder)
+    counts, vocabulary, weights = learn(docs, key, text, held, rounds, folder)
     known, model = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(weights)
     kept = docs.select(key, (~training(key)).alias("held_out"), text)
     named = ["held_out", "n_tokens", "known", "n_rest", "base", "model", "rare", "rare_n"]
@@ -381,7 +426,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held: int =
                 times = np.diff(np.append(at, len(r)))
                 logs = np.log10(np.maximum(count, 0) + 1.0)
                 width = len(first) - 1
-                rest = ids == WORDS
+                rest = ids == v.words
                 parts.append((ids, np.diff(first), np.bincount(row, have, width), np.bincount(row, rest, width), np.bincount(row, logs, width), np.bincount(row, logs * rest, width), t[at], times, np.bincount(r[at], minlength=width)))
                 n += len(h)
             if n > TOGETHER:

@@ -4,7 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from math import log10
+from math import exp, log, log10, tanh
 
 import numpy as np
 import pytest
@@ -39,24 +39,32 @@ def vocabulary(n=1500):
     return gru.Vocabulary([(i * 7919 + 3, max(1, 5000 // (i + 1))) for i in range(n)], sum(max(1, 5000 // (i + 1)) for i in range(n)) + 50, n + 40)
 
 
+def shape(v):
+    """Words and width of a model."""
+    return v.words, v.side // 2
+
+
 def test_probabilities_sum_to_one():
     v = vocabulary()
-    w = gru.initial(v)
-    h = np.random.default_rng(0).normal(size=(3, gru.WIDTH)).astype(np.float32)
-    ids = np.arange(gru.WORDS + 1)
+    w, (words, width) = gru.initial(v), shape(v)
+    h = np.random.default_rng(0).normal(size=(3, width)).astype(np.float32)
+    ids = np.arange(words + 1)
     for k in range(3):
         p = np.exp(gru.log_output(w, np.repeat(h[k : k + 1], len(ids), 0), ids))
         assert p.sum() == pytest.approx(1, abs=1e-3)
 
 
 def test_gradients_are_those_of_the_loss():
-    w = {k: v.astype(np.float64) for k, v in gru.initial(vocabulary()).items()}
+    v = vocabulary()
+    words, width = shape(v)
+    w = {k: x.astype(np.float64) for k, x in gru.initial(v).items()}
     rng = np.random.default_rng(1)
-    targets = rng.integers(0, gru.WORDS + 1, (5, 4))
-    inputs = rng.integers(0, gru.WORDS + 2, (5, 4))
+    targets = rng.integers(0, words + 1, (5, 4))
+    inputs = rng.integers(0, words + 2, (5, 4))
     live = np.arange(5)[:, None] < np.array([5, 3, 5, 1])[None]
-    h0 = rng.normal(size=(4, gru.WIDTH))
-    _, g, _ = gru._gradients(w, h0, inputs, targets, live)
+    opens = rng.random((5, 4)) < 0.3
+    h0 = rng.normal(size=(4, width))
+    _, g, _ = gru._gradients(w, h0, inputs, targets, live, opens)
     for key in w:
         for _ in range(4):
             at = tuple(rng.integers(0, n) for n in w[key].shape)
@@ -64,18 +72,19 @@ def test_gradients_are_those_of_the_loss():
                 at = (int(inputs[0, 0]), at[1])
             kept, e = w[key][at], 1e-5
             w[key][at] = kept + e
-            up = gru._gradients(w, h0, inputs, targets, live)[0]
+            up = gru._gradients(w, h0, inputs, targets, live, opens)[0]
             w[key][at] = kept - e
-            down = gru._gradients(w, h0, inputs, targets, live)[0]
+            down = gru._gradients(w, h0, inputs, targets, live, opens)[0]
             w[key][at] = kept
             assert g[key][at] == pytest.approx((up - down) / (2 * e), abs=2e-3)
 
 
 def test_state_is_carried_through_long_texts():
-    w = gru.initial(vocabulary())
-    ids = np.random.default_rng(2).integers(0, gru.WORDS + 1, 3000)
+    v = vocabulary()
+    w, (words, width) = gru.initial(v), shape(v)
+    ids = np.random.default_rng(2).integers(0, words + 1, 3000)
     whole = gru.score_rows(w, ids, np.array([0, 3000]), block=64)[0]
-    h, total, before = np.zeros((1, gru.WIDTH), np.float32), 0.0, gru.WORDS + 1
+    h, total, before = np.zeros((1, width), np.float32), 0.0, words + 1
     for i in ids:
         h = gru._step(w, w["embed"][[before]] @ w["in"] + w["bias"], h)[0]
         total += gru.log_output(w, h, np.array([i]))[0]
@@ -83,6 +92,60 @@ def test_state_is_carried_through_long_texts():
     assert whole == pytest.approx(total, rel=1e-4)
 
 
+def said(text, w, v, counts, total, types):
+    """The score of a text, number by number, from the weights."""
+    width, side = v.side // 2, v.side
+    order = sorted(counts, key=lambda t: (-counts[t], t))[: v.words]
+    place, rest = {t: i for i, t in enumerate(order)}, total - sum(counts[t] for t in order)
+    h, before, out = [0.0] * width, v.words + 1, 0.0
+    one = lambda x: 1 / (1 + exp(-x))
+    for t in text:
+        x = [sum(float(w["embed"][before][i]) * float(w["in"][i][j]) for i in range(width)) + float(w["bias"][j]) for j in range(3 * width)]
+        z = [one(x[j] + sum(h[i] * float(w["gates"][i][j]) for i in range(width))) for j in range(width)]
+        r = [one(x[width + j] + sum(h[i] * float(w["gates"][i][width + j]) for i in range(width))) for j in range(width)]
+        c = [tanh(x[2 * width + j] + sum(r[i] * h[i] * float(w["state"][i][j]) for i in range(width))) for j in range(width)]
+        h = [h[j] + z[j] * (c[j] - h[j]) for j in range(width)]
+        before = place.get(t, v.words)
+        kind, at = divmod(before, side)
+        scores = [sum(h[i] * float(w["class"][i][j]) for i in range(width)) + float(w["class_bias"][j]) for j in range(side + 1)]
+        out += (scores[kind] - log(sum(map(exp, scores)))) / log(10)
+        if before == v.words:
+            out += log10((counts.get(t, 0) + 1) / (rest + types - len(order) + 1))
+        else:
+            scores = [sum(h[i] * float(w["word"][kind][i][j]) for i in range(width)) + float(w["word_bias"][kind][j]) for j in range(side)]
+            out += (scores[at] - log(sum(map(exp, scores)))) / log(10)
+    return out
+
+
+def test_scores_are_those_of_the_model_written_out(spark, docs, rows, monkeypatch):
+    made, learn = [], gru.learn
+    monkeypatch.setattr(gru, "learn", lambda *a: made.append(learn(*a)) or made[-1])
+    got = Counter((r.doc_id, r.n_tokens, round(r.score, 2)) for r in gru.score(docs).collect())
+    table, v, w = made[0]
+    by_hash = {r.token: r.n for r in table.collect()}
+    total, types = sum(by_hash.values()), len(by_hash)
+
+    def hashes(text):
+        raw = (text or "").encode()
+        h, _ = gru.token_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        return h.view(np.int64).tolist()
+
+    some = [r for r in rows if len(r[1] or "") < 900][:12]
+    for r in some:
+        want = said(hashes(r[1]), w, v, by_hash, total, types)
+        assert any(k[0] == r[0] and abs(k[2] - want) < 0.02 + 1e-3 * abs(want) for k in got), (r[0], want)
+
+
+def test_scores_do_not_hang_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    sums = []
+    for n in (1, 8, 64):
+        got = gru.score(docs.repartition(n)).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+        sums.append(got[0])
+        assert got[0] > got[1]
+    assert max(sums) - min(sums) < 1e-4 * abs(sums[0])
+
+
 def test_learning_beats_counts_on_held_out_texts(spark):
     rng = random.Random(4)
     cycle = [f"w{i}" for i in range(30)]
@@ -94,22 +157,17 @@ def test_learning_beats_counts_on_held_out_texts(spark):
             at = (at + rng.choice((1, 1, 1, 2))) % 30
         rows.append((k, " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(2)
-    got = gru.score(docs, every=1, rounds=4).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    got = gru.score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > 0.9 * got[1]
 
 
-def test_every_training_text_teaches_by_default(spark, monkeypatch):
-    docs = spark.createDataFrame([(k, f"a{k} b{k} c{k}") for k in range(200)], "doc_id int, text string")
-    seen, average = [], gru._average
-
-    def noted(rows):
-        out = average(rows)
-        seen.append(out[1])
-        return out
-
-    monkeypatch.setattr(gru, "_average", noted)
-    gru.learn(docs)
-    assert seen == [4 * docs.where(gru.training("doc_id")).count()] * gru.ROUNDS
+def test_every_training_text_teaches(spark, docs):
+    rows = gru.token_counts(docs)
+    v = gru.Vocabulary([tuple(r) for r in rows.collect()], rows.agg(F.sum("n")).first()[0], rows.count())
+    taught = gru.encoded(docs, v, 5).collect()
+    assert sum(len(r.ids) // 2 for r in taught) == v.total
+    assert len(taught) == docs.where(gru.training("doc_id")).count()
+    assert {r.shard for r in taught} == set(range(5))
 
 
 def test_empty_and_untrained(spark, empty):
