@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import builder as B
 from graphloom.operators import curriculum as C
+from graphloom.operators import qij, trees
 from graphloom.plans.base import SLUGB, query
 from graphloom.plans.text_queries import _CLEANED, _CUT, _NOISE, _fixed
 
@@ -139,3 +140,51 @@ def gr_curriculum_build(v):
     rows = [df.agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).withColumn("collection", F.lit(name)).withColumn("entity", F.lit(broken[name])) for name, df in (("concepts", made["concepts"]), ("standard_items", made["standard_items"]), ("topics", topics))]
     whole = rows[0].unionByName(rows[1]).unionByName(rows[2])
     return whole.join(found, "entity", "left").select("collection", "n", "ids", F.coalesce("v", F.lit(0)).cast("int").alias("violations"))
+
+
+# -- question documents ----------------------------------------------------------------
+
+_TREE = r"""n0 AS (SELECT doc, t.key AS key, t.type AS jtype, regexp_replace(regexp_replace(replace(t.fullkey, '.', '/'), '\[(\d+)\]', '/\1', 'g'), '^\$', '') AS path, regexp_replace(regexp_replace(replace(t.path, '.', '/'), '\[(\d+)\]', '/\1', 'g'), '^\$', '') AS parent, t.atom ->> '$' AS text FROM qij_docs, json_tree(CAST(body AS JSON)) t WHERE t.fullkey <> '$'),
+n AS (SELECT doc, key, path, parent, CASE WHEN jtype = 'OBJECT' THEN 'object' WHEN jtype = 'ARRAY' THEN 'array' WHEN jtype = 'VARCHAR' THEN 'string' WHEN jtype = 'BOOLEAN' THEN 'boolean' WHEN jtype = 'NULL' THEN 'null' ELSE 'number' END AS kind, text FROM n0),
+o AS (SELECT a.doc, a.path, max(CASE WHEN b.key = 'id' THEN b.text END) AS id, max(CASE WHEN b.key = 'kind' THEN b.text END) AS kind, max(CASE WHEN b.key = 'type' THEN b.text END) AS type, max(CASE WHEN b.key = 'points' THEN CAST(b.text AS DOUBLE) END) AS points, max(CASE WHEN b.key = 'fallbackAssetId' THEN b.text END) AS fallback,
+  max(CASE WHEN b.key = 'min' THEN CAST(b.text AS DOUBLE) END) AS lo, max(CASE WHEN b.key = 'max' THEN CAST(b.text AS DOUBLE) END) AS hi, max(CASE WHEN b.key = 'minSelections' THEN CAST(b.text AS DOUBLE) END) AS least, max(CASE WHEN b.key = 'maxSelections' THEN CAST(b.text AS DOUBLE) END) AS most FROM n a LEFT JOIN n b ON a.doc = b.doc AND b.parent = a.path AND b.text IS NOT NULL WHERE a.kind = 'object' GROUP BY 1, 2),
+its AS (SELECT doc, path, kind, id, points FROM o WHERE regexp_matches(path, '^(/items/\d+)+$')),
+qs AS (SELECT * FROM its WHERE kind = 'question'),
+assets AS (SELECT doc, path, regexp_extract(path, '^/assets/([^/]+)$', 1) AS id, type, fallback FROM o WHERE regexp_matches(path, '^/assets/[^/]+$')),
+rs AS (SELECT doc, path, regexp_extract(path, '^(.*)/responses/\d+$', 1) AS q, id, type, lo, hi, least, most FROM o WHERE regexp_matches(path, '^(/items/\d+)+/responses/\d+$')),
+gr AS (SELECT g.doc, g.path, g.key AS r, qs.path AS q, o.points FROM n g LEFT JOIN qs ON qs.doc = g.doc AND g.path LIKE '/answerKey/' || qs.id || '/grading/%' LEFT JOIN o ON o.doc = g.doc AND o.path = g.path WHERE regexp_matches(g.path, '^/answerKey/[^/]+/grading/[^/]+$')),
+opts AS (SELECT doc, regexp_extract(path, '^(.*)/options/\d+$', 1) AS spot, id FROM o WHERE regexp_matches(path, '/options/\d+$')),
+w AS (SELECT * FROM assets WHERE type = 'widget'),
+chain(doc, id, spot, k) AS (SELECT doc, id, fallback, 1 FROM w UNION ALL SELECT chain.doc, chain.id, w.fallback, k + 1 FROM chain JOIN w ON w.doc = chain.doc AND w.id = chain.spot WHERE k < 4),
+f AS (
+  SELECT 'item_id_repeated' AS rule, 'item' AS entity, doc, min(path) AS path, id AS detail FROM its WHERE id IS NOT NULL GROUP BY doc, id HAVING count(*) > 1
+  UNION ALL SELECT CASE WHEN regexp_matches(path, '/actions/\d+/assetId$') THEN 'action_asset_not_found' ELSE 'asset_not_found' END, CASE WHEN regexp_matches(path, '/actions/\d+/assetId$') THEN 'action' ELSE 'content' END, doc, path, text FROM n WHERE key = 'assetId' AND (doc, text) NOT IN (SELECT (doc, id) FROM assets)
+  UNION ALL SELECT 'response_not_found', 'content', doc, path, text FROM n WHERE key = 'responseId' AND (doc, regexp_extract(path, '^((?:/items/\d+)+)/content/', 1), text) NOT IN (SELECT (doc, q, id) FROM rs)
+  UNION ALL SELECT 'question_not_found', 'answer', doc, path, key FROM n WHERE regexp_matches(path, '^/answerKey/[^/]+$') AND (doc, key) NOT IN (SELECT (doc, id) FROM qs)
+  UNION ALL SELECT 'graded_response_not_found', 'grading', doc, path, r FROM gr WHERE q IS NOT NULL AND (doc, q, r) NOT IN (SELECT (doc, q, id) FROM rs)
+  UNION ALL SELECT 'option_not_found', 'grading', n.doc, n.path, n.text FROM n JOIN gr ON gr.doc = n.doc AND regexp_extract(n.path, '^(/answerKey/[^/]+/grading/[^/]+)/(accepted|expected)(/\d+)*$', 1) = gr.path JOIN rs ON rs.doc = gr.doc AND rs.q = gr.q AND rs.id = gr.r AND rs.type = 'choice' WHERE n.text IS NOT NULL AND (n.doc, rs.path, n.text) NOT IN (SELECT (doc, spot, id) FROM opts)
+  UNION ALL SELECT 'points_differ', 'question', s.doc, s.path, CAST(CAST(s.total AS DECIMAL(18, 2)) AS VARCHAR) FROM (SELECT qs.doc, qs.path, qs.points, count(gr.points) AS n, sum(gr.points) AS total, (SELECT count(*) FROM rs WHERE rs.doc = qs.doc AND rs.q = qs.path) AS of FROM qs JOIN gr ON gr.doc = qs.doc AND gr.q = qs.path WHERE (gr.doc, gr.q, gr.r) IN (SELECT (doc, q, id) FROM rs) GROUP BY 1, 2, 3) s WHERE s.n = s.of AND abs(s.total - s.points) > 1e-9
+  UNION ALL SELECT 'rubric_points_differ', 'grading', r.doc, r.path, CAST(CAST(coalesce(c.s, 0) AS DECIMAL(18, 2)) AS VARCHAR) FROM o r LEFT JOIN (SELECT doc, regexp_extract(path, '^(.*)/criteria/\d+$', 1) AS path, sum(points) AS s FROM o WHERE regexp_matches(path, '/criteria/\d+$') GROUP BY 1, 2) c USING (doc, path) WHERE r.type = 'rubric' AND abs(coalesce(c.s, 0) - r.points) > 1e-9
+  UNION ALL SELECT 'fallback_missing', 'asset', doc, path, coalesce(fallback, '') FROM w WHERE fallback IS NULL OR (doc, fallback) NOT IN (SELECT (doc, id) FROM assets)
+  UNION ALL SELECT 'fallback_is_widget', 'asset', doc, path, fallback FROM w WHERE fallback IS NOT NULL AND (doc, fallback) IN (SELECT (doc, id) FROM w)
+  UNION ALL SELECT DISTINCT 'fallback_circle', 'asset', w.doc, w.path, w.id FROM w JOIN chain ON chain.doc = w.doc AND chain.id = w.id AND chain.spot = w.id
+  UNION ALL SELECT 'group_empty', 'item', doc, path, id FROM its WHERE kind = 'group' AND (doc, path) NOT IN (SELECT (doc, regexp_extract(path, '^(.*)/items/\d+$', 1)) FROM its)
+  UNION ALL SELECT 'method_id_repeated', 'method', doc, min(path), id FROM o WHERE id IS NOT NULL AND regexp_matches(path, '/solution/methods/\d+$') GROUP BY doc, regexp_extract(path, '^(.*)/\d+$', 1), id HAVING count(*) > 1
+  UNION ALL SELECT 'step_id_repeated', 'step', doc, min(path), id FROM o WHERE id IS NOT NULL AND regexp_matches(path, '/solution/methods/\d+/steps/\d+$') GROUP BY doc, regexp_extract(path, '^(.*)/\d+$', 1), id HAVING count(*) > 1
+  UNION ALL SELECT 'cells_differ', 'table', r.doc, r.path, CAST((SELECT count(*) FROM n c WHERE c.doc = r.doc AND c.parent = r.path) AS VARCHAR) FROM n r JOIN o t ON t.doc = r.doc AND t.type = 'table' AND r.parent = t.path || '/rows' WHERE r.kind = 'array' AND (SELECT count(*) FROM n c WHERE c.doc = r.doc AND c.parent = r.path) <> (SELECT count(*) FROM n c WHERE c.doc = r.doc AND c.parent = t.path || '/columns')
+  UNION ALL SELECT 'number_range', 'response', doc, path, CAST(CAST(lo AS DECIMAL(18, 2)) AS VARCHAR) FROM rs WHERE type = 'number' AND lo > hi
+  UNION ALL SELECT 'choice_range', 'response', doc, path, CAST(k AS VARCHAR) FROM (SELECT rs.*, (SELECT count(*) FROM opts WHERE opts.doc = rs.doc AND opts.spot = rs.path) AS k FROM rs WHERE type = 'choice') WHERE least < 0 OR coalesce(most < 0 OR least > most OR most > k, false) OR least > k)"""
+
+
+def _trees(v):
+    return v.qij_docs.select("doc", F.try_parse_json("body").alias("v"))
+
+
+@query(f"WITH RECURSIVE {_TREE} SELECT rule, 'E' AS severity, entity, concat(doc, '#', path) AS id, coalesce(detail, '') AS detail FROM f")
+def qij_semantic(v):
+    return qij.semantic_rules(_trees(v))
+
+
+@query(f"WITH RECURSIVE {_TREE} SELECT doc, path, (length(path) - length(replace(path, '/', ''))) // 2 AS depth, kind, id, points FROM its")
+def qij_item_tree(v):
+    return qij.items(trees.tree(_trees(v)))

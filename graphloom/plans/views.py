@@ -2,7 +2,7 @@
 the TPC-like tables.
 
 Each view is one SQL text for both engines: ``@name`` is a table, ``ARR(...)`` an
-array.  The source tables are clean, so some values are spoiled by rule; every
+array, ``AGG[[x||o]]`` the values of ``x`` in the order of ``o`` joined by commas.  The source tables are clean, so some values are spoiled by rule; every
 row of every table takes part.
 """
 
@@ -12,6 +12,12 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+_QUESTION = """concat('{"kind":"question","id":"', CASE WHEN k % 37 = 5 THEN 'q0' ELSE concat('q', turn) END, '","points":', CASE WHEN k % 31 = 3 THEN '3' ELSE '2' END, ',"content":[{"type":"markdown","text":"', role, '"},{"type":"asset","assetId":"', CASE WHEN k % 11 = 4 THEN 'nofig' ELSE 'fig' END,
+    '"},{"type":"template","parts":[{"type":"response","responseId":"', CASE WHEN k % 13 = 2 THEN 'none' ELSE 'a' END, '"}]},{"type":"table","columns":["x","y"],"rows":[[1,2],[3', CASE WHEN k % 17 = 6 THEN '' ELSE ',null' END, ']]}],"responses":[{"id":"a","type":"choice","minSelections":', CASE WHEN k % 43 = 9 THEN '-1' ELSE '1' END, CASE WHEN k % 3 = 0 THEN '' ELSE concat(',"maxSelections":', CASE WHEN k % 7 = 1 THEN '3' ELSE '2' END) END,
+    ',"options":[{"id":"A"},{"id":"B"}]},{"id":"b","type":"number","min":', CASE WHEN k % 19 = 8 THEN '5' ELSE '0' END, ',"max":3.5}]}')"""
+_ANSWER = """concat('"', CASE WHEN k % 29 = 11 THEN 'zz' ELSE 'q' END, turn, '":{"grading":{"a":{"type":"exact","accepted":["', CASE WHEN k % 23 = 7 THEN 'Z' ELSE 'A' END, '"],"points":1},"', CASE WHEN k % 21 = 10 THEN 'c' ELSE 'b' END, '":{"type":"rubric","points":1,"criteria":[{"id":"x","points":0.5},{"id":"y","points":', CASE WHEN k % 9 = 5 THEN '0.25' ELSE '0.5' END,
+    '}]}},"solution":{"methods":[{"id":"m","steps":[{"id":"s1"},{"id":"', CASE WHEN k % 10 = 6 THEN 's1' ELSE 's2' END, '","actions":[{"assetId":"', CASE WHEN k % 12 = 3 THEN 'gone' ELSE 'fig' END, '"}]}]},{"id":"', CASE WHEN k % 16 = 9 THEN 'm' ELSE 'm2' END, '","steps":[]}]}}')"""
+
 _REFS = "CASE WHEN k % 13 = 0 THEN ARR('') WHEN k % 3 = 0 THEN ARR(concat('src:', k % 7), concat('src:', k % 5, '#c', k % 4)) ELSE ARR(concat('src:', k % 7)) END"
 _STATE = "CASE k % 5 WHEN 0 THEN 'accepted' WHEN 1 THEN ' needs_review ' WHEN 2 THEN 'draft' WHEN 3 THEN 'rejected' ELSE '' END"
 _CONF = "CASE WHEN k % 37 = 5 THEN NULL ELSE (k % 120) / 100e0 END"
@@ -93,6 +99,12 @@ SELECT concat('cur-', u) AS doc, CAST(floor(pos / 25) AS BIGINT) + 20 AS page, p
     CASE k % 6 WHEN 0 THEN '认识数的意义，发展数感' WHEN 1 THEN '探索图形的方法；形成空间观念' WHEN 2 THEN '会解决情境问题。例 12' WHEN 3 THEN '描述数据，经历活动，' WHEN 4 THEN '能比较和估算，体会算法与符号意识、模型意识' ELSE '了解' END,
     CASE WHEN k % 7 = 0 THEN concat('，并能在生活中说明理由', props, '，并能在生活中说明理由', props, '；并能在生活中说明理由', props, '，并能在生活中说明理由', props, '，并能在生活中说明理由', props, '，并能在生活中说明理由', props, '。并能在生活中说明理由', props) ELSE '' END, CASE WHEN k % 2 = 0 THEN '。' ELSE ' ' END) END AS line
 FROM (SELECT CAST(floor(user_id / 10) AS BIGINT) AS u, row_number() OVER (PARTITION BY CAST(floor(user_id / 10) AS BIGINT) ORDER BY ts, event_id) AS pos, event_id % 30 AS r, CAST(floor(event_id / 30) AS BIGINT) AS k, props FROM @events) e""",
+    "qij_rows": f"""
+SELECT conv_id, turn, k, {_QUESTION} AS question, {_ANSWER} AS answer FROM (SELECT conv_id, turn, role, conv_id * 10 + turn AS k FROM @conversations) c""",
+    "qij_docs": """
+SELECT conv_id AS doc, concat('{"spec":"qij","version":"1.0","items":[', AGG[[CASE WHEN k % 5 < 2 THEN question WHEN k % 5 = 2 THEN concat('{"kind":"group","id":"g', turn, '","items":[', CASE WHEN k % 4 = 1 THEN '' ELSE question END, ']}') ELSE concat('{"kind":"group","id":"g', turn, '","items":[{"kind":"group","id":"h', turn, '","items":[', question, ']}]}') END||turn]], '],"answerKey":{', AGG[[answer||turn]],
+  '},"assets":{"fig":{"type":"image"},"w1":{"type":"widget","name":"g","fallbackAssetId":"', CASE conv_id % 5 WHEN 0 THEN 'w2' WHEN 1 THEN 'fig' WHEN 2 THEN 'lost' WHEN 3 THEN 'w1' ELSE 'fig' END, '"},"w2":{"type":"widget","name":"g","fallbackAssetId":"', CASE conv_id % 3 WHEN 0 THEN 'w3' ELSE 'fig' END, '"},"w3":{"type":"widget"', CASE conv_id % 2 WHEN 0 THEN ',"fallbackAssetId":"w1"' ELSE '' END, '}}}') AS body
+FROM qij_rows GROUP BY conv_id""",
     "layout_elements": """
 SELECT user_id AS doc, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_id AS id, CASE WHEN event_type = 'purchase' THEN 'image' ELSE 'text' END AS type,
   CASE event_type WHEN 'signup' THEN concat('一、', CASE event_id % 3 WHEN 0 THEN '选择题' WHEN 1 THEN '填空题' ELSE '解答题' END) WHEN 'click' THEN concat(event_id % 40 + 1, '. Question') WHEN 'error' THEN concat('(', event_id % 4, ') part') WHEN 'view' THEN CASE WHEN event_id % 5 = 0 THEN ' ' ELSE concat('Text ', event_id) END ELSE '' END AS content,
@@ -100,6 +112,9 @@ SELECT user_id AS doc, row_number() OVER (PARTITION BY user_id ORDER BY ts, even
 }
 
 
+_AGG = re.compile(r"AGG\[\[(.*?)\|\|(.*?)\]\]", re.S)
+
+
 def _needed(sql: str) -> list[str]:
     """Views that ``sql`` names, those they need first."""
     out: list[str] = []
@@ -114,7 +129,8 @@ def _needed(sql: str) -> list[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame."""
     own = VIEWS[name]
-    sql = own.replace("ARR(", "array(")
+    sql = own.replace("ARR(", "array(").replace("{", "{{").replace("}", "}}")
+    sql = _AGG.sub(r"array_join(transform(array_sort(collect_list(struct(\2 AS o, \1 AS x))), e -> e.x), ',')", sql)
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(re.findall(r"@(\w+)", own))}
     sql = re.sub(r"@(\w+)", r"{\1}", sql)
     for n in VIEWS:
@@ -132,4 +148,5 @@ def duck(sql: str) -> str:
         body = re.sub(r"^\s*WITH (RECURSIVE )?", ", ", sql, count=1) if re.match(r"\s*WITH ", sql) else "\n" + sql
         sql = f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(parts)}{body}"
     sql = re.sub(r", (\w+) -> ", r", lambda \1: ", re.sub(r", \((\w+), (\w+)\) -> ", r", lambda \1, \2: ", sql))
+    sql = _AGG.sub(r"string_agg(\1, ',' ORDER BY \2)", sql)
     return re.sub(r"@(\w+)", r"\1", sql.replace("ARR(", "list_value("))
