@@ -3,13 +3,18 @@
 The windows of the test items are hashed into a set that every task holds; the
 windows of each text are looked up in it, hits are compared word for word, and
 the words inside any occurrence are hit.  The items are taken in blocks of a
-bounded number of bytes: one block is one pass over the texts, and what several
-passes find for a row is put together, so no broadcast grows with the benchmark.
+bounded number of bytes, repeated ones once: one block is one pass over the
+texts, and what several passes find for a row is put together, so no broadcast
+grows with the benchmark.  A set is a few flat arrays, about four bytes for each
+byte of its items (``WindowSet.nbytes``).
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, with
 A-Z in lower case.  An item with fewer words than a window is one window; an
 item without words, like a null text, has none.  Items that are repeated or
-share windows all count.  A null item id is hit like others and not listed.
+share windows all count.  A null item id is hit like others and not listed.  The
+columns of the documents may have any names: ``remove_spans`` gives back all of
+them, ``hits`` all but those named like the three that it adds.  An empty table
+or benchmark gives no rows or no hits.
 """
 
 from __future__ import annotations
@@ -19,144 +24,173 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.store import ship
-from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, rows_of, spans, take_columns, windows
+from graphloom.llm.store import cut, schema_of, shared_folder, ship
+from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, rows_of, spans, windows
 
 WIDTH = 10
-#: Bytes of item text in a block, and so in a broadcast.
+#: Bytes of item text in a block; the set of a block is about four times as large.
 BLOCK_BYTES = 16 << 20
+_SIEVE_BITS = 20
 
 
 class WindowSet:
-    """Windows of test items by length and hash."""
+    """Windows of test items by length and hash: for each length the sorted
+    hashes and the first word of each, over the items' words as plain text."""
 
     def __init__(self, items: list[tuple[str | None, str]], width: int = WIDTH):
         raw = [(t or "").encode("utf-8") for _, t in items]
-        data = np.frombuffer(b"".join(raw), np.uint8)
+        joined = b"".join(raw)
+        data = np.frombuffer(joined, np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
         starts, ends, first = spans(data, offsets, WORD_BYTES)
         hashes = Hasher(data, LOWER_BYTES)(starts, ends)
-        self.lower = b"".join(raw).lower()
-        n_words = np.diff(first)
+        n_words, size = np.diff(first), ends - starts
         self.ids = [x for x, _ in items]
-        self.windows: dict[int, dict[int, list[tuple[bytes, set[int]]]]] = defaultdict(dict)
-        for length in sorted({min(int(n), width) for n in n_words if n}):
+        self.item = rows_of(first).astype(np.int32)
+        # the words in lower case, each followed by a blank
+        self.begin = np.concatenate([[0], np.cumsum(size + 1)]).astype(np.int32)
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        words = np.full(int(self.begin[-1]), 32, np.uint8)
+        words[np.repeat(self.begin[:-1].astype(np.int64), size) + inside] = data[np.repeat(starts, size) + inside]
+        self.words = words.tobytes().lower()
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length in sorted({min(int(n), width) for n in np.unique(n_words) if n}):
             at, h = windows(hashes, first, length)
-            row = rows_of(first)[at]
-            good = (n_words[row] == length) if length < width else np.ones(len(at), bool)
-            table = self.windows[length]
-            for a, key, item in zip(at[good].tolist(), h[good].tolist(), row[good].tolist()):
-                words = b" ".join(self.lower[s:e] for s, e in zip(starts[a : a + length], ends[a : a + length]))
-                same = table.setdefault(key, [])
-                for known, owners in same:
-                    if known == words:
-                        owners.add(item)
-                        break
-                else:
-                    same.append((words, {item}))
-        self.keys = {n: np.sort(np.fromiter(t, np.uint64, len(t))) for n, t in self.windows.items()}
-        self.sieve = {n: np.zeros(1 << 20, bool) for n in self.keys}
-        for n, keys in self.keys.items():
-            self.sieve[n][keys >> np.uint64(44)] = True
+            good = n_words[self.item[at]] == length if length < width else np.ones(len(at), bool)
+            order = np.argsort(h[good], kind="stable")
+            self.windows[length] = h[good][order], at[good][order].astype(np.int32)
+
+    @property
+    def nbytes(self) -> int:
+        """Of the arrays, of which all but the ids are made."""
+        return self.item.nbytes + self.begin.nbytes + len(self.words) + sum(k.nbytes + a.nbytes for k, a in self.windows.values())
+
+    def sieve(self, length: int) -> np.ndarray:
+        out = np.zeros(1 << _SIEVE_BITS, bool)
+        out[self.windows[length][0] >> np.uint64(64 - _SIEVE_BITS)] = True
+        return out
+
+    def said(self, word: int, length: int) -> bytes:
+        return self.words[self.begin[word] : self.begin[word + length] - 1]
+
+
+class Searcher:
+    """A set, and a sieve before each of its lengths."""
+
+    def __init__(self, known: WindowSet):
+        self.known, self.sieves = known, {n: known.sieve(n) for n in known.windows}
 
     def search(self, data: np.ndarray, offsets: np.ndarray):
         """Spans of words, each row's first, whether a word is hit, and the items of each row."""
         starts, ends, first = spans(data, offsets, WORD_BYTES)
         edge = np.zeros(len(starts) + 1, np.int64)
         found: dict[int, set[int]] = defaultdict(set)
-        if self.keys and len(starts):
+        known = self.known
+        if known.windows and len(starts):
             hashes = Hasher(data, LOWER_BYTES)(starts, ends)
             row, lower = rows_of(first), None
-            for length, keys in self.keys.items():
+            for length, (keys, words) in known.windows.items():
                 at, h = windows(hashes, first, length)
-                near = np.flatnonzero(self.sieve[length][h >> np.uint64(44)])
-                near = near[keys[np.minimum(np.searchsorted(keys, h[near]), len(keys) - 1)] == h[near]]
-                if len(near) and lower is None:
+                near = np.flatnonzero(self.sieves[length][h >> np.uint64(64 - _SIEVE_BITS)])
+                lo, hi = (np.searchsorted(keys, h[near], side) for side in ("left", "right"))
+                same = lo < hi
+                if same.any() and lower is None:
                     lower = data.tobytes().lower()
-                for a, key in zip(at[near].tolist(), h[near].tolist()):
-                    words = b" ".join(lower[s:e] for s, e in zip(starts[a : a + length].tolist(), ends[a : a + length].tolist()))
-                    for known, owners in self.windows[length][key]:
-                        if known == words:
-                            edge[a] += 1
-                            edge[a + length] -= 1
-                            found[int(row[a])] |= owners
+                for a, x, y in zip(at[near[same]].tolist(), lo[same].tolist(), hi[same].tolist()):
+                    own = b" ".join(lower[s:e] for s, e in zip(starts[a : a + length].tolist(), ends[a : a + length].tolist()))
+                    alike = [w for w in words[x:y].tolist() if known.said(w, length) == own]
+                    if alike:
+                        edge[a] += 1
+                        edge[a + length] -= 1
+                        found[int(row[a])].update(known.item[alike].tolist())
         return starts, ends, first, np.cumsum(edge[:-1]) > 0, found
 
 
-_SETS: dict[str, WindowSet] = {}
+_SETS: dict[str, Searcher] = {}
 
 
-def _held(token: str, items, width: int) -> WindowSet:
+def _held(token: str, known) -> Searcher:
     if token not in _SETS:
         _SETS.clear()
-        _SETS[token] = WindowSet(items.value, width)
+        _SETS[token] = Searcher(known.value)
     return _SETS[token]
 
 
-def _blocks(bench: DataFrame, item: str, text: str, block_bytes: int):
-    """Broadcasts of bounded blocks of items."""
-    items = bench.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull())
+def _blocks(bench: DataFrame, item: str, text: str, width: int, block_bytes: int):
+    """Broadcast sets of bounded blocks of items."""
+    items = bench.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull()).distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n = max(1, -(-total // block_bytes))
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()
-        yield bench.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
+        yield bench.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in rows], width))
 
 
-def hits(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``n_words``, ``hit_runs`` (index of the first word and of
-    the one after the last, and the same as byte offsets) and ``hit_items``."""
-    ship(docs.sparkSession)
-    names = [c for c in docs.columns if c not in ("n_words", "hit_runs", "hit_items")]
-    kept = docs.select(*names)
+_RUNS = "array<struct<a:bigint,b:bigint,`from`:bigint,`to`:bigint>>"
+
+
+def _searched(source: DataFrame, text: str, known, width: int) -> DataFrame:
+    """``source`` with ``_words``, ``_runs`` and ``_items``."""
+    token, names = uuid.uuid4().hex, source.columns
     run_type = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("from", pa.int64()), ("to", pa.int64())])
-    added = "n_words bigint, hit_runs array<struct<a:bigint,b:bigint,`from`:bigint,`to`:bigint>>, hit_items array<string>"
-
-    def one(source: DataFrame, held) -> DataFrame:
-        token, columns = uuid.uuid4().hex, source.columns
-
-        def run(batches):
-            known = _held(token, held, width)
-            for batch in batches:
-                for lo, hi, data, offsets in chunks(batch, text):
-                    starts, ends, first, hit, found = known.search(data, offsets)
-                    runs, items = [], []
-                    for r in range(hi - lo):
-                        own = []
-                        if r in found:
-                            a, b = first[r], first[r + 1]
-                            edge = np.flatnonzero(np.diff(np.concatenate([[False], hit[a:b], [False]]).astype(np.int8)))
-                            for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                                own.append({"a": x, "b": y, "from": int(starts[a + x] - offsets[r]), "to": int(ends[a + y - 1] - offsets[r])})
-                        runs.append(own)
-                        items.append(sorted({known.ids[i] for i in found.get(r, ()) if known.ids[i] is not None}))
-                    yield pa.RecordBatch.from_arrays([*take_columns(batch, columns, lo, hi), pa.array(np.diff(first), pa.int64()), pa.array(runs, pa.list_(run_type)), pa.array(items, pa.list_(pa.string()))], names=[*columns, "n_words", "hit_runs", "hit_items"])
-
-        return source.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields) + f", {added}")
-
-    blocks = list(_blocks(bench, item, item_text, block_bytes))
+
+    def run(batches):
+        held = _held(token, known)
+        for batch in batches:
+            for lo, hi, data, offsets in chunks(batch, text):
+                starts, ends, first, hit, found = held.search(data, offsets)
+                runs, items = [], []
+                for r in range(hi - lo):
+                    own = []
+                    if r in found:
+                        a, b = first[r], first[r + 1]
+                        edge = np.flatnonzero(np.diff(np.concatenate([[False], hit[a:b], [False]]).astype(np.int8)))
+                        for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                            own.append({"a": x, "b": y, "from": int(starts[a + x] - offsets[r]), "to": int(ends[a + y - 1] - offsets[r])})
+                    runs.append(own)
+                    items.append(sorted({held.known.ids[i] for i in found.get(r, ()) if held.known.ids[i] is not None}))
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns), pa.array(np.diff(first), pa.int64()), pa.array(runs, pa.list_(run_type)), pa.array(items, pa.list_(pa.string()))], names=[*names, "_words", "_runs", "_items"])
+
+    return source.mapInArrow(run, f"{schema_of(source)}, _words bigint, _runs {_RUNS}, _items array<string>")
+
+
+def _plain_hits(docs: DataFrame, bench: DataFrame, text: str, item: str, item_text: str, width: int, block_bytes: int) -> DataFrame:
+    """Columns c0, c1, ... of ``docs`` with what is found in them."""
+    ship(docs.sparkSession)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    own = f"c{docs.columns.index(text)}"
+    blocks = list(_blocks(bench, item, item_text, width, block_bytes))
     if len(blocks) == 1:
-        return one(kept, blocks[0])
-    # several passes: only rows with hits are brought together
-    numbered = kept.withColumn("_row", F.monotonically_increasing_id())
-    passes = [one(numbered.select(F.col(text), "_row"), b).drop(text) for b in blocks]
-    found = passes[0]
-    for p in passes[1:]:
-        found = found.unionByName(p)
-    found = found.where(F.size("hit_runs") > 0).groupBy("_row").agg(F.flatten(F.collect_list("hit_runs")).alias("r"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("i"))
+        return _searched(plain, own, blocks[0], width)
+    # several passes over rows that are numbered once; only rows with hits are brought together
+    numbered = cut(plain.withColumn("_row", F.monotonically_increasing_id()), "numbered", shared_folder(docs.sparkSession))
+    found = None
+    for block in blocks:
+        part = _searched(numbered.select(own, "_row"), own, block, width).where(F.size("_runs") > 0).drop(own, "_words")
+        found = part if found is None else found.unionByName(part)
+    found = found.groupBy("_row").agg(F.flatten(F.collect_list("_runs")).alias("r"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("i"))
 
     def merge(acc, x):
         last = F.element_at(acc, -1)
         joined = F.struct(last["a"].alias("a"), F.greatest(last["b"], x["b"]).alias("b"), last["from"].alias("from"), F.greatest(last["to"], x["to"]).alias("to"))
         return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["b"] >= x["a"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(acc, F.array(x)))
 
-    kind = "array<struct<a:bigint,b:bigint,`from`:bigint,`to`:bigint>>"
-    found = found.select("_row", F.aggregate(F.array_sort("r"), F.array().cast(kind), merge).alias("r"), "i")
-    words = one(numbered, docs.sparkSession.sparkContext.broadcast([])).drop("hit_runs", "hit_items")
-    return words.join(found, "_row", "left").select(*names, "n_words", F.coalesce("r", F.array().cast(kind)).alias("hit_runs"), F.coalesce("i", F.array().cast("array<string>")).alias("hit_items"))
+    found = found.select("_row", F.aggregate(F.array_sort("r"), F.array().cast(_RUNS), merge).alias("r"), "i")
+    words = _searched(numbered, own, docs.sparkSession.sparkContext.broadcast(WindowSet([], width)), width).drop("_runs", "_items")
+    return words.join(found, "_row", "left").select(*plain.columns, "_words", F.coalesce("r", F.array().cast(_RUNS)).alias("_runs"), F.coalesce("i", F.array().cast("array<string>")).alias("_items"))
+
+
+def hits(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with ``n_words``, ``hit_runs`` (index of the first word and of
+    the one after the last, and the same as byte offsets) and ``hit_items``."""
+    added = {"n_words": "_words", "hit_runs": "_runs", "hit_items": "_items"}
+    found = _plain_hits(docs, bench, text, item, item_text, width, block_bytes)
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in added]
+    return found.select(*own, *(F.col(v).alias(k) for k, v in added.items()))
 
 
 def digests(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -167,18 +201,18 @@ def digests(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     return found.select(key, "n_words", n_hit.alias("n_hit"), F.size("hit_items").cast("bigint").alias("n_items"), F.sha2(listed.cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def remove_spans(docs: DataFrame, bench: DataFrame, text: str = "text") -> DataFrame:
+def remove_spans(docs: DataFrame, bench: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the text from the first to the last word of each hit run
     (a blank stands for it); rows and columns as before."""
-    names = docs.columns
-    found = hits(docs, bench, text)
-    at = names.index(text)
-    kept = found.select(*names, "hit_runs")
+    found = _plain_hits(docs, bench, text, "item_id", "text", WIDTH, block_bytes)
+    at, n = docs.columns.index(text), len(docs.columns)
+    kept = found.select(*(f"c{i}" for i in range(n)), "_runs")
+    names = kept.columns[:-1]
 
     def run(batches):
         for batch in batches:
-            runs = batch.column(len(names))
-            if not pa.compute.any(pa.compute.greater(pa.compute.list_value_length(runs), 0)).as_py():
+            runs = batch.column(n)
+            if not pc.any(pc.greater(pc.list_value_length(runs), 0)).as_py():
                 yield batch.select(names)
                 continue
             texts, spans_ = batch.column(at).to_pylist(), runs.to_pylist()
@@ -189,7 +223,7 @@ def remove_spans(docs: DataFrame, bench: DataFrame, text: str = "text") -> DataF
                         out.append(raw[last : r["from"]])
                         last = r["to"]
                     texts[i] = b" ".join([*out, raw[last:]]).decode("utf-8")
-            columns = [batch.column(i) if i != at else pa.array(texts, pa.string()) for i in range(len(names))]
+            columns = [batch.column(i) if i != at else pa.array(texts, pa.string()) for i in range(n)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return kept.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+    return kept.mapInArrow(run, schema_of(kept.drop("_runs"))).toDF(*docs.columns)

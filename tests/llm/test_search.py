@@ -115,6 +115,26 @@ def test_decontamination_digests_and_removal(docs, rows, bench):
     assert decontaminate.digests(clean, table).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("block", [16 << 20, 60])
+def test_decontamination_leaves_columns_of_any_name(docs, rows, bench, block):
+    table, _ = bench
+    odd = docs.withColumnsRenamed({"_row": "n_words", "shard": "hit_runs", "label": "_items", "source": "_row"}).withColumn("hit_items", F.lit("mine"))
+    clean = decontaminate.remove_spans(odd, table, block_bytes=block)
+    assert clean.columns == odd.columns
+    assert Counter((r.doc_id, r.n_words, r.hit_runs, r["_items"], r["_row"], r.hit_items) for r in clean.collect()) == Counter((r[0], r[5], r[6], r[7], r[3], "mine") for r in rows)
+    assert Counter(r.text for r in clean.collect()) == Counter(r.text for r in decontaminate.remove_spans(docs, table).collect())
+    found = decontaminate.hits(odd, table, block_bytes=block)
+    assert Counter((r["_row"], r["_items"]) for r in found.collect()) == Counter((r[3], r[7]) for r in rows)
+    assert decontaminate.hits(docs.limit(0), table, block_bytes=block).count() == 0
+
+
+def test_a_block_is_a_few_times_its_items():
+    rng = np.random.default_rng(1)
+    items = [(str(k), " ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 200))) for k in range(2000)]
+    known = decontaminate.WindowSet(items)
+    assert known.nbytes < 4 * sum(len(t) for _, t in items)
+
+
 def repeats(texts, length):
     raw = [(t or "").encode() for t in texts]
     at = defaultdict(list)
