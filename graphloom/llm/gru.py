@@ -287,6 +287,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: st
     context = docs.sparkSession.sparkContext
     shards = max(rounds, -(-vocabulary.total // SHARD_TOKENS))
     passes = min(MOST_PASSES, max(1, -(-LEAST_TOKENS // max(vocabulary.total, 1))))
+    tasks = min(-(-shards // rounds), 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = cut(encoded(docs, vocabulary, shards, key, text), "encoded", folder)
     for turn in range(rounds):
         held = context.broadcast(w)
@@ -330,7 +331,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: st
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["g", "tokens", "weights"])
 
-        own = rows.where(F.pmod("shard", F.lit(rounds)) == turn).repartition("shard").sortWithinPartitions("shard", "at", "ids")
+        own = rows.where(F.pmod("shard", F.lit(rounds)) == turn).repartition(tasks, "shard").sortWithinPartitions("shard", "at", "ids")
         schema = "g int, tokens bigint, weights binary"
         # at most _GROUPS rows of one model each come back
         parts = own.mapInArrow(run, schema).repartition(_GROUPS, "g").mapInArrow(added, schema).collect()
