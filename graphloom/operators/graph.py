@@ -120,14 +120,16 @@ def referenced_sources(reached_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return each.select(F.substring_index("r", "#", 1).alias("source_id")).distinct()
 
 
-def simple_cycles(edges: DataFrame, longest: int = 6) -> DataFrame:
-    """``cycle, length``: all simple cycles up to a length, each from its least
-    node on.  For small graphs of types; ``cyclic_core`` answers for large ones."""
+def simple_cycles(edges: DataFrame, longest: int | None = None) -> DataFrame:
+    """``cycle, length``: all simple cycles (up to a length, if one is given), each
+    from its least node on.  For small graphs, such as those of types, as there
+    may be very many; ``cycle_nodes`` finds one in a graph of any size."""
     e = edges.select("source", "target").distinct()
     paths = e.where("source <= target").select(F.col("source").alias("start"), F.array("source").alias("path"), F.col("target").alias("at"))
     out = paths.where("start = at").select("path")
-    paths = paths.where("start <> at")
-    for _ in range(longest - 1):
+    paths, n = paths.where("start <> at"), 1
+    while n != longest and (longest is not None or not paths.isEmpty()):
+        n += 1
         paths = paths.select("start", F.concat("path", F.array("at")).alias("path"), "at")
         step = paths.join(e, paths["at"] == e["source"]).select("start", "path", F.col("target").alias("at")).where("at >= start")
         out = out.unionByName(step.where("at = start").select("path"))
@@ -135,26 +137,92 @@ def simple_cycles(edges: DataFrame, longest: int = 6) -> DataFrame:
     return out.select(F.concat(F.array_join("path", " -> "), F.lit(" -> "), F.element_at("path", 1)).alias("cycle"), F.size("path").cast("bigint").alias("length"))
 
 
+def followed(steps: DataFrame, store, name: str, extra: dict[str, str] | None = None) -> DataFrame:
+    """Where each row of ``id, to`` (one row an id) ends if it is followed as far
+    as there are rows, or for at least as many steps as there are rows: each round
+    goes twice as far as the last.  ``extra``: columns that are put together on
+    the way, by SQL over ``a`` (so far) and ``b`` (what follows)."""
+    extra = extra or {}
+    far, reach, k = store(steps, f"{name}0"), 1, 0
+    n = far.count()
+    while reach < n:
+        a, b = far.alias("a"), far.alias("b")
+        on = [F.coalesce(F.expr(x), F.col(f"a.{c}")).alias(c) for c, x in extra.items()]
+        further = a.join(b, F.col("a.to") == F.col("b.id"), "left").select(F.col("a.id").alias("id"), F.coalesce("b.to", "a.to").alias("to"), *on, F.col("b.to").isNotNull().alias("_moved"))
+        reach, k = reach * 2, k + 1
+        far = store(further, f"{name}{k}")
+        moved = not far.where("_moved").isEmpty()
+        far = far.drop("_moved")
+        if not moved:
+            break
+    return far
+
+
+def _without_ends(e: DataFrame, store, name: str, a: str, b: str) -> DataFrame:
+    """Edges without those of nodes that lead from ``a`` to ``b`` to an end only:
+    nodes that no edge leaves, and chains of nodes of one edge each down to those."""
+    ends = store(e.select(F.col(b).alias("id")).distinct().join(e.select(F.col(a).alias("id")).distinct(), "id", "left_anti"), f"{name}ends")
+    if ends.isEmpty():
+        return e
+    single = e.groupBy(F.col(a).alias("id")).agg(F.count("*").alias("_n"), F.min(b).alias("to")).where("_n = 1").drop("_n")
+    last = followed(single, store, name)
+    dead = ends.unionByName(last.join(ends.select(F.col("id").alias("to")), "to", "left_semi").select("id"))
+    return e.join(dead.select(F.col("id").alias(a)), a, "left_anti").join(dead.select(F.col("id").alias(b)), b, "left_anti").select("source", "target")
+
+
 def cyclic_core(edges: DataFrame, store=None) -> DataFrame:
     """Edges left when nodes that nothing enters or leaves are taken away until
-    none is: not empty exactly if there is a cycle.  Two layers go in each round;
-    ``store(df, name)`` writes a table and reads it back after it."""
+    none is: not empty exactly if there is a cycle.  A round takes whole chains
+    (by pointers that are followed twice as far each time), so a chain of any
+    length costs a logarithm of it; ``store(df, name)`` writes a table and reads
+    it back."""
     store = store or _stored(edges)
-    e = store(edges.select("source", "target").distinct(), "core0")
+    e = store(edges.select("source", "target").where("source is not null and target is not null").distinct(), "core0")
     before, n, k = -1, e.count(), 0
     while 0 < n != before:
-        left, k = e, k + 1
-        for _ in range(2):
-            left = left.join(left.select(F.col("target").alias("source")).distinct(), "source", "left_semi")
-            left = left.join(left.select(F.col("source").alias("target")).distinct(), "target", "left_semi")
-        e = store(left.select("source", "target"), f"core{k}")
+        k += 1
+        down = _without_ends(e, store, f"down{k}_", "source", "target")
+        down = down if down is e else store(down, f"core{k}a")
+        up = _without_ends(down, store, f"up{k}_", "target", "source")
+        e = up if up is down else store(up, f"core{k}b")
         before, n = n, e.count()
     return e
 
 
+def cycle_nodes(edges: DataFrame, store=None) -> DataFrame:
+    """``pos, id`` of one cycle, from its least node on; no rows if there is none.
+
+    In the cyclic core every node has an edge; each takes the least of its
+    targets, and following these ends on cycles.  Of those the one with the least
+    node is returned.  Rounds: those of the core, and a logarithm of its nodes."""
+    store = store or _stored(edges)
+    core = cyclic_core(edges, store)
+    steps = store(core.groupBy(F.col("source").alias("id")).agg(F.min("target").alias("to")), "steps")
+    least = followed(steps.withColumn("least", F.least("id", "to")), store, "least", {"least": "least(a.least, b.least)"})
+    on_cycles = least.select(F.col("to").alias("id")).distinct()
+    rooted = store(least.select("id", "least").join(on_cycles, "id", "left_semi"), "rooted")
+    root = rooted.agg(F.min("least").alias("root")).where("root is not null")
+    own = rooted.join(F.broadcast(root), F.col("least") == F.col("root")).select("id", "root")
+    # from each node to the root: the root's own pointer is left out, so distances end there
+    back = own.join(steps, "id").where("id <> root").select("id", "to", F.lit(1).cast("bigint").alias("d"))
+    away = followed(back, store, "away", {"d": "a.d + b.d"})
+    n = own.agg(F.count("*").alias("n"))
+    placed = own.join(away.select("id", "d"), "id", "left").join(F.broadcast(n))
+    return placed.select(F.when(F.col("d").isNull(), 0).otherwise(F.col("n") - F.col("d")).cast("bigint").alias("pos"), "id")
+
+
+#: Nodes that a reported cycle names; ``cycle_nodes`` has all.
+NAMED = 50
+
+
 def requires_cycle(edges: DataFrame, store=None) -> DataFrame:
-    """A row if the ``requires`` edges have a cycle, of whatever length."""
-    return cyclic_core(edges.where("type = 'requires'"), store).limit(1)
+    """``cycle, length``: one row if the ``requires`` edges have a cycle, of
+    whatever length, with the names of its first nodes."""
+    nodes = cycle_nodes(edges.where("type = 'requires'"), store)
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("pos") < NAMED, F.struct("pos", "id")))), lambda x: x["id"]), " -> ")
+    first = F.min(F.when(F.col("pos") == 0, F.col("id")))
+    closed = F.when(F.count("*") > NAMED, F.lit("…")).otherwise(first)
+    return nodes.agg(F.concat(told, F.lit(" -> "), closed).alias("cycle"), F.count("*").alias("length")).where("length > 0")
 
 
 def ancestors(df: DataFrame, id_: str = "id", parent: str = "parent_id", store=None) -> DataFrame:

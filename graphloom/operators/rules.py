@@ -138,7 +138,7 @@ def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def validate_graph(nodes: DataFrame, edges: DataFrame, sources: DataFrame, cycle: DataFrame | None = None) -> DataFrame:
-    """All rules of a graph; ``cycle`` is a frame with a row if it has one."""
+    """All rules of a graph; ``cycle`` has a row with its text if it has one."""
     edge_rules = [*edge_checks(), ("accepted_related_to", "W", (F.col("type") == "related_to") & (state() == "accepted"), None)]
     out = [
         row_rules(nodes, "node", F.col("id"), node_checks()),
@@ -151,7 +151,7 @@ def validate_graph(nodes: DataFrame, edges: DataFrame, sources: DataFrame, cycle
         violations(duplicate_names(nodes), "duplicate_name", "W", "node", F.col("name_key"), F.col("ids")),
     ]
     if cycle is not None:
-        out.append(violations(cycle, "requires_cycle", "E", "graph", F.lit("")))
+        out.append(violations(cycle, "requires_cycle", "E", "graph", F.lit(""), F.col("cycle")))
     return union(*out)
 
 
@@ -204,7 +204,7 @@ def untouched_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def validate_groups(nodes: DataFrame, edges: DataFrame, cycle: DataFrame | None = None) -> DataFrame:
-    """All rules of a group map; ``cycle`` is a frame with a row if its ``requires`` edges have one."""
+    """All rules of a group map; ``cycle`` has a row with its text if its ``requires`` edges have one."""
     group = F.col("type") == "knowledge_group"
     checks = [
         ("invalid_type", "E", ~F.col("type").isin("domain", "knowledge_group"), F.col("type")),
@@ -216,7 +216,7 @@ def validate_groups(nodes: DataFrame, edges: DataFrame, cycle: DataFrame | None
         *state_checks(state(), F.col("confidence")),
     ]
     edges = edges.withColumn("reason", F.lit(None).cast("string"))
-    looped = [] if cycle is None else [violations(cycle, "requires_cycle", "E", "graph", F.lit(""))]
+    looped = [] if cycle is None else [violations(cycle, "requires_cycle", "E", "graph", F.lit(""), F.col("cycle"))]
     return union(
         *looped,
         row_rules(nodes, "node", F.col("id"), checks),

@@ -323,13 +323,13 @@ def gr_bfs_sources(v):
 
 
 _CYCLES = """WITH RECURSIVE e AS (SELECT DISTINCT source, target FROM kg_requires),
-walk(start, path, cur) AS (SELECT source, [source], target FROM e WHERE source <= target UNION ALL SELECT start, list_append(path, w.cur), e.target FROM walk w JOIN e ON e.source = w.cur WHERE w.cur <> w.start AND NOT list_contains(path, w.cur) AND e.target >= w.start AND len(path) < 6)
+walk(start, path, cur) AS (SELECT source, [source], target FROM e WHERE source <= target UNION ALL SELECT start, list_append(path, w.cur), e.target FROM walk w JOIN e ON e.source = w.cur WHERE w.cur <> w.start AND NOT list_contains(path, w.cur) AND e.target >= w.start)
 SELECT concat(array_to_string(path, ' -> '), ' -> ', start) AS cycle, CAST(len(path) AS BIGINT) AS length FROM walk WHERE cur = start"""
 
 
 @query(_CYCLES)
 def gr_cycle(v):
-    return G.simple_cycles(v.kg_requires, 6)
+    return G.simple_cycles(v.kg_requires)
 
 
 def WALKS(edges, more=""):
@@ -338,6 +338,19 @@ def WALKS(edges, more=""):
 way(a, b) AS (SELECT source, target FROM req UNION SELECT w.a, e.target FROM way w JOIN req e ON e.source = w.b)"""
 
 
+def WITNESS(edges, more=""):
+    """``ring(k, id)``: in the cyclic core every node takes its least target; of the rings that these make, that with the least node, from there on."""
+    return f"""{WALKS(edges, more)}, loop AS (SELECT a AS id FROM way WHERE a = b), after AS (SELECT id FROM loop UNION SELECT b FROM way WHERE a IN (SELECT id FROM loop)), before AS (SELECT id FROM loop UNION SELECT a FROM way WHERE b IN (SELECT id FROM loop)),
+nxt AS (SELECT source AS a, min(target) AS b FROM req WHERE source IN (SELECT id FROM after) AND target IN (SELECT id FROM before) AND source IN (SELECT id FROM before) AND target IN (SELECT id FROM after) GROUP BY 1),
+fw(a, b) AS (SELECT a, b FROM nxt UNION SELECT fw.a, nxt.b FROM fw JOIN nxt ON nxt.a = fw.b),
+ring(k, id) AS (SELECT 0, min(a) FROM fw WHERE a = b UNION ALL SELECT ring.k + 1, nxt.b FROM ring JOIN nxt ON nxt.a = ring.id WHERE nxt.b <> (SELECT min(a) FROM fw WHERE a = b))"""
+
+
+@query(f"{WITNESS('kg_edges')} SELECT CAST(k AS BIGINT) AS pos, id FROM ring WHERE id IS NOT NULL")
+def gr_cycle_witness(v):
+    return G.cycle_nodes(v.kg_edges.where("type = 'requires'"))
+
+
 #: The 4-cycle of the view and the trees that hang on it are all there is: only the former stays.
 @query(f"{WALKS('kg_edges')}, loop AS (SELECT a AS id FROM way WHERE a = b), after AS (SELECT id FROM loop UNION SELECT b FROM way WHERE a IN (SELECT id FROM loop)), before AS (SELECT id FROM loop UNION SELECT a FROM way WHERE b IN (SELECT id FROM loop)) SELECT source, target FROM req WHERE source IN (SELECT id FROM after) AND target IN (SELECT id FROM before)")
 def gr_cycle_core(v):
@@ -408,7 +421,7 @@ _VAL_KG = " UNION ALL ".join([
     _row("accepted_related_to", "W", "edge", f"type = 'related_to' AND {STATE} = 'accepted'", "kg_edges"),
     _dup("node", "kg_nodes"), _dup("edge", "kg_edges"), *_ends("kg_edges", "kg_nodes"), _unknown("node", "kg_nodes"), _unknown("edge", "kg_edges"),
     f"SELECT 'duplicate_name', 'W', 'node', {_KEY}, string_agg(id, ', ' ORDER BY pos, id) FROM kg_nodes GROUP BY {_KEY} HAVING count(*) > 1",
-    f"SELECT 'requires_cycle', 'E', 'graph', '', '' FROM ({WALKS('kg_edges')} SELECT 1 FROM way WHERE a = b LIMIT 1)",
+    f"SELECT 'requires_cycle', 'E', 'graph', '', concat(string_agg(id, ' -> ' ORDER BY k), ' -> ', arg_min(id, k)) FROM ({WITNESS('kg_edges')} SELECT k, id FROM ring WHERE id IS NOT NULL) HAVING count(*) > 0",
 ])
 
 

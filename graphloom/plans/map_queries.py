@@ -10,7 +10,7 @@ from graphloom.operators import groups as K
 from graphloom.operators import ordered as O
 from graphloom.operators import rules as R
 from graphloom.plans.base import FT, REFS, SLUGB, STATE, TXT, query
-from graphloom.plans.graph_queries import _RANGE, WALKS, _common, _dup, _edge_rules, _ends, _later, _q, _row
+from graphloom.plans.graph_queries import _RANGE, WITNESS, _common, _dup, _edge_rules, _ends, _later, _q, _row
 from graphloom.sources.tables import cut, work_folder
 
 _PARTS = ("ucs_concepts", "ucs_standards", "ucs_frameworks", "ucs_competencies", "ucs_evidence", "ucs_relations")
@@ -256,7 +256,7 @@ _VAL_GROUPS = " UNION ALL ".join([
     *_edge_rules("group_edges", R.GROUP_EDGE_TYPES, reason=False),
     *_ends("group_edges", "group_nodes"),
     f"SELECT 'no_semantic_edge', 'E', 'node', id, '' FROM group_nodes WHERE type = 'knowledge_group' AND {TXT('note')} IS NULL AND {_TOUCH}",
-    f"SELECT 'requires_cycle', 'E', 'graph', '', '' FROM ({WALKS('group_edges')} SELECT 1 FROM way WHERE a = b LIMIT 1)",
+    f"SELECT 'requires_cycle', 'E', 'graph', '', concat(string_agg(id, ' -> ' ORDER BY k), ' -> ', arg_min(id, k)) FROM ({WITNESS('group_edges')} SELECT k, id FROM ring WHERE id IS NOT NULL) HAVING count(*) > 0",
 ])
 
 

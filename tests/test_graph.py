@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -196,6 +197,42 @@ def test_long_chains_and_cycles_of_any_length(spark):
     assert found(spark, edges=[edge("e1", "a", "b"), edge("e2", "b", "c"), edge("e3", "c", "a")], cycle=G.requires_cycle(frames(spark, BASE_N, [edge("e1", "a", "b"), edge("e2", "b", "c"), edge("e3", "c", "a")])[1])) == {"requires_cycle": 1}
 
 
+def test_a_long_cycle_in_few_rounds(spark):
+    ring = [(f"r{(7 * i) % 1000:03}", f"r{(7 * i + 7) % 1000:03}") for i in range(1000)]
+    tails = [(f"t{i:03}", f"t{i + 1:03}") for i in range(300)] + [("t300", "r005")] + [("r100", "u000")] + [(f"u{i:03}", f"u{i + 1:03}") for i in range(300)]
+    edges = spark.createDataFrame(ring + tails + [("z", "z"), (None, "r001"), ("r001", None)], "source string, target string").repartition(4)
+    folder, stored = work_folder(spark), []
+
+    def store(df, name):
+        stored.append(name)
+        return cut(df, f"{name}-{len(stored)}", folder)
+
+    found = [r.id for r in G.cycle_nodes(edges, store).orderBy("pos").collect()]
+    nxt = dict(ring)
+    assert found[0] == "r000" and len(found) == 1000 and all(nxt[a] == b for a, b in zip(found, [*found[1:], found[0]]))
+    assert len(stored) < 90  # a logarithm of 1,600 edges, not a multiple
+    told = G.requires_cycle(edges.withColumn("type", F.lit("requires"))).first()
+    assert told.length == 1000 and told.cycle.startswith("r000 -> r007 -> ") and told.cycle.endswith(" -> …")
+    assert G.cycle_nodes(edges.where("source like 't%' or source like 'u%'")).count() == 0
+    assert [tuple(r) for r in G.cycle_nodes(edges.where("source = 'z'")).collect()] == [(0, "z")]
+    assert G.cycle_nodes(edges.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_witness_is_a_cycle_where_there_is_one(spark, seed):
+    rng = random.Random(seed)
+    pairs = {(rng.randrange(30), rng.randrange(30)) for _ in range(26)}
+    edges = spark.createDataFrame(sorted(pairs), "source int, target int")
+    found = [r.id for r in G.cycle_nodes(edges).orderBy("pos").collect()]
+    left, size = set(pairs), -1
+    while size != len(left):
+        size = len(left)
+        left = {(a, b) for a, b in left if any(x == b for x, _ in left) and any(y == a for _, y in left)}
+    assert bool(found) == bool(left)
+    assert all(x in pairs for x in zip(found, [*found[1:], *found[:1]])) and found == sorted(set(found), key=found.index)
+    assert not found or found[0] == min(found)
+
+
 def test_deep_hierarchies_and_rows_on_a_cycle(spark):
     rows = [(f"n{i}", f"n{i - 1}" if i else "") for i in range(14)] + [("x", "y"), ("y", "x"), ("z", "x")]
     got = {r.id: (r.root, r.depth) for r in G.ancestors(spark.createDataFrame(rows, "id string, parent_id string")).collect()}
