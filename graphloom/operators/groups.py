@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import first_text, quality_grade, ratio, slug_base, text
-from graphloom.operators.graph import degrees, first_of, repeats, review_state, with_both_ends
+from graphloom.operators.graph import _stored, degrees, first_of, repeats, review_state, with_both_ends
+from graphloom.operators.ordered import ranked
 from graphloom.operators.rules import refs, state
 
 #: Weights of the parts of the score.
@@ -21,13 +22,20 @@ def chosen_nodes(nodes: DataFrame, states: tuple[str, ...] = ("accepted",)) -> D
     return nodes.where(F.col("type").isin("domain", "knowledge_group") & review_state().isin(*states))
 
 
-def layout(nodes: DataFrame, domain_x: float = -12.0, x_start: float = -9.5, width: float = 20.0, row_gap: float = 1.18, columns: int = 8) -> DataFrame:
-    """``id, x, y``: domains in a column, their groups in rows beside them."""
+def layout(nodes: DataFrame, domain_x: float = -12.0, x_start: float = -9.5, width: float = 20.0, row_gap: float = 1.18, columns: int = 8, profile: DataFrame | None = None) -> DataFrame:
+    """``id, x, y``: domains in a column, their groups in rows beside them.  A
+    ``profile`` (``pos, domain, y, columns``) places domains and says how many
+    columns they have; a domain in it without a height comes below the last by
+    its place, one that is not in it as without a profile."""
     y, n = F.lit(0.0), F.lit(columns)
     for name, value in DOMAIN_Y.items():
         y = F.when(F.col("domain") == name, F.lit(value)).otherwise(y)
     for name, value in COLUMNS.items():
         n = F.when(F.col("domain") == name, F.lit(value)).otherwise(n)
+    if profile is not None:
+        own = profile.select("domain", F.coalesce(F.col("y").cast("double"), F.lit(5.2) - F.col("pos") * F.lit(3.2)).alias("_py"), F.nullif(F.col("columns").cast("int"), F.lit(0)).alias("_pn"))
+        nodes = nodes.join(own, "domain", "left")
+        y, n = F.coalesce("_py", y), F.coalesce("_pn", n)
     place = F.row_number().over(W.partitionBy("domain", "type").orderBy("ord", "id")) - 1
     own = nodes.withColumns({"_i": place, "_n": n, "_y": y})
     x = F.lit(x_start) + F.lit(width) / F.greatest(F.col("_n") - 1, F.lit(1)) * (F.col("_i") % F.col("_n"))
@@ -35,6 +43,23 @@ def layout(nodes: DataFrame, domain_x: float = -12.0, x_start: float = -9.5, wid
     return own.select("id", "domain", F.when(F.col("type") == "domain", F.lit(domain_x)).otherwise(x).alias("x"), F.when(F.col("type") == "domain", F.col("_y")).otherwise(F.col("_y") - row * row_gap).alias("y"))
 
 
+def on_circle(index: Column, total: Column) -> tuple[Column, Column]:
+    """Where the node of a number (from 0) stands, if nothing places it: on a
+    circle whose radius grows with the root of their number."""
+    n = F.greatest(total, F.lit(1)).cast("double")
+    angle, radius = F.lit(6.283185307179586) * index / n, F.greatest(F.lit(4.0), F.sqrt(n))
+    return F.cos(angle) * radius, F.sin(angle) * radius
+
+
+def fallback_positions(nodes: DataFrame, store=None) -> DataFrame:
+    """``id, x, y`` of all nodes on a circle, in the order of their ids."""
+    store = store or _stored(nodes)
+    placed = ranked(nodes.select("id"), store, "id")
+    total = placed.agg(F.count("*").alias("_total"))
+    x, y = on_circle(F.col("rank") - 1, F.col("_total"))
+    return placed.join(F.broadcast(total)).select("id", x.alias("x"), y.alias("y"))
+
+
 def export_edges(edges: DataFrame, nodes: DataFrame, types: tuple[str, ...], states: tuple[str, ...] = ("accepted",)) -> tuple[DataFrame, DataFrame]:
     """(the first edge of each pair of ends, the others, to be warned about)."""
     own = with_both_ends(edges.where(F.col("type").isin(*types) & review_state().isin(*states)), nodes)
@@ -128,3 +153,66 @@ def named_edges(relations: DataFrame, nodes: DataFrame) -> tuple[DataFrame, Data
     made = F.concat(F.lit("kgrel:"), "type", F.lit(":"), slug_base(F.col("source_name")), F.lit(":"), slug_base(F.col("target_name")))
     both = F.col("source").isNotNull() & F.col("target").isNotNull()
     return ends.where(both).withColumn("id", made).drop("source_name", "target_name"), ends.where(~both).select(*relations.columns)
+
+
+#: The bands that a group progresses through, and what is said of each and of its mistakes if nothing else is known.
+PROGRESSION = (("1-2年级", "在直观情境中感知{}的基本对象或经验。"), ("3-4年级", "在具体问题中使用{}的表示、方法或规则。"), ("5-6年级", "逐步概括{}中的关系、性质和一般方法。"), ("7-9年级", "用更形式化的语言和模型理解并应用{}。"))
+MISTAKES = ("只记结论，忽略适用条件。", "不能在具体情境中选择合适的表示方式。")
+DETAIL = {"summary": "string", "core_understanding": "string", "grade_progression": "array<struct<band:string,focus:string>>", "typical_tasks": "array<string>", "misconceptions": "array<string>", "source_refs": "array<string>", "confidence": "double", "review_state": "string", "note": "string"}
+
+
+def enriched(seeds: DataFrame, domains: DataFrame, source_ref: str, root: str = "数学") -> DataFrame:
+    """Seeds (``pos, domain, theme, name, points`` and whatever of ``DETAIL`` they
+    have) as full groups: what is not given, or empty, is made of name, theme,
+    domain and first point.  A seed of an unknown domain is left out."""
+    own = seeds
+    for c, kind in DETAIL.items():
+        if c not in own.columns:
+            own = own.withColumn(c, F.lit(None).cast(kind))
+    own = own.join(domains.select("domain", F.col("name").alias("domain_name")), "domain")
+    point = F.coalesce(F.get("points", F.lit(0)), F.lit(""))
+    given = lambda c, made: F.when(F.size(c) > 0, F.col(c)).otherwise(made)
+    words = lambda *x: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in x))
+    name = F.col("name")
+    bands = F.array(*(F.struct(F.lit(b).alias("band"), words(t.split("{}")[0], name, t.split("{}")[1]).alias("focus")) for b, t in PROGRESSION))
+    return own.select(
+        group_id(F.col("domain"), F.col("theme"), name).alias("id"),
+        F.lit("knowledge_group").alias("type"),
+        "name",
+        "domain",
+        "theme",
+        "points",
+        F.coalesce(F.nullif(F.col("summary"), F.lit("")), words(name, "组织", F.col("domain_name"), " / ", F.col("theme"), "中的核心概念、方法和表达方式，支撑后续知识点的学习和应用。")).alias("summary"),
+        F.coalesce(F.nullif(F.col("core_understanding"), F.lit("")), words("理解", name, "时，需要把", point, "等核心对象与情境、表示和方法联系起来。")).alias("core_understanding"),
+        given("grade_progression", bands).alias("grade_progression"),
+        given("typical_tasks", F.array(words("解释", point, "的意义或作用。"), words("用", name, "解决熟悉情境中的问题。"))).alias("typical_tasks"),
+        given("misconceptions", F.array(*map(F.lit, MISTAKES))).alias("misconceptions"),
+        F.array(F.lit(root), F.col("domain_name"), F.col("theme"), name).alias("framework_path"),
+        given("source_refs", F.array(F.lit(source_ref))).alias("source_refs"),
+        F.coalesce("confidence", F.lit(0.82)).alias("confidence"),
+        F.coalesce("review_state", F.lit("accepted")).alias("review_state"),
+        F.coalesce("note", F.lit("")).alias("note"),
+        "pos",
+    )
+
+
+def seeded(domains: DataFrame, seeds: DataFrame, relations: DataFrame, source_ref: str, root: str = "数学", store=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, edges, relations left over) of a seeded map.  ``domains``:
+    ``domain, name, ord``; ``relations``: those of ``named_edges`` with
+    ``evidence, source_refs, confidence``.  Groups are numbered in the order of
+    ``pos`` over all; domains come at their order times 100."""
+    store = store or _stored(seeds)
+    groups = ranked(enriched(seeds, domains, source_ref, root), store, "pos", "id").withColumnRenamed("rank", "ord").drop("pos")
+    none = {f.name: F.lit(None).cast(f.dataType) for f in groups.schema.fields}
+    heads = domains.select("domain", F.col("name"), (F.col("ord") * 100).cast("bigint").alias("ord"))
+    fixed = {
+        "id": F.concat(F.lit("domain:"), "domain"), "type": F.lit("domain"), "name": F.col("name"), "domain": F.col("domain"), "points": F.array().cast("array<string>"), "summary": F.lit(""), "framework_path": F.array(F.lit(root), F.col("name")),
+        "source_refs": F.array(F.lit(source_ref)), "confidence": F.lit(1.0), "review_state": F.lit("accepted"), "note": F.lit(""), "ord": F.col("ord"),
+    }
+    nodes = heads.select(*(fixed[c].alias(c) if c in fixed else none[c].alias(c) for c in groups.columns)).unionByName(groups)
+    refs_ = F.array(F.lit(source_ref))
+    belongs = groups.select(F.concat(F.lit("kgrel:part-of:"), slug_base(F.col("name")), F.lit(":"), slug_base(F.col("domain"))).alias("id"), F.lit("part_of").alias("type"), F.col("id").alias("source"), F.concat(F.lit("domain:"), "domain").alias("target"), F.lit("知识点组隶属于对应数学学习领域。").alias("evidence"), refs_.alias("source_refs"), F.lit(1.0).alias("confidence"), F.lit("anchor").alias("visibility"))
+    named, rest = named_edges(relations, groups)
+    named = named.select("id", "type", "source", "target", "evidence", F.when(F.size("source_refs") > 0, F.col("source_refs")).otherwise(refs_).alias("source_refs"), F.coalesce("confidence", F.lit(0.84)).alias("confidence"), F.lit("featured").alias("visibility"))
+    edges = belongs.unionByName(named).withColumn("review_state", F.lit("accepted"))
+    return nodes, edges, rest

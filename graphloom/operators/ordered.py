@@ -161,14 +161,27 @@ def items(lines: DataFrame, doc: str, pos: str, line: str, most: int = 180, leas
     return both.withColumn("n", F.row_number().over(W.partitionBy(doc).orderBy("_item")).cast("bigint")).drop("_item")
 
 
-def running_headers(blocks: DataFrame, doc: str, page: str, text: str, share: float = 0.6) -> DataFrame:
-    """Texts at page edges that occur more often than ``share`` of the sampled
-    pages: all of them, or the first and last 20 of more than 40; none under 3."""
+def running_headers(blocks: DataFrame, doc: str, page: str, text: str, share: float = 0.6, top: str | None = None, bottom: str | None = None, edge: float = 0.15, store=None) -> DataFrame:
+    """Texts that occur more often than ``share`` of the sampled pages of a
+    document: all of them, or the first and last 20 of more than 40; none under 3.
+
+    ``top`` and ``bottom``: where a block begins and ends, in heights of its page;
+    with them only blocks that reach into the first or last ``edge`` of a page
+    count.  With ``store`` (a table is written and read back) pages are numbered
+    over all documents, so one with very many pages is no task of its own."""
     pages = blocks.select(doc, page).distinct()
-    rank, total = F.row_number().over(W.partitionBy(doc).orderBy(page)), F.count("*").over(W.partitionBy(doc))
-    pages = pages.withColumns({"_r": rank, "_n": total}).where("_n >= 3 and (_n <= 40 or _r <= 20 or _r > _n - 20)")
+    if store is None:
+        rank, total = F.row_number().over(W.partitionBy(doc).orderBy(page)), F.count("*").over(W.partitionBy(doc))
+        pages = pages.withColumns({"_r": rank, "_n": total})
+    else:
+        pages = ranked(pages, store, doc, page)
+        sizes = pages.groupBy(doc).agg(F.min("rank").alias("_first"), F.count("*").alias("_n"))
+        pages = pages.join(sizes, doc).withColumn("_r", F.col("rank") - F.col("_first") + 1)
+    pages = pages.where("_n >= 3 and (_n <= 40 or _r <= 20 or _r > _n - 20)")
     sampled = pages.withColumn("_of", F.least("_n", F.lit(40))).select(doc, page, "_of")
     own = blocks.withColumn(text, clean_text(F.col(text))).where(F.coalesce(text, F.lit("")) != "")
+    if top is not None and bottom is not None:
+        own = own.where(((F.col(top) < edge) & (F.col(bottom) > 0)) | ((F.col(bottom) > 1 - edge) & (F.col(top) < 1)))
     counts = own.join(sampled, [doc, page]).groupBy(doc, text, "_of").agg(F.count("*").alias("n"))
     return counts.where(F.col("n") / F.col("_of") > share).select(doc, text, "n")
 

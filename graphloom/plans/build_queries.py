@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.operators import builder as B
+from graphloom.functions import text as T
 from graphloom.operators import curriculum as C
+from graphloom.operators import groups as K
+from graphloom.operators import ordered as O
 from graphloom.operators import qij, trees
-from graphloom.plans.base import SLUGB, query
-from graphloom.plans.text_queries import _CLEANED, _CUT, _NOISE, _fixed
+from graphloom.operators import repository as P
+from graphloom.operators.publish import GraphStore
+from graphloom.plans.base import EDGE_ID, SLUGB, STATE, query
+from graphloom.operators.graph import _stored
+from graphloom.plans.text_queries import _BLOCKS, _CLEANED, _CUT, _NOISE, _fixed
+
+from graphloom.sources import documents as D
+from graphloom.sources.tables import work_folder
 
 
 def _case(x: str, table: dict, i: int | None = None) -> str:
@@ -188,3 +197,148 @@ def qij_semantic(v):
 @query(f"WITH RECURSIVE {_TREE} SELECT doc, path, (length(path) - length(replace(path, '/', ''))) // 2 AS depth, kind, id, points FROM its")
 def qij_item_tree(v):
     return qij.items(trees.tree(_trees(v)))
+
+
+# -- merges that are published as a whole -------------------------------------------------
+
+_OK = f"{STATE} <> 'rejected' AND ({STATE} = 'accepted' OR (confidence >= 0.8 AND len(source_refs) > 0))"
+
+
+@query(f"""WITH new AS (SELECT * FROM store_candidates WHERE id NOT IN (SELECT id FROM store_nodes) AND {_OK}), ids AS (SELECT id FROM store_nodes UNION SELECT id FROM new),
+ec AS (SELECT * REPLACE (coalesce(nullif(id, ''), {EDGE_ID('type', 'source', 'target')}) AS id) FROM store_edge_candidates),
+new_e AS (SELECT * FROM ec WHERE id NOT IN (SELECT id FROM store_edges) AND source IN (SELECT id FROM ids) AND target IN (SELECT id FROM ids) AND {_OK})
+SELECT 'node' AS entity, id, type, confidence, coalesce(nullif({STATE}, ''), 'accepted') AS review_state FROM (SELECT id, type, confidence, review_state FROM store_nodes UNION ALL SELECT id, type, confidence, review_state FROM new)
+UNION ALL SELECT 'edge', id, type, confidence, coalesce(nullif({STATE}, ''), 'accepted') FROM (SELECT id, type, confidence, review_state FROM store_edges UNION ALL SELECT id, type, confidence, review_state FROM new_e)""")
+def gr_merge_store(v):
+    """A batch that is merged, one that would break a rule, and the first again: the graph is that of the first."""
+    store = GraphStore(v.spark, work_folder(v.spark) + "/graph")
+    sources = v.spark.range(1).select(F.lit("src:a").alias("source_id"), F.lit(None).cast("string").alias("chunk_id"))
+    store.create(v.store_nodes, v.store_edges, sources)
+    nodes, edges = v.store_candidates, v.store_edge_candidates
+    more = sources.withColumn("source_id", F.lit("src:b"))
+    store.merge(nodes, edges, more)
+    spoiled = edges.withColumns({"id": F.concat(F.lit("bad-"), F.col("pos").cast("string")), "evidence": F.lit(" ")})
+    store.merge(nodes, spoiled)
+    store.merge(nodes, edges, more)
+    n, e, _ = store.read()
+    columns = ("id", "type", "confidence", "review_state")
+    both = n.select(F.lit("node").alias("entity"), *columns).unionByName(e.select(F.lit("edge").alias("entity"), *columns))
+    return both.withColumn("review_state", F.trim("review_state"))
+
+
+# -- repositories, manifests, imports -----------------------------------------------------
+
+_TOP = "json_extract_string(body, '$.{}')"
+_GOODF = "good AS (SELECT folder, file, CAST(body AS JSON) AS body FROM repo_files WHERE file <> 'readme.json' AND json_valid(body) AND json_type(CASE WHEN json_valid(body) THEN body ELSE '1' END) = 'OBJECT')"
+_PACKS = " UNION ALL ".join(
+    [f"SELECT 'missing_file' AS rule, 'E' AS severity, 'folder' AS entity, d.folder AS id, '{f}' AS detail FROM (SELECT DISTINCT folder FROM repo_files) d WHERE NOT EXISTS (SELECT 1 FROM repo_files r WHERE r.folder = d.folder AND r.file = '{f}')" for f in P.PACK_FILES]
+    + ["SELECT 'not_an_object', 'E', 'file', concat(folder, '/', file), '' FROM repo_files WHERE file <> 'readme.json' AND (folder, file) NOT IN (SELECT (folder, file) FROM good)"]
+    + [f"SELECT 'constant', 'E', 'file', concat(folder, '/', file), '{k}' FROM good WHERE file = '{f}' AND coalesce({_TOP.format(k)}, '') <> '{want}'" for f, own in P.PACK_CONSTANTS.items() for k, want in own.items()]
+    + [f"SELECT 'id_differs', 'E', 'file', concat(folder, '/', file), coalesce({_TOP.format(k)}, '') FROM good WHERE file = '{f}' AND coalesce({_TOP.format(k)}, '') <> folder" for f, k in P.PACK_IDS.items()]
+    + [f"SELECT 'empty_list', 'E', 'file', concat(folder, '/', file), '{k}' FROM good WHERE file = '{f}' AND (coalesce(json_type(body, '$.{k}'), '') <> 'ARRAY' OR json_array_length(body, '$.{k}') = 0)" for f, own in P.PACK_LISTS.items() for k in own]
+    + ["SELECT 'no_artifacts', 'E', 'file', concat(folder, '/', file), '' FROM good WHERE file = 'manifest.json' AND coalesce(json_type(body, '$.artifacts'), '') <> 'OBJECT'"]
+    + [f"SELECT 'artifact', 'E', 'file', concat(folder, '/', file), '{k}' FROM good WHERE file = 'manifest.json' AND json_type(body, '$.artifacts') = 'OBJECT' AND coalesce(json_extract_string(body, '$.artifacts.{k}'), '') <> '{want}'" for k, want in P.PACK_ARTIFACTS.items()]
+    + ["SELECT 'placeholder', 'E', 'text', concat(folder, '/', file, '#', regexp_replace(regexp_replace(replace(t.fullkey, '.', '/'), '\\[(\\d+)\\]', '/\\1', 'g'), '^\\$', '')), CASE WHEN contains(t.atom ->> '$', 'TODO') THEN 'TODO' ELSE '[待补充]' END FROM good, json_tree(body) t WHERE t.type = 'VARCHAR' AND (contains(t.atom ->> '$', 'TODO') OR contains(t.atom ->> '$', '[待补充]'))"]
+)
+
+
+@query(f"WITH {_GOODF} {_PACKS}")
+def val_repo(v):
+    return P.pack_rules(v.repo_files.select("folder", "file", F.try_parse_json("body").alias("v")))
+
+
+_M = "json_extract_string(body, '$.{}')"
+_ASSETS = "a AS (SELECT doc, t.key AS key, t.type AS kind, t.value AS value FROM manifests, json_each(CAST(body AS JSON), '$.assets') t WHERE json_type(CAST(body AS JSON), '$.assets') IN ('OBJECT', 'ARRAY'))"
+
+
+@query(f"""WITH m AS (SELECT doc, CAST(body AS JSON) AS body FROM manifests), {_ASSETS},
+f AS (SELECT 'constant' AS rule, 'E' AS severity, 'manifest' AS entity, CAST(doc AS VARCHAR) AS id, 'schema' AS detail FROM m WHERE coalesce({_M.format('schema')}, '') <> '{P.MANIFEST_SCHEMA}'
+UNION ALL SELECT 'constant', 'E', 'manifest', CAST(doc AS VARCHAR), 'kind' FROM m WHERE coalesce({_M.format('kind')}, '') <> '{P.MANIFEST_KIND}'
+UNION ALL SELECT 'missing_field', 'E', 'manifest', CAST(doc AS VARCHAR), k FROM m, (SELECT unnest([{', '.join(f"'{k}'" for k in P.MANIFEST_FIELDS)}]) AS k) WHERE coalesce(json_extract_string(body, '$.' || k), '') = ''
+UNION ALL SELECT 'owner', 'E', 'manifest', CAST(doc AS VARCHAR), 'shape' FROM m WHERE coalesce(json_type(body, '$.owner'), '') <> 'OBJECT'
+UNION ALL SELECT 'owner', 'E', 'manifest', CAST(doc AS VARCHAR), 'type' FROM m WHERE json_type(body, '$.owner') = 'OBJECT' AND coalesce(trim({_M.format('owner.type')}), '') NOT IN ('official', 'user', 'shared', 'local')
+UNION ALL SELECT 'owner', 'E', 'manifest', CAST(doc AS VARCHAR), 'name' FROM m WHERE json_type(body, '$.owner') = 'OBJECT' AND coalesce(trim({_M.format('owner.name')}), '') = ''
+UNION ALL SELECT 'visibility', 'E', 'manifest', CAST(doc AS VARCHAR), coalesce({_M.format('visibility')}, '') FROM m WHERE coalesce(trim({_M.format('visibility')}), '') NOT IN ('public', 'private', 'shared', 'draft')
+UNION ALL SELECT 'shape', 'E', 'manifest', CAST(doc AS VARCHAR), k FROM m, (SELECT unnest(['legacy_ids', 'task_links', 'overlays']) AS k) WHERE coalesce(json_type(body, '$.' || k), 'NULL') <> 'NULL' AND json_type(body, '$.' || k) <> CASE k WHEN 'legacy_ids' THEN 'ARRAY' ELSE 'OBJECT' END
+UNION ALL SELECT 'no_assets', 'E', 'manifest', CAST(doc AS VARCHAR), '' FROM m WHERE coalesce(json_type(body, '$.assets'), '') <> 'OBJECT' OR doc NOT IN (SELECT doc FROM a)
+UNION ALL SELECT 'asset', 'E', 'asset', concat(doc, '#', key), 'path' FROM a WHERE kind = 'VARCHAR' AND trim(value ->> '$') = ''
+UNION ALL SELECT 'asset', 'E', 'asset', concat(doc, '#', key), 'shape' FROM a WHERE kind NOT IN ('VARCHAR', 'OBJECT')
+UNION ALL SELECT 'asset', 'E', 'asset', concat(doc, '#', key), 'path' FROM a WHERE kind = 'OBJECT' AND coalesce(trim(value ->> '$.path'), '') = ''
+UNION ALL SELECT 'asset', 'E', 'asset', concat(doc, '#', key), 'bytes' FROM a WHERE kind = 'OBJECT' AND (value ->> '$.bytes') IS NOT NULL AND (TRY_CAST(value ->> '$.bytes' AS DOUBLE) IS NULL OR TRY_CAST(value ->> '$.bytes' AS DOUBLE) <= -1)
+UNION ALL SELECT 'asset', 'E', 'asset', concat(doc, '#', key), 'sha256' FROM a WHERE kind = 'OBJECT' AND coalesce(trim(value ->> '$.sha256'), '') <> '' AND NOT regexp_full_match(value ->> '$.sha256', '[0-9a-f]{{64}}')
+UNION ALL SELECT 'no_main_asset', 'W', 'manifest', CAST(doc AS VARCHAR), '' FROM m WHERE doc NOT IN (SELECT doc FROM a WHERE key IN ('group_map', 'map', 'kg'))) SELECT * FROM f""")
+def val_manifest_whole(v):
+    return P.manifest_rules(v.manifests.select("doc", F.try_parse_json("body").alias("v")))
+
+
+@query(f"""WITH e AS (SELECT edge_imports.path AS path, CAST(t.key AS BIGINT) AS pos, t.value AS v FROM edge_imports, json_each(CAST(body AS JSON), '$.edges') t WHERE t.type = 'OBJECT'),
+r AS (SELECT *, coalesce(nullif(v ->> '$.source', ''), nullif(v ->> '$.from', '')) AS source, coalesce(nullif(v ->> '$.target', ''), nullif(v ->> '$.to', '')) AS target, CASE WHEN v ->> '$.type' IN ('requires', 'extends') THEN v ->> '$.type' ELSE 'related_to' END AS type FROM e)
+SELECT path, pos, coalesce(nullif(v ->> '$.id', ''), {EDGE_ID('type', 'source', 'target')}) AS id, type, source, target, coalesce(v ->> '$.evidence', '') AS evidence, coalesce(nullif(v ->> '$.reason', ''), '{D.IMPORTED_REASON}') AS reason,
+CASE WHEN json_type(v, '$.source_refs') = 'ARRAY' THEN array_to_string(json_extract_string(v, '$.source_refs[*]'), ',') ELSE coalesce(v ->> '$.source_refs', '') END AS source_refs, CASE WHEN coalesce(CAST(v ->> '$.confidence' AS DOUBLE), 0) <> 0 THEN CAST(v ->> '$.confidence' AS DOUBLE) WHEN type = 'related_to' THEN 0.55e0 ELSE 0.75e0 END AS confidence, CASE WHEN json_type(v, '$.review') = 'OBJECT' THEN coalesce(v ->> '$.review.state', '') ELSE 'needs_review' END AS review_state
+FROM r WHERE source IS NOT NULL AND target IS NOT NULL""")
+def src_json_edges(v):
+    docs = v.edge_imports.select("path", F.try_parse_json("body").alias("v"))
+    return D.imported_edges(docs).withColumn("source_refs", F.array_join("source_refs", ",")).drop("raw")
+
+
+# -- seeded maps ---------------------------------------------------------------------------
+
+_SEED = f"""own AS (SELECT s.*, d.name AS dname, concat('kg:', s.domain, ':', {SLUGB('s.theme')}, ':', {SLUGB('s.name')}) AS id FROM seed_groups s JOIN seed_domains d ON s.domain = d.domain),
+grp AS (SELECT *, row_number() OVER (ORDER BY pos, id) AS ord FROM own),
+known AS (SELECT name, min(id) AS id FROM grp GROUP BY 1 HAVING count(*) = 1)"""
+
+
+def _seeded(v):
+    return K.seeded(v.seed_domains, v.seed_groups, v.seed_relations, "src:seed")
+
+
+@query(f"""WITH {_SEED} SELECT concat('domain:', domain) AS id, 'domain' AS type, name, domain, '' AS points, '' AS summary, NULL AS core_understanding, '' AS progression, '' AS tasks, 'src:seed' AS source_refs, 1e0 AS confidence, CAST(ord * 100 AS BIGINT) AS ord FROM seed_domains
+UNION ALL SELECT id, 'knowledge_group', name, domain, array_to_string(points, ','), coalesce(nullif(summary, ''), concat(name, '组织', dname, ' / ', theme, '中的核心概念、方法和表达方式，支撑后续知识点的学习和应用。')), concat('理解', name, '时，需要把', points[1], '等核心对象与情境、表示和方法联系起来。'),
+concat_ws('|', concat('1-2年级:在直观情境中感知', name, '的基本对象或经验。'), concat('3-4年级:在具体问题中使用', name, '的表示、方法或规则。'), concat('5-6年级:逐步概括', name, '中的关系、性质和一般方法。'), concat('7-9年级:用更形式化的语言和模型理解并应用', name, '。')),
+coalesce(array_to_string(typical_tasks, '|'), concat('解释', points[1], '的意义或作用。|用', name, '解决熟悉情境中的问题。')), 'src:seed', coalesce(confidence, 0.82e0), ord FROM grp""")
+def gr_group_build(v):
+    nodes = _seeded(v)[0]
+    steps = F.array_join(F.transform("grade_progression", lambda x: F.concat_ws(":", x["band"], x["focus"])), "|")
+    return nodes.select("id", "type", "name", "domain", F.array_join("points", ",").alias("points"), "summary", "core_understanding", F.coalesce(steps, F.lit("")).alias("progression"), F.coalesce(F.array_join("typical_tasks", "|"), F.lit("")).alias("tasks"), F.array_join("source_refs", ",").alias("source_refs"), "confidence", "ord")
+
+
+@query(f"""WITH {_SEED} SELECT concat('kgrel:part-of:', {SLUGB('name')}, ':', {SLUGB('domain')}) AS id, 'part_of' AS type, id AS source, concat('domain:', domain) AS target, '知识点组隶属于对应数学学习领域。' AS evidence, 'src:seed' AS source_refs, 1e0 AS confidence, 'anchor' AS visibility FROM grp
+UNION ALL SELECT concat('kgrel:', type, ':', {SLUGB('source_name')}, ':', {SLUGB('target_name')}), type, a.id, b.id, evidence, coalesce(array_to_string(source_refs, ','), 'src:seed'), coalesce(confidence, 0.84e0), 'featured' FROM seed_relations r JOIN known a ON a.name = source_name JOIN known b ON b.name = target_name""")
+def gr_group_build_edges(v):
+    return _seeded(v)[1].withColumn("source_refs", F.array_join("source_refs", ",")).drop("review_state")
+
+
+# -- layouts and pages ---------------------------------------------------------------------
+
+_PROFILES = "CASE WHEN ord % 3 = 0 THEN NULL ELSE ord * 1.5e0 END AS y, CASE WHEN ord % 2 = 0 THEN 3 WHEN ord % 5 = 0 THEN 0 ELSE NULL END AS columns"
+
+
+def _LAID(name: str, join: str, y: str, n: str) -> str:
+    x = f"-9.5 + 20.0e0 / greatest({n} - 1, 1) * (i % {n})"
+    return f"SELECT '{name}' AS profile, id, round(CASE WHEN type = 'domain' THEN -12.0e0 ELSE {x} END, 6) AS x, round(CASE WHEN type = 'domain' THEN {y} ELSE {y} - floor(i / {n}) * 1.18e0 END, 6) AS y FROM gi {join}"
+
+
+@query(f"""WITH gi AS (SELECT *, row_number() OVER (PARTITION BY domain, type ORDER BY ord, id) - 1 AS i FROM group_nodes), pf AS (SELECT domain, coalesce(y, 5.2e0 - ord * 3.2e0) AS py, nullif(columns, 0) AS pn FROM (SELECT domain, ord, {_PROFILES} FROM seed_domains WHERE ord > 1))
+{_LAID('own', 'LEFT JOIN pf USING (domain)', 'coalesce(py, 0.0e0)', 'coalesce(pn, 8)')} UNION ALL {_LAID('none', '', '0.0e0', '8')}""")
+def win_domain_layout_profile(v):
+    profile = v.seed_domains.where("ord > 1").select("domain", F.col("ord").alias("pos"), F.expr(_PROFILES.split(" AS y, ")[0]).alias("y"), F.expr(_PROFILES.split(" AS y, ")[1].removesuffix(" AS columns")).alias("columns"))
+    each = [K.layout(v.group_nodes, profile=p).select(F.lit(name).alias("profile"), "id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y")) for name, p in (("own", profile), ("none", None))]
+    return each[0].unionByName(each[1])
+
+
+@query("""WITH r AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS i, count(*) OVER () AS n FROM group_nodes) SELECT id, round(cos(6.283185307179586e0 * i / n) * greatest(4.0e0, sqrt(n)), 6) AS x, round(sin(6.283185307179586e0 * i / n) * greatest(4.0e0, sqrt(n)), 6) AS y FROM r""")
+def win_fallback_pos(v):
+    return K.fallback_positions(v.group_nodes).select("id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+_ZONE_TEXT = "CASE WHEN pos = 0 AND doc_id % 10 < 8 THEN 'Running title' WHEN pos = 3 AND doc_id % 10 < 9 THEN 'Not at the edge' ELSE t END"
+
+
+@query(f"""WITH {_BLOCKS}, ends AS (SELECT doc_id, max(pos) + 1 AS n FROM blocks GROUP BY 1), z AS (SELECT source, doc_id, {_ZONE_TEXT} AS t, pos / n AS y0, (pos + 1) / n AS y1 FROM blocks JOIN ends USING (doc_id) JOIN documents USING (doc_id)),
+pg AS (SELECT DISTINCT source, doc_id FROM z), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r, count(*) OVER (PARTITION BY source) AS n FROM pg), sm AS (SELECT source, doc_id, least(n, 40) AS o FROM r WHERE n >= 3 AND (n <= 40 OR r <= 20 OR r > n - 20))
+SELECT z.source, t, count(*) AS n FROM z JOIN sm USING (source, doc_id) WHERE (y0 < 0.15 AND y1 > 0) OR (y1 > 0.85 AND y0 < 1) GROUP BY z.source, t, o HAVING count(*) / o > 0.6""")
+def agg_running_header_zone(v):
+    rows = v.documents.select("doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("pos", "t")).withColumn("t", T.clean_text(F.col("t"))).where("t <> ''")
+    ends = rows.groupBy("doc_id").agg((F.max("pos") + 1).alias("_n"))
+    boxed = rows.join(ends, "doc_id").select("source", "doc_id", F.expr(_ZONE_TEXT).alias("t"), (F.col("pos") / F.col("_n")).alias("y0"), ((F.col("pos") + 1) / F.col("_n")).alias("y1"))
+    return O.running_headers(boxed, "source", "doc_id", "t", top="y0", bottom="y1", store=_stored(boxed))

@@ -105,6 +105,36 @@ SELECT conv_id, turn, k, {_QUESTION} AS question, {_ANSWER} AS answer FROM (SELE
 SELECT conv_id AS doc, concat('{"spec":"qij","version":"1.0","items":[', AGG[[CASE WHEN k % 5 < 2 THEN question WHEN k % 5 = 2 THEN concat('{"kind":"group","id":"g', turn, '","items":[', CASE WHEN k % 4 = 1 THEN '' ELSE question END, ']}') ELSE concat('{"kind":"group","id":"g', turn, '","items":[{"kind":"group","id":"h', turn, '","items":[', question, ']}]}') END||turn]], '],"answerKey":{', AGG[[answer||turn]],
   '},"assets":{"fig":{"type":"image"},"w1":{"type":"widget","name":"g","fallbackAssetId":"', CASE conv_id % 5 WHEN 0 THEN 'w2' WHEN 1 THEN 'fig' WHEN 2 THEN 'lost' WHEN 3 THEN 'w1' ELSE 'fig' END, '"},"w2":{"type":"widget","name":"g","fallbackAssetId":"', CASE conv_id % 3 WHEN 0 THEN 'w3' ELSE 'fig' END, '"},"w3":{"type":"widget"', CASE conv_id % 2 WHEN 0 THEN ',"fallbackAssetId":"w1"' ELSE '' END, '}}}') AS body
 FROM qij_rows GROUP BY conv_id""",
+    "store_nodes": """
+SELECT concat('nation:', n_nationkey) AS id, 'concept' AS type, n_name AS name, 'geography' AS subject, '' AS stage, '' AS curriculum, ARR('src:a') AS source_refs, 0.9e0 AS confidence, 'accepted' AS review_state, CAST(n_nationkey AS BIGINT) AS pos FROM @nation
+UNION ALL SELECT concat('customer:', c_custkey), 'task', c_name, c_mktsegment, '', '', ARR('src:a'), 0.9e0, 'accepted', c_custkey + 100 FROM @customer WHERE c_custkey % 2 = 0""",
+    "store_edges": """
+SELECT concat('e-', c_custkey) AS id, 'part_of' AS type, concat('customer:', c_custkey) AS source, concat('nation:', c_nationkey) AS target, 'lives there' AS evidence, CAST(NULL AS STRING) AS reason, ARR('src:a') AS source_refs, 0.9e0 AS confidence, 'accepted' AS review_state, c_custkey AS pos FROM @customer WHERE c_custkey % 2 = 0""",
+    "store_candidates": """
+SELECT concat('customer:', c_custkey) AS id, 'task' AS type, c_name AS name, c_mktsegment AS subject, '' AS stage, '' AS curriculum, ARR('src:b') AS source_refs, CASE WHEN c_custkey % 7 = 0 THEN 0.5e0 ELSE 0.85e0 END AS confidence, CASE WHEN c_custkey % 11 = 0 THEN 'rejected' WHEN c_custkey % 14 = 7 THEN 'accepted' WHEN c_custkey % 5 = 0 THEN ' needs_review ' ELSE ' ' END AS review_state, c_custkey AS pos FROM @customer""",
+    "store_edge_candidates": """
+SELECT CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 10 = 4 THEN concat('e-', c_custkey) ELSE concat('ne-', c_custkey) END AS id, CASE WHEN c_custkey % 4 = 1 THEN 'related_to' ELSE 'applies_to' END AS type, concat('customer:', c_custkey) AS source, CASE WHEN c_custkey % 13 = 0 THEN 'nation:none' ELSE concat('nation:', c_nationkey) END AS target, 'seen' AS evidence, CAST(NULL AS STRING) AS reason, ARR('src:b') AS source_refs,
+  CASE WHEN c_custkey % 9 = 0 THEN 0.6e0 ELSE 0.8e0 END AS confidence, 'needs_review' AS review_state, c_custkey AS pos FROM @customer""",
+    "repo_files": """
+SELECT concat('pack-', k) AS folder, 'kg.json' AS file, concat('{"schema":"cgo.kg.v1","kind":"', CASE WHEN k % 27 = 4 THEN 'graph' ELSE 'kg' END, '","id":"pack-', CASE WHEN k % 11 = 5 THEN 'x' ELSE '' END, k, '","nodes":[{"name":"n","more":{"notes":["fine","', CASE WHEN k % 13 = 6 THEN 'TODO later' WHEN k % 13 = 7 THEN '[待补充]' ELSE 'done' END, '"]}}]}') AS body FROM (SELECT page_id AS k FROM @pages) p WHERE k % 41 <> 3
+UNION ALL SELECT concat('pack-', k), 'learning-pack.json', concat('{"schema":"cgo.learning_pack.v1","kind":"learning_pack","id":"pack-', k, '","kg_refs":["a"],"objectives":', CASE WHEN k % 7 = 2 THEN '[]' WHEN k % 7 = 3 THEN '"many"' ELSE '[{"t":"x"}]' END, CASE WHEN k % 17 = 8 THEN '' ELSE ',"tasks":[1]' END, '}') FROM (SELECT page_id AS k FROM @pages) p
+UNION ALL SELECT concat('pack-', k), 'knowledge-context.json', CASE WHEN k % 29 = 9 THEN 'no json' WHEN k % 29 = 10 THEN '[1]' ELSE concat('{"matches":', CASE WHEN k % 19 = 4 THEN '[]' ELSE '[{"id":1}]' END, '}') END FROM (SELECT page_id AS k FROM @pages) p WHERE k % 23 <> 1
+UNION ALL SELECT concat('pack-', k), 'manifest.json', concat('{"pack_id":"pack-', k, '"', CASE WHEN k % 31 = 12 THEN '' WHEN k % 31 = 13 THEN ',"artifacts":"none"' ELSE concat(',"artifacts":{"kg":"', CASE WHEN k % 37 = 14 THEN 'graph.json' ELSE 'kg.json' END, '","learning_pack":"learning-pack.json"', CASE WHEN k % 43 = 15 THEN '' ELSE ',"knowledge_context":"knowledge-context.json"' END, '}') END, '}') FROM (SELECT page_id AS k FROM @pages) p
+UNION ALL SELECT concat('pack-', k), 'readme.json', '{"TODO":"TODO"}' FROM (SELECT page_id AS k FROM @pages) p WHERE k % 5 = 0""",
+    "manifests": """
+SELECT k AS doc, concat('{"schema":"', CASE WHEN k % 23 = 1 THEN 'other' ELSE 'cgo.knowledge-map.manifest.v1' END, '","kind":"knowledge_map"', CASE WHEN k % 7 = 1 THEN '' ELSE concat(',"id":"', k, '"') END, ',"title":"', CASE WHEN k % 9 = 2 THEN '' ELSE 'T' END, '","version":"1","owner":', CASE k % 8 WHEN 3 THEN '"me"' WHEN 4 THEN '{"type":"nobody","name":"n"}' WHEN 5 THEN '{"type":"user","name":" "}' ELSE '{"type":"user","name":"n"}' END,
+  ',"visibility":"', CASE WHEN k % 10 = 3 THEN 'hidden' ELSE ' public ' END, '","source_type":"s"', CASE WHEN k % 12 = 4 THEN ',"legacy_ids":{}' WHEN k % 12 = 5 THEN ',"legacy_ids":null,"overlays":[]' ELSE ',"legacy_ids":[],"task_links":{}' END, ',"assets":', CASE k % 15 WHEN 6 THEN '[]' WHEN 7 THEN '{}' ELSE concat('{"', CASE WHEN k % 4 = 1 THEN 'other' ELSE 'map' END, '":{"path":"', CASE WHEN k % 6 = 2 THEN '' ELSE 'a.json' END, '","bytes":', CASE k % 5 WHEN 1 THEN '-4' WHEN 2 THEN '"many"' ELSE '12' END, ',"sha256":"', CASE WHEN k % 3 = 1 THEN 'abc' ELSE sha END, '"},"extra":', CASE k % 11 WHEN 3 THEN '" "' WHEN 4 THEN '7' ELSE '"b.json"' END, '}') END, '}') AS body
+FROM (SELECT page_id AS k, SHA2(url) AS sha FROM @pages) p""",
+    "edge_imports": """
+SELECT l_orderkey AS path, concat('{"edges":[1,', AGG[[concat('{"', CASE WHEN l_linenumber % 2 = 0 THEN 'from' ELSE 'source' END, '":"part:', l_partkey, '","', CASE WHEN l_linenumber % 2 = 0 THEN 'to' ELSE 'target' END, '":"', CASE WHEN l_suppkey % 13 = 0 THEN '' ELSE concat('supplier:', l_suppkey) END, '","type":"', CASE l_linenumber % 3 WHEN 0 THEN 'requires' WHEN 1 THEN 'likes' ELSE 'extends' END, '"',
+  CASE WHEN l_partkey % 4 = 0 THEN concat(',"id":"e', l_partkey, '"') ELSE '' END, CASE WHEN l_partkey % 5 = 0 THEN ',"confidence":0.25,"source_refs":"src:x"' WHEN l_partkey % 5 = 1 THEN ',"confidence":0,"source_refs":["a","b"]' ELSE '' END, CASE WHEN l_partkey % 7 = 0 THEN ',"reason":"known","evidence":"seen","review":{"state":"accepted"}' WHEN l_partkey % 7 = 1 THEN ',"review":"yes"' ELSE '' END, '}')||(l_linenumber * 1000000 + l_partkey) * 1000000 + l_suppkey]], ']}') AS body FROM @lineitem GROUP BY l_orderkey""",
+    "seed_domains": "SELECT p_type AS domain, concat('Area ', p_type) AS name, CAST(row_number() OVER (ORDER BY p_type) AS BIGINT) AS ord FROM (SELECT DISTINCT p_type FROM @part) d",
+    "seed_groups": """
+SELECT p_partkey AS pos, CASE WHEN p_partkey % 50 = 7 THEN 'nowhere' ELSE p_type END AS domain, p_brand AS theme, concat(p_name, CASE WHEN p_partkey % 30 < 2 THEN '' ELSE concat(' ', p_partkey) END) AS name, ARR(p_name, concat('size ', p_size)) AS points, CASE WHEN p_partkey % 5 = 0 THEN concat('About ', p_name) WHEN p_partkey % 5 = 1 THEN '' ELSE NULL END AS summary,
+  CASE WHEN p_partkey % 6 = 0 THEN ARR('Explain it') ELSE NULL END AS typical_tasks, CASE WHEN p_partkey % 8 = 0 THEN 0.9e0 ELSE NULL END AS confidence FROM @part""",
+    "seed_relations": """
+SELECT CASE l_linenumber % 3 WHEN 0 THEN 'requires' WHEN 1 THEN 'extends' ELSE 'applies_to' END AS type, a.name AS source_name, CASE WHEN l_orderkey % 9 = 0 THEN 'no such group' ELSE b.name END AS target_name, concat('order ', l_orderkey, '-', l_linenumber) AS evidence, CASE WHEN l_orderkey % 4 = 0 THEN ARR('src:order') ELSE NULL END AS source_refs, CASE WHEN l_orderkey % 5 = 0 THEN 0.7e0 ELSE NULL END AS confidence
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM @lineitem) l JOIN (SELECT pos, name FROM seed_groups) a ON l_partkey = a.pos JOIN (SELECT pos, name FROM seed_groups) b ON l_suppkey = b.pos""",
     "layout_elements": """
 SELECT user_id AS doc, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, event_id AS id, CASE WHEN event_type = 'purchase' THEN 'image' ELSE 'text' END AS type,
   CASE event_type WHEN 'signup' THEN concat('一、', CASE event_id % 3 WHEN 0 THEN '选择题' WHEN 1 THEN '填空题' ELSE '解答题' END) WHEN 'click' THEN concat(event_id % 40 + 1, '. Question') WHEN 'error' THEN concat('(', event_id % 4, ') part') WHEN 'view' THEN CASE WHEN event_id % 5 = 0 THEN ' ' ELSE concat('Text ', event_id) END ELSE '' END AS content,
@@ -130,6 +160,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame."""
     own = VIEWS[name]
     sql = own.replace("ARR(", "array(").replace("{", "{{").replace("}", "}}")
+    sql = sql.replace("SHA2(url)", "sha2(url, 256)")
     sql = _AGG.sub(r"array_join(transform(array_sort(collect_list(struct(\2 AS o, \1 AS x))), e -> e.x), ',')", sql)
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(re.findall(r"@(\w+)", own))}
     sql = re.sub(r"@(\w+)", r"{\1}", sql)
@@ -148,5 +179,6 @@ def duck(sql: str) -> str:
         body = re.sub(r"^\s*WITH (RECURSIVE )?", ", ", sql, count=1) if re.match(r"\s*WITH ", sql) else "\n" + sql
         sql = f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(parts)}{body}"
     sql = re.sub(r", (\w+) -> ", r", lambda \1: ", re.sub(r", \((\w+), (\w+)\) -> ", r", lambda \1, \2: ", sql))
+    sql = sql.replace("SHA2(url)", "sha256(url)")
     sql = _AGG.sub(r"string_agg(\1, ',' ORDER BY \2)", sql)
     return re.sub(r"@(\w+)", r"\1", sql.replace("ARR(", "list_value("))

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import compact_text, first_text, is_noise, ocr_fixups, paragraphs, slug_base, slugify, text
+from graphloom.functions.text import compact_text, edge_id, first_text, is_noise, ocr_fixups, paragraphs, slug_base, slugify, text
 from graphloom.operators.graph import orphans, review_state
-from graphloom.operators.rules import NODE_TYPES
+from graphloom.operators.rules import EDGE_TYPES, NODE_TYPES
 
 #: Keys of well-known files in a manifest.
 ASSET_KEYS = {"ucs-kg.json": "ucs_kg", "cgo-kg-candidates.json": "kg_candidates", "cgo-kg.json": "kg", "knowledge-groups.json": "knowledge_groups", "knowledge-map-data.json": "map", "knowledge-group-map-data.json": "group_map"}
@@ -107,6 +107,38 @@ def imported(docs: DataFrame, source: str = "") -> DataFrame:
     )
 
 
+#: Fixed value: why an imported edge without a reason is there.
+IMPORTED_REASON = "Imported edge did not provide enough relationship semantics."
+
+
+def imported_edges(docs: DataFrame) -> DataFrame:
+    """Foreign edge rows in the shape of candidates: either pair of names for the
+    ends, ``related_to`` for unknown types, an id made of type and ends, a default
+    reason, and less confidence in what is only related.  Rows without both ends go."""
+
+    def own(*names: str) -> Column:
+        return F.coalesce(*(F.nullif(field("item", n), F.lit("")) for n in names))
+
+    rows = objects(docs, "edges").select("path", "pos", "item", own("source", "from").alias("source"), own("target", "to").alias("target"), field("item", "type").alias("_type"), field("item", "confidence", "double").alias("_conf"))
+    rows = rows.where("source is not null and target is not null").withColumn("type", F.when(F.col("_type").isin(*EDGE_TYPES), F.col("_type")).otherwise("related_to"))
+    less = F.when(F.col("type") == "related_to", 0.55).otherwise(0.75)
+    review = F.schema_of_variant(F.try_variant_get("item", "$.review", "variant")).like("OBJECT%")
+    return rows.select(
+        "path",
+        F.col("pos").cast("bigint").alias("pos"),
+        F.coalesce(own("id"), edge_id(F.col("type"), F.col("source"), F.col("target"))).alias("id"),
+        "type",
+        "source",
+        "target",
+        F.coalesce(own("evidence"), F.lit("")).alias("evidence"),
+        F.coalesce(own("reason"), F.lit(IMPORTED_REASON)).alias("reason"),
+        list_field("item", "source_refs").alias("source_refs"),
+        F.when(F.coalesce("_conf", F.lit(0.0)) != 0, F.col("_conf")).otherwise(less).alias("confidence"),
+        F.when(review, F.coalesce(field("item", "review.state"), F.lit(""))).otherwise("needs_review").alias("review_state"),
+        F.col("item").alias("raw"),
+    )
+
+
 def ingested(texts: DataFrame, id_: str, value: str, most: int = 1200) -> DataFrame:
     """Paragraph chunks ``c001`` and so on of a text, cut to ``most`` characters."""
     rows = texts.select(id_, F.posexplode(paragraphs(F.col(value))).alias("i", "t"))

@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from graphloom.operators import graph as G
 from graphloom.operators import groups as K
 from graphloom.operators import rules as R
+from graphloom.operators.publish import GraphStore
 from graphloom.sources.tables import cut, work_folder
 
 NODE = "id string, type string, name string, subject string, stage string, curriculum string, source_refs array<string>, confidence double, review_state string, pos bigint"
@@ -248,3 +250,35 @@ def test_relations_between_names(spark):
     assert [tuple(r) for r in K.repeated_names(nodes).collect()] == [("twice", 2)]
     own = nodes.where("id = 'g1'").select(K.group_id(F.lit("number"), F.lit(" 数与 运算 "), F.col("name")).alias("x"))
     assert own.first().x == "kg:number:数与-运算:whole-numbers"
+
+
+def files(path):
+    return {str(p.relative_to(path)): p.read_bytes() for p in Path(path).rglob("*") if p.is_file()}
+
+
+def test_merges_are_seen_whole_or_not_at_all(spark, tmp_path):
+    store = GraphStore(spark, f"file://{tmp_path}/g")
+    n, e = frames(spark, [node("a"), node("b", 1)], [edge("e1", "a", "b")])
+    sources = spark.createDataFrame([("src:a", None)], "source_id string, chunk_id string")
+    assert store.version() is None
+    first = store.create(n, e, sources)
+    batch = frames(spark, [node("c"), node("c", 1, name="later"), node("d", 2, review_state="rejected"), node("a", 3)], [edge("", "a", "c", pos=0), edge("x", "a", "d", pos=1), edge("e1", "b", "a", pos=2)])
+    done = store.merge(batch[0].where("pos <> 1"), batch[1], spark.createDataFrame([("src:b", None), ("src:a", "c1")], "source_id string, chunk_id string"))
+    assert done.merged and store.version() == done.version != first
+    nodes, edges, known = store.read()
+    assert {(r.id, r.name) for r in nodes.collect()} == {("a", "a"), ("b", "b"), ("c", "c")} and edges.count() == 2
+    assert {r.source_id for r in known.collect()} == {"src:a", "src:b"} and known.count() == 2
+    assert store.read(first)[0].count() == 2  # a reader of the old version is not disturbed
+    before = {k: v for k, v in files(tmp_path).items()}
+    twice = store.merge(*batch)  # an id twice in the batch
+    assert not twice.merged and twice.findings.where("rule = 'duplicate_id'").count() == 1
+    loop = frames(spark, [], [edge("r1", "a", "b", type="requires"), edge("r2", "b", "a", type="requires", pos=1)])
+    bad = store.merge(*loop)
+    assert not bad.merged and {r.rule for r in bad.findings.where("severity = 'E'").collect()} == {"requires_cycle"}
+    after = files(tmp_path)
+    assert {k: after[k] for k in before} == before and store.version() == done.version
+    again = store.merge(batch[0].where("pos <> 1"), batch[1])
+    assert again.merged and again.outcomes.where("outcome = 'added'").count() == 0
+    assert {tuple(map(str, r)) for r in store.read()[0].collect()} == {tuple(map(str, r)) for r in nodes.collect()}
+    store.clean()
+    assert store.read()[1].count() == 2 and len(list((tmp_path / "g/versions").iterdir())) == 1
