@@ -66,15 +66,17 @@ def number_slots(placed: DataFrame, buckets: int = SLOT_BUCKETS) -> DataFrame:
     """Add ``slot``, gapless from 0 in each shard.
 
     Rows are ranked within hashed ranges of a shard; a range starts where the
-    counts of those before it end.  Equal rows are counted first and unfolded
-    last, so a key that holds a third of the table is one row here.
+    counts of those before it end.  Equal rows of one task of the scan are counted
+    first and unfolded last; a key that holds a third of the table is as many rows
+    as tasks here, in as many ranges, and none unfolds more than a task has read.
     """
     columns = placed.columns
-    counted = placed.groupBy(*columns).agg(F.count("*").alias("_n")).withColumn("_range", F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int"))
+    parts = placed.withColumn("_part", F.spark_partition_id())
+    counted = parts.groupBy(*columns, "_part").agg(F.count("*").alias("_n")).withColumn("_range", F.pmod(F.xxhash64(*columns, "_part"), F.lit(buckets)).cast("int"))
     totals = counted.groupBy("shard", "_range").agg(F.sum("_n").alias("_total"))
     ahead = W.partitionBy("shard").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     base = totals.select("shard", "_range", F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_base"))
-    inside = W.partitionBy("shard", "_range").orderBy(*(F.col(c).asc_nulls_first() for c in columns if c != "shard")).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("shard", "_range").orderBy(*(F.col(c).asc_nulls_first() for c in (*columns, "_part") if c != "shard")).rowsBetween(W.unboundedPreceding, -1)
     ranked = counted.withColumn("_local", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     # at most shards x ranges rows, whatever the size of the table
     joined = ranked.join(F.broadcast(base), ["shard", "_range"])

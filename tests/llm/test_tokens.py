@@ -124,6 +124,14 @@ def test_shards(docs, rows):
     assert all(len({r.shard for r in placed if r.doc_id == k}) == 1 for k in {r.doc_id for r in placed})
 
 
+def test_slots_of_a_key_that_holds_most_rows(spark):
+    many = spark.range(6000).repartition(6).select(F.when(F.col("id") < 5000, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    slots = {}
+    for r in shards.number_slots(shards.assign(many, 8)).collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, slots.values())) == 6000 and all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_jump_hash_is_even_and_moves_little():
     keys = np.arange(80_000, dtype=np.uint64)
     a, b = shards.jump_hash(keys, 8), shards.jump_hash(keys, 9)
