@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from graphloom.llm.pieces import PieceEncoder
 from graphloom.llm.store import ship
-from graphloom.llm.texts import chunks, take_columns
+from graphloom.llm.texts import chunks, only, take_columns
 
 _ROOT = 0
 #: Bytes of a piece after which states are not kept: few pieces share more.
@@ -276,6 +276,7 @@ _CODECS: dict[str, tuple[PieceEncoder, Decoder]] = {}
 
 def codec(path: str) -> tuple[PieceEncoder, Decoder]:
     """Encoder and decoder of a rank file, built once in each Python process."""
+    only("bpe", _CODECS.clear)
     if path not in _CODECS:
         ranks = load_ranks(path)
         _CODECS[path] = PieceEncoder(Transducer(ranks).encode), Decoder(ranks)

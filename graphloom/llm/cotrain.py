@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.store import cut, schema_of, shared_folder, ship
-from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, rows_of, spans
+from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, only, rows_of, spans
 
 MOST_LABELLED = 16_000
 #: Documents that a view labels for the other in a round.
@@ -226,6 +226,7 @@ class Table:
         held = self.base.sparkSession.sparkContext.broadcast(model)
 
         def run(batches):
+            only()
             for batch in batches:
                 for lo, hi, data, offsets in chunks(batch, "_text"):
                     lang, source = (batch.column(i).slice(lo, hi - lo).to_pylist() for i in (1, 2))
@@ -260,6 +261,7 @@ def _featurised(docs: DataFrame, extra: list[str]) -> DataFrame:
     kept = docs.select("_id", "_lang", "_source", *extra, "_text")
 
     def run(batches):
+        only()
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch, "_text"):
                 features, first, shape = content_features(data, offsets)
@@ -306,6 +308,7 @@ def score(docs: DataFrame, model: CoTrained, text: str = "text", out: str = "qua
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        only()
         m = held.value
         for batch in batches:
             parts = []

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.pieces import PieceEncoder
 from graphloom.llm.store import shared_folder, ship
-from graphloom.llm.texts import chunks
+from graphloom.llm.texts import chunks, only
 
 #: Ids in a segment, unless one document has more.
 SEGMENT_IDS = 1 << 20
@@ -128,6 +128,7 @@ _ENCODERS: dict[str, RowEncoder] = {}
 def library_encoder(path: str) -> RowEncoder:
     """The tokenizers library's model behind the memo of pieces; the library itself
     encodes the rows that hold an added token of the file."""
+    only("token files", _ENCODERS.clear)
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel

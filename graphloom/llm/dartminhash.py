@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.components import components
 from graphloom.llm.store import SIEVE, cut, parted, schema_of, shared_folder, ship
-from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, rows_of, spans, windows
+from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, mix64, only, rows_of, spans, windows
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, BAND_ROWS = 40, 8
@@ -145,6 +145,7 @@ def sketch(docs: DataFrame, text: str, bands: int = BANDS, band_rows: int = BAND
     names = docs.columns
 
     def run(batches):
+        only()
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch, text):
                 elements, first = shingle_sets(data, offsets)
@@ -239,6 +240,7 @@ def _star_links(stars: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
     ready = dealt.join(texts, "_class").repartition("_lead", "part").sortWithinPartitions("_lead", "part", F.desc("head"))
 
     def run(batches):
+        only()
         lead, unpack = np.zeros(0, _U), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             texts = pa.RecordBatch.from_arrays([pa.array([unpack(z.as_buffer()) for z in batch.column(5)], pa.large_binary())], names=["t"])
@@ -333,6 +335,7 @@ def _open_links(starred: DataFrame, texts: DataFrame, least: float, folder: str)
     dealt = dealt.join(texts, "_class").repartition("_lead", "p", "q").sortWithinPartitions("_lead", "p", "q")
 
     def run(batches):
+        only()
         held, block = [], None
 
         def close():

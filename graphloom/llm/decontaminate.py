@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.store import cut, schema_of, shared_folder, ship
-from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, rows_of, spans, windows
+from graphloom.llm.texts import LOWER_BYTES, WORD_BYTES, Hasher, chunks, only, rows_of, spans, windows
 
 WIDTH = 10
 #: Bytes of item text in a block; the set of a block is about four times as large.
@@ -114,6 +114,7 @@ _SETS: dict[str, Searcher] = {}
 
 
 def _held(token: str, known) -> Searcher:
+    only("windows", _SETS.clear)
     if token not in _SETS:
         _SETS.clear()
         _SETS[token] = Searcher(known.value)

@@ -7,7 +7,7 @@ it, found and hashed with numpy for all rows of a chunk at once.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -137,5 +137,17 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
     return at, mix64(h[at] + U64(width))
 
 
+_LET_GO: dict[str, Callable[[], object]] = {}
+
+
+def only(name: str = "", let_go: Callable[[], object] | None = None) -> None:
+    """From now on a Python worker holds the large tables of ``name`` alone: those
+    of operators that it has worked for before are let go."""
+    for other in [k for k in _LET_GO if k != name]:
+        _LET_GO.pop(other)()
+    if let_go is not None:
+        _LET_GO[name] = let_go
+
+
 def take_columns(batch: pa.RecordBatch, names: list[str], lo: int, hi: int) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(x)).slice(lo, hi - lo) for x in names]
