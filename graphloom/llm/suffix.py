@@ -32,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,9 +71,9 @@ def _anchors(data: np.ndarray, exact: Hasher, length: int, anchor: int) -> np.nd
     return (np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts]) & _U(0xFFFFFFFF)).astype(np.int64)
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, block: int, allowed: list[list[tuple[int, int]]] | None, length: int, anchor: int):
+def runs(data: np.ndarray, offsets: np.ndarray, block: int, allowed: tuple[np.ndarray, np.ndarray, np.ndarray] | None, length: int, anchor: int):
     """Runs of starts: (row, digit, whole, first start, one after the last start),
-    starts from the row's own beginning.  ``allowed``: ranges of starts of each row."""
+    starts from the row's own beginning.  ``allowed``: rows and ranges of starts in them."""
     empty = (np.zeros(0, np.int64),) * 5
     if len(data) < length:
         return empty
@@ -80,8 +81,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, block: int, allowed: list[list[t
         has = np.diff(offsets) >= length
         lo, hi = offsets[:-1][has], offsets[1:][has] - length + 1
     else:
-        lo = np.array([offsets[i] + a for i, r in enumerate(allowed) for a, _ in r], np.int64)
-        hi = np.array([offsets[i] + b for i, r in enumerate(allowed) for _, b in r], np.int64)
+        lo, hi = (offsets[allowed[0]] + x for x in allowed[1:])
     if not len(lo):
         return empty
     count = np.zeros(len(data) + 1, np.int32)
@@ -147,13 +147,13 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return Hasher(data, LOWER_BYTES)(starts, ends), first
 
 
-def _batch(row_ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, turn: int, scales: list[Scale], allowed: list | None = None) -> pa.RecordBatch:
-    """The runs of a pass in both kinds of symbols."""
+def _batch(row_ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, turn: int, scales: list[Scale], allowed: tuple | None = None) -> pa.RecordBatch:
+    """The runs of a pass in both kinds of symbols; ``allowed``: rows, units and ranges."""
     parts = []
     for unit, scale in enumerate(scales):
         symbols, first = _words(data, offsets) if unit else (data, offsets)
         block = (scale.length - scale.anchor + 1, scale.inner, 1)[turn]
-        own = None if allowed is None else [[(x["a"], x["b"]) for x in r if x["unit"] == unit] for r in allowed]
+        own = None if allowed is None else tuple(allowed[i][allowed[1] == unit] for i in (0, 2, 3))
         row, digit, whole, a, b = runs(symbols, first, block, own, scale.length, scale.anchor)
         salt = _U(unit * 0x5851F42D4C957F2D)
         parts.append((row_ids[row], np.full(len(row), unit, np.int32), digit ^ salt.astype(np.int64), whole ^ salt.astype(np.int64), a.astype(np.int32), b.astype(np.int32)))
@@ -170,6 +170,13 @@ def _first_pass(docs: DataFrame, scales: list[Scale]) -> DataFrame:
     return docs.select("_row", "_text").mapInArrow(run, _RUN)
 
 
+def _lists(column: pa.Array, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where each row's structs begin (one entry more than rows), and their fields."""
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    return np.concatenate([[0], np.cumsum(size)]).astype(np.int64), [flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in names]
+
+
 def _next_pass(docs: DataFrame, open_runs: DataFrame, turn: int, scales: list[Scale]) -> DataFrame:
     """Runs of a shorter block within the runs that are open."""
     wanted = open_runs.groupBy("_row").agg(F.collect_list(F.struct("unit", "a", "b")).alias("r"))
@@ -180,14 +187,16 @@ def _next_pass(docs: DataFrame, open_runs: DataFrame, turn: int, scales: list[Sc
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
+            first, fields = _lists(batch.column(2), "unit", "a", "b")
             at = 0
             while at < batch.num_rows:
-                end, size, raw, allowed = at, 0, [], []
+                end, size, raw = at, 0, []
                 while end < batch.num_rows and size < CHUNK_BYTES:
-                    raw.append(unpack(batch.column(1)[end].as_py()))
-                    allowed.append(batch.column(2)[end].as_py())
+                    raw.append(unpack(batch.column(1)[end].as_buffer()))
                     size += len(raw[-1])
                     end += 1
+                owner = np.repeat(np.arange(end - at), np.diff(first[at : end + 1]))
+                allowed = (owner, *(x[first[at] : first[end]] for x in fields))
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
                 yield _batch(ids[at:end], np.frombuffer(b"".join(raw), np.uint8), offsets, turn, scales, allowed)
                 at = end
@@ -219,13 +228,10 @@ def repeated(docs: DataFrame, folder: str, scales: list[Scale]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, settled)
 
 
-def _covered(size: int, ranges: list) -> tuple[np.ndarray, int]:
+def _covered(size: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, int]:
     """Whether each byte is covered, and the number of maximal covered runs."""
-    edge = np.zeros(size + 1, np.int32)
-    for x in ranges:
-        edge[x["a"]] += 1
-        edge[min(x["b"], size)] -= 1
-    on = np.cumsum(edge[:-1]) > 0
+    edge = np.bincount(a, minlength=size + 1) - np.bincount(np.minimum(b, size), minlength=size + 1)
+    on = np.cumsum(edge[:size]) > 0
     return on, int(on[:1].sum() + (on[1:] & ~on[:-1]).sum())
 
 
@@ -256,23 +262,21 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", window: Sc
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             keys, sizes, sha, packed, ranges, words = (batch.column(i) for i in range(6))
-            removed, runs_, kept, passage_words, passages = [], [], [], [], []
-            for i in range(batch.num_rows):
-                z, own = packed[i].as_py(), words[i].as_py() or []
-                on, n = _covered(max((x["b"] for x in own), default=0), own)
-                passage_words.append(int(on.sum()))
-                passages.append(n)
-                if z is None:
-                    removed.append(0)
-                    runs_.append(0)
-                    kept.append(sha[i].as_py())
-                    continue
-                raw = np.frombuffer(unpack(z), np.uint8)
-                on, n = _covered(len(raw), ranges[i].as_py() or [])
-                removed.append(int(on.sum()))
-                runs_.append(n)
-                kept.append(hashlib.sha256(raw[~on].tobytes()).hexdigest())
-            counts = [pa.array(x, pa.int64()) for x in (removed, runs_, passage_words, passages)]
+            removed, runs_, passage_words, passages = (np.zeros(batch.num_rows, np.int64) for _ in range(4))
+            kept = sha.to_pylist()
+            (of_bytes, (a, b)), (of_words, (c, d)) = _lists(ranges, "a", "b"), _lists(words, "a", "b")
+            for i in np.flatnonzero(np.diff(of_words)).tolist():
+                own = slice(of_words[i], of_words[i + 1])
+                on, passages[i] = _covered(int(d[own].max()), c[own], d[own])
+                passage_words[i] = on.sum()
+            for i in np.flatnonzero(pc.is_valid(packed).to_numpy(zero_copy_only=False)).tolist():
+                raw, own = unpack(packed[i].as_buffer()), slice(of_bytes[i], of_bytes[i + 1])
+                if of_bytes[i] < of_bytes[i + 1]:
+                    on, runs_[i] = _covered(len(raw), a[own], b[own])
+                    removed[i] = on.sum()
+                    raw = np.frombuffer(raw, np.uint8)[~on].tobytes()
+                kept[i] = hashlib.sha256(raw).hexdigest()
+            counts = [pa.array(x) for x in (removed, runs_, passage_words, passages)]
             yield pa.RecordBatch.from_arrays([keys, sizes, *counts[:2], pa.array(kept, pa.string()), *counts[2:]], names=["_key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", "n_passages"])
 
     out = marked.select("_key", "n_bytes", "_sha", "_z", "r", "w").mapInArrow(run, f"_key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_passage_words bigint, n_passages bigint")
@@ -293,7 +297,8 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", window: Sca
             for i, own in enumerate(ranges):
                 if own and texts[i]:
                     raw = np.frombuffer(texts[i].encode("utf-8"), np.uint8)
-                    texts[i] = raw[~_covered(len(raw), own)[0]].tobytes().decode("utf-8", "ignore")
+                    a, b = (np.array([x[k] for x in own]) for k in ("a", "b"))
+                    texts[i] = raw[~_covered(len(raw), a, b)[0]].tobytes().decode("utf-8", "ignore")
             yield pa.RecordBatch.from_arrays([batch.column(i) if i != at else pa.array(texts, pa.string()) for i in range(len(names))], names=names)
 
     return joined.mapInArrow(run, schema_of(named.select(*names))).toDF(*docs.columns)
