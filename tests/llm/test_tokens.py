@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from graphloom.llm import bpe, dac, shards
+from graphloom.llm import bpe, dac, shards, texts
 from graphloom.llm.queries import vocabulary
 from graphloom.llm.store import shared_folder
 
@@ -149,3 +149,14 @@ def test_empty_tables(empty):
     assert bpe.digests(empty, RANKS).count() == 0
     assert dac.tokens(empty, vocabulary("byte_bpe_50k.json")).count() == 0
     assert shards.number_slots(shards.assign(empty)).where(F.col("slot") >= 0).count() == 0
+
+
+def test_a_worker_holds_the_tables_of_one_operator():
+    a, b = {"x": 1}, {"y": 2}
+    texts.only("first", a.clear)
+    texts.only("first", a.clear)
+    assert a
+    texts.only("second", b.clear)
+    assert not a and b
+    texts.only()
+    assert not b
