@@ -134,14 +134,21 @@ def test_curriculum_export(spark):
         ({"relations": [("r", "requires", "c1", "c2", "", 0.5, None, 0)]}, "no_rationale"),
         ({"standards": [("s", "f", "cur:main", None, "State", 0)]}, "no_source"),
         ({"standards": [("s", "f", "cur:x", "book", "State", 0)]}, "curriculum_id"),
-        ({"curricula": [("cur:y", "Other")]}, "curriculum_id"),
+        ({"curricula": [("cur:y", "Other")]}, "curriculum_id curriculum_id"),  # of the standard and of the framework
         ({"frameworks": [("f", "up", "cur:main", "F", 0)]}, "parent_id"),
         ({"competencies": [("c1", "Skill", "math", "able", None, 0)]}, "duplicate_id"),
         ({"competencies": [("k", "Skill", "math", "able", 1.5, 0)]}, "confidence_range"),
     ],
 )
 def test_one_change_in_a_curriculum(spark, change, rule):
-    assert [x.rule for x in C.validate(*curriculum(spark, **change)).collect()] == [rule]
+    assert [x.rule for x in C.validate(*curriculum(spark, **change)).collect()] == rule.split()
+
+
+def test_tasks_and_alignments_of_a_curriculum(spark):
+    tasks = spark.createDataFrame([("t1", ["c1", "gone"], ["k"]), ("t2", [], ["none"])], "id string, concept_ids array<string>, competency_ids array<string>")
+    links = spark.createDataFrame([("a1", "c1", "elsewhere", "why", 0.9, "other"), ("a2", "c9", "c1", " ", 0.9, None)], "id string, source_id string, target_id string, rationale string, confidence double, hint string")
+    found = C.validate(*curriculum(spark), tasks=tasks, alignments=links)
+    assert {(r.rule, r.severity, r.id, r.detail) for r in found.collect()} == {("concept_id", "E", "t1", "gone"), ("competency_id", "E", "t2", "none"), ("relation_end", "E", "a2", "source_id:c9"), ("no_rationale", "W", "a2", "")}
 
 
 def test_a_hint_excuses_a_missing_target(spark):
