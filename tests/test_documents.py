@@ -2,12 +2,14 @@
 
 import copy
 import json
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from graphloom.operators import qij, trees
+from graphloom.sources.tables import cut, work_folder
 
 
 def parsed(spark, docs):
@@ -115,5 +117,19 @@ def test_long_fallback_circles(spark, n):
     assert sorted(r.detail for r in found) == sorted(ring)
 
 
+def test_rules_are_jobs_of_their_own(spark):
+    """No plan holds the joins of many rules: the driver would broadcast and watch them all at once."""
+    plans, folder = [], work_folder(spark)
+
+    def store(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df, name, folder)
+
+    found = qij.semantic_rules(parsed(spark, {"sound": SOUND}), store=store)
+    plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+    assert "Join" not in plans[-1] and "Aggregate" not in plans[-1]
+    assert max(len(re.findall(r"\bJoin\b", x)) for x in plans) <= 4
+
+
 def test_rules_over_nothing(spark):
     assert qij.semantic_rules(spark.createDataFrame([], "doc string, body string").select("doc", F.try_parse_json("body").alias("v"))).count() == 0
