@@ -24,7 +24,6 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,25 +205,16 @@ def remove_spans(docs: DataFrame, bench: DataFrame, text: str = "text", block_by
     """``docs`` without the text from the first to the last word of each hit run
     (a blank stands for it); rows and columns as before."""
     found = _plain_hits(docs, bench, text, "item_id", "text", WIDTH, block_bytes)
-    at, n = docs.columns.index(text), len(docs.columns)
-    kept = found.select(*(f"c{i}" for i in range(n)), "_runs")
-    names = kept.columns[:-1]
-
-    def run(batches):
-        for batch in batches:
-            runs = batch.column(n)
-            if not pc.any(pc.greater(pc.list_value_length(runs), 0)).as_py():
-                yield batch.select(names)
-                continue
-            texts, spans_ = batch.column(at).to_pylist(), runs.to_pylist()
-            for i, own in enumerate(spans_):
-                if own:
-                    raw, out, last = texts[i].encode("utf-8"), [], 0
-                    for r in own:
-                        out.append(raw[last : r["from"]])
-                        last = r["to"]
-                    texts[i] = b" ".join([*out, raw[last:]]).decode("utf-8")
-            columns = [batch.column(i) if i != at else pa.array(texts, pa.string()) for i in range(n)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return kept.mapInArrow(run, schema_of(kept.drop("_runs"))).toDF(*docs.columns)
+    at, n = docs.columns.index(text), F.size("_runs")
+    own = F.col(f"c{at}")
+    raw = own.cast("binary")
+
+    def kept(i):
+        """What stands between two runs.  Columns do this, not Python: a second Python
+        pass in a task would leave twice as many workers for later stages to fill."""
+        start = F.coalesce(F.get("_runs", i - 1)["to"], F.lit(0))
+        end = F.coalesce(F.get("_runs", i)["from"], F.octet_length(own))
+        return F.substring(raw, (start + 1).cast("int"), (end - start).cast("int")).cast("string")
+
+    rest = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n), kept), " ")).otherwise(own)
+    return found.select(*((rest if i == at else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)))

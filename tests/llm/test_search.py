@@ -128,6 +128,17 @@ def test_decontamination_leaves_columns_of_any_name(docs, rows, bench, block):
     assert decontaminate.hits(docs.limit(0), table, block_bytes=block).count() == 0
 
 
+def test_spans_are_cut_without_a_second_python_pass(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    table = spark.createDataFrame([("a", item)], "item_id string, text string")
+    texts = [None, "", "none", item, f"é {item} ü, {item}. ß", f"x{item}, {item[:-4]} €"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    clean = decontaminate.remove_spans(docs, table)
+    assert clean._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = [r.text for r in clean.orderBy("doc_id").collect()]
+    assert got == [None, "", "none", " ", "é   ü,  . ß", "xw0   €"]
+
+
 def test_a_block_is_a_few_times_its_items():
     rng = np.random.default_rng(1)
     items = [(str(k), " ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 200))) for k in range(2000)]
