@@ -46,6 +46,8 @@ SHARD_TOKENS, ROUNDS, LEAST_TOKENS, MOST_PASSES = 1 << 20, 4, 1 << 21, 8
 #: Tokens of a task that wait to be scored together, so that long texts run side by side.
 TOGETHER = 4 << 20
 _GROUPS = 8
+#: Leading bits of a token's hash by which it is looked up.
+_INDEX_BITS = 18
 
 
 def training(key: str) -> Column:
@@ -84,6 +86,8 @@ class Vocabulary:
         n = np.array([c for _, c in top], np.int64)
         order = np.argsort(h)
         self.keys, self.counts, self.total, self.types = h[order], n[order], total, types
+        # where the keys with each beginning of _INDEX_BITS bits are
+        self.index = np.searchsorted(self.keys, np.arange(1 << _INDEX_BITS, dtype=np.uint64) << np.uint64(64 - _INDEX_BITS)).astype(np.int32)
         rank = np.minimum(np.arange(len(h)), self.words)
         self.rank = rank[order].astype(np.int32)
         first = np.zeros(self.words, np.float64)
@@ -96,7 +100,12 @@ class Vocabulary:
         """(word id, count, or -1 where it is not held)."""
         if not len(self.keys):
             return np.full(len(h), self.words, np.int32), np.full(len(h), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        at = np.minimum(self.index[(h >> np.uint64(64 - _INDEX_BITS)).astype(np.int64)], len(self.keys) - 1)
+        behind = np.flatnonzero(self.keys[at] < h)
+        while len(behind):
+            behind = behind[at[behind] + 1 < len(self.keys)]
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < h[behind]]
         held = self.keys[at] == h
         return np.where(held, self.rank[at], self.words).astype(np.int32), np.where(held, self.counts[at], -1)
 
@@ -125,102 +134,164 @@ def pack(w: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([w[k].ravel() for k in sorted(w)])
 
 
-def unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def unpack(flat: np.ndarray, like: dict[str, np.ndarray], taken=lambda x: x.astype(np.float32)) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = flat[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = taken(flat[at : at + like[k].size].reshape(like[k].shape))
         at += like[k].size
     return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _step(w: dict[str, np.ndarray], x: np.ndarray, h: np.ndarray):
     """One step of the recurrence; ``x`` is the input already multiplied."""
     n = h.shape[1]
-    gates = _sigmoid(x[:, : 2 * n] + h @ w["gates"])
+    gates = h @ w["gates"]
+    gates += x[:, : 2 * n]
+    _sigmoid(gates)
     z, r = gates[:, :n], gates[:, n:]
-    c = np.tanh(x[:, 2 * n :] + (r * h) @ w["state"])
+    c = (r * h) @ w["state"]
+    c += x[:, 2 * n :]
+    np.tanh(c, out=c)
     return h + z * (c - h), z, r, c
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+def _with_one(x: np.ndarray) -> np.ndarray:
+    """A last column of ones, which takes the biases."""
+    out = np.empty((*x.shape[:-1], x.shape[-1] + 1), x.dtype)
+    out[..., :-1], out[..., -1] = x, 1
+    return out
+
+
+def _heads(w: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Weights over biases of classes and of words, and whether exponentials of all
+    logits of states like ``h`` are far from what single precision can't hold."""
+    far, calm = np.abs(h).max(initial=1), True
+    for x, bias in ((w["class"], w["class_bias"]), (w["word"], w["word_bias"])):
+        reach = np.abs(x).sum(-2) * far
+        calm &= bool((bias + reach).max() < 80 and (bias - reach).max(-1).min() > -20)
+    return np.concatenate([w["class"], w["class_bias"][None]]), np.concatenate([w["word"], w["word_bias"][:, None]], 1), calm
+
+
+def _exponentials(x: np.ndarray, calm: bool) -> tuple[np.ndarray, np.ndarray]:
+    """In place, with their sums by row; logits are lowered first unless they are ``calm``."""
+    if not calm:
+        x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    return x, x @ np.ones(x.shape[1], x.dtype)
+
+
+def _log_share(x: np.ndarray, at: np.ndarray, calm: bool) -> np.ndarray:
+    """The logarithm of the softmax of each row at one place; ``x`` is used up."""
+    if not calm:
+        x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(x)), at]
+    return own - np.log(_exponentials(x, True)[1])
 
 
-def log_output(w: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _by_class(ids: np.ndarray, kind: np.ndarray, on: np.ndarray, classes: int):
+    """Places of the ids that are ``on`` and in a class of words, in order of classes, and their edges."""
+    known = np.flatnonzero(on & (kind < classes))
+    known = known[np.argsort(kind[known].astype(np.uint8), kind="stable")]
+    return known, np.searchsorted(kind[known], np.arange(classes + 1)).tolist()
+
+
+def log_output(w: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray, block: int = 1 << 10) -> np.ndarray:
     """Natural log-probability of each id (of the class alone for the rest)."""
     classes, _, size = w["word"].shape
-    kind = ids // size
-    out = _log_softmax(h @ w["class"] + w["class_bias"])[np.arange(len(ids)), kind]
-    order = np.argsort(kind, kind="stable")
-    edge = np.searchsorted(kind[order], np.arange(classes + 1))
-    for c in range(classes):
-        own = order[edge[c] : edge[c + 1]]
-        if len(own):
-            inner = _log_softmax(h[own] @ w["word"][c] + w["word_bias"][c])
-            out[own] += inner[np.arange(len(own)), ids[own] - c * size]
+    kind, flat = ids // size, _with_one(h)
+    head, words, calm = _heads(w, h)
+    out = np.empty(len(ids), head.dtype)
+    for a in range(0, len(ids), block):
+        out[a : a + block] = _log_share(flat[a : a + block] @ head, kind[a : a + block], calm)
+    known, edge = _by_class(ids, kind, np.ones(len(ids), bool), classes)
+    own, at = flat[known], ids[known] % size
+    for c, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
+        for lo in range(a, b, block):
+            hi = min(lo + block, b)
+            out[known[lo:hi]] += _log_share(own[lo:hi] @ words[c], at[lo:hi], calm)
     return out
 
 
 def _gradients(w, h0, inputs, targets, live, opens):
     """Loss, gradients and last state of one window; ``live`` masks what is past
     the end, ``opens`` the first tokens of texts, before which the state is zero."""
-    steps, n = targets.shape
+    (steps, n), number = targets.shape, w["embed"].dtype
     classes, width, size = w["word"].shape
     g = {k: np.zeros_like(v) for k, v in w.items()}
-    x = w["embed"][inputs]
-    xw = x @ w["in"] + w["bias"]
-    states, kept, h = [], [], h0
+    x = _with_one(np.take(w["embed"], inputs, 0))
+    xw = x @ np.concatenate([w["in"], w["bias"][None]])
+    before, z, r, c = (np.empty((steps, n, width), number) for _ in range(4))
+    states = np.ones((steps, n, width + 1), number)
+    h = h0
     for t in range(steps):
-        before = np.where(opens[t][:, None], np.float32(0), h)
-        h, z, r, c = _step(w, xw[t], before)
-        states.append(h)
-        kept.append((before, z, r, c))
-    flat = np.concatenate(states)
+        before[t] = h
+        before[t][opens[t]] = 0
+        h, z[t], r[t], c[t] = _step(w, xw[t], before[t])
+        states[t, :, :width] = h
+    flat = states.reshape(-1, width + 1)
     ids, on = targets.ravel(), live.ravel()
-    kind = ids // size
-    p = np.exp(_log_softmax(flat @ w["class"] + w["class_bias"]))
-    loss = -np.log(p[np.arange(len(ids)), kind] + 1e-30)[on].sum()
-    p[np.arange(len(ids)), kind] -= 1
-    p *= on[:, None]
-    g["class"], g["class_bias"] = flat.T @ p, p.sum(0)
-    dh = p @ w["class"].T
-    known = np.flatnonzero(on & (kind < classes))
-    known = known[np.argsort(kind[known], kind="stable")]
-    edge = np.searchsorted(kind[known], np.arange(classes + 1))
-    for c in range(classes):
-        own = known[edge[c] : edge[c + 1]]
-        if len(own):
-            q = np.exp(_log_softmax(flat[own] @ w["word"][c] + w["word_bias"][c]))
-            at = np.arange(len(own)), ids[own] - c * size
+    kind, whole = ids // size, bool(on.all())
+    head, words, calm = _heads(w, flat)
+    # steps, and classes of words, one after the other: what is worked on stays in the cache
+    dh, loss, total, every = np.empty((steps, n, width), number), 0.0, np.zeros_like(head), np.arange(n)
+    head_back = w["class"].T.copy()
+    for t in range(steps):
+        p, sums = _exponentials(states[t] @ head, calm)
+        p *= (1 / sums)[:, None]
+        at = every, kind[t * n : (t + 1) * n]
+        loss -= np.log(p[at] + 1e-30)[live[t]].sum()
+        p[at] -= 1
+        if not whole:
+            p *= live[t][:, None]
+        total += states[t].T @ p
+        np.matmul(p, head_back, out=dh[t])
+    g["class"], g["class_bias"] = total[:-1], total[-1]
+    known, edge = _by_class(ids, kind, on, classes)
+    own, spot, back = flat[known], ids[known] % size, np.empty((len(known), width), number)
+    for k, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
+        if a < b:
+            q, sums = _exponentials(own[a:b] @ words[k], calm)
+            q *= (1 / sums)[:, None]
+            at = np.arange(b - a), spot[a:b]
             loss -= np.log(q[at] + 1e-30).sum()
             q[at] -= 1
-            g["word"][c], g["word_bias"][c] = flat[own].T @ q, q.sum(0)
-            dh[own] += q @ w["word"][c].T
-    dh = dh.reshape(steps, n, width)
-    carry, dxw = np.zeros((n, width), np.float32), np.zeros_like(xw)
+            total = own[a:b].T @ q
+            g["word"][k], g["word_bias"][k] = total[:-1], total[-1]
+            np.matmul(q, w["word"][k].T, out=back[a:b])
+    dh.reshape(-1, width)[known] += back
+    # what a change of the state means for gates and candidate, for all steps at once
+    to_z, to_c, to_r, stay = (c - before) * z * (1 - z), z * (1 - c * c), before * r * (1 - r), 1 - z
+    kept = r * before
+    carry, own, total = np.zeros((n, width), number), np.empty((n, 3 * width), number), np.zeros((width + 1, 3 * width), number)
+    dx = np.empty((steps, n, width), number)
+    gates_back, state_back, in_back = (w[k].T.copy() for k in ("gates", "state", "in"))
     for t in range(steps - 1, -1, -1):
-        before, z, r, c = kept[t]
         d = dh[t] + carry
-        dz, dc = d * (c - before) * z * (1 - z), d * z * (1 - c * c)
-        back = dc @ w["state"].T
-        dr = back * before * r * (1 - r)
-        g["state"] += (r * before).T @ dc
-        gates = np.concatenate([dz, dr], 1)
-        g["gates"] += before.T @ gates
-        carry = np.where(opens[t][:, None], np.float32(0), d * (1 - z) + back * r + gates @ w["gates"].T)
-        dxw[t] = np.concatenate([gates, dc], 1)
-    both = dxw.reshape(-1, 3 * width)
-    g["in"], g["bias"] = x.reshape(-1, width).T @ both, both.sum(0)
-    back = both @ w["in"].T
-    order = np.argsort(inputs.ravel(), kind="stable")
+        np.multiply(d, to_z[t], out=own[:, :width])
+        np.multiply(d, to_c[t], out=own[:, 2 * width :])
+        back = own[:, 2 * width :] @ state_back
+        np.multiply(back, to_r[t], out=own[:, width : 2 * width])
+        carry = own[:, : 2 * width] @ gates_back
+        carry += d * stay[t]
+        carry += back * r[t]
+        carry[opens[t]] = 0
+        g["state"] += kept[t].T @ own[:, 2 * width :]
+        g["gates"] += before[t].T @ own[:, : 2 * width]
+        total += x[t].T @ own
+        np.matmul(own, in_back, out=dx[t])
+    g["in"], g["bias"] = total[:-1], total[-1]
+    order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
     sorted_ = inputs.ravel()[order]
     head = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    g["embed"][sorted_[head]] = np.add.reduceat(back[order], head)
+    g["embed"][sorted_[head]] = np.add.reduceat(np.take(dx.reshape(-1, width), order, 0), head)
     return loss, g, h
 
 
@@ -228,9 +299,9 @@ class Trainer:
     """Adam over windows of lanes side by side."""
 
     def __init__(self, w: dict[str, np.ndarray], rate: float = RATE):
-        self.w = {k: v.copy() for k, v in w.items()}
-        self.m = {k: np.zeros_like(v) for k, v in w.items()}
-        self.v = {k: np.zeros_like(v) for k, v in w.items()}
+        self.flat = pack(w)
+        self.w = unpack(self.flat, w, np.ndarray.view)
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
         self.rate, self.t, self.tokens, self.loss = rate, 0, 0, 0.0
 
     def learn(self, ids: np.ndarray, first: np.ndarray) -> None:
@@ -254,11 +325,21 @@ class Trainer:
             loss, g, h = _gradients(self.w, h, inputs[own], targets[own], live, opens[own])
             k = int(live.sum())
             self.tokens, self.loss, self.t = self.tokens + k, self.loss + float(loss), self.t + 1
-            for key, d in g.items():
-                d = np.clip(d / np.float32(k), -1, 1)
-                self.m[key] = 0.9 * self.m[key] + 0.1 * d
-                self.v[key] = 0.99 * self.v[key] + 0.01 * d * d
-                self.w[key] -= np.float32(self.rate / (1 - 0.9**self.t)) * self.m[key] / (np.sqrt(self.v[key] / (1 - 0.99**self.t)) + 1e-4)
+            d = pack(g)
+            d /= np.float32(k)
+            np.clip(d, -1, 1, out=d)
+            self.m *= 0.9
+            self.m += np.float32(0.1) * d
+            d *= d
+            d *= np.float32(0.01)
+            self.v *= 0.99
+            self.v += d
+            np.divide(self.v, np.float32(1 - 0.99**self.t), out=d)
+            np.sqrt(d, out=d)
+            d += np.float32(1e-4)
+            np.divide(self.m, d, out=d)
+            d *= np.float32(self.rate / (1 - 0.9**self.t))
+            self.flat -= d
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -79,6 +79,40 @@ def test_gradients_are_those_of_the_loss():
             assert g[key][at] == pytest.approx((up - down) / (2 * e), abs=2e-3)
 
 
+def test_tokens_are_looked_up_by_leading_bits():
+    crowded = np.concatenate([np.arange(40), np.arange(40) + (2**63 - 41), np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 500)]).astype(np.int64)
+    v = gru.Vocabulary([(int(t), 600 - k) for k, t in enumerate(crowded)], 200_000, len(crowded))
+    h = np.concatenate([crowded, crowded + 1, [-1, 0, 2**62]]).astype(np.int64)
+    counts = {int(t): 600 - k for k, t in enumerate(crowded)}
+    ids, n = v.look(h.view(np.uint64))
+    assert n.tolist() == [counts.get(int(t), -1) for t in h]
+    assert ids.tolist() == [min(600 - counts[int(t)], v.words) if int(t) in counts else v.words for t in h]
+
+
+@pytest.mark.parametrize("scale", [1, 300])
+def test_large_weights_do_not_overflow(scale):
+    v = vocabulary()
+    w, (words, width) = gru.initial(v), shape(v)
+    for k in ("class", "word"):
+        w[k] = w[k] * np.float32(scale)
+    h = np.random.default_rng(4).uniform(-1, 1, (1, width)).astype(np.float32)
+    with np.errstate(all="raise", under="ignore"):
+        logs = gru.log_output(w, np.repeat(h, words + 1, 0), np.arange(words + 1))
+    assert np.isfinite(logs).all() and np.exp(logs.astype(np.float64)).sum() == pytest.approx(1, abs=1e-3)
+    exact = h[0].astype(np.float64) @ w["class"] + w["class_bias"]
+    assert logs[-1] == pytest.approx(exact[-1] - np.logaddexp.reduce(exact), rel=1e-4, abs=1e-4)
+
+
+def test_a_trainer_learns_in_one_vector():
+    v = vocabulary()
+    start = gru.initial(v)
+    trainer = gru.Trainer(start)
+    ids = np.random.default_rng(5).integers(0, v.words + 1, 4000)
+    trainer.learn(ids, np.array([0, 1500, 4000]))
+    assert all(np.shares_memory(x, trainer.flat) for x in trainer.w.values())
+    assert np.array_equal(gru.pack(trainer.w), trainer.flat) and not np.array_equal(gru.pack(start), trainer.flat)
+
+
 def test_state_is_carried_through_long_texts():
     v = vocabulary()
     w, (words, width) = gru.initial(v), shape(v)
