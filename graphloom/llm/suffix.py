@@ -59,9 +59,10 @@ _SIEVE = 1 << 25
 def _anchors(data: np.ndarray, exact: Hasher, length: int, anchor: int) -> np.ndarray:
     """For each start of ``length`` bytes, the place of the leftmost least anchor in them."""
     n = len(data) - anchor + 1
-    at = np.arange(n)
     width = length - anchor + 1
-    value = exact(at, at + anchor) >> _U(32) << _U(32) | at.astype(_U)
+    value = exact.every(anchor)
+    value &= _U(0xFFFFFFFF00000000)
+    value |= np.arange(n, dtype=_U)
     padded = np.full(-(-n // width) * width, np.iinfo(_U).max, _U)
     padded[:n] = value
     blocks = padded.reshape(-1, width)
@@ -244,11 +245,19 @@ def _marked(docs: DataFrame, key: str, text: str, scales: list[Scale]) -> tuple[
     own, whole = (inner[docs.columns.index(x)] for x in (key, text))
     named = docs.toDF(*inner).withColumn("_row", F.xxhash64(own, whole))
     base = named.select("_row", F.col(own).alias("_key"), F.col(whole).alias("_text"), _place("_row"))
-    ranges = cut(repeated(base, folder, scales).distinct(), "ranges", folder)
+    # a range is one number; rows that are there several times have each of theirs once
+    both = F.shiftleft(F.col("a").cast("bigint"), 32) + F.col("b")
+    lists = (F.collect_set(F.when(F.col("unit") == u, both)).alias(x) for u, x in enumerate("rw"))
+    grouped = cut(repeated(base, folder, scales).groupBy("_row").agg(*lists), "grouped", folder)
     forget(docs.sparkSession, folder, *(f"{name}{turn}" for name in ("met", "judged") for turn in range(3)))
-    lists = (F.collect_list(F.when(F.col("unit") == u, F.struct("a", "b"))).alias(x) for u, x in enumerate("rw"))
-    grouped = cut(ranges.groupBy("_row").agg(*lists), "grouped", folder)
-    return _packed(base, _sieve(ranges.where("unit = 0"), "_row")).join(grouped, "_row", "left"), named
+    return _packed(base, _sieve(grouped.where("size(r) > 0"), "_row")).join(grouped, "_row", "left"), named
+
+
+def _ranges(column: pa.Array) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Where each row's ranges begin (one entry more than rows), and their ends."""
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.concatenate([[0], np.cumsum(size)]).astype(np.int64), (flat >> 32, flat & 0xFFFFFFFF)
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", window: Scale = BYTES, passage: Scale = WORDS) -> DataFrame:
@@ -264,7 +273,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", window: Sc
             keys, sizes, sha, packed, ranges, words = (batch.column(i) for i in range(6))
             removed, runs_, passage_words, passages = (np.zeros(batch.num_rows, np.int64) for _ in range(4))
             kept = sha.to_pylist()
-            (of_bytes, (a, b)), (of_words, (c, d)) = _lists(ranges, "a", "b"), _lists(words, "a", "b")
+            (of_bytes, (a, b)), (of_words, (c, d)) = _ranges(ranges), _ranges(words)
             for i in np.flatnonzero(np.diff(of_words)).tolist():
                 own = slice(of_words[i], of_words[i + 1])
                 on, passages[i] = _covered(int(d[own].max()), c[own], d[own])
@@ -293,12 +302,11 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", window: Sca
 
     def run(batches):
         for batch in batches:
-            texts, ranges = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
-            for i, own in enumerate(ranges):
-                if own and texts[i]:
-                    raw = np.frombuffer(texts[i].encode("utf-8"), np.uint8)
-                    a, b = (np.array([x[k] for x in own]) for k in ("a", "b"))
-                    texts[i] = raw[~_covered(len(raw), a, b)[0]].tobytes().decode("utf-8", "ignore")
+            texts, (first, (a, b)) = batch.column(at).to_pylist(), _ranges(batch.column(len(names)))
+            for i in np.flatnonzero(np.diff(first)).tolist():
+                if texts[i]:
+                    raw, own = np.frombuffer(texts[i].encode("utf-8"), np.uint8), slice(first[i], first[i + 1])
+                    texts[i] = raw[~_covered(len(raw), a[own], b[own])[0]].tobytes().decode("utf-8", "ignore")
             yield pa.RecordBatch.from_arrays([batch.column(i) if i != at else pa.array(texts, pa.string()) for i in range(len(names))], names=names)
 
     return joined.mapInArrow(run, schema_of(named.select(*names))).toDF(*docs.columns)

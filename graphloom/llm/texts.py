@@ -27,9 +27,13 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words (the splitmix64 finaliser)."""
     x = np.asarray(x, U64)
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    y = x >> U64(30)
+    y ^= x
+    y *= U64(0xBF58476D1CE4E5B9)
+    y ^= y >> U64(27)
+    y *= U64(0x94D049BB133111EB)
+    y ^= y >> U64(31)
+    return y
 
 
 def lowered_values(lower: bool) -> np.ndarray:
@@ -73,8 +77,18 @@ class Hasher:
         np.cumsum((values[data] if data.dtype == np.uint8 else data) * power[:n], out=self.sums[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
-        return mix64(h + (np.asarray(ends - starts)).astype(U64) * U64(0xD6E8FEB86659FD93))
+        h = self.sums[ends] - self.sums[starts]
+        h *= self.inverse[starts]
+        h += np.asarray(ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93)
+        return mix64(h)
+
+    def every(self, width: int) -> np.ndarray:
+        """Hashes of the spans of ``width`` from every start on."""
+        n = len(self.sums) - width
+        h = self.sums[width:] - self.sums[:n]
+        h *= self.inverse[:n]
+        h += U64(width * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+        return mix64(h)
 
 
 def column_bytes(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from graphloom.llm import dartminhash, decontaminate, secrets, spotsigs, suffix
 from graphloom.llm.components import components
 from graphloom.llm.store import shared_folder
+from graphloom.llm.texts import Hasher, mix64
 
 KINDS = (
     ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 12),
@@ -358,3 +359,22 @@ def test_no_benchmark_items(spark, docs, rows):
     none = spark.createDataFrame([], "item_id bigint, text string")
     got = decontaminate.digests(docs, none)
     assert got.count() == len(rows) and got.where("contaminated").count() == 0
+
+
+def test_ranges_are_brought_together_once(spark, monkeypatch):
+    """Before, all ranges were sent and written once to tell them apart and once more to group them."""
+    names, cut = [], suffix.cut
+    monkeypatch.setattr(suffix, "cut", lambda df, name, *more, **options: names.append(name) or cut(df, name, *more, **options))
+    text = "".join(chr(97 + int(x)) for x in np.random.default_rng(8).integers(0, 26, 900))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, "x" + text[:450]), (3, text[::-1])], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.n_removed, r.n_spans) for r in suffix.digests(docs).collect())
+    assert got == [(1, 900, 1), (1, 900, 1), (2, 450, 1), (3, 0, 0)]
+    assert "grouped" in names and "ranges" not in names
+
+
+def test_spans_of_one_width_at_all_starts():
+    data = np.random.default_rng(9).integers(0, 256, 5000).astype(np.uint8)
+    for symbols in (data, mix64(data.astype(np.uint64))):
+        exact, at = Hasher(symbols), np.arange(5000 - 32 + 1)
+        assert np.array_equal(exact.every(32), exact(at, at + 32))
+    assert mix64(np.array([1]))[0] == np.uint64(0x5692161D100B05E5)
