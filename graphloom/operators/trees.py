@@ -26,6 +26,13 @@ def _kind(v: Column) -> Column:
     )
 
 
+def merged(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join that sends both sides by their keys.  Nodes and what is read from them
+    repeat themselves so much that files of 3 MB hold tables of 100 MB; Spark judges
+    by the files, and would gather and broadcast those through the driver."""
+    return left.join(right.hint("merge"), keys, how)
+
+
 def tree(docs: DataFrame, doc: str = "doc", value: str = "v", store=None) -> DataFrame:
     """``doc, path, parent, key, kind, text`` of every node below the root of each
     variant: ``path`` is a JSON pointer, ``key`` its last part, ``text`` what a
@@ -54,7 +61,7 @@ def objects(nodes: DataFrame) -> DataFrame:
     fields to their texts; of a repeated key the first in order counts."""
     fields = nodes.where("text is not null").groupBy("doc", "parent", "key").agg(F.min("text").alias("text"))
     maps = fields.groupBy("doc", "parent").agg(F.map_from_entries(F.collect_list(F.struct("key", "text"))).alias("f")).withColumnRenamed("parent", "path")
-    own = nodes.where("kind = 'object'").select("doc", "path").join(maps, ["doc", "path"], "left")
+    own = merged(nodes.where("kind = 'object'").select("doc", "path"), maps, ["doc", "path"], "left")
     return own.withColumn("f", F.coalesce("f", F.create_map().cast("map<string,string>")))
 
 

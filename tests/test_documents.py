@@ -131,5 +131,19 @@ def test_rules_are_jobs_of_their_own(spark):
     assert max(len(re.findall(r"\bJoin\b", x)) for x in plans) <= 4
 
 
+def test_rules_broadcast_nothing(spark):
+    """Small files of repetitive rows are large tables: the driver must not gather any for a join."""
+    plans, folder = [], work_folder(spark)
+
+    def store(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name, folder)
+
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) > 0
+    qij.semantic_rules(parsed(spark, {"sound": SOUND, "circle": {"assets": {"w": {"type": "widget", "fallbackAssetId": "w"}}}}), store=store)
+    assert sum(x.count("SortMergeJoin") for x in plans) > 20
+    assert not [x for x in plans if "Broadcast" in x]
+
+
 def test_rules_over_nothing(spark):
     assert qij.semantic_rules(spark.createDataFrame([], "doc string, body string").select("doc", F.try_parse_json("body").alias("v"))).count() == 0
